@@ -1 +1,268 @@
-"""Placeholder."""
+"""Scene list and band ingest queries (F4 scenes, F5 band rows)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+from pyspark.sql import functions as F
+
+from gridsmith.functions.grid import window_extent
+from gridsmith.operators import ingest as ig
+from gridsmith.operators import polygon
+from gridsmith.operators.geometry import EARTH_RADIUS, footprint_edges, lonlat_to_mercator
+from gridsmith.plans.oracle import with_ctes
+from gridsmith.plans.registry import r6, register
+from gridsmith.sources import fixtures as fx
+
+# The imagery bounds rectangle (lon/lat degrees).
+BOUNDS = (-130.6, 21.9, -63.5, 51.7)
+SEARCH_FROM, SEARCH_TO = dt.datetime(1998, 1, 1), dt.datetime(1998, 12, 1)
+SEARCH_BBOX = (-110.0, 30.0, -80.0, 45.0)
+MAX_CLOUD = 10
+PAGE_SIZE = 10
+
+NAMES_SQL = "[" + ", ".join(f"'{n}'" for n in ig.LANDSAT8_BAND_NAMES) + "]"
+DESIRED_SQL = "desired as (select * from (values " + ", ".join(
+    f"('{k}', {v})" for k, v in ig.DESIRED_BANDS.items()) + ") t(band_name, band_num))"
+LON = "lon10 / 10.0::double"
+LAT = "lat10 / 10.0::double"
+
+
+def scenes(spark, sf):
+    return fx.scenes(spark, sf)
+
+
+def band_rows(spark, sf):
+    return fx.band_rows(spark, sf)
+
+
+def _lon():
+    return F.col("lon10") / F.lit(10.0)
+
+
+def _lat():
+    return F.col("lat10") / F.lit(10.0)
+
+
+@register("filter_month", with_ctes("select * from scenes where month(time) = 6", "scenes"))
+def q_filter_month(spark, sf):
+    return scenes(spark, sf).where(F.month("time") == 6)
+
+
+@register("take_n", with_ctes("select * from scenes order by time, scene_id limit 50", "scenes"))
+def q_take_n(spark, sf):
+    """First 5 bands x 10 scenes = 50 rows in a stable order."""
+    return scenes(spark, sf).orderBy("time", "scene_id").limit(5 * 10)
+
+
+@register("pick_kth", with_ctes("select * from scenes order by time, scene_id limit 1 offset 5", "scenes"))
+def q_pick_kth(spark, sf):
+    """results[5]: the sixth row in a stable order."""
+    return scenes(spark, sf).orderBy("time", "scene_id").offset(5).limit(1)
+
+
+@register("filter_extent_within", with_ctes(
+    f"""select * from scenes where {LON} >= {BOUNDS[0]}::double and {LON} + 2.0::double <= {BOUNDS[2]}::double
+        and {LAT} >= {BOUNDS[1]}::double and {LAT} + 2.0::double <= {BOUNDS[3]}::double""", "scenes"))
+def q_filter_extent_within(spark, sf):
+    """Scenes whose footprint lies inside the bounds rectangle."""
+    x0, y0, x1, y1 = BOUNDS
+    lon, lat = _lon(), _lat()
+    return scenes(spark, sf).where((lon >= F.lit(x0)) & (lon + F.lit(2.0) <= F.lit(x1))
+                                   & (lat >= F.lit(y0)) & (lat + F.lit(2.0) <= F.lit(y1)))
+
+
+@register("skip_missing_sources", with_ctes(
+    "select scene_id, path from scenes where path in (select path from scenes where present)", "scenes"))
+def q_skip_missing_sources(spark, sf):
+    """Listed sources whose file exists: a semi join with the file listing."""
+    s = scenes(spark, sf)
+    listing = s.where("present").select("path")
+    return s.select("scene_id", "path").join(listing, "path", "left_semi")
+
+
+COMPLETE = "complete as (select scene from band_rows group by scene having count(*) = 5)"
+
+
+@register("complete_band_sets", with_ctes(
+    "select * from band_rows where scene in (select scene from complete)", "band_rows", extra=[COMPLETE]))
+def q_complete_band_sets(spark, sf):
+    return ig.complete_band_sets(band_rows(spark, sf), "scene", 5)
+
+
+@register("band_whitelist", with_ctes(
+    f"""select scene, b.band_name, d.band_num, v
+        from (select *, {NAMES_SQL}[band] as band_name from band_rows) b join desired d using (band_name)""",
+    "band_rows", extra=[DESIRED_SQL]))
+def q_band_whitelist(spark, sf):
+    rows = band_rows(spark, sf).select("scene", ig.band_name(F.col("band")).alias("band_name"), "v")
+    return ig.band_whitelist(rows, ig.desired_bands(spark)).select("scene", "band_name", "band_num", "v")
+
+
+@register("stack_bands", with_ctes(
+    """select scene, list(band order by band, v) as bands, list(v order by band, v) as values
+       from band_rows where scene in (select scene from complete) group by scene""", "band_rows", extra=[COMPLETE]))
+def q_stack_bands(spark, sf):
+    return ig.stack_bands(band_rows(spark, sf))
+
+
+@register("stack_bands_pivot", with_ctes(
+    "select scene, " + ", ".join(f"max(case when band = {b} then v end) as b{b}" for b in range(1, 6))
+    + " from band_rows where scene in (select scene from complete) group by scene", "band_rows", extra=[COMPLETE]))
+def q_stack_bands_pivot(spark, sf):
+    return ig.stack_bands_pivot(band_rows(spark, sf))
+
+
+@register("stack_shape_check", with_ctes(
+    """select scene, count(*) as n_rows, count(distinct band) as n_bands from band_rows
+       group by scene having count(*) <> count(distinct band)""", "band_rows"))
+def q_stack_shape_check(spark, sf):
+    return ig.shape_check(band_rows(spark, sf))
+
+
+@register("scene_count", with_ctes(
+    "select count(*) as n, count(*) filter (where present) as n_present from scenes", "scenes"))
+def q_scene_count(spark, sf):
+    return scenes(spark, sf).agg(F.count("*").alias("n"), F.count_if("present").alias("n_present"))
+
+
+@register("scenes_by_weekday", with_ctes("select isodow(time) as dow, count(*) as n from scenes group by 1", "scenes"))
+def q_scenes_by_weekday(spark, sf):
+    """One job over all weekday groups (the reference loops on the driver)."""
+    return scenes(spark, sf).groupBy(ig.iso_weekday(F.col("time")).alias("dow")).agg(F.count("*").alias("n"))
+
+
+@register("lonlat_to_mercator", with_ctes(
+    f"""select scene_id, round(6378137.0::double * radians({LON}), 3) as x,
+              round(6378137.0::double * ln(tan({math.pi / 4!r} + radians({LAT}) / 2)), 3) as y from scenes""",
+    "scenes"))
+def q_lonlat_to_mercator(spark, sf):
+    x, y = lonlat_to_mercator(_lon(), _lat())
+    return scenes(spark, sf).select("scene_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
+
+
+WINDOWS = """windows as (
+  select scene_id, lon10, lat10, col_off, row_off, least(512, n_cols - col_off) as width,
+         least(512, n_rows - row_off) as height, n_cols, n_rows
+  from scenes, unnest(range(0, n_cols, 512)) a(col_off), unnest(range(0, n_rows, 512)) b(row_off))"""
+
+
+@register("list_windows", with_ctes(
+    "select scene_id, col_off, row_off, width, height, n_cols, n_rows from windows", "scenes", extra=[WINDOWS]))
+def q_list_windows(spark, sf):
+    return ig.list_windows(scenes(spark, sf), keep=("scene_id",))
+
+
+@register("buffered_windows", with_ctes(
+    """select scene_id, col_off, row_off, width, height, n_cols, n_rows,
+              greatest(0, col_off - 3) as bcol0, greatest(0, row_off - 3) as brow0,
+              least(n_cols - 1, col_off + width - 1 + 3) as bcol1, least(n_rows - 1, row_off + height - 1 + 3) as brow1
+       from windows""", "scenes", extra=[WINDOWS]))
+def q_buffered_windows(spark, sf):
+    return ig.buffer_windows(ig.list_windows(scenes(spark, sf), keep=("scene_id",)))
+
+
+@register("window_extent", with_ctes(
+    f"""select scene_id, col_off, row_off,
+          round({LON} + col_off * (2.0::double / n_cols), 6) as xmin,
+          round({LON} + col_off * (2.0::double / n_cols) + width * (2.0::double / n_cols), 6) as xmax,
+          round({LAT} + 2.0::double - row_off * (2.0::double / n_rows), 6) as ymax,
+          round({LAT} + 2.0::double - row_off * (2.0::double / n_rows) - height * (2.0::double / n_rows), 6) as ymin
+        from windows""", "scenes", extra=[WINDOWS]))
+def q_window_extent(spark, sf):
+    s = scenes(spark, sf).select("scene_id", "lon10", "lat10", "n_cols", "n_rows")
+    w = ig.list_windows(s, keep=("scene_id", "lon10", "lat10"))
+    xres = F.lit(2.0) / F.col("n_cols")
+    yres = F.lit(2.0) / F.col("n_rows")
+    e = window_extent(_lon(), _lat() + F.lit(2.0), xres, yres, F.col("col_off"), F.col("row_off"),
+                      F.col("width"), F.col("height"))
+    return w.select("scene_id", "col_off", "row_off", *[F.round(e[k], 6).alias(k) for k in ("xmin", "xmax", "ymax", "ymin")])
+
+
+@register("split_uri", with_ctes(
+    r"""select scene_id, regexp_extract(path, '^[a-zA-Z0-9]+://([^/]+)', 1) as bucket,
+              coalesce(regexp_extract(path, '^[a-zA-Z0-9]+://[^/]+/(.*)$', 1), '') as key from scenes""", "scenes"))
+def q_split_uri(spark, sf):
+    b, k = ig.split_uri(F.col("path"))
+    return scenes(spark, sf).select("scene_id", b.alias("bucket"), k.alias("key"))
+
+
+@register("time_parts", with_ctes(
+    """select scene_id, month(time) as month, isodow(time) as dow, epoch_ms(time) as epoch_ms,
+              strftime(time, '%Y-%m-%dT%H:%M:%S') as iso from scenes""", "scenes"))
+def q_time_parts(spark, sf):
+    t = F.col("time")
+    return scenes(spark, sf).select("scene_id", F.month(t).alias("month"), ig.iso_weekday(t).alias("dow"),
+                                    ig.epoch_millis_ntz(t).alias("epoch_ms"),
+                                    F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss").alias("iso"))
+
+
+@register("explode_images", with_ctes(
+    f"""select s.time, s.scene_id, d.band_num, replace(s.path, '_B1.TIF', '_B' || r.k || '.TIF') as uri
+        from scenes s, range(1, {len(ig.LANDSAT8_BAND_NAMES) + 1}) r(k), desired d
+        where d.band_name = {NAMES_SQL}[r.k]""", "scenes", extra=[DESIRED_SQL]))
+def q_explode_images(spark, sf):
+    """Nested scene records (one image per band file, each with a band list)
+    flattened to one row per wanted image (H29 + B11)."""
+    s = scenes(spark, sf)
+    images = F.array(*[F.struct(F.regexp_replace("path", "_B1.TIF", f"_B{k}.TIF").alias("sourceUri"),
+                                F.array(F.struct(F.lit(name).alias("name"))).alias("bands"))
+                       for k, name in enumerate(ig.LANDSAT8_BAND_NAMES, start=1)])
+    rec = s.select("time", "scene_id", images.alias("images"))
+    flat = rec.select("time", "scene_id", F.explode("images").alias("image"))
+    rows = flat.select("time", "scene_id", F.col("image.sourceUri").alias("uri"),
+                       F.element_at("image.bands", 1)["name"].alias("band_name"))
+    return ig.band_whitelist(rows, ig.desired_bands(spark)).select("time", "scene_id", "band_num", "uri")
+
+
+SEARCH = f"""time between '{SEARCH_FROM}' and '{SEARCH_TO}' and cloud <= {MAX_CLOUD}
+  and {LON} < {SEARCH_BBOX[2]}::double and {LON} + 2.0::double > {SEARCH_BBOX[0]}::double
+  and {LAT} < {SEARCH_BBOX[3]}::double and {LAT} + 2.0::double > {SEARCH_BBOX[1]}::double"""
+
+
+def scene_search(spark, sf):
+    """Date range + bbox overlap + max cloud cover."""
+    x0, y0, x1, y1 = SEARCH_BBOX
+    lon, lat = _lon(), _lat()
+    return scenes(spark, sf).where(
+        F.col("time").between(F.lit(SEARCH_FROM), F.lit(SEARCH_TO)) & (F.col("cloud") <= MAX_CLOUD)
+        & (lon < F.lit(x1)) & (lon + F.lit(2.0) > F.lit(x0)) & (lat < F.lit(y1)) & (lat + F.lit(2.0) > F.lit(y0)))
+
+
+@register("scene_search", with_ctes(f"select * from scenes where {SEARCH}", "scenes"))
+def q_scene_search(spark, sf):
+    return scene_search(spark, sf)
+
+
+@register("scene_search_page", with_ctes(
+    f"select * from scenes where {SEARCH} order by time, scene_id limit {PAGE_SIZE} offset {PAGE_SIZE}", "scenes"))
+def q_scene_search_page(spark, sf):
+    """Second page of the search in a stable order."""
+    return scene_search(spark, sf).orderBy("time", "scene_id").offset(PAGE_SIZE).limit(PAGE_SIZE)
+
+
+FOOTPRINTS = """footprint_edges as (
+  select scene_id as poly_id, a + dx1 * 2.0 as x1, b + dy1 * 2.0 as y1, a + dx2 * 2.0 as x2, b + dy2 * 2.0 as y2
+  from (select scene_id, lon10 / 10.0::double as a, lat10 / 10.0::double as b from scenes) s,
+       (values (0, 0, 1, 0), (1, 0, 1, 1), (1, 1, 0, 1), (0, 1, 0, 0)) r(dx1, dy1, dx2, dy2))"""
+
+
+@register("polygon_centroid", with_ctes(
+    """select poly_id, round(abs(sum(x1 * y2 - x2 * y1) / 2), 6) as area,
+              round(sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (6 * (sum(x1 * y2 - x2 * y1) / 2)), 6) as cx,
+              round(sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (6 * (sum(x1 * y2 - x2 * y1) / 2)), 6) as cy
+       from footprint_edges group by poly_id""", "scenes", extra=[FOOTPRINTS]))
+def q_polygon_centroid(spark, sf):
+    c = polygon.polygon_centroid(footprint_edges(scenes(spark, sf)))
+    return c.select("poly_id", r6("area"), r6("cx"), r6("cy"))
+
+
+@register("raster_windows_read", with_ctes(
+    "select gx // 16 as wx, gy // 16 as wy, count(*) as n, min(elev) as min, max(elev) as max from dem group by all",
+    "dem"))
+def q_raster_windows_read(spark, sf):
+    """Read a raster as windows of at most 16 x 16 cells (A5)."""
+    d = fx.dem(spark, sf)
+    return (d.groupBy(F.floor(F.col("gx") / 16).alias("wx"), F.floor(F.col("gy") / 16).alias("wy"))
+            .agg(F.count("*").alias("n"), F.min("elev").alias("min"), F.max("elev").alias("max")))
