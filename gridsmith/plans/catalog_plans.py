@@ -1 +1,152 @@
-"""Placeholder."""
+"""Catalog queries: each writes layers derived from the tables into a fresh
+folder under the shared checkpoint location, then reads them back."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from gridsmith.operators import focal
+from gridsmith.operators.geometry import footprint_edges
+from gridsmith.plans.focal_plans import DEM_LEVELS, DEM_ZOOM, _pyramid_sql
+from gridsmith.plans.ingest_plans import FOOTPRINTS
+from gridsmith.plans.oracle import inside_cte, with_ctes
+from gridsmith.plans.registry import r6, register
+from gridsmith.session import shared_dir
+from gridsmith.sources import catalog as cat
+from gridsmith.sources import fixtures as fx
+from gridsmith.sources import scenes as sc
+
+ZOOM = 2
+LANDSAT_COLS = ["instant", "gx", "gy", "blue", "green", "red", "nir", "qa"]
+Q_FROM, Q_TO = dt.datetime(1997, 1, 1), dt.datetime(1999, 12, 31)
+Q_POLY = 2
+GRID32 = "(select a.gx, b.gy from range(0, 32) a(gx), range(0, 32) b(gy))"
+
+
+def _catalog(spark, sf):
+    root = shared_dir(spark, "catalog")
+    cat.write_layer(fx.landsat(spark, sf), root, "landsat", ZOOM, fx.TILE, "uint16", 0)
+    cat.write_layer(fx.classes(spark, sf), root, "classes", ZOOM, fx.TILE, "uint8", 0)
+    return root
+
+
+@register("layer_scan", with_ctes("select * from landsat", "landsat"))
+def q_layer_scan(spark, sf):
+    root = _catalog(spark, sf)
+    return cat.read_layer(spark, root, "landsat", ZOOM).select(*LANDSAT_COLS)
+
+
+@register("layer_write_read", with_ctes("select gx, gy, value, nlcd from classes", "classes"))
+def q_layer_write_read(spark, sf):
+    root = shared_dir(spark, "catalog")
+    cat.write_layer(fx.classes(spark, sf), root, "classes", ZOOM, fx.TILE, "uint8", 0)
+    return cat.read_layer(spark, root, "classes", ZOOM).select("gx", "gy", "value", "nlcd")
+
+
+@register("layer_query", with_ctes(
+    f"""select * from landsat where instant between '{Q_FROM}' and '{Q_TO}'
+        and (gx // 8, gy // 8) in (select distinct gx // 8, gy // 8 from inside where poly_id = {Q_POLY})""",
+    "landsat", "aoi_edges", extra=[inside_cte(GRID32)]))
+def q_layer_query(spark, sf):
+    root = _catalog(spark, sf)
+    edges = fx.aoi_edges(spark).where(F.col("poly_id") == Q_POLY)
+    return cat.query_layer(spark, root, "landsat", ZOOM, fx.TILE, edges, (Q_FROM, Q_TO)).select(*LANDSAT_COLS)
+
+
+@register("layer_exists", """select * from (values ('landsat', 2, true), ('landsat', 3, false),
+       ('classes', 2, true), ('dem', 7, false)) t(layer, zoom, "exists")""")
+def q_layer_exists(spark, sf):
+    root = _catalog(spark, sf)
+    asked = spark.createDataFrame([("landsat", 2), ("landsat", 3), ("classes", 2), ("dem", 7)], "layer string, zoom int")
+    return cat.layer_exists(spark, root, asked)
+
+
+UPSERT_SQL = """select instant, gx, gy, blue, green, red,
+  case when year(instant) >= 1998 then nir + 1 else nir end as nir, qa from landsat"""
+
+
+def _upsert_batches(spark, sf):
+    l = fx.landsat(spark, sf)
+    b1 = l.where(F.year("instant") <= 1998)
+    b2 = l.where(F.year("instant") >= 1998).withColumn("nir", F.col("nir") + 1)
+    return b1, b2
+
+
+@register("layer_upsert", with_ctes(UPSERT_SQL, "landsat"))
+def q_layer_upsert(spark, sf):
+    """Create with batch 1, upsert batch 2 (overlapping 1998): new keys are
+    added, existing keys replaced (A10)."""
+    root = shared_dir(spark, "catalog")
+    b1, b2 = _upsert_batches(spark, sf)
+    keys = ["instant", "gx", "gy"]
+    cat.upsert_layer(b1, root, "landsat", ZOOM, fx.TILE, keys)
+    cat.upsert_layer(b2, root, "landsat", ZOOM, fx.TILE, keys)
+    return cat.read_layer(spark, root, "landsat", ZOOM).select(*LANDSAT_COLS)
+
+
+META_SQL = """select 'landsat' as layer, 2 as zoom, 8 as tile_size, 'uint16' as cell_type, 0 as nodata,
+  min(gx // 8) as col_min, max(gx // 8) as col_max, min(gy // 8) as row_min, max(gy // 8) as row_max,
+  min(instant) as instant_min, max(instant) as instant_max, count(*) as cells from {src}"""
+
+
+@register("collect_metadata", with_ctes(META_SQL.format(src="landsat"), "landsat"))
+def q_collect_metadata(spark, sf):
+    return cat.layer_meta(fx.landsat(spark, sf), "landsat", ZOOM, fx.TILE, "uint16", 0)
+
+
+@register("merge_metadata", with_ctes(
+    META_SQL.format(src="(select * from landsat where year(instant) <= 1998 union all "
+                        "select * from landsat where year(instant) >= 1998)"), "landsat"))
+def q_merge_metadata(spark, sf):
+    b1, b2 = _upsert_batches(spark, sf)
+    m1 = cat.layer_meta(b1, "landsat", ZOOM, fx.TILE, "uint16", 0)
+    m2 = cat.layer_meta(b2, "landsat", ZOOM, fx.TILE, "uint16", 0)
+    return cat.merge_meta(m1, m2).select(*cat.META_COLS)
+
+
+_pc, _pb = _pyramid_sql("dem", "elev", DEM_ZOOM, DEM_LEVELS, "bilinear")
+
+
+@register("pyramid_write", with_ctes(f"select * from ({_pb}) p where zoom < {DEM_ZOOM}", "dem", extra=_pc))
+def q_pyramid_write(spark, sf):
+    """Write every pyramid level below the base, deepest first in one
+    partitioned write, then read all levels back (A12)."""
+    root = shared_dir(spark, "pyramid")
+    p = focal.pyramid(fx.dem(spark, sf), "elev", DEM_ZOOM, DEM_ZOOM - DEM_LEVELS, "bilinear")
+    p = p.where(F.col("zoom") < DEM_ZOOM).withColumn("layer", F.lit("dem"))
+    p.write.mode("overwrite").partitionBy("layer", "zoom").parquet(root)
+    back = spark.read.parquet(root).where(F.col("layer") == "dem")
+    return back.select(F.col("zoom").cast("int").alias("zoom"), "gx", "gy", r6(F.col("value").cast("double"), "value"))
+
+
+@register("scene_csv_scan", with_ctes(
+    r"select time, scene_id, cast(regexp_extract(path, '_B(\d+)\.TIF', 1) as integer) as band, path from scenes",
+    "scenes"))
+def q_scene_csv_scan(spark, sf):
+    """Write the scene list as a quoted CSV with header, read it back with a
+    schema and the scene time format (A3)."""
+    path = shared_dir(spark, "scenes_csv")
+    s = fx.scenes(spark, sf).select("time", "scene_id",
+                                    F.regexp_extract("path", r"_B(\d+)\.TIF", 1).cast("int").alias("band"), "path")
+    sc.write_scene_csv(s, path)
+    return sc.read_scene_csv(spark, path)
+
+
+@register("geojson_polygons", with_ctes("select poly_id, x1, y1, x2, y2 from footprint_edges", "scenes",
+                                        extra=[FOOTPRINTS]))
+def q_geojson_polygons(spark, sf):
+    """Scene footprints written as GeoJSON FeatureCollections and parsed back
+    into edge tables (A4)."""
+    path = shared_dir(spark, "geojson")
+    e = footprint_edges(fx.scenes(spark, sf))
+    # Ring = the 4 corners in edge order, closed (first point repeated).
+    lon, lat = F.col("lon10") / F.lit(10.0), F.col("lat10") / F.lit(10.0)
+    s = F.lit(2.0)
+    ring = F.array(F.array(lon, lat), F.array(lon + s, lat), F.array(lon + s, lat + s), F.array(lon, lat + s),
+                   F.array(lon, lat))
+    rings = fx.scenes(spark, sf).select(F.col("scene_id").alias("poly_id"), ring.alias("ring"))
+    sc.write_geojson(rings, path)
+    del e
+    return sc.read_geojson_polygons(spark, path)
