@@ -136,3 +136,19 @@ def q_reproject_bilinear(spark, sf):
            "dirs as (select * from (values (-1, -1), (0, -1), (1, -1), (-1, 0), (1, 0), (-1, 1), (0, 1), (1, 1)) d(dc, dr))"]))
 def q_tile_halo(spark, sf):
     return focal.tile_halo(fx.dem_tiles(spark, sf), fx.TILE, 1)
+
+
+def _relief(a):
+    """Elevation above the tile's lowest cell (a tile-local numpy function)."""
+    import numpy as np
+    return (a - np.min(a)).astype("int64")
+
+
+@register("map_tiles", with_ctes(
+    """select vec_id % 16 as col, vec_id // 16 as row,
+              list_transform(c, lambda x: x - list_min(c)) as cells
+       from (select vec_id, list_transform(embedding, lambda e: cast(floor(1000 * (1 + cast(e as double))) as bigint)) as c
+             from embeddings) t""", ))
+def q_map_tiles(spark, sf):
+    from gridsmith.operators.tile_map import map_tiles
+    return map_tiles(fx.dem_tiles(spark, sf), _relief, fx.TILE)
