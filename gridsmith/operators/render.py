@@ -33,8 +33,9 @@ def _tone(df: DataFrame, src=("sr", "sg", "sb"), out=("c1r", "c1g", "c1b")) -> D
 
 
 def _saturate_where(df: DataFrame, cond, src, p: float, out) -> DataFrame:
-    s = co.saturation(*src, p)
-    return df.withColumns({o: F.when(cond, s[k]).otherwise(F.col(c)) for o, k, c in zip(out, ("r", "g", "b"), src)})
+    t = co.saturation_df(df, src, p, ("_sr", "_sg", "_sb"))
+    t = t.withColumns({o: F.when(cond, F.col(k)).otherwise(F.col(c)) for o, k, c in zip(out, ("_sr", "_sg", "_sb"), src)})
+    return t.drop("_sr", "_sg", "_sb")
 
 
 def _bytes(df: DataFrame, src, water=True) -> DataFrame:
@@ -81,11 +82,11 @@ def render4(df: DataFrame) -> DataFrame:
     green = F.col("ndvi") > 0.45
     t = t.withColumn("g3", F.when(green, co.sigmoidal(co.gamma("c2g", 1.1), 7, 0.42)).otherwise(F.col("c2g")))
     t = _saturate_where(t, green, ("c2r", "g3", "c2b"), 0.7, ("c4r", "c4g", "c4b"))
-    s = co.saturation("c4r", "c4g", "c4b", 1.2)
-    t = t.withColumns({f"f{k}": s[k] * 256 for k in "rgb"})
+    t = co.saturation_df(t, ("c4r", "c4g", "c4b"), 1.2, ("er", "eg", "eb"))
+    t = t.withColumns({f"f{k}": F.col(f"e{k}") * 256 for k in "rgb"})
     t = _tone(t, ("r", "g", "b"), ("l1r", "l1g", "l1b"))
-    ls = co.saturation("l1r", "l1g", "l1b", 0.1)
-    t = t.withColumns({f"l{k}": ls[k] * 256 for k in "rgb"})
+    t = co.saturation_df(t, ("l1r", "l1g", "l1b"), 0.1, ("mr", "mg", "mb"))
+    t = t.withColumns({f"l{k}": F.col(f"m{k}") * 256 for k in "rgb"})
     dev = F.col("nlcd").between(*co.DEVELOPED_CLASSES)
     t = t.withColumns({f"z{k}": F.when(dev, F.col(f"l{k}")).otherwise(F.col(f"f{k}")) for k in "rgb"})
     return _bytes(t, ("zr", "zg", "zb"))
