@@ -60,7 +60,8 @@ def hillshade(cells: DataFrame, value: str, azimuth: float = 99.0, altitude: flo
     return g.select("gx", "gy", hs.alias("hillshade"))
 
 
-def pyramid(cells: DataFrame, value: str, zoom: int, to: int = 0, method: str = "nearest") -> DataFrame:
+def pyramid(cells: DataFrame, value: str, zoom: int, to: int = 0, method: str = "nearest",
+            materialize: bool | None = None) -> DataFrame:
     """All levels ``zoom..to`` as ``(zoom, gx, gy, value)``.
 
     Each level is one partial-aggregated ``groupBy(gx div 2, gy div 2)`` of
@@ -68,7 +69,15 @@ def pyramid(cells: DataFrame, value: str, zoom: int, to: int = 0, method: str =
     shared exchanges so every level is computed once.
     * ``bilinear``: mean of the non-NULL children (exact half scale).
     * ``nearest``: the present child with the largest ``(gy%2)*2 + gx%2``.
+
+    ``materialize`` (default: when more than 3 levels are built) checkpoints
+    each level to the shared checkpoint folder before the next one reads it:
+    every level is computed exactly once, the plan stays linear in depth,
+    and a lost executor recomputes at most one level.
     """
+    from gridsmith.session import cut_lineage
+    if materialize is None:
+        materialize = (zoom - to) > 3
     lvl = cells.select("gx", "gy", F.col(value).alias("value"))
     out = lvl.select(F.lit(zoom).alias("zoom"), "gx", "gy", "value")
     for z in range(zoom - 1, to - 1, -1):
@@ -80,6 +89,8 @@ def pyramid(cells: DataFrame, value: str, zoom: int, to: int = 0, method: str =
             lvl = lvl.groupBy(*parent).agg(F.max_by("value", parity).alias("value"))
         else:
             raise ValueError(method)
+        if materialize:
+            lvl = cut_lineage(lvl)
         out = out.unionByName(lvl.select(F.lit(z).alias("zoom"), "gx", "gy", "value"))
     return out
 

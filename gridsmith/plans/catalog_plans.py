@@ -25,16 +25,17 @@ Q_POLY = 2
 GRID32 = "(select a.gx, b.gy from range(0, 32) a(gx), range(0, 32) b(gy))"
 
 
-def _catalog(spark, sf):
+def _catalog(spark, sf, with_classes: bool = True):
     root = shared_dir(spark, "catalog")
     cat.write_layer(fx.landsat(spark, sf), root, "landsat", ZOOM, fx.TILE, "uint16", 0)
-    cat.write_layer(fx.classes(spark, sf), root, "classes", ZOOM, fx.TILE, "uint8", 0)
+    if with_classes:
+        cat.write_layer(fx.classes(spark, sf), root, "classes", ZOOM, fx.TILE, "uint8", 0)
     return root
 
 
 @register("layer_scan", with_ctes("select * from landsat", "landsat"))
 def q_layer_scan(spark, sf):
-    root = _catalog(spark, sf)
+    root = _catalog(spark, sf, with_classes=False)
     return cat.read_layer(spark, root, "landsat", ZOOM).select(*LANDSAT_COLS)
 
 
@@ -50,7 +51,7 @@ def q_layer_write_read(spark, sf):
         and (gx // 8, gy // 8) in (select distinct gx // 8, gy // 8 from inside where poly_id = {Q_POLY})""",
     "landsat", "aoi_edges", extra=[inside_cte(GRID32)]))
 def q_layer_query(spark, sf):
-    root = _catalog(spark, sf)
+    root = _catalog(spark, sf, with_classes=False)
     edges = fx.aoi_edges(spark).where(F.col("poly_id") == Q_POLY)
     return cat.query_layer(spark, root, "landsat", ZOOM, fx.TILE, edges, (Q_FROM, Q_TO)).select(*LANDSAT_COLS)
 
