@@ -101,19 +101,28 @@ def reproject_lonlat_to_mercator(cells: DataFrame, value: str, lon0: float, lat1
     ``lat1 - (gy+.5) res``) onto a web-mercator grid with ``target_size_m``
     pixels whose origin is the source's top-left corner (W5).
 
-    Inverse mapping: the target grid is generated from the source bounds
-    (one aggregate row, then ``explode(sequence)``), each target centre is
+    Inverse mapping: the target grid size comes from the source bounds (one
+    aggregate row), the grid itself from ``spark.range``; each target centre is
     mapped back to source pixel space with column math, and the values are
     fetched with an equi-join (nearest) or a 4-corner join with weights
     renormalised over the present corners (bilinear)."""
-    b = cells.agg(F.max("gx").alias("mx"), F.max("gy").alias("my"))
-    x0, y0 = lonlat_to_mercator(F.lit(lon0), F.lit(lat1))
-    x1, _ = lonlat_to_mercator(F.lit(lon0) + (F.col("mx") + 1) * F.lit(res_deg), F.lit(lat1))
-    _, y1 = lonlat_to_mercator(F.lit(lon0), F.lit(lat1) - (F.col("my") + 1) * F.lit(res_deg))
+    # Target grid size from the source bounds: one aggregate row of metadata.
+    mx, my = cells.agg(F.max("gx"), F.max("gy")).first()
+    if mx is None:
+        return cells.sparkSession.createDataFrame([], f"tx bigint, ty bigint, {value} double")
+    r = EARTH_RADIUS
+    x0 = r * math.radians(lon0)
+    y0 = r * math.log(math.tan(math.pi / 4 + math.radians(lat1) / 2))
+    x1 = r * math.radians(lon0 + (mx + 1) * res_deg)
+    y1 = r * math.log(math.tan(math.pi / 4 + math.radians(lat1 - (my + 1) * res_deg) / 2))
+    ntx, nty = int(math.floor((x1 - x0) / target_size_m)), int(math.floor((y0 - y1) / target_size_m))
+    # The target grid is generated in parallel by spark.range (no single
+    # task ever holds it); tx/ty come from the row id.
+    spark = cells.sparkSession
+    grid = spark.range(0, max(ntx, 0) * max(nty, 0)).select((F.col("id") % ntx).alias("tx"),
+                                                            F.floor(F.col("id") / ntx).alias("ty"))
+    x0, y0 = F.lit(x0), F.lit(y0)
     s = F.lit(float(target_size_m))
-    grid = b.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((x1 - x0) / s) - 1)).alias("tx"),
-                    F.floor((y0 - y1) / s).alias("nty"))
-    grid = grid.select("tx", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nty") - 1)).alias("ty"))
     cx = x0 + (F.col("tx") + F.lit(0.5)) * s
     cy = y0 - (F.col("ty") + F.lit(0.5)) * s
     lon, lat = mercator_to_lonlat(cx, cy)

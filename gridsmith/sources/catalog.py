@@ -62,7 +62,10 @@ def write_layer(df: DataFrame, root: str, layer: str, zoom: int, tile_size: int,
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = with_zkey(df, tile_size).withColumn("layer", F.lit(layer)).withColumn("zoom", F.lit(zoom))
-    (out.repartitionByRange(n, "zkey").sortWithinPartitions("zkey")
+    # Range bounds over (zkey, gy, gx[, instant]): a hot tile holding a third
+    # of all cells still spreads over many write tasks instead of one.
+    order = ["zkey", "gy", "gx"] + (["instant"] if "instant" in df.columns else [])
+    (out.repartitionByRange(n, *order).sortWithinPartitions(*order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("layer", "zoom").parquet(root))
     meta = layer_meta(df, layer, zoom, tile_size, cell_type, nodata)
