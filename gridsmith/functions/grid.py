@@ -83,3 +83,10 @@ def max_morton2(zoom: int) -> int:
 
 def log2_int(n: int) -> int:
     return int(math.log2(n))
+
+
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime or ISO text, independent of
+    both the session time zone and the Python process time zone."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridsmith.functions.grid import ntz
 from gridsmith.functions.indices import ndvi
 
 # Fixed value: a pixel is "bright" when any colour band reaches this.
@@ -67,7 +68,7 @@ def collapse_time(cells: DataFrame, keys=("gx", "gy"), bands=PIXEL_BANDS) -> Dat
 
 def slice_at_time(cells: DataFrame, instant) -> DataFrame:
     """Spatial layer at one instant."""
-    return cells.where(F.col("instant") == F.lit(instant)).drop("instant")
+    return cells.where(F.col("instant") == ntz(instant)).drop("instant")
 
 
 def tile_merge(cells: DataFrame, value: str, priority: str, keys=("gx", "gy")) -> DataFrame:

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from gridsmith.functions import indices as ix
-from gridsmith.functions.grid import tile_of
+from gridsmith.functions.grid import ntz, tile_of
 from gridsmith.operators import polygon, zonal
 from gridsmith.plans.oracle import inside_cte, with_ctes
 from gridsmith.plans.registry import r6, register
@@ -111,7 +111,7 @@ def q_rekey_spatial(spark, sf):
 @register("filter_time_range", with_ctes(
     f"select * from landsat where instant between '{TIME_FROM}' and '{TIME_TO}'", "landsat"))
 def q_filter_time_range(spark, sf):
-    return landsat(spark, sf).where(F.col("instant").between(F.lit(TIME_FROM), F.lit(TIME_TO)))
+    return landsat(spark, sf).where(F.col("instant").between(ntz(TIME_FROM), ntz(TIME_TO)))
 
 
 @register("slice_at_time", with_ctes(

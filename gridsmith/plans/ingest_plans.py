@@ -7,7 +7,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from gridsmith.functions.grid import window_extent
+from gridsmith.functions.grid import ntz, window_extent
 from gridsmith.operators import ingest as ig
 from gridsmith.operators import polygon
 from gridsmith.operators.geometry import EARTH_RADIUS, footprint_edges, lonlat_to_mercator
@@ -226,7 +226,7 @@ def scene_search(spark, sf):
     x0, y0, x1, y1 = SEARCH_BBOX
     lon, lat = _lon(), _lat()
     return scenes(spark, sf).where(
-        F.col("time").between(F.lit(SEARCH_FROM), F.lit(SEARCH_TO)) & (F.col("cloud") <= MAX_CLOUD)
+        F.col("time").between(ntz(SEARCH_FROM), ntz(SEARCH_TO)) & (F.col("cloud") <= MAX_CLOUD)
         & (lon < F.lit(x1)) & (lon + F.lit(2.0) > F.lit(x0)) & (lat < F.lit(y1)) & (lat + F.lit(2.0) > F.lit(y0)))
 
 

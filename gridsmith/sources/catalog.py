@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsmith.functions.grid import days_since_epoch, morton2, morton3, tile_of
+from gridsmith.functions.grid import days_since_epoch, morton2, morton3, ntz, tile_of
 from gridsmith.operators import polygon
 from gridsmith.session import cut_lineage
 
@@ -99,7 +99,7 @@ def query_layer(spark: SparkSession, root: str, layer: str, zoom: int, tile_size
     statistics use to skip row groups; the exact tile test is a semi join."""
     df = read_layer(spark, root, layer, zoom)
     if time_range is not None:
-        df = df.where(F.col("instant").between(F.lit(time_range[0]), F.lit(time_range[1])))
+        df = df.where(F.col("instant").between(ntz(time_range[0]), ntz(time_range[1])))
     if edges is not None:
         b = polygon.polygon_bounds(edges).agg(F.min("xmin").alias("x0"), F.min("ymin").alias("y0"),
                                               F.max("xmax").alias("x1"), F.max("ymax").alias("y1")).first()
