@@ -42,3 +42,17 @@ def extent_to_keys(extents: DataFrame, col_min, col_max, row_min, row_max, keep=
     return (extents.select(*keep, F.explode(F.sequence(col_min, col_max)).alias("col"), row_min.alias("_r0"),
                            row_max.alias("_r1"))
             .select(*keep, "col", F.explode(F.sequence("_r0", "_r1")).alias("row")))
+
+
+def cells_to_band_tiles(cells: DataFrame, n: int, bands: list[str], extra=()) -> DataFrame:
+    """Multiband form of :func:`cells_to_tiles`: one dense array column per
+    band, gathered in a single ``groupBy`` (bounded by n*n per tile)."""
+    keyed = cells.select(*extra, tile_of("gx", n).alias("col"), tile_of("gy", n).alias("row"),
+                         ((F.col("gy") % n) * n + F.col("gx") % n).alias("pos"), *bands)
+    per_cell = keyed.groupBy(*extra, "col", "row", "pos").agg(*[F.max(b).alias(b) for b in bands])
+    tiles = per_cell.groupBy(*extra, "col", "row").agg(
+        F.map_from_entries(F.collect_list(F.struct("pos", F.struct(*bands)))).alias("m"))
+    def dense(band: str):
+        return F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), lambda i: F.col("m")[i][band]).alias(band)
+
+    return tiles.select(*extra, "col", "row", *[dense(b) for b in bands])
