@@ -89,27 +89,37 @@ def hillshade(tiles: DataFrame, n: int, azimuth: float = 99.0, altitude: float =
     az, alt = math.radians(azimuth), math.radians(altitude)
     sa, ca_s, ca_c = math.sin(alt), math.sin(az) * math.cos(alt), math.cos(az) * math.cos(alt)
 
-    def shade(pdf: pd.DataFrame) -> pd.DataFrame:
-        pad = np.full((n + 2, n + 2), np.nan)
-        for rec in pdf.itertuples(index=False):
-            s = _as_float(rec.strip)
-            dc, dr = int(rec.dcol), int(rec.drow)
-            if dc == 0 and dr == 0:
-                pad[1:n + 1, 1:n + 1] = s.reshape(n, n)
+    # Gather each tile with its (at most 8) halo strips into one row: a
+    # bounded group (<= 9 parts), then numpy runs over whole Arrow batches.
+    gathered = parts.groupBy("col", "row").agg(
+        F.collect_list(F.struct("dcol", "drow", "strip")).alias("parts"))
+
+    def shade(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if pdf.empty:
                 continue
-            ys = slice(1, n + 1) if dr == 0 else (0 if dr < 0 else n + 1)
-            xs = slice(1, n + 1) if dc == 0 else (0 if dc < 0 else n + 1)
-            pad[ys, xs] = s if (dr == 0 or dc == 0) else s[0]
-        c = pad[1:n + 1, 1:n + 1]
-
-        def nb(dx, dy):
-            v = pad[1 + dy:n + 1 + dy, 1 + dx:n + 1 + dx]
-            return np.where(np.isnan(v), c, v)
-
-        ddx = ((nb(1, -1) + 2 * nb(1, 0) + nb(1, 1)) - (nb(-1, -1) + 2 * nb(-1, 0) + nb(-1, 1))) * k
-        ddy = ((nb(-1, 1) + 2 * nb(0, 1) + nb(1, 1)) - (nb(-1, -1) + 2 * nb(0, -1) + nb(1, -1))) * k
-        hs = 255.0 * np.maximum(0.0, (sa - ddx * ca_s + ddy * ca_c) / np.sqrt(1.0 + ddx * ddx + ddy * ddy))
-        out = [None if np.isnan(x) else float(x) for x in hs.reshape(-1)]
-        return pd.DataFrame({"col": [pdf["col"].iloc[0]], "row": [pdf["row"].iloc[0]], "hillshade": [out]})
-
-    return parts.groupBy("col", "row").applyInPandas(shade, "col long, row long, hillshade array<double>")
+            t = len(pdf)
+            pad = np.full((t, n + 2, n + 2), np.nan)
+            for i, plist in enumerate(pdf["parts"]):
+                for part in plist:
+                    dc, dr, strip = int(part["dcol"]), int(part["drow"]), _as_float(part["strip"])
+                    if dc == 0 and dr == 0:
+                        pad[i, 1:n + 1, 1:n + 1] = strip.reshape(n, n)
+                        continue
+                    ys = slice(1, n + 1) if dr == 0 else (0 if dr < 0 else n + 1)
+                    xs = slice(1, n + 1) if dc == 0 else (0 if dc < 0 else n + 1)
+                    pad[i, ys, xs] = strip if (dr == 0 or dc == 0) else strip[0]
+            c = pad[:, 1:n + 1, 1:n + 1]
+
+            def nb(dx, dy):
+                v = pad[:, 1 + dy:n + 1 + dy, 1 + dx:n + 1 + dx]
+                return np.where(np.isnan(v), c, v)
+
+            ddx = ((nb(1, -1) + 2 * nb(1, 0) + nb(1, 1)) - (nb(-1, -1) + 2 * nb(-1, 0) + nb(-1, 1))) * k
+            ddy = ((nb(-1, 1) + 2 * nb(0, 1) + nb(1, 1)) - (nb(-1, -1) + 2 * nb(0, -1) + nb(1, -1))) * k
+            hs = 255.0 * np.maximum(0.0, (sa - ddx * ca_s + ddy * ca_c) / np.sqrt(1.0 + ddx * ddx + ddy * ddy))
+            flat = hs.reshape(t, n * n)
+            out = [[None if np.isnan(x) else float(x) for x in row] for row in flat]
+            yield pd.DataFrame({"col": pdf["col"].values, "row": pdf["row"].values, "hillshade": out})
+
+    return gathered.mapInPandas(shade, "col long, row long, hillshade array<double>")
