@@ -34,10 +34,10 @@ def _morton3_sql(x: str, y: str, t: str, bits: int = 21) -> str:
 
 @register("key_to_extent", with_ctes(
     f"""select col, row,
-          round(-{WM_HALF_WIDTH!r} + col * {2 * WM_HALF_WIDTH / 2 ** ZOOM!r}, 3) as xmin,
-          round(-{WM_HALF_WIDTH!r} + (col + 1) * {2 * WM_HALF_WIDTH / 2 ** ZOOM!r}, 3) as xmax,
-          round({WM_HALF_WIDTH!r} - (row + 1) * {2 * WM_HALF_WIDTH / 2 ** ZOOM!r}, 3) as ymin,
-          round({WM_HALF_WIDTH!r} - row * {2 * WM_HALF_WIDTH / 2 ** ZOOM!r}, 3) as ymax
+          round(-{WM_HALF_WIDTH!r}::double + col * {2 * WM_HALF_WIDTH / 2 ** ZOOM!r}::double, 3) as xmin,
+          round(-{WM_HALF_WIDTH!r}::double + (col + 1) * {2 * WM_HALF_WIDTH / 2 ** ZOOM!r}::double, 3) as xmax,
+          round({WM_HALF_WIDTH!r}::double - (row + 1) * {2 * WM_HALF_WIDTH / 2 ** ZOOM!r}::double, 3) as ymin,
+          round({WM_HALF_WIDTH!r}::double - row * {2 * WM_HALF_WIDTH / 2 ** ZOOM!r}::double, 3) as ymax
         from (select distinct gx // 8 as col, gy // 8 as row from landsat) t""", "landsat"))
 def q_key_to_extent(spark, sf):
     l = fx.landsat(spark, sf)

@@ -127,7 +127,7 @@ def q_scene_count(spark, sf):
     return scenes(spark, sf).agg(F.count("*").alias("n"), F.count_if("present").alias("n_present"))
 
 
-@register("scenes_by_weekday", with_ctes("select isodow(time) as dow, count(*) as n from scenes group by 1", "scenes"))
+@register("scenes_by_weekday", with_ctes("select cast(isodow(time) as integer) as dow, count(*) as n from scenes group by 1", "scenes"))
 def q_scenes_by_weekday(spark, sf):
     """One job over all weekday groups (the reference loops on the driver)."""
     return scenes(spark, sf).groupBy(ig.iso_weekday(F.col("time")).alias("dow")).agg(F.count("*").alias("n"))
@@ -189,7 +189,7 @@ def q_split_uri(spark, sf):
 
 
 @register("time_parts", with_ctes(
-    """select scene_id, month(time) as month, isodow(time) as dow, epoch_ms(time) as epoch_ms,
+    """select scene_id, cast(month(time) as integer) as month, cast(isodow(time) as integer) as dow, epoch_ms(time) as epoch_ms,
               strftime(time, '%Y-%m-%dT%H:%M:%S') as iso from scenes""", "scenes"))
 def q_time_parts(spark, sf):
     t = F.col("time")

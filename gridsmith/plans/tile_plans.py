@@ -16,7 +16,8 @@ from gridsmith.sources import fixtures as fx
 @register("class_histogram_tiles", ORACLE["class_histogram"])
 def q_class_histogram_tiles(spark, sf):
     tiles = tl.cells_to_tiles(fx.classes(spark, sf), fx.TILE, value="value")
-    return tg.class_counts(tiles, nodata=0)
+    h = tg.class_counts(tiles, nodata=0)
+    return h.select(F.col("value").cast("int").alias("value"), "cells")
 
 
 @register("distinct_values_tiles", ORACLE["distinct_values"])

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from scripts.oracle_check import rows_of
+from scripts.type_check import spark_type
 from tests.conftest import SF_SMALL
 
 QUERIES = E.queries()
@@ -24,6 +25,9 @@ def test_query_matches_oracle(spark, duck, key):
     d_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(d_names)
     assert rows_of(df.columns, s_rows) == rows_of(d_names, d_rows)
+    s_types = {f.name: spark_type(f.dataType.simpleString()) for f in df.schema.fields}
+    rel = duck.sql(ORACLE[key])
+    assert s_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
 
 
 def test_entry_runs(spark):
