@@ -55,9 +55,10 @@ def colormap_le(v, breaks=NDVI_BREAKS, fallback: int = TRANSPARENT) -> Column:
 
 def colormap_exact(cells: DataFrame, value: str, colours: DataFrame, fallback: int = TRANSPARENT) -> DataFrame:
     """Exact code -> colour with a transparent fallback (H17); the colour
-    table is a code lookup (bounded by the code space) and is broadcast."""
+    table is broadcast after a size check."""
+    from gridsmith.plans.sizing import broadcast_if_small
     c = colours.select(F.col("code").alias(value), F.col("rgba").alias("_rgba"))
-    out = cells.join(F.broadcast(c), value, "left")
+    out = cells.join(broadcast_if_small(c), value, "left")
     return out.withColumn("rgba", F.coalesce("_rgba", F.lit(fallback).cast("bigint"))).drop("_rgba")
 
 

@@ -33,9 +33,10 @@ def desired_bands(spark) -> DataFrame:
 
 def band_whitelist(rows: DataFrame, lookup: DataFrame, name_col: str = "band_name") -> DataFrame:
     """Keep rows whose band name is wanted and attach its index.
-    The lookup is a fixed band list, so broadcasting it is bounded.
-    A wanted index of 0 is kept (null test, not truthiness)."""
-    return rows.join(F.broadcast(lookup), name_col, "inner").where(F.col("band_num").isNotNull())
+    The band list is broadcast after a size check.  A wanted index of 0 is
+    kept (null test, not truthiness)."""
+    from gridsmith.plans.sizing import broadcast_if_small
+    return rows.join(broadcast_if_small(lookup), name_col, "inner").where(F.col("band_num").isNotNull())
 
 
 def complete_band_sets(rows: DataFrame, key: str = "scene", size: int = 5) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsmith.plans.sizing import broadcast_if_bounded
+from gridsmith.plans.sizing import broadcast_if_small
 
 
 def drop_nodata(cells: DataFrame, value: str = "value", nodata=0) -> DataFrame:
@@ -37,16 +37,16 @@ def distinct_values(cells: DataFrame, value: str = "value") -> DataFrame:
 
 
 def class_whitelist(cells: DataFrame, allowed: DataFrame, value: str = "value", code: str = "code") -> DataFrame:
-    """Keep cells whose class is in ``allowed`` (B13); a lookup table is a
-    fixed code list, bounded by the code space of the cell type."""
-    return cells.join(F.broadcast(allowed.select(F.col(code).alias(value)).distinct()), value, "left_semi")
+    """Keep cells whose class is in ``allowed`` (B13); the code list is
+    broadcast after a size check."""
+    return cells.join(broadcast_if_small(allowed.select(F.col(code).alias(value)).distinct()), value, "left_semi")
 
 
 def label_lookup(counts: DataFrame, labels: DataFrame, value: str = "value") -> DataFrame:
     """Attach ``name`` (and the rest of the lookup) to codes (C6).  Missing
-    codes keep a NULL label.  The lookup is bounded by the code space."""
+    codes keep a NULL label.  The lookup is broadcast after a size check."""
     lk = labels.withColumnRenamed("code", value)
-    return counts.join(broadcast_if_bounded(lk, 65536), value, "left")
+    return counts.join(broadcast_if_small(lk), value, "left")
 
 
 def label_to_code(labels: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gridsmith.operators import polygon, zonal
 from gridsmith.plans.oracle import inside_cte, with_ctes
 from gridsmith.plans.registry import register
+from gridsmith.plans.sizing import broadcast_if_small
 from gridsmith.sources import fixtures as fx
 
 TARGET_CLASS = 24  # the class kept by the single-class mask
@@ -77,10 +78,10 @@ def q_label_to_code(spark, sf):
     """Counts per label name, each name mapped back to one code (last wins)."""
     h = zonal.class_histogram(_classes(spark, sf), "value", 0)
     labels = fx.crop_labels(spark)
-    named = h.join(F.broadcast(labels.select(F.col("code").alias("value"), "name")), "value")
+    named = h.join(broadcast_if_small(labels.select(F.col("code").alias("value"), "name")), "value")
     inverse = zonal.label_to_code(labels.join(named.select(F.col("value").alias("code")).distinct(), "code", "left_semi"))
     per_name = named.groupBy("name").agg(F.sum("cells").alias("cells"))
-    return per_name.join(F.broadcast(inverse), "name").select("name", "code", "cells")
+    return per_name.join(inverse, "name").select("name", "code", "cells")
 
 
 def crop_histogram(spark, sf):

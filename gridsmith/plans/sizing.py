@@ -16,3 +16,11 @@ def broadcast_if_bounded(df: DataFrame, row_bound: int | None) -> DataFrame:
     if row_bound is not None and row_bound <= BROADCAST_ROW_BOUND:
         return F.broadcast(df)
     return df
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast a lookup only after checking its size: counting at most
+    ``max_rows + 1`` rows proves the bound cheaply even for a huge input;
+    beyond it the join stays a shuffle join (or AQE's runtime choice)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
