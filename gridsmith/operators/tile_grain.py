@@ -123,3 +123,104 @@ def hillshade(tiles: DataFrame, n: int, azimuth: float = 99.0, altitude: float =
             yield pd.DataFrame({"col": pdf["col"].values, "row": pdf["row"].values, "hillshade": out})
 
     return gathered.mapInPandas(shade, "col long, row long, hillshade array<double>")
+
+
+def mask_polygon(tiles: DataFrame, edges: DataFrame, n: int, cells: str = "cells") -> DataFrame:
+    """Tile-grain polygon mask (C4 fast path): cells whose centre is outside
+    every polygon become NULL; tiles touching no polygon are dropped.
+
+    The polygon's row spans are grouped per *tile row* (bounded by n rows x
+    crossings per row) and broadcast after a size check; each tile meets only
+    the spans of its own tile row, so the tiles are never shuffled.  Inside
+    a task numpy applies the same comparisons as the cell path
+    (``lo <= gx + 0.5 < hi``)."""
+    from gridsmith.operators.polygon import row_spans
+    from gridsmith.plans.sizing import broadcast_if_small
+
+    spans = row_spans(edges)
+    by_row = (spans.groupBy(F.floor(F.col("gy") / n).alias("row"))
+              .agg(F.collect_list(F.struct("gy", "lo", "hi")).alias("spans")))
+    j = tiles.join(broadcast_if_small(by_row), "row", "inner")
+    keys = [c for c in tiles.columns if c != cells]
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            out_cells, keep = [], []
+            for col, row, arr, sp in zip(pdf["col"], pdf["row"], pdf[cells], pdf["spans"]):
+                cx = col * n + np.arange(n) + 0.5
+                m = np.zeros((n, n), dtype=bool)
+                for s in sp:
+                    m[int(s["gy"]) - row * n] |= (cx >= s["lo"]) & (cx < s["hi"])
+                if not m.any():
+                    keep.append(False)
+                    out_cells.append(None)
+                    continue
+                v = np.array(arr, dtype=object).reshape(n, n)
+                v[~m] = None
+                keep.append(True)
+                out_cells.append(v.reshape(-1).tolist())
+            res = pdf[keys].copy()
+            res[cells] = out_cells
+            yield res[np.array(keep, dtype=bool)]
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields
+                       if f.name in keys + [cells])
+    return j.select(*keys, cells, "spans").mapInPandas(apply, schema)
+
+
+def pyramid(tiles: DataFrame, n: int, zoom: int, to: int = 0, method: str = "bilinear",
+            cells: str = "cells") -> DataFrame:
+    """Tile-grain pyramid (W3 fast path): ``(zoom, col, row, cells)`` for all
+    levels.  Each tile is halved in numpy and sent to its parent tile as one
+    quadrant; the parent gathers its <= 4 quadrants (bounded group)."""
+    from gridsmith.session import cut_lineage
+    out_type = "array<double>"
+    lvl = tiles.select("col", "row", F.col(cells).cast(out_type).alias("cells"))
+    out = lvl.select(F.lit(zoom).alias("zoom"), "col", "row", "cells")
+    h = n // 2
+
+    def halve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            a = np.stack([_as_float(x) for x in pdf["cells"]]).reshape(-1, n, n)
+            # children of parent cell (py, px): (2py + dy, 2px + dx)
+            kids = [a[:, dy::2, dx::2] for dy in (0, 1) for dx in (0, 1)]  # parity order dy*2+dx
+            if method == "bilinear":
+                st = np.stack(kids)
+                with np.errstate(invalid="ignore"):
+                    cnt = (~np.isnan(st)).sum(axis=0)
+                    tot = np.nansum(st, axis=0)
+                    q = np.where(cnt > 0, tot / np.where(cnt > 0, cnt, 1), np.nan)
+            else:  # nearest: last present child in parity order
+                q = np.full(kids[0].shape, np.nan)
+                for k in kids:
+                    q = np.where(np.isnan(k), q, k)
+            yield pd.DataFrame({"pcol": (pdf["col"].values // 2), "prow": (pdf["row"].values // 2),
+                                "qx": (pdf["col"].values % 2), "qy": (pdf["row"].values % 2),
+                                "quad": [x.reshape(-1).tolist() for x in q]})
+
+    def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            res = []
+            for parts in pdf["parts"]:
+                t = np.full((n, n), np.nan)
+                for p in parts:
+                    qx, qy = int(p["qx"]), int(p["qy"])
+                    t[qy * h:(qy + 1) * h, qx * h:(qx + 1) * h] = _as_float(p["quad"]).reshape(h, h)
+                res.append([None if np.isnan(v) else float(v) for v in t.reshape(-1)])
+            yield pd.DataFrame({"col": pdf["col"].values, "row": pdf["row"].values, "cells": res})
+
+    for z in range(zoom - 1, to - 1, -1):
+        quads = lvl.mapInPandas(halve, "pcol long, prow long, qx long, qy long, quad array<double>")
+        grouped = (quads.groupBy(F.col("pcol").alias("col"), F.col("prow").alias("row"))
+                   .agg(F.collect_list(F.struct("qx", "qy", "quad")).alias("parts")))
+        lvl = grouped.mapInPandas(assemble, "col long, row long, cells array<double>")
+        if (zoom - to) > 3:
+            lvl = cut_lineage(lvl)
+        out = out.unionByName(lvl.select(F.lit(z).alias("zoom"), "col", "row", "cells"))
+    return out

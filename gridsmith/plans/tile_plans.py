@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from gridsmith.operators import tile_grain as tg
 from gridsmith.operators import tiles as tl
-from gridsmith.plans.focal_plans import ALTITUDE, AZIMUTH, CELL_SIZE, Z_FACTOR
+from gridsmith.operators import zonal
+from gridsmith.plans.focal_plans import ALTITUDE, AZIMUTH, CELL_SIZE, DEM_LEVELS, DEM_ZOOM, Z_FACTOR
 from gridsmith.plans.registry import ORACLE, r6, register
 from gridsmith.plans.imagery import MASKED, NDVI
-from gridsmith.plans.oracle import with_ctes
+from gridsmith.plans.oracle import inside_cte, with_ctes
 from gridsmith.sources import fixtures as fx
 
 
@@ -39,3 +40,29 @@ def q_ndvi_series_tiles(spark, sf):
     tiles = tl.cells_to_band_tiles(fx.landsat(spark, sf), fx.TILE, ["red", "nir", "qa"], extra=("instant",))
     s = tg.ndvi_series(tiles)
     return s.select("instant", r6("mean"), "n")
+
+
+@register("mask_polygon_tiles", with_ctes(
+    "select gx, gy, value from classes where (gx, gy) in (select gx, gy from inside)",
+    "classes", "aoi_edges", extra=[inside_cte("classes")]))
+def q_mask_polygon_tiles(spark, sf):
+    tiles = tl.cells_to_tiles(fx.classes(spark, sf), fx.TILE, value="value")
+    masked = tg.mask_polygon(tiles, fx.aoi_edges(spark), fx.TILE)
+    return tl.tiles_to_cells(masked, fx.TILE, value="value")
+
+
+@register("crop_histogram_tiles", ORACLE["crop_histogram"])
+def q_crop_histogram_tiles(spark, sf):
+    """The histogram notebook at tile grain: mask tiles, count classes in
+    numpy, label, keep crops."""
+    tiles = tl.cells_to_tiles(fx.classes(spark, sf), fx.TILE, value="value")
+    masked = tg.mask_polygon(tiles, fx.aoi_edges(spark), fx.TILE)
+    h = tg.class_counts(masked, nodata=0).select(F.col("value").cast("int").alias("value"), "cells")
+    return zonal.label_lookup(h, fx.crop_labels(spark)).where("is_crop").select("value", "name", "cells")
+
+
+@register("pyramid_bilinear_tiles", ORACLE["pyramid_bilinear"])
+def q_pyramid_bilinear_tiles(spark, sf):
+    p = tg.pyramid(fx.dem_tiles(spark, sf), fx.TILE, DEM_ZOOM, DEM_ZOOM - DEM_LEVELS, "bilinear")
+    cells = tl.tiles_to_cells(p, fx.TILE, value="value", extra=("zoom",))
+    return cells.select("zoom", "gx", "gy", r6("value"))
