@@ -12,6 +12,7 @@ from gridsmith.functions.grid import ntz, tile_of
 from gridsmith.operators import polygon, zonal
 from gridsmith.plans.oracle import inside_cte, with_ctes
 from gridsmith.plans.registry import r6, register
+from gridsmith.plans.sizing import broadcast_if_small
 from gridsmith.sources import fixtures as fx
 
 TARGET_CLASS = 24
@@ -190,10 +191,21 @@ def crop_series_raw(spark, sf):
     return zonal.mean_series(cells, "ndvi")
 
 
-def crop_masked_ndvi_series(spark, sf):
-    """Flagship: cloud mask -> NDVI -> join crop layer -> keep one class ->
-    polygon mean per instant -> drop missing -> noise cut."""
-    s = zonal.series_threshold(zonal.series_dropna(crop_series_raw(spark, sf)))
+def crop_masked_ndvi_series(spark, sf, target: int = TARGET_CLASS):
+    """Flagship: cloud mask -> NDVI -> keep pixels of one crop class inside
+    the polygons -> mean per instant -> drop missing -> noise cut.
+
+    Plan shape for scale: the static class layer is filtered first (one
+    class, polygon semi join against broadcast row spans), and the big
+    space-time layer is then semi-joined to that pixel set — broadcast when
+    a row count proves it small, a shuffle join otherwise — so the imagery is
+    scanned once and never shuffled for the join; the mean is a partial
+    aggregate per instant.  Equal to masking after the join: instants whose
+    mean is missing are dropped either way."""
+    crop = fx.classes(spark, sf).where(F.col("value") == target).select("gx", "gy")
+    crop = polygon.mask_polygon(crop, fx.aoi_edges(spark))
+    cells = ndvi_cells(spark, sf).join(broadcast_if_small(crop, 2_000_000), ["gx", "gy"], "left_semi")
+    s = zonal.series_threshold(zonal.series_dropna(zonal.mean_series(cells, "ndvi")))
     return s.select("instant", r6("mean"), "n")
 
 
