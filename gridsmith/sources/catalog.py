@@ -1,6 +1,6 @@
 """Layer catalog on Parquet: write, read, query, upsert, metadata.
 
-Layout: ``<root>/layer=<name>/zoom=<z>/part-*.parquet`` — partition pruning
+Layout: ``<root>/layer=<name>/zoom=<z>[/ym=<yyyymm>]/part-*.parquet`` — partition pruning
 does what the reference's (name, zoom) catalog lookup did, and rows are
 range-partitioned and sorted by a Z-order key so Parquet min/max statistics
 skip files for spatial queries.  ``layer_meta`` rows are kept in
@@ -31,7 +31,8 @@ def with_zkey(df: DataFrame, tile_size: int) -> DataFrame:
 
 
 def layer_meta(df: DataFrame, layer: str, zoom: int, tile_size: int, cell_type: str, nodata) -> DataFrame:
-    """Collect layer metadata in one aggregate."""
+    """Collect layer metadata in one aggregate (D10).  ``cells`` counts the
+    cells written; merged metadata (D11) adds the batches' counts."""
     has_t = "instant" in df.columns
     col, row = tile_of("gx", tile_size), tile_of("gy", tile_size)
     aggs = [F.min(col).alias("col_min"), F.max(col).alias("col_max"), F.min(row).alias("row_min"),
@@ -55,20 +56,33 @@ def merge_meta(a: DataFrame, b: DataFrame) -> DataFrame:
         F.sum("cells").alias("cells"))
 
 
+def time_bucket(instant) -> "F.Column":
+    """Month bucket ``yyyymm`` of an instant: the catalog's time partition."""
+    c = F.col(instant) if isinstance(instant, str) else instant
+    return (F.year(c) * 100 + F.month(c)).cast("int")
+
+
 def write_layer(df: DataFrame, root: str, layer: str, zoom: int, tile_size: int, cell_type: str = "int32",
-                nodata=0, partitions: int | None = None) -> None:
-    """Write one layer/zoom (A9): replaces only that partition (dynamic
-    partition overwrite), clustered by Z-order; metadata goes with it."""
+                nodata=0, partitions: int | None = None, meta: DataFrame | None = None) -> None:
+    """Write one layer/zoom (A9), clustered by Z-order.  Space-time layers
+    are also partitioned by month (``ym``), so dynamic partition overwrite
+    replaces only the months present in ``df`` — a monthly re-ingest
+    rewrites one month, not the layer.  Metadata goes with it."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = with_zkey(df, tile_size).withColumn("layer", F.lit(layer)).withColumn("zoom", F.lit(zoom))
+    parts = ["layer", "zoom"]
+    if "instant" in df.columns:
+        out = out.withColumn("ym", time_bucket("instant"))
+        parts.append("ym")
     # Range bounds over (zkey, gy, gx[, instant]): a hot tile holding a third
     # of all cells still spreads over many write tasks instead of one.
     order = ["zkey", "gy", "gx"] + (["instant"] if "instant" in df.columns else [])
     (out.repartitionByRange(n, *order).sortWithinPartitions(*order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("layer", "zoom").parquet(root))
-    meta = layer_meta(df, layer, zoom, tile_size, cell_type, nodata)
+        .partitionBy(*parts).parquet(root))
+    if meta is None:
+        meta = layer_meta(df, layer, zoom, tile_size, cell_type, nodata)
     (meta.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("layer", "zoom").parquet(root + "/_meta"))
 
@@ -83,12 +97,15 @@ def layer_exists(spark: SparkSession, root: str, asked: DataFrame) -> DataFrame:
     return asked.join(meta, ["layer", "zoom"], "left").select("layer", "zoom", F.coalesce("exists", F.lit(False)).alias("exists"))
 
 
-def read_layer(spark: SparkSession, root: str, layer: str, zoom: int) -> DataFrame:
+def read_layer(spark: SparkSession, root: str, layer: str, zoom: int, months: list[int] | None = None) -> DataFrame:
     """Layer scan by (name, zoom) (A1).  Layers differ in schema, so the
     scan opens the one partition directory (``basePath`` keeps the
-    partition columns) instead of inferring a schema across layers."""
+    partition columns) instead of inferring a schema across layers;
+    ``months`` prunes the month partitions of a space-time layer."""
     df = spark.read.option("basePath", root).parquet(f"{root}/layer={layer}/zoom={zoom}")
-    return df.drop("layer", "zoom", "zkey")
+    if months is not None and "ym" in df.columns:
+        df = df.where(F.col("ym").isin(months))
+    return df.drop("layer", "zoom", "zkey", "ym")
 
 
 def query_layer(spark: SparkSession, root: str, layer: str, zoom: int, tile_size: int, edges: DataFrame | None = None,
@@ -97,9 +114,13 @@ def query_layer(spark: SparkSession, root: str, layer: str, zoom: int, tile_size
     that intersect the polygon (no cell masking).  The polygon's bounding
     box becomes literal ``gx/gy BETWEEN`` predicates, which Parquet min/max
     statistics use to skip row groups; the exact tile test is a semi join."""
-    df = read_layer(spark, root, layer, zoom)
+    df = spark.read.option("basePath", root).parquet(f"{root}/layer={layer}/zoom={zoom}")
     if time_range is not None:
-        df = df.where(F.col("instant").between(ntz(time_range[0]), ntz(time_range[1])))
+        t0, t1 = time_range
+        if "ym" in df.columns:  # month partitions outside the range are never listed
+            df = df.where(F.col("ym").between(t0.year * 100 + t0.month, t1.year * 100 + t1.month))
+        df = df.where(F.col("instant").between(ntz(t0), ntz(t1)))
+    df = df.drop("layer", "zoom", "zkey", "ym")
     if edges is not None:
         b = polygon.polygon_bounds(edges).agg(F.min("xmin").alias("x0"), F.min("ymin").alias("y0"),
                                               F.max("xmax").alias("x1"), F.max("ymax").alias("y1")).first()
@@ -123,16 +144,21 @@ def upsert_layer(new: DataFrame, root: str, layer: str, zoom: int, tile_size: in
     the partition it was read from."""
     spark = new.sparkSession
     try:
-        meta = read_meta(spark, root).where((F.col("layer") == layer) & (F.col("zoom") == zoom))
-        exists = meta.limit(1).count() > 0
+        old_meta = read_meta(spark, root).where((F.col("layer") == layer) & (F.col("zoom") == zoom))
+        exists = old_meta.limit(1).count() > 0
     except Exception:  # noqa: BLE001 — no catalog yet
         exists = False
     if not exists:
         write_layer(new, root, layer, zoom, tile_size, cell_type, nodata)
         return
-    old = read_layer(spark, root, layer, zoom)
+    months = None
+    if "instant" in new.columns:
+        # The months this batch touches: a handful of values, not data.
+        months = [r[0] for r in new.select(time_bucket("instant")).distinct().collect()]
+    old = read_layer(spark, root, layer, zoom, months)
     vals = [c for c in new.columns if c not in keys]
     u = old.select(*keys, *vals, F.lit(0).alias("_batch")).unionByName(new.select(*keys, *vals, F.lit(1).alias("_batch")))
     merged = u.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("_batch")).alias("_v")).select(*keys, "_v.*")
     merged = cut_lineage(merged)
-    write_layer(merged, root, layer, zoom, tile_size, cell_type, nodata)
+    meta = merge_meta(cut_lineage(old_meta), layer_meta(new, layer, zoom, tile_size, cell_type, nodata))
+    write_layer(merged, root, layer, zoom, tile_size, cell_type, nodata, meta=meta.select(*META_COLS))

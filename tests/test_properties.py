@@ -165,3 +165,18 @@ def test_drop_columns_and_parallelize(spark):
     rows = [("SC1", 1, "s3://b/k", "w")]
     df = spark.createDataFrame(rows, "scene_id string, band int, uri string, window string").repartition(4)
     assert df.drop("window", "uri").columns == ["scene_id", "band"]
+
+
+def test_upsert_rewrites_only_touched_months(spark):
+    import glob
+    import os
+    root = shared_dir(spark, "test-catalog-months")
+    l = fx.landsat(spark, SF_SMALL)
+    keys = ["instant", "gx", "gy"]
+    cat.upsert_layer(l.where(F.year("instant") <= 1998), root, "landsat", 2, 8, keys)
+    before = {p: os.path.getmtime(p) for p in glob.glob(f"{root}/layer=landsat/zoom=2/ym=1995*/*.parquet")}
+    assert before
+    cat.upsert_layer(l.where(F.year("instant") == 1999), root, "landsat", 2, 8, keys)
+    after = {p: os.path.getmtime(p) for p in glob.glob(f"{root}/layer=landsat/zoom=2/ym=1995*/*.parquet")}
+    assert before == after
+    assert cat.read_layer(spark, root, "landsat", 2).count() == l.where(F.year("instant") <= 1999).count()
