@@ -96,7 +96,8 @@ def pyramid(cells: DataFrame, value: str, zoom: int, to: int = 0, method: str =
 
 
 def reproject_lonlat_to_mercator(cells: DataFrame, value: str, lon0: float, lat1: float, res_deg: float,
-                                 target_size_m: float, method: str = "nearest") -> DataFrame:
+                                 target_size_m: float, method: str = "nearest",
+                                 max_gx: int | None = None, max_gy: int | None = None) -> DataFrame:
     """Resample a lon/lat grid (pixel (gx,gy) centre at ``lon0 + (gx+.5) res``,
     ``lat1 - (gy+.5) res``) onto a web-mercator grid with ``target_size_m``
     pixels whose origin is the source's top-left corner (W5).
@@ -106,8 +107,12 @@ def reproject_lonlat_to_mercator(cells: DataFrame, value: str, lon0: float, lat1
     mapped back to source pixel space with column math, and the values are
     fetched with an equi-join (nearest) or a 4-corner join with weights
     renormalised over the present corners (bilinear)."""
-    # Target grid size from the source bounds: one aggregate row of metadata.
-    mx, my = cells.agg(F.max("gx"), F.max("gy")).first()
+    # Target grid size from the source bounds: given (e.g. from the layer's
+    # metadata row) or one aggregate over the source.
+    if max_gx is None or max_gy is None:
+        mx, my = cells.agg(F.max("gx"), F.max("gy")).first()
+    else:
+        mx, my = max_gx, max_gy
     if mx is None:
         return cells.sparkSession.createDataFrame([], f"tx bigint, ty bigint, {value} double")
     r = EARTH_RADIUS
@@ -144,7 +149,7 @@ def reproject_lonlat_to_mercator(cells: DataFrame, value: str, lon0: float, lat1
     return j.groupBy("tx", "ty").agg(F.try_divide(F.sum(F.col("w") * F.col("v")), F.sum("w")).alias(value))
 
 
-def tile_halo(tiles: DataFrame, n: int, halo: int = 1, cells: str = "cells") -> DataFrame:
+def tile_halo(tiles: DataFrame, n: int, halo: int = 1, cells: str = "cells", only_existing: bool = True) -> DataFrame:
     """Tile grain halo exchange (W2): every tile receives the ``halo``-wide
     border strips of its (up to 8) neighbours.  Each tile sends each strip
     only to the neighbour that needs it (``explode`` of <= 8 targets), and
@@ -164,5 +169,8 @@ def tile_halo(tiles: DataFrame, n: int, halo: int = 1, cells: str = "cells") ->
     # The receiver sees the strip as coming from direction (-dc, -dr).
     got = sent.select((F.col("col") + F.col("t.dc")).alias("col"), (F.col("row") + F.col("t.dr")).alias("row"),
                       (-F.col("t.dc")).alias("dcol"), (-F.col("t.dr")).alias("drow"), F.col("t.s").alias("strip"))
-    # Strips addressed to tiles that do not exist are dropped.
+    # Strips addressed to tiles that do not exist are dropped (callers that
+    # gather strips with their own tile anyway can skip this join).
+    if not only_existing:
+        return got
     return got.join(tiles.select("col", "row"), ["col", "row"], "left_semi")

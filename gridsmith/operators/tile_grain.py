@@ -82,7 +82,7 @@ def hillshade(tiles: DataFrame, n: int, azimuth: float = 99.0, altitude: float =
               cell_size: float = 1.0, cells: str = "cells") -> DataFrame:
     """Tile-grain hillshade ``(col, row, hillshade ARRAY<DOUBLE>)``; same rule
     as the cell path (missing neighbours take the centre value)."""
-    halo = tile_halo(tiles, n, 1, cells)
+    halo = tile_halo(tiles, n, 1, cells, only_existing=False)
     own = tiles.select("col", "row", F.lit(0).alias("dcol"), F.lit(0).alias("drow"), F.col(cells).alias("strip"))
     parts = own.unionByName(halo)
     k = z_factor / (8.0 * cell_size)
@@ -91,8 +91,10 @@ def hillshade(tiles: DataFrame, n: int, azimuth: float = 99.0, altitude: float =
 
     # Gather each tile with its (at most 8) halo strips into one row: a
     # bounded group (<= 9 parts), then numpy runs over whole Arrow batches.
-    gathered = parts.groupBy("col", "row").agg(
-        F.collect_list(F.struct("dcol", "drow", "strip")).alias("parts"))
+    gathered = (parts.groupBy("col", "row")
+                .agg(F.collect_list(F.struct("dcol", "drow", "strip")).alias("parts"),
+                     F.max((F.col("dcol") == 0) & (F.col("drow") == 0)).alias("has_own"))
+                .where("has_own").drop("has_own"))
 
     def shade(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
