@@ -36,8 +36,11 @@ def is_valid(bands=COLOUR_BANDS, nodata: int = 0) -> Column:
 
 
 def _pick(cells: DataFrame, key: Column, keys=("gx", "gy"), bands=PIXEL_BANDS) -> DataFrame:
+    """``max_by`` per pixel; the pixel values themselves break ties (two
+    sources with the same instant), so the result never depends on the
+    order rows arrive in."""
     px = F.struct(*[F.col(b) for b in bands])
-    out = cells.groupBy(*keys).agg(F.max_by(px, key).alias("px"))
+    out = cells.groupBy(*keys).agg(F.max_by(px, F.struct(key.alias("k"), px.alias("p"))).alias("px"))
     return out.select(*keys, *[F.col("px")[b].alias(b) for b in bands])
 
 
@@ -75,4 +78,4 @@ def tile_merge(cells: DataFrame, value: str, priority: str, keys=("gx", "gy")) -
     """Merge overlapping sources cell by cell: the non-NULL value of the
     highest-priority source wins (D12)."""
     return (cells.where(F.col(value).isNotNull()).groupBy(*keys)
-            .agg(F.max_by(F.col(value), F.col(priority)).alias(value)))
+            .agg(F.max_by(F.col(value), F.struct(F.col(priority), F.col(value))).alias(value)))

@@ -17,7 +17,9 @@ VALID = "(blue <> 0 or green <> 0 or red <> 0)"
 
 def _ranked(order: str, src: str = "masked") -> str:
     return f"""select gx, gy, blue, green, red, nir from (
-      select *, row_number() over (partition by gx, gy order by {order}) as rn from {src}) t where rn = 1"""
+      select *, row_number() over (partition by gx, gy order by {order},
+        blue desc nulls last, green desc nulls last, red desc nulls last, nir desc nulls last) as rn
+      from {src}) t where rn = 1"""
 
 
 def masked(spark, sf):
@@ -48,7 +50,7 @@ def q_collapse_time(spark, sf):
 
 @register("tile_merge", with_ctes(
     """select gx, gy, nir from (
-         select gx, gy, nir, row_number() over (partition by gx, gy order by instant desc) as rn
+         select gx, gy, nir, row_number() over (partition by gx, gy order by instant desc, nir desc) as rn
          from (select gx, gy, instant, case when qa >> 14 <> 3 then nir end as nir from landsat) s
          where nir is not null) t where rn = 1""", "landsat"))
 def q_tile_merge(spark, sf):
