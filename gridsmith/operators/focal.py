@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsmith.operators.geometry import EARTH_RADIUS, lonlat_to_mercator, mercator_to_lonlat
+from gridsmith.operators.geometry import EARTH_RADIUS, mercator_to_lonlat
 
 OFFSETS = [(dx, dy) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
 

@@ -8,7 +8,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from gridsmith.operators import focal
-from gridsmith.operators.geometry import footprint_edges
 from gridsmith.plans.focal_plans import DEM_LEVELS, DEM_ZOOM, _pyramid_sql
 from gridsmith.plans.ingest_plans import FOOTPRINTS
 from gridsmith.plans.oracle import inside_cte, with_ctes
@@ -141,7 +140,6 @@ def q_geojson_polygons(spark, sf):
     """Scene footprints written as GeoJSON FeatureCollections and parsed back
     into edge tables (A4)."""
     path = shared_dir(spark, "geojson")
-    e = footprint_edges(fx.scenes(spark, sf))
     # Ring = the 4 corners in edge order, closed (first point repeated).
     lon, lat = F.col("lon10") / F.lit(10.0), F.col("lat10") / F.lit(10.0)
     s = F.lit(2.0)
@@ -149,5 +147,4 @@ def q_geojson_polygons(spark, sf):
                    F.array(lon, lat))
     rings = fx.scenes(spark, sf).select(F.col("scene_id").alias("poly_id"), ring.alias("ring"))
     sc.write_geojson(rings, path)
-    del e
     return sc.read_geojson_polygons(spark, path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridsmith.functions.grid import ntz, window_extent
 from gridsmith.operators import ingest as ig
 from gridsmith.operators import polygon
-from gridsmith.operators.geometry import EARTH_RADIUS, footprint_edges, lonlat_to_mercator
+from gridsmith.operators.geometry import footprint_edges, lonlat_to_mercator
 from gridsmith.plans.oracle import with_ctes
 from gridsmith.plans.registry import r6, register
 from gridsmith.sources import fixtures as fx
