@@ -139,3 +139,21 @@ def q_force_cell_type(spark, sf):
 def q_polygon_bounds(spark, sf):
     from gridsmith.operators.geometry import footprint_edges
     return polygon.polygon_bounds(footprint_edges(fx.scenes(spark, sf)))
+
+
+NLCD_SQL = "nlcd_labels as (select code::integer as code, name from (values " + ", ".join(
+    "(%d, '%s')" % (c, n) for c, n in fx.NLCD_LABELS) + ") t(code, name))"
+
+
+@register("nlcd_histogram", with_ctes(
+    f"""select h.value, l.name, h.cells
+        from (select nlcd as value, count(*) as cells from classes
+              where nlcd <> {fx.NLCD_NODATA} and (gx, gy) in (select gx, gy from inside) group by nlcd) h
+        left join nlcd_labels l on l.code = h.value""",
+    "classes", "aoi_edges", extra=[inside_cte("classes"), NLCD_SQL]))
+def q_nlcd_histogram(spark, sf):
+    """Land-cover notebook: mask by the polygons, count classes (NoData -128
+    dropped, code 0 kept), attach the land-cover labels."""
+    masked = polygon.mask_polygon(_classes(spark, sf).select("gx", "gy", "nlcd"), fx.aoi_edges(spark))
+    h = zonal.class_histogram(masked, "nlcd", fx.NLCD_NODATA)
+    return zonal.label_lookup(h, fx.nlcd_labels(spark)).select("value", "name", "cells")

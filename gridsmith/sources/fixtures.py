@@ -128,6 +128,22 @@ LABEL_SCHEMA = T.StructType([T.StructField("code", T.IntegerType()), T.StructFie
                              T.StructField("is_crop", T.BooleanType()), T.StructField("rgba", T.LongType())])
 
 
+# Land-cover class labels (code -> name) as published with the
+# land-cover layer; NoData of that layer is -128 (code 0 is a label only).
+NLCD_LABELS = [
+    (0, "NoData"), (11, "Open Water"), (12, "Perennial Ice/Snow"), (21, "Developed, Open Space"),
+    (22, "Developed, Low Intensity"), (23, "Developed, Medium Intensity"), (24, "Developed High Intensity"),
+    (31, "Barren Land (Rock/Sand/Clay)"), (41, "Deciduous Forest"), (42, "Evergreen Forest "),
+    (43, "Mixed Forest"), (52, "Shrub/Scrub"), (71, "Grassland/Herbaceous"), (81, "Pasture/Hay"),
+    (82, "Cultivated Crops"), (90, "Woody Wetlands"), (95, "Emergent Herbaceous Wetlands"),
+]
+NLCD_NODATA = -128
+
+
+def nlcd_labels(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(NLCD_LABELS, "code int, name string")
+
+
 def aoi_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(AOI_EDGES, EDGE_SCHEMA)
 
