@@ -104,4 +104,12 @@ def tiles_intersecting(tiles: DataFrame, edges: DataFrame, tile_size: int) -> Da
             .select(F.floor(F.col("gy") / n).alias("row"),
                     F.explode(F.sequence(F.floor(lo_gx / n), F.floor(hi_gx / n))).alias("col"))
             .distinct())
-    return tiles.join(keys, ["col", "row"], "left_semi")
+    return tiles.join(broadcast_if_bounded(keys, _tile_key_bound(edges, n)), ["col", "row"], "left_semi")
+
+
+def _tile_key_bound(edges: DataFrame, n: int) -> int:
+    """Upper bound on tiles touched: tiles under each polygon's bounding box."""
+    b = polygon_bounds(edges).agg(
+        F.sum((F.floor(F.col("xmax") / n) - F.floor(F.col("xmin") / n) + 1)
+              * (F.floor(F.col("ymax") / n) - F.floor(F.col("ymin") / n) + 1)).alias("b")).first()
+    return int(b["b"] or 0)

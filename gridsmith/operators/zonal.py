@@ -49,10 +49,12 @@ def label_lookup(counts: DataFrame, labels: DataFrame, value: str = "value") ->
     return counts.join(broadcast_if_small(lk), value, "left")
 
 
-def label_to_code(labels: DataFrame) -> DataFrame:
+def label_to_code(labels: DataFrame, *extra_aggs) -> DataFrame:
     """Inverse lookup ``name -> code``; for a duplicated name the last (largest)
-    code wins, as when a dict is inverted in code order (C7)."""
-    return labels.where(F.col("name").isNotNull()).groupBy("name").agg(F.max("code").alias("code"))
+    code wins, as when a dict is inverted in code order (C7).  Extra
+    aggregates (e.g. summed counts) ride along in the same ``groupBy``."""
+    return (labels.where(F.col("name").isNotNull()).groupBy("name")
+            .agg(F.max("code").alias("code"), *extra_aggs))
 
 
 def top_classes(counts: DataFrame, k: int = 3) -> DataFrame:

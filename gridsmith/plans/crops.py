@@ -37,7 +37,9 @@ def q_class_histogram(spark, sf):
          select nlcd as value, count(*) as cells from classes where nlcd <> 0 group by nlcd) t
        group by value""", "classes"))
 def q_merge_counts(spark, sf):
-    c = _classes(spark, sf)
+    # One layer, two count maps: both branches read the same columns so the
+    # layer's exchange is computed once and reused.
+    c = _classes(spark, sf).select("gx", "gy", "value", "nlcd")
     return zonal.merge_counts(zonal.class_histogram(c, "value", 0), zonal.class_histogram(c, "nlcd", 0))
 
 
@@ -77,11 +79,9 @@ def q_label_lookup(spark, sf):
 def q_label_to_code(spark, sf):
     """Counts per label name, each name mapped back to one code (last wins)."""
     h = zonal.class_histogram(_classes(spark, sf), "value", 0)
-    labels = fx.crop_labels(spark)
-    named = h.join(broadcast_if_small(labels.select(F.col("code").alias("value"), "name")), "value")
-    inverse = zonal.label_to_code(labels.join(named.select(F.col("value").alias("code")).distinct(), "code", "left_semi"))
-    per_name = named.groupBy("name").agg(F.sum("cells").alias("cells"))
-    return per_name.join(inverse, "name").select("name", "code", "cells")
+    labels = fx.crop_labels(spark).select(F.col("code").alias("value"), "name")
+    named = h.join(broadcast_if_small(labels), "value").withColumnRenamed("value", "code")
+    return zonal.label_to_code(named, F.sum("cells").alias("cells")).select("name", "code", "cells")
 
 
 def crop_histogram(spark, sf):
