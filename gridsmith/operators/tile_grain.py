@@ -127,9 +127,10 @@ def hillshade(tiles: DataFrame, n: int, azimuth: float = 99.0, altitude: float =
     return gathered.mapInPandas(shade, "col long, row long, hillshade array<double>")
 
 
-def mask_polygon(tiles: DataFrame, edges: DataFrame, n: int, cells: str = "cells") -> DataFrame:
+def mask_polygon(tiles: DataFrame, edges: DataFrame, n: int, cells="cells") -> DataFrame:
     """Tile-grain polygon mask (C4 fast path): cells whose centre is outside
-    every polygon become NULL; tiles touching no polygon are dropped.
+    every polygon become NULL in every array column of ``cells`` (one name
+    or a list of band columns); tiles touching no polygon are dropped.
 
     The polygon's row spans are grouped per *tile row* (bounded by n rows x
     crossings per row) and broadcast after a size check; each tile meets only
@@ -139,37 +140,39 @@ def mask_polygon(tiles: DataFrame, edges: DataFrame, n: int, cells: str = "cells
     from gridsmith.operators.polygon import row_spans
     from gridsmith.plans.sizing import broadcast_if_small
 
+    arrays = [cells] if isinstance(cells, str) else list(cells)
     spans = row_spans(edges)
     by_row = (spans.groupBy(F.floor(F.col("gy") / n).alias("row"))
               .agg(F.collect_list(F.struct("gy", "lo", "hi")).alias("spans")))
     j = tiles.join(broadcast_if_small(by_row), "row", "inner")
-    keys = [c for c in tiles.columns if c != cells]
+    keys = [c for c in tiles.columns if c not in arrays]
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if pdf.empty:
                 continue
-            out_cells, keep = [], []
-            for col, row, arr, sp in zip(pdf["col"], pdf["row"], pdf[cells], pdf["spans"]):
+            keep = np.zeros(len(pdf), dtype=bool)
+            out = {a: [None] * len(pdf) for a in arrays}
+            for i, (col, row, sp) in enumerate(zip(pdf["col"], pdf["row"], pdf["spans"])):
                 cx = col * n + np.arange(n) + 0.5
                 m = np.zeros((n, n), dtype=bool)
                 for s in sp:
                     m[int(s["gy"]) - row * n] |= (cx >= s["lo"]) & (cx < s["hi"])
                 if not m.any():
-                    keep.append(False)
-                    out_cells.append(None)
                     continue
-                v = np.array(arr, dtype=object).reshape(n, n)
-                v[~m] = None
-                keep.append(True)
-                out_cells.append(v.reshape(-1).tolist())
+                keep[i] = True
+                flat = ~m.reshape(-1)
+                for a in arrays:
+                    v = np.array(pdf[a].iloc[i], dtype=object)
+                    v[flat] = None
+                    out[a][i] = v.tolist()
             res = pdf[keys].copy()
-            res[cells] = out_cells
-            yield res[np.array(keep, dtype=bool)]
+            for a in arrays:
+                res[a] = out[a]
+            yield res[keep]
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields
-                       if f.name in keys + [cells])
-    return j.select(*keys, cells, "spans").mapInPandas(apply, schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields)
+    return j.select(*tiles.columns, "spans").mapInPandas(apply, schema)
 
 
 def pyramid(tiles: DataFrame, n: int, zoom: int, to: int = 0, method: str = "bilinear",

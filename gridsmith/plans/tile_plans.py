@@ -66,3 +66,13 @@ def q_pyramid_bilinear_tiles(spark, sf):
     p = tg.pyramid(fx.dem_tiles(spark, sf), fx.TILE, DEM_ZOOM, DEM_ZOOM - DEM_LEVELS, "bilinear")
     cells = tl.tiles_to_cells(p, fx.TILE, value="value", extra=("zoom",))
     return cells.select("zoom", "gx", "gy", r6("value"))
+
+
+@register("mean_series_tiles", ORACLE["mean_series"])
+def q_mean_series_tiles(spark, sf):
+    """Polygon mean NDVI per instant entirely at tile grain: band tiles,
+    tile polygon mask, per-tile (sum, count) partials."""
+    tiles = tl.cells_to_band_tiles(fx.landsat(spark, sf), fx.TILE, ["red", "nir", "qa"], extra=("instant",))
+    masked = tg.mask_polygon(tiles, fx.aoi_edges(spark), fx.TILE, ["red", "nir", "qa"])
+    s = tg.ndvi_series(masked)
+    return s.select("instant", r6("mean"), "n")
