@@ -148,3 +148,23 @@ def q_geojson_polygons(spark, sf):
     rings = fx.scenes(spark, sf).select(F.col("scene_id").alias("poly_id"), ring.alias("ring"))
     sc.write_geojson(rings, path)
     return sc.read_geojson_polygons(spark, path)
+
+
+@register("stream_ingest", with_ctes("select * from landsat", "landsat"))
+def q_stream_ingest(spark, sf):
+    """Incremental ingest as a stream: yearly drops of imagery cells arrive
+    as files, each micro-batch is upserted into the catalog layer through
+    ``foreachBatch`` (exactly-once batch boundaries via the checkpoint)."""
+    from gridsmith.streaming.ingest import upsert_stream
+    src = shared_dir(spark, "stream-src")
+    l = fx.landsat(spark, sf)
+    l.withColumn("drop", F.year("instant")).write.partitionBy("drop").parquet(src)
+    from pyspark.sql.types import IntegerType, StructType
+    schema = StructType(list(l.schema.fields)).add("drop", IntegerType())
+    stream = (spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", 8).parquet(src).drop("drop"))
+    root = shared_dir(spark, "stream-catalog")
+    q = upsert_stream(stream, root, "landsat", ZOOM, fx.TILE, ["instant", "gx", "gy"],
+                      shared_dir(spark, "stream-ckpt"), "uint16", 0)
+    q.awaitTermination()
+    return cat.read_layer(spark, root, "landsat", ZOOM).select(*LANDSAT_COLS)
