@@ -49,16 +49,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets one only when
-    unset (local runs).  Each call returns a new unique sub-folder so runs
-    never clean up or overwrite each other.
+    Reads ``spark.checkpoint.dir`` from the session (or a checkpoint dir set
+    on the context); only when neither exists (local runs) do we create one
+    and register it with ``setCheckpointDir`` — ``spark.checkpoint.dir`` is a
+    core setting and cannot be changed at runtime.  Each call returns a new
+    unique sub-folder so runs never clean up or overwrite each other.
     """
+    sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and sc.getCheckpointDir():
+        base = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
     if not base:
         base = tempfile.mkdtemp(prefix="gridsmith-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
 
 

@@ -180,3 +180,27 @@ def test_upsert_rewrites_only_touched_months(spark):
     after = {p: os.path.getmtime(p) for p in glob.glob(f"{root}/layer=landsat/zoom=2/ym=1995*/*.parquet")}
     assert before == after
     assert cat.read_layer(spark, root, "landsat", 2).count() == l.where(F.year("instant") <= 1999).count()
+
+
+def test_shared_dir_when_checkpoint_dir_unset(spark):
+    """With no spark.checkpoint.dir configured, a local folder is created and
+    registered with the context (the setting itself is not runtime-mutable)."""
+    import types
+
+    class _Conf:
+        def get(self, key, default=None):
+            return None if key == "spark.checkpoint.dir" else spark.conf.get(key, default)
+
+    class _Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    fake = types.SimpleNamespace(conf=_Conf(), sparkContext=_Ctx())
+    p = shared_dir(fake, "t")
+    assert fake.sparkContext.dir is not None and p.startswith(fake.sparkContext.dir.rstrip("/") + "/t/")
