@@ -68,8 +68,6 @@ def write_layer(df: DataFrame, root: str, layer: str, zoom: int, tile_size: int,
     are also partitioned by month (``ym``), so dynamic partition overwrite
     replaces only the months present in ``df`` — a monthly re-ingest
     rewrites one month, not the layer.  Metadata goes with it."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = with_zkey(df, tile_size).withColumn("layer", F.lit(layer)).withColumn("zoom", F.lit(zoom))
     parts = ["layer", "zoom"]
     if "instant" in df.columns:
@@ -78,7 +76,10 @@ def write_layer(df: DataFrame, root: str, layer: str, zoom: int, tile_size: int,
     # Range bounds over (zkey, gy, gx[, instant]): a hot tile holding a third
     # of all cells still spreads over many write tasks instead of one.
     order = ["zkey", "gy", "gx"] + (["instant"] if "instant" in df.columns else [])
-    (out.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count AQE sizes the range partitions (advisory
+    # ~128 MB), so file sizes follow the data instead of a fixed number.
+    ranged = out.repartitionByRange(partitions, *order) if partitions else out.repartitionByRange(*order)
+    (ranged.sortWithinPartitions(*order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).parquet(root))
     if meta is None:
