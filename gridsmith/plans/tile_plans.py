@@ -76,3 +76,12 @@ def q_mean_series_tiles(spark, sf):
     masked = tg.mask_polygon(tiles, fx.aoi_edges(spark), fx.TILE, ["red", "nir", "qa"])
     s = tg.ndvi_series(masked)
     return s.select("instant", r6("mean"), "n")
+
+
+@register("pyramid_nearest_tiles", ORACLE["pyramid_nearest"])
+def q_pyramid_nearest_tiles(spark, sf):
+    """Class-layer pyramid at tile grain: nearest rule, NoData children count."""
+    tiles = tl.cells_to_tiles(fx.classes(spark, sf), fx.TILE, value="value")
+    p = tg.pyramid(tiles, fx.TILE, 2, 0, "nearest")
+    cells = tl.tiles_to_cells(p, fx.TILE, value="value", extra=("zoom",))
+    return cells.select("zoom", "gx", "gy", F.col("value").cast("int").alias("value"))

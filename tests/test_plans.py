@@ -29,3 +29,14 @@ def test_polygon_spans_broadcast(spark):
 def test_mosaic_single_aggregate_no_window(spark):
     p = _plan(E.queries()["mosaic_bright"](spark, SF_SMALL))
     assert "Window" not in p and "max_by" in p
+
+
+def test_tile_mask_broadcasts_spans_and_runs_numpy(spark):
+    p = _plan(E.queries()["mask_polygon_tiles"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in p and "MapInPandas" in p
+
+
+def test_flagship_semi_joins_imagery_to_broadcast_pixels(spark):
+    p = _plan(E.entry(spark))
+    assert "BroadcastHashJoin LeftSemi" in p
+    assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in p
