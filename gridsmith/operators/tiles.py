@@ -56,3 +56,18 @@ def cells_to_band_tiles(cells: DataFrame, n: int, bands: list[str], extra=()) ->
         return F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), lambda i: F.col("m")[i][band]).alias(band)
 
     return tiles.select(*extra, "col", "row", *[dense(b) for b in bands])
+
+
+def band_tiles_to_cells(tiles: DataFrame, n: int, bands: list[str], keys=("col", "row"), extra=()) -> DataFrame:
+    """Multiband tiles -> cells ``(extra..., gx, gy, bands...)``: the band
+    arrays are zipped and exploded together; positions where every band is
+    NULL (NoData) stay out."""
+    z = tiles.select(*keys, *extra, F.posexplode(F.arrays_zip(*[F.col(b) for b in bands])).alias("pos", "z"))
+    present = None
+    for b in bands:
+        c = F.col(f"z.{b}").isNotNull()
+        present = c if present is None else (present | c)
+    return (z.where(present)
+            .select(*extra, (F.col(keys[0]) * n + F.col("pos") % n).alias("gx"),
+                    (F.col(keys[1]) * n + F.floor(F.col("pos") / n)).alias("gy"),
+                    *[F.col(f"z.{b}").alias(b) for b in bands]))

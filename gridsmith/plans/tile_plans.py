@@ -85,3 +85,17 @@ def q_pyramid_nearest_tiles(spark, sf):
     p = tg.pyramid(tiles, fx.TILE, 2, 0, "nearest")
     cells = tl.tiles_to_cells(p, fx.TILE, value="value", extra=("zoom",))
     return cells.select("zoom", "gx", "gy", F.col("value").cast("int").alias("value"))
+
+
+@register("mosaic_bright_tiles", ORACLE["mosaic_bright"])
+def q_mosaic_bright_tiles(spark, sf):
+    """Mosaic of a tile-grain imagery layer: the per-pixel choice is a
+    partial ``max_by`` (never a per-tile stack of all dates), the result is
+    gathered back into band tiles (bounded groups) and read out as cells."""
+    from gridsmith.functions.indices import cloud_masked_bands
+    from gridsmith.operators import mosaic as mo
+    bands = ["blue", "green", "red", "nir"]
+    stored = tl.cells_to_band_tiles(fx.landsat(spark, sf), fx.TILE, bands + ["qa"], extra=("instant",))
+    cells = tl.band_tiles_to_cells(stored, fx.TILE, bands + ["qa"], extra=("instant",))
+    composite = tl.cells_to_band_tiles(mo.mosaic(cloud_masked_bands(cells), "bright"), fx.TILE, bands)
+    return tl.band_tiles_to_cells(composite, fx.TILE, bands)
