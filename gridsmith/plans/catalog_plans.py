@@ -11,13 +11,15 @@ from gridsmith.operators import focal
 from gridsmith.plans.focal_plans import DEM_LEVELS, DEM_ZOOM, _pyramid_sql
 from gridsmith.plans.ingest_plans import FOOTPRINTS
 from gridsmith.plans.oracle import inside_cte, with_ctes
-from gridsmith.plans.registry import r6, register
+from gridsmith.plans.grid import _dense_sql
+from gridsmith.plans.registry import ORACLE, r6, register
 from gridsmith.session import shared_dir
 from gridsmith.sources import catalog as cat
 from gridsmith.sources import fixtures as fx
 from gridsmith.sources import scenes as sc
 
 ZOOM = 2
+_dense_dem_sql = _dense_sql("dem", "elev", 8)
 LANDSAT_COLS = ["instant", "gx", "gy", "blue", "green", "red", "nir", "qa"]
 Q_FROM, Q_TO = dt.datetime(1997, 1, 1), dt.datetime(1999, 12, 31)
 Q_POLY = 2
@@ -168,3 +170,24 @@ def q_stream_ingest(spark, sf):
                       shared_dir(spark, "stream-ckpt"), "uint16", 0)
     q.awaitTermination()
     return cat.read_layer(spark, root, "landsat", ZOOM).select(*LANDSAT_COLS)
+
+
+@register("tile_layer_write_read", ORACLE["cells_to_tiles"])
+def q_tile_layer_write_read(spark, sf):
+    """The storage form: a tile-grain layer written Z-ordered and read back."""
+    root = shared_dir(spark, "catalog")
+    cat.write_layer(fx.dem_tiles(spark, sf), root, "dem", 5, fx.TILE, "int32", None)
+    return cat.read_layer(spark, root, "dem", 5).select("col", "row", "cells")
+
+
+@register("tile_layer_query", with_ctes(
+    f"""select t.* from ({_dense_dem_sql}) t
+        where (t.col, t.row) in (select distinct gx // 8, gy // 8 from inside where poly_id = {Q_POLY})""",
+    "dem", "aoi_edges", extra=[inside_cte(GRID32)]))
+def q_tile_layer_query(spark, sf):
+    """Whole tiles of a tile-grain layer that intersect a polygon: key-range
+    literals reach the Parquet scan, the exact test is a bounded semi join."""
+    root = shared_dir(spark, "catalog")
+    cat.write_layer(fx.dem_tiles(spark, sf), root, "dem", 5, fx.TILE, "int32", None)
+    edges = fx.aoi_edges(spark).where(F.col("poly_id") == Q_POLY)
+    return cat.query_layer(spark, root, "dem", 5, fx.TILE, edges).select("col", "row", "cells")

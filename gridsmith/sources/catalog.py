@@ -20,9 +20,17 @@ META_COLS = ["layer", "zoom", "tile_size", "cell_type", "nodata", "col_min", "co
              "instant_min", "instant_max", "cells"]
 
 
+def _tile_keys(df: DataFrame, tile_size: int):
+    """(col, row) of each row: from the pixel key at cell grain, as stored
+    at tile grain (``col``/``row`` + an array of cells)."""
+    if "gx" in df.columns:
+        return tile_of("gx", tile_size), tile_of("gy", tile_size)
+    return F.col("col"), F.col("row")
+
+
 def with_zkey(df: DataFrame, tile_size: int) -> DataFrame:
     """Z-order key of the tile (3-D with days for space-time layers)."""
-    col, row = tile_of("gx", tile_size), tile_of("gy", tile_size)
+    col, row = _tile_keys(df, tile_size)
     if "instant" in df.columns:
         z = morton3(col, row, F.greatest(days_since_epoch("instant"), F.lit(0)))
     else:
@@ -32,9 +40,10 @@ def with_zkey(df: DataFrame, tile_size: int) -> DataFrame:
 
 def layer_meta(df: DataFrame, layer: str, zoom: int, tile_size: int, cell_type: str, nodata) -> DataFrame:
     """Collect layer metadata in one aggregate (D10).  ``cells`` counts the
-    cells written; merged metadata (D11) adds the batches' counts."""
+    rows written (cells, or tiles for a tile-grain layer); merged metadata
+    (D11) adds the batches' counts."""
     has_t = "instant" in df.columns
-    col, row = tile_of("gx", tile_size), tile_of("gy", tile_size)
+    col, row = _tile_keys(df, tile_size)
     aggs = [F.min(col).alias("col_min"), F.max(col).alias("col_max"), F.min(row).alias("row_min"),
             F.max(row).alias("row_max"),
             (F.min("instant") if has_t else F.lit(None).cast("timestamp_ntz")).alias("instant_min"),
@@ -75,7 +84,8 @@ def write_layer(df: DataFrame, root: str, layer: str, zoom: int, tile_size: int,
         parts.append("ym")
     # Range bounds over (zkey, gy, gx[, instant]): a hot tile holding a third
     # of all cells still spreads over many write tasks instead of one.
-    order = ["zkey", "gy", "gx"] + (["instant"] if "instant" in df.columns else [])
+    order = (["zkey", "gy", "gx"] if "gx" in df.columns else ["zkey", "row", "col"]) + \
+        (["instant"] if "instant" in df.columns else [])
     # Without an explicit count AQE sizes the range partitions (advisory
     # ~128 MB), so file sizes follow the data instead of a fixed number.
     ranged = out.repartitionByRange(partitions, *order) if partitions else out.repartitionByRange(*order)
@@ -128,11 +138,14 @@ def query_layer(spark: SparkSession, root: str, layer: str, zoom: int, tile_size
         if b["x0"] is None:
             return df.limit(0)
         n = tile_size
-        gx0, gy0 = int(b["x0"] // n) * n, int(b["y0"] // n) * n
-        gx1, gy1 = (int(b["x1"] // n) + 1) * n - 1, (int(b["y1"] // n) + 1) * n - 1
-        df = df.where(F.col("gx").between(gx0, gx1) & F.col("gy").between(gy0, gy1))
-        keyed = df.withColumn("col", tile_of("gx", n)).withColumn("row", tile_of("gy", n))
-        df = polygon.tiles_intersecting(keyed, edges, n).drop("col", "row")
+        c0, r0, c1, r1 = int(b["x0"] // n), int(b["y0"] // n), int(b["x1"] // n), int(b["y1"] // n)
+        if "gx" in df.columns:  # cell grain: pixel bbox literals, then the exact tile test
+            df = df.where(F.col("gx").between(c0 * n, (c1 + 1) * n - 1) & F.col("gy").between(r0 * n, (r1 + 1) * n - 1))
+            keyed = df.withColumn("col", tile_of("gx", n)).withColumn("row", tile_of("gy", n))
+            df = polygon.tiles_intersecting(keyed, edges, n).drop("col", "row")
+        else:  # tile grain: key bbox literals
+            df = df.where(F.col("col").between(c0, c1) & F.col("row").between(r0, r1))
+            df = polygon.tiles_intersecting(df, edges, n)
     return df
 
 
