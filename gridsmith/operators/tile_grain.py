@@ -175,57 +175,72 @@ def mask_polygon(tiles: DataFrame, edges: DataFrame, n: int, cells="cells") -> D
     return j.select(*tiles.columns, "spans").mapInPandas(apply, schema)
 
 
+def _halve(a: np.ndarray, method: str) -> np.ndarray:
+    """One resampling step on a 2-D array (NaN = NoData/absent)."""
+    kids = [a[dy::2, dx::2] for dy in (0, 1) for dx in (0, 1)]  # parity order dy*2 + dx
+    if method == "bilinear":  # mean of the present children
+        st = np.stack(kids)
+        cnt = (~np.isnan(st)).sum(axis=0)
+        tot = np.nansum(st, axis=0)
+        return np.where(cnt > 0, tot / np.where(cnt > 0, cnt, 1), np.nan)
+    q = np.full(kids[0].shape, np.nan)  # nearest: last present child in parity order
+    for k in kids:
+        q = np.where(np.isnan(k), q, k)
+    return q
+
+
 def pyramid(tiles: DataFrame, n: int, zoom: int, to: int = 0, method: str = "bilinear",
-            cells: str = "cells") -> DataFrame:
+            cells: str = "cells", levels_per_shuffle: int = 2) -> DataFrame:
     """Tile-grain pyramid (W3 fast path): ``(zoom, col, row, cells)`` for all
-    levels.  Each tile is halved in numpy and sent to its parent tile as one
-    quadrant; the parent gathers its <= 4 quadrants (bounded group)."""
+    levels ``zoom..to``.
+
+    Several levels per shuffle: tiles are grouped by their ancestor
+    ``levels_per_shuffle`` levels up (a bounded group of at most
+    4^levels tiles), the group is assembled into one array in numpy and
+    halved level by level, emitting every intermediate level.  A 13-level
+    pyramid therefore takes 7 shuffles instead of 13; each pass is
+    checkpointed when more than one is needed, so the plan stays flat and a
+    lost executor recomputes one pass."""
     from gridsmith.session import cut_lineage
-    out_type = "array<double>"
-    lvl = tiles.select("col", "row", F.col(cells).cast(out_type).alias("cells"))
+    lvl = tiles.select("col", "row", F.col(cells).cast("array<double>").alias("cells"))
     out = lvl.select(F.lit(zoom).alias("zoom"), "col", "row", "cells")
-    h = n // 2
-
-    def halve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            a = np.stack([_as_float(x) for x in pdf["cells"]]).reshape(-1, n, n)
-            # children of parent cell (py, px): (2py + dy, 2px + dx)
-            kids = [a[:, dy::2, dx::2] for dy in (0, 1) for dx in (0, 1)]  # parity order dy*2+dx
-            if method == "bilinear":
-                st = np.stack(kids)
-                with np.errstate(invalid="ignore"):
-                    cnt = (~np.isnan(st)).sum(axis=0)
-                    tot = np.nansum(st, axis=0)
-                    q = np.where(cnt > 0, tot / np.where(cnt > 0, cnt, 1), np.nan)
-            else:  # nearest: last present child in parity order
-                q = np.full(kids[0].shape, np.nan)
-                for k in kids:
-                    q = np.where(np.isnan(k), q, k)
-            yield pd.DataFrame({"pcol": (pdf["col"].values // 2), "prow": (pdf["row"].values // 2),
-                                "qx": (pdf["col"].values % 2), "qy": (pdf["row"].values % 2),
-                                "quad": [x.reshape(-1).tolist() for x in q]})
-
-    def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            res = []
-            for parts in pdf["parts"]:
-                t = np.full((n, n), np.nan)
-                for p in parts:
-                    qx, qy = int(p["qx"]), int(p["qy"])
-                    t[qy * h:(qy + 1) * h, qx * h:(qx + 1) * h] = _as_float(p["quad"]).reshape(h, h)
-                res.append([None if np.isnan(v) else float(v) for v in t.reshape(-1)])
-            yield pd.DataFrame({"col": pdf["col"].values, "row": pdf["row"].values, "cells": res})
-
-    for z in range(zoom - 1, to - 1, -1):
-        quads = lvl.mapInPandas(halve, "pcol long, prow long, qx long, qy long, quad array<double>")
-        grouped = (quads.groupBy(F.col("pcol").alias("col"), F.col("prow").alias("row"))
-                   .agg(F.collect_list(F.struct("qx", "qy", "quad")).alias("parts")))
-        lvl = grouped.mapInPandas(assemble, "col long, row long, cells array<double>")
-        if (zoom - to) > 3:
-            lvl = cut_lineage(lvl)
-        out = out.unionByName(lvl.select(F.lit(z).alias("zoom"), "col", "row", "cells"))
+    passes = -(-(zoom - to) // max(1, levels_per_shuffle))
+
+    def make(levels: int, top: int):
+        side = 2 ** levels
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                rows = []
+                for acol, arow, parts in zip(pdf["acol"], pdf["arow"], pdf["parts"]):
+                    a = np.full((side * n, side * n), np.nan)
+                    for p in parts:
+                        ox, oy = (int(p["col"]) - acol * side) * n, (int(p["row"]) - arow * side) * n
+                        a[oy:oy + n, ox:ox + n] = _as_float(p["cells"]).reshape(n, n)
+                    for k in range(1, levels + 1):
+                        a = _halve(a, method)
+                        per = side // (2 ** k)
+                        for ty in range(per):
+                            for tx in range(per):
+                                sub = a[ty * n:(ty + 1) * n, tx * n:(tx + 1) * n]
+                                if np.isnan(sub).all():
+                                    continue
+                                rows.append((top - k, acol * per + tx, arow * per + ty,
+                                             [None if np.isnan(v) else float(v) for v in sub.reshape(-1)]))
+                if rows:
+                    yield pd.DataFrame(rows, columns=["zoom", "col", "row", "cells"])
+
+        return run
+
+    z = zoom
+    while z > to:
+        levels = min(levels_per_shuffle, z - to)
+        grouped = (lvl.groupBy(F.shiftright("col", levels).alias("acol"), F.shiftright("row", levels).alias("arow"))
+                   .agg(F.collect_list(F.struct("col", "row", "cells")).alias("parts")))
+        emitted = grouped.mapInPandas(make(levels, z), "zoom int, col long, row long, cells array<double>")
+        if passes > 1:
+            emitted = cut_lineage(emitted)
+        out = out.unionByName(emitted)
+        z -= levels
+        lvl = emitted.where(F.col("zoom") == z).select("col", "row", "cells")
     return out

@@ -204,3 +204,14 @@ def test_shared_dir_when_checkpoint_dir_unset(spark):
     fake = types.SimpleNamespace(conf=_Conf(), sparkContext=_Ctx())
     p = shared_dir(fake, "t")
     assert fake.sparkContext.dir is not None and p.startswith(fake.sparkContext.dir.rstrip("/") + "/t/")
+
+
+def test_tile_pyramid_levels_per_shuffle_agree(spark):
+    from gridsmith.operators import tile_grain as tg
+    t = fx.dem_tiles(spark, SF_SMALL)
+    res = {}
+    for lps in (1, 2, 3):
+        p = tg.pyramid(t, 8, 7, 2, "bilinear", levels_per_shuffle=lps)
+        res[lps] = sorted((r.zoom, r.col, r.row, tuple(round(v, 9) if v is not None else None for v in r.cells))
+                          for r in p.collect())
+    assert res[1] == res[2] == res[3]
