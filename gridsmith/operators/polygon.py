@@ -46,6 +46,16 @@ def _span_bound(edges: DataFrame) -> int:
     return int(r["b"] or 0)
 
 
+def pixel_bound(edges: DataFrame) -> int:
+    """Upper bound on the pixels inside the polygons: the pixels under each
+    polygon's bounding box.  A spatial layer (one row per pixel) masked by
+    the polygons has at most this many rows — a bound that costs one tiny
+    aggregate over the edges, never a pass over the data."""
+    b = polygon_bounds(edges).agg(
+        F.sum((F.ceil("xmax") - F.floor("xmin") + 1) * (F.ceil("ymax") - F.floor("ymin") + 1)).alias("b")).first()
+    return int(b["b"] or 0)
+
+
 def _spans_for_join(edges: DataFrame) -> DataFrame:
     spans = row_spans(edges)
     return broadcast_if_bounded(spans, _span_bound(edges))

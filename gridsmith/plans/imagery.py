@@ -12,7 +12,7 @@ from gridsmith.functions.grid import ntz, tile_of
 from gridsmith.operators import polygon, zonal
 from gridsmith.plans.oracle import inside_cte, with_ctes
 from gridsmith.plans.registry import r6, register
-from gridsmith.plans.sizing import broadcast_if_small
+from gridsmith.plans.sizing import broadcast_if_bounded
 from gridsmith.sources import fixtures as fx
 
 TARGET_CLASS = 24
@@ -198,13 +198,17 @@ def crop_masked_ndvi_series(spark, sf, target: int = TARGET_CLASS):
     Plan shape for scale: the static class layer is filtered first (one
     class, polygon semi join against broadcast row spans), and the big
     space-time layer is then semi-joined to that pixel set — broadcast when
-    a row count proves it small, a shuffle join otherwise — so the imagery is
+    the polygons' pixel bound proves it small, a shuffle join otherwise — so the imagery is
     scanned once and never shuffled for the join; the mean is a partial
     aggregate per instant.  Equal to masking after the join: instants whose
     mean is missing are dropped either way."""
+    edges = fx.aoi_edges(spark)
     crop = fx.classes(spark, sf).where(F.col("value") == target).select("gx", "gy")
-    crop = polygon.mask_polygon(crop, fx.aoi_edges(spark))
-    cells = ndvi_cells(spark, sf).join(broadcast_if_small(crop, 2_000_000), ["gx", "gy"], "left_semi")
+    crop = polygon.mask_polygon(crop, edges)
+    # The class layer has one row per pixel, so the masked pixel set is
+    # bounded by the polygons' bounding-box area: broadcast on that proof,
+    # without a counting pass over the layer; beyond it, a shuffle join.
+    cells = ndvi_cells(spark, sf).join(broadcast_if_bounded(crop, polygon.pixel_bound(edges)), ["gx", "gy"], "left_semi")
     s = zonal.series_threshold(zonal.series_dropna(zonal.mean_series(cells, "ndvi")))
     return s.select("instant", r6("mean"), "n")
 
