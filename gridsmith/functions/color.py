@@ -99,12 +99,13 @@ def hsv_to_rgb_cols(h, s, v) -> dict[str, Column]:
     return {"r": pick(v, q, p, p, t, v), "g": pick(t, v, v, q, p, p), "b": pick(p, p, t, v, v, q)}
 
 
-def hsv_to_rgb_df(df: DataFrame, h: str, s: str, v: str, out=("r", "g", "b")) -> DataFrame:
+def hsv_to_rgb_df(df: DataFrame, h: str, s: str, v: str, out=("r", "g", "b"), drop=()) -> DataFrame:
     """Staged HSV -> RGB: sextant, fraction and p/q/t become columns first,
     so wide colour chains stay small expression trees (Catalyst keeps a
-    projection separate when its non-trivial outputs are used many times)."""
-    t = df.withColumn("_i", F.least(F.floor(F.col(h) * 6), F.lit(5)))
-    t = t.withColumn("_f", F.col(h) * 6 - F.col("_i"))
+    projection separate when its non-trivial outputs are used many times).
+    ``drop`` names extra helper columns to remove in the final projection."""
+    i6 = F.least(F.floor(F.col(h) * 6), F.lit(5))
+    t = df.withColumns({"_i": i6, "_f": F.col(h) * 6 - i6})
     one = F.lit(1.0)
     t = t.withColumns({"_p": F.col(v) * (one - F.col(s)), "_q": F.col(v) * (one - F.col(s) * F.col("_f")),
                        "_t": F.col(v) * (one - F.col(s) * (one - F.col("_f")))})
@@ -116,25 +117,23 @@ def hsv_to_rgb_df(df: DataFrame, h: str, s: str, v: str, out=("r", "g", "b")) ->
             e = e.when(i == k, F.col(x))
         return e
 
-    t = t.withColumns({out[0]: pick(v, "_q", "_p", "_p", "_t", v), out[1]: pick("_t", v, v, "_q", "_p", "_p"),
-                       out[2]: pick("_p", "_p", "_t", v, v, "_q")})
-    return t.drop("_i", "_f", "_p", "_q", "_t")
+    gone = {"_i", "_f", "_p", "_q", "_t", *out, *drop}
+    keep = [c for c in df.columns if c not in gone]
+    return t.select(*keep, pick(v, "_q", "_p", "_p", "_t", v).alias(out[0]),
+                    pick("_t", v, v, "_q", "_p", "_p").alias(out[1]), pick("_p", "_p", "_t", v, v, "_q").alias(out[2]))
 
 
 def saturation_df(df: DataFrame, src, p: float, out) -> DataFrame:
     """Staged form of :func:`saturation` (same arithmetic)."""
     R, G, B = (F.col(c) for c in src)
-    t = df.withColumns({"_mx": F.greatest(R, G, B), "_mn": F.least(R, G, B)})
-    mx, mn = F.col("_mx"), F.col("_mn")
-    t = t.withColumn("_d", F.when(mn == mx, F.lit(1.0)).otherwise(mx - mn))
-    d = F.col("_d")
+    gx, gn = F.greatest(R, G, B), F.least(R, G, B)
+    t = df.withColumns({"_mx": gx, "_mn": gn, "_d": F.when(gn == gx, F.lit(1.0)).otherwise(gx - gn)})
+    mx, mn, d = F.col("_mx"), F.col("_mn"), F.col("_d")
     rc, gc, bc = (mx - R) / d, (mx - G) / d, (mx - B) / d
-    t = t.withColumn("_h0", (F.when(mx == R, bc - gc).when(mx == G, F.lit(2.0) + rc - bc)
-                             .otherwise(F.lit(4.0) + gc - rc)) / 6)
+    h0 = (F.when(mx == R, bc - gc).when(mx == G, F.lit(2.0) + rc - bc).otherwise(F.lit(4.0) + gc - rc)) / 6
     s = F.when(mx > 0, (mx - mn) / F.when(mx > 0, mx).otherwise(F.lit(1.0))).otherwise(F.lit(0.0))
-    t = t.withColumns({"_hh": F.col("_h0") - F.floor("_h0"), "_s2": F.least(s * F.lit(p), F.lit(1.0))})
-    t = hsv_to_rgb_df(t, "_hh", "_s2", "_mx", out)
-    return t.drop("_mx", "_mn", "_d", "_h0", "_hh", "_s2")
+    t = t.withColumns({"_hh": h0 - F.floor(h0), "_s2": F.least(s * F.lit(p), F.lit(1.0))})
+    return hsv_to_rgb_df(t, "_hh", "_s2", "_mx", out, drop=("_mx", "_mn", "_d", "_hh", "_s2"))
 
 
 def shade(df: DataFrame, r: str, g: str, b: str, z: str, out=("sr", "sg", "sb")) -> DataFrame:
@@ -142,7 +141,7 @@ def shade(df: DataFrame, r: str, g: str, b: str, z: str, out=("sr", "sg", "sb"))
     t = rgb_to_hsv(df, r, g, b, "_")
     zz = F.col(z).cast("double") * 256 / 200
     t = t.withColumn("_v", (zz * 4 + F.col("_v")) / 5)
-    return hsv_to_rgb_df(t, "_h", "_s", "_v", out).drop("_h", "_s", "_v")
+    return hsv_to_rgb_df(t, "_h", "_s", "_v", out, drop=("_h", "_s", "_v"))
 
 
 def to_unit(x) -> Column:
