@@ -127,10 +127,12 @@ def hillshade(tiles: DataFrame, n: int, azimuth: float = 99.0, altitude: float =
     return gathered.mapInPandas(shade, "col long, row long, hillshade array<double>")
 
 
-def mask_polygon(tiles: DataFrame, edges: DataFrame, n: int, cells="cells") -> DataFrame:
+def mask_polygon(tiles: DataFrame, edges: DataFrame, n: int, cells="cells", by_polygon: bool = False) -> DataFrame:
     """Tile-grain polygon mask (C4 fast path): cells whose centre is outside
     every polygon become NULL in every array column of ``cells`` (one name
     or a list of band columns); tiles touching no polygon are dropped.
+    With ``by_polygon`` each tile is emitted once per polygon it touches,
+    masked to that polygon and tagged with ``poly_id`` (zonal form, C9).
 
     The polygon's row spans are grouped per *tile row* (bounded by n rows x
     crossings per row) and broadcast after a size check; each tile meets only
@@ -143,35 +145,44 @@ def mask_polygon(tiles: DataFrame, edges: DataFrame, n: int, cells="cells") -> D
     arrays = [cells] if isinstance(cells, str) else list(cells)
     spans = row_spans(edges)
     by_row = (spans.groupBy(F.floor(F.col("gy") / n).alias("row"))
-              .agg(F.collect_list(F.struct("gy", "lo", "hi")).alias("spans")))
+              .agg(F.collect_list(F.struct("poly_id", "gy", "lo", "hi")).alias("spans")))
     j = tiles.join(broadcast_if_small(by_row), "row", "inner")
-    keys = [c for c in tiles.columns if c not in arrays]
+    tile_cols = list(tiles.columns)
+    keys = [c for c in tile_cols if c not in arrays]
+    pid_type = dict((f.name, f.dataType.simpleString()) for f in edges.schema.fields)["poly_id"]
+
+    def masks(col, row, sp):
+        cx = col * n + np.arange(n) + 0.5
+        out = {}
+        for s in sp:
+            pid = s["poly_id"] if by_polygon else None
+            m = out.setdefault(pid, np.zeros((n, n), dtype=bool))
+            m[int(s["gy"]) - row * n] |= (cx >= s["lo"]) & (cx < s["hi"])
+        return out
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if pdf.empty:
                 continue
-            keep = np.zeros(len(pdf), dtype=bool)
-            out = {a: [None] * len(pdf) for a in arrays}
+            recs = []
             for i, (col, row, sp) in enumerate(zip(pdf["col"], pdf["row"], pdf["spans"])):
-                cx = col * n + np.arange(n) + 0.5
-                m = np.zeros((n, n), dtype=bool)
-                for s in sp:
-                    m[int(s["gy"]) - row * n] |= (cx >= s["lo"]) & (cx < s["hi"])
-                if not m.any():
-                    continue
-                keep[i] = True
-                flat = ~m.reshape(-1)
-                for a in arrays:
-                    v = np.array(pdf[a].iloc[i], dtype=object)
-                    v[flat] = None
-                    out[a][i] = v.tolist()
-            res = pdf[keys].copy()
-            for a in arrays:
-                res[a] = out[a]
-            yield res[keep]
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields)
+                for pid, m in masks(col, row, sp).items():
+                    if not m.any():
+                        continue
+                    flat = ~m.reshape(-1)
+                    rec = {k: pdf[k].iloc[i] for k in keys}
+                    for a in arrays:
+                        v = np.array(pdf[a].iloc[i], dtype=object)
+                        v[flat] = None
+                        rec[a] = v.tolist()
+                    if by_polygon:
+                        rec["poly_id"] = pid
+                    recs.append(rec)
+            if recs:
+                yield pd.DataFrame(recs, columns=(["poly_id"] if by_polygon else []) + tile_cols)
+
+    schema = ", ".join(([f"poly_id {pid_type}"] if by_polygon else [])
+                       + [f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields])
     return j.select(*tiles.columns, "spans").mapInPandas(apply, schema)
 
 

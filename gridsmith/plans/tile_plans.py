@@ -99,3 +99,12 @@ def q_mosaic_bright_tiles(spark, sf):
     cells = tl.band_tiles_to_cells(stored, fx.TILE, bands + ["qa"], extra=("instant",))
     composite = tl.cells_to_band_tiles(mo.mosaic(cloud_masked_bands(cells), "bright"), fx.TILE, bands)
     return tl.band_tiles_to_cells(composite, fx.TILE, bands)
+
+
+@register("zonal_mean_tiles", ORACLE["zonal_mean"])
+def q_zonal_mean_tiles(spark, sf):
+    """Mean NDVI per polygon and instant at tile grain (C9 fast path)."""
+    tiles = tl.cells_to_band_tiles(fx.landsat(spark, sf), fx.TILE, ["red", "nir", "qa"], extra=("instant",))
+    masked = tg.mask_polygon(tiles, fx.aoi_edges(spark), fx.TILE, ["red", "nir", "qa"], by_polygon=True)
+    s = tg.ndvi_series(masked, by=("poly_id", "instant"))
+    return s.select("poly_id", "instant", r6("mean"), "n")
