@@ -8,7 +8,8 @@ from tests.conftest import SF_SMALL
 
 KEYS = ["mask_polygon", "crop_histogram", "mosaic_bright", "mosaic_greenest", "mean_series", "zonal_mean",
         "stack_bands", "hillshade", "hillshade_tiles", "pyramid_bilinear", "reproject_bilinear", "cells_to_tiles",
-        "tile_halo", "render_composite_ndvi", "crop_masked_ndvi_series", "ndvi_series_tiles", "union_batches"]
+        "tile_halo", "render_composite_ndvi", "crop_masked_ndvi_series", "ndvi_series_tiles", "union_batches",
+        "zonal_mean_tiles", "mosaic_bright_tiles", "pyramid_bilinear_tiles", "mask_polygon_tiles"]
 
 
 @pytest.mark.parametrize("key", KEYS)
