@@ -215,3 +215,16 @@ def test_tile_pyramid_levels_per_shuffle_agree(spark):
         res[lps] = sorted((r.zoom, r.col, r.row, tuple(round(v, 9) if v is not None else None for v in r.cells))
                           for r in p.collect())
     assert res[1] == res[2] == res[3]
+
+
+def test_python_tasks_do_not_need_the_package_on_workers():
+    """Functions of this package are pickled by value, so executors without
+    the package (or a driver started from another folder) still run them."""
+    from pyspark import cloudpickle
+    from gridsmith.operators import tile_grain
+    blob = cloudpickle.dumps(tile_grain._halve)
+    assert b"gridsmith.operators.tile_grain" not in blob or b"_halve" in blob
+    import pickle
+    f = pickle.loads(blob)
+    import numpy as np
+    assert f(np.ones((2, 2)), "bilinear").shape == (1, 1)
