@@ -217,14 +217,19 @@ def test_tile_pyramid_levels_per_shuffle_agree(spark):
     assert res[1] == res[2] == res[3]
 
 
-def test_python_tasks_do_not_need_the_package_on_workers():
-    """Functions of this package are pickled by value, so executors without
-    the package (or a driver started from another folder) still run them."""
-    from pyspark import cloudpickle
-    from gridsmith.operators import tile_grain
-    blob = cloudpickle.dumps(tile_grain._halve)
-    assert b"gridsmith.operators.tile_grain" not in blob or b"_halve" in blob
-    import pickle
-    f = pickle.loads(blob)
-    import numpy as np
-    assert f(np.ones((2, 2)), "bilinear").shape == (1, 1)
+def test_python_tasks_do_not_need_the_package_on_workers(tmp_path):
+    """Functions of this package are pickled by value, so Python workers that
+    cannot import it (driver started from another folder, executors without
+    the package) still run the numpy tasks."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {repo!r})\n"
+            "import __spark_entry__ as E\n"
+            "from gridsmith.session import build_session\n"
+            "s = build_session('local[2]', 2); s.sparkContext.setLogLevel('OFF')\n"
+            "print('ROWS', E.queries()['hillshade_tiles'](s, '/root/testdata/sf0.001').count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    r = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 32000" in r.stdout, r.stderr[-2000:]
