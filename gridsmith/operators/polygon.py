@@ -40,12 +40,6 @@ def row_spans(edges: DataFrame) -> DataFrame:
             .where("n = 2").drop("k", "n"))
 
 
-def _span_bound(edges: DataFrame) -> int:
-    """Upper bound on the number of span rows: rows spanned by all edges."""
-    r = edges.agg(F.sum(F.ceil(F.greatest("y1", "y2")) - F.floor(F.least("y1", "y2")) + 3).alias("b")).first()
-    return int(r["b"] or 0)
-
-
 def pixel_bound(edges: DataFrame) -> int:
     """Upper bound on the pixels inside the polygons: the pixels under each
     polygon's bounding box.  A spatial layer (one row per pixel) masked by
@@ -56,14 +50,37 @@ def pixel_bound(edges: DataFrame) -> int:
     return int(b["b"] or 0)
 
 
-def _spans_for_join(edges: DataFrame) -> DataFrame:
+MIN_X_BUCKET = 256   # pixels per join bucket along x (at least)
+MAX_BUCKETS = 64     # buckets per span (at most): bucket width grows with the widest polygon
+
+
+def _spans_for_join(edges: DataFrame) -> tuple[DataFrame, int]:
+    """Row spans keyed by ``(gy, xb)``, ``xb`` a bucket of ``w`` pixels along x.
+
+    With many polygons a pixel row holds many spans; keying the join on the
+    x bucket as well means each cell only meets the spans of its own bucket.
+    Each span is listed under every bucket it overlaps (widened by a pixel,
+    the exact test stays in the join condition); ``w`` is chosen so no span
+    lists more than ~``MAX_BUCKETS`` buckets.  Broadcast on a bound computed
+    from the edges alone."""
+    stats = edges.agg(
+        F.sum(F.ceil(F.greatest("y1", "y2")) - F.floor(F.least("y1", "y2")) + 3).alias("rows"),
+        (F.greatest(F.max("x1"), F.max("x2")) - F.least(F.min("x1"), F.min("x2"))).alias("width")).first()
+    rows, width = int(stats["rows"] or 0), float(stats["width"] or 0.0)
+    w = MIN_X_BUCKET
+    while width / w > MAX_BUCKETS:
+        w *= 2
     spans = row_spans(edges)
-    return broadcast_if_bounded(spans, _span_bound(edges))
+    b0 = F.floor((F.col("lo") - F.lit(1.0)) / F.lit(float(w)))
+    b1 = F.floor(F.col("hi") / F.lit(float(w)))
+    keyed = spans.select("poly_id", "gy", "lo", "hi", F.explode(F.sequence(b0, b1)).alias("xb"))
+    return broadcast_if_bounded(keyed, rows * (int(width // w) + 3)), w
 
 
-def _inside(cells: DataFrame, spans: DataFrame) -> Column:
+def _inside(w: int) -> Column:
     cx = F.col("c.gx") + F.lit(0.5)
-    return (F.col("c.gy") == F.col("s.gy")) & (cx >= F.col("s.lo")) & (cx < F.col("s.hi"))
+    return ((F.col("c.gy") == F.col("s.gy")) & (F.floor(F.col("c.gx") / F.lit(float(w))) == F.col("s.xb"))
+            & (cx >= F.col("s.lo")) & (cx < F.col("s.hi")))
 
 
 def mask_polygon(cells: DataFrame, edges: DataFrame) -> DataFrame:
@@ -71,14 +88,16 @@ def mask_polygon(cells: DataFrame, edges: DataFrame) -> DataFrame:
 
     Cells outside become NoData; in the sparse cell grain NoData cells are
     simply absent, so this is a semi join (never duplicates a cell)."""
-    spans = _spans_for_join(edges)
-    return cells.alias("c").join(spans.alias("s"), _inside(cells, spans), "left_semi")
+    spans, w = _spans_for_join(edges)
+    return cells.alias("c").join(spans.alias("s"), _inside(w), "left_semi")
 
 
 def cells_in_polygons(cells: DataFrame, edges: DataFrame) -> DataFrame:
-    """Cells tagged with every polygon they lie in: ``poly_id`` + cell columns."""
-    spans = _spans_for_join(edges)
-    return (cells.alias("c").join(spans.alias("s"), _inside(cells, spans), "inner")
+    """Cells tagged with every polygon they lie in: ``poly_id`` + cell columns
+    (C9).  A cell meets each polygon's span at most once (one bucket, spans
+    of one polygon in a row are disjoint), so nothing is duplicated."""
+    spans, w = _spans_for_join(edges)
+    return (cells.alias("c").join(spans.alias("s"), _inside(w), "inner")
             .select(F.col("s.poly_id").alias("poly_id"), "c.*"))
 
 

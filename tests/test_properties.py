@@ -233,3 +233,18 @@ def test_python_tasks_do_not_need_the_package_on_workers(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     r = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 32000" in r.stdout, r.stderr[-2000:]
+
+
+def test_polygon_mask_across_many_x_buckets(spark):
+    """Wide polygons span several join buckets; results equal brute force."""
+    edges = [(1, 3.3, 2.2, 1190.7, 9.1), (1, 1190.7, 9.1, 600.4, 17.6), (1, 600.4, 17.6, 3.3, 2.2),
+             (2, 500.0, 1.0, 520.0, 1.0), (2, 520.0, 1.0, 520.0, 19.0), (2, 520.0, 19.0, 500.0, 19.0),
+             (2, 500.0, 19.0, 500.0, 1.0)]
+    e = spark.createDataFrame(edges, fx.EDGE_SCHEMA)
+    cells = spark.range(0, 1200 * 20).select((F.col("id") % 1200).alias("gx"), F.floor(F.col("id") / 1200).alias("gy"))
+    got = {(r.gx, r.gy) for r in polygon.mask_polygon(cells, e).collect()}
+    want = {(gx, gy) for gx in range(1200) for gy in range(20)
+            if any(_brute_inside([x for x in edges if x[0] == pid], gx + 0.5, gy + 0.5) for pid in (1, 2))}
+    assert got == want
+    tagged = polygon.cells_in_polygons(cells, e).groupBy("gx", "gy", "poly_id").count()
+    assert tagged.where("count > 1").count() == 0
