@@ -123,16 +123,28 @@ def polygon_centroid(edges: DataFrame) -> DataFrame:
 
 def tiles_intersecting(tiles: DataFrame, edges: DataFrame, tile_size: int) -> DataFrame:
     """Tiles (col,row) touched by a polygon (C5): a tile is kept when any of
-    its cells has its centre inside.  Computed from the spans, so the tile
-    set comes out of a tiny aggregate and is then semi-joined."""
+    its cells has its centre inside.
+
+    Each pixel-row span becomes a range of tile columns; the ranges of one
+    tile row (at most n pixel rows x spans per row, a bounded window) are
+    merged into disjoint intervals by a running max, and only the merged
+    intervals are exploded — so the key table has one row per touched tile,
+    never one per (pixel row, tile).  The keys are then semi-joined."""
+    from pyspark.sql import Window
+
     spans = row_spans(edges)
     n = tile_size
     lo_gx = F.ceil(F.col("lo") - F.lit(0.5))
     hi_gx = F.ceil(F.col("hi") - F.lit(0.5)) - 1
-    keys = (spans.where(hi_gx >= lo_gx)
-            .select(F.floor(F.col("gy") / n).alias("row"),
-                    F.explode(F.sequence(F.floor(lo_gx / n), F.floor(hi_gx / n))).alias("col"))
-            .distinct())
+    ranges = (spans.where(hi_gx >= lo_gx)
+              .select(F.floor(F.col("gy") / n).alias("row"), F.floor(lo_gx / n).alias("c0"),
+                      F.floor(hi_gx / n).alias("c1")).distinct())
+    w = Window.partitionBy("row").orderBy("c0", "c1")
+    prev_max = F.max("c1").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    starts = ranges.withColumn("new", F.when(prev_max.isNull() | (F.col("c0") > prev_max + 1), 1).otherwise(0))
+    grouped = starts.withColumn("grp", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = grouped.groupBy("row", "grp").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"))
+    keys = merged.select("row", F.explode(F.sequence("c0", "c1")).alias("col"))
     return tiles.join(broadcast_if_bounded(keys, _tile_key_bound(edges, n)), ["col", "row"], "left_semi")
 
 

@@ -248,3 +248,21 @@ def test_polygon_mask_across_many_x_buckets(spark):
     assert got == want
     tagged = polygon.cells_in_polygons(cells, e).groupBy("gx", "gy", "poly_id").count()
     assert tagged.where("count > 1").count() == 0
+
+
+def test_tiles_intersecting_matches_brute_force(spark):
+    rng = random.Random(11)
+    edges = []
+    for pid in range(3):
+        k = rng.randint(3, 8)
+        pts = [(rng.uniform(0, 96), rng.uniform(0, 96)) for _ in range(k)]
+        edges += [(pid, *pts[i], *pts[(i + 1) % k]) for i in range(k)]
+    e = spark.createDataFrame(edges, fx.EDGE_SCHEMA)
+    tiles_df = spark.range(0, 144).select((F.col("id") % 12).alias("col"), F.floor(F.col("id") / 12).alias("row"))
+    got = {(r.col, r.row) for r in polygon.tiles_intersecting(tiles_df, e, 8).collect()}
+    want = set()
+    for gx in range(96):
+        for gy in range(96):
+            if any(_brute_inside([x for x in edges if x[0] == pid], gx + 0.5, gy + 0.5) for pid in range(3)):
+                want.add((gx // 8, gy // 8))
+    assert got == want
