@@ -54,27 +54,33 @@ MIN_X_BUCKET = 256   # pixels per join bucket along x (at least)
 MAX_BUCKETS = 64     # buckets per span (at most): bucket width grows with the widest polygon
 
 
-def _spans_for_join(edges: DataFrame) -> tuple[DataFrame, int]:
+def bucketed_spans(edges: DataFrame, min_width: int = MIN_X_BUCKET) -> tuple[DataFrame, int, int]:
     """Row spans keyed by ``(gy, xb)``, ``xb`` a bucket of ``w`` pixels along x.
 
     With many polygons a pixel row holds many spans; keying the join on the
-    x bucket as well means each cell only meets the spans of its own bucket.
-    Each span is listed under every bucket it overlaps (widened by a pixel,
-    the exact test stays in the join condition); ``w`` is chosen so no span
-    lists more than ~``MAX_BUCKETS`` buckets.  Broadcast on a bound computed
-    from the edges alone."""
+    x bucket as well means each cell (or tile) only meets the spans of its
+    own bucket.  Each span is listed under every bucket it overlaps (widened
+    by a pixel; the exact test stays in the join condition); ``w`` starts at
+    ``min_width`` and doubles until no span lists more than ~``MAX_BUCKETS``
+    buckets.  Returns (spans, w, row bound) — the bound comes from the edges
+    alone, so callers can broadcast on a proof."""
     stats = edges.agg(
         F.sum(F.ceil(F.greatest("y1", "y2")) - F.floor(F.least("y1", "y2")) + 3).alias("rows"),
         (F.greatest(F.max("x1"), F.max("x2")) - F.least(F.min("x1"), F.min("x2"))).alias("width")).first()
     rows, width = int(stats["rows"] or 0), float(stats["width"] or 0.0)
-    w = MIN_X_BUCKET
+    w = min_width
     while width / w > MAX_BUCKETS:
         w *= 2
     spans = row_spans(edges)
     b0 = F.floor((F.col("lo") - F.lit(1.0)) / F.lit(float(w)))
     b1 = F.floor(F.col("hi") / F.lit(float(w)))
     keyed = spans.select("poly_id", "gy", "lo", "hi", F.explode(F.sequence(b0, b1)).alias("xb"))
-    return broadcast_if_bounded(keyed, rows * (int(width // w) + 3)), w
+    return keyed, w, rows * (int(width // w) + 3)
+
+
+def _spans_for_join(edges: DataFrame) -> tuple[DataFrame, int]:
+    keyed, w, bound = bucketed_spans(edges)
+    return broadcast_if_bounded(keyed, bound), w
 
 
 def _inside(w: int) -> Column:

@@ -134,19 +134,22 @@ def mask_polygon(tiles: DataFrame, edges: DataFrame, n: int, cells="cells", by_p
     With ``by_polygon`` each tile is emitted once per polygon it touches,
     masked to that polygon and tagged with ``poly_id`` (zonal form, C9).
 
-    The polygon's row spans are grouped per *tile row* (bounded by n rows x
-    crossings per row) and broadcast after a size check; each tile meets only
-    the spans of its own tile row, so the tiles are never shuffled.  Inside
+    The polygon's row spans are grouped per (tile row, x bucket) and
+    broadcast on a bound computed from the edges; each tile meets only the
+    spans of its own row and bucket, so the tiles are never shuffled.  Inside
     a task numpy applies the same comparisons as the cell path
     (``lo <= gx + 0.5 < hi``)."""
-    from gridsmith.operators.polygon import row_spans
-    from gridsmith.plans.sizing import broadcast_if_small
+    from gridsmith.operators.polygon import bucketed_spans
+    from gridsmith.plans.sizing import broadcast_if_bounded
 
     arrays = [cells] if isinstance(cells, str) else list(cells)
-    spans = row_spans(edges)
-    by_row = (spans.groupBy(F.floor(F.col("gy") / n).alias("row"))
+    # Spans keyed by (tile row, x bucket); a bucket is a whole number of
+    # tiles wide, so each tile meets only the spans of its row and bucket.
+    spans, w, bound = bucketed_spans(edges, min_width=n)
+    by_key = (spans.groupBy(F.floor(F.col("gy") / n).alias("row"), "xb")
               .agg(F.collect_list(F.struct("poly_id", "gy", "lo", "hi")).alias("spans")))
-    j = tiles.join(broadcast_if_small(by_row), "row", "inner")
+    keyed = tiles.withColumn("xb", F.floor(F.col("col") * n / F.lit(float(w))))
+    j = keyed.join(broadcast_if_bounded(by_key, bound), ["row", "xb"], "inner")
     tile_cols = list(tiles.columns)
     keys = [c for c in tile_cols if c not in arrays]
     pid_type = dict((f.name, f.dataType.simpleString()) for f in edges.schema.fields)["poly_id"]

@@ -266,3 +266,17 @@ def test_tiles_intersecting_matches_brute_force(spark):
             if any(_brute_inside([x for x in edges if x[0] == pid], gx + 0.5, gy + 0.5) for pid in range(3)):
                 want.add((gx // 8, gy // 8))
     assert got == want
+
+
+def test_tile_mask_equals_cell_mask_across_buckets(spark):
+    from gridsmith.operators import tile_grain as tg
+    edges = [(1, 3.3, 2.2, 3190.7, 9.1), (1, 3190.7, 9.1, 600.4, 17.6), (1, 600.4, 17.6, 3.3, 2.2),
+             (2, 500.0, 1.0, 520.0, 1.0), (2, 520.0, 1.0, 520.0, 19.0), (2, 520.0, 19.0, 500.0, 19.0),
+             (2, 500.0, 19.0, 500.0, 1.0)]
+    e = spark.createDataFrame(edges, fx.EDGE_SCHEMA)
+    cells = spark.range(0, 3200 * 24).select((F.col("id") % 3200).alias("gx"), F.floor(F.col("id") / 3200).alias("gy"),
+                                             F.lit(1).alias("value"))
+    want = {(r.gx, r.gy) for r in polygon.mask_polygon(cells, e).collect()}
+    t = tiles.cells_to_tiles(cells, 8, value="value")
+    got = {(r.gx, r.gy) for r in tiles.tiles_to_cells(tg.mask_polygon(t, e, 8), 8, value="value").collect()}
+    assert got == want and len(want) > 1000
