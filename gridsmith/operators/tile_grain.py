@@ -10,6 +10,11 @@ per Python call instead of producing one JVM row per cell.
   scatter-gather), then Horn gradients on the padded array per tile.
 
 Each is checked against the cell-grain path and the same DuckDB oracle.
+
+Memory: each Python call sees one Arrow input batch, capped by
+``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB by default in Spark
+4.1) as well as ``maxRecordsPerBatch``, so the numpy working set of a task
+stays bounded whatever the tile size; outputs are yielded per input batch.
 """
 
 from __future__ import annotations

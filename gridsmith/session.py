@@ -26,6 +26,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # Arrow batches to Python tasks capped by bytes, not only rows: a batch of
+    # 256 x 256 tiles stays ~64 MB instead of 10 000 tiles.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
