@@ -266,3 +266,71 @@ def q_raster_windows_read(spark, sf):
     d = fx.dem(spark, sf)
     return (d.groupBy(F.floor(F.col("gx") / 16).alias("wx"), F.floor(F.col("gy") / 16).alias("wy"))
             .agg(F.count("*").alias("n"), F.min("elev").alias("min"), F.max("elev").alias("max")))
+
+
+INGEST_ZOOM = 7
+INGEST_MONTH = 6
+
+
+def ingest_plan(spark, sf, month: int = INGEST_MONTH, zoom: int = INGEST_ZOOM):
+    """The scene-ingest job's planning half, end to end:
+    scenes of one month inside the bounds -> wanted band images -> 512-cell
+    windows with a 3-cell halo -> window extents -> layout keys.  Output: the
+    distinct (scene, band, tile) triples each band image contributes to — the
+    work list a reader would fetch.  One DataFrame job; no driver loop over
+    weekday groups, no per-scene collect."""
+    from gridsmith.operators import tiles as tl
+    x0, y0, x1, y1 = BOUNDS
+    lon, lat = _lon(), _lat()
+    s = scenes(spark, sf).where((F.month("time") == month) & (lon >= F.lit(x0)) & (lon + F.lit(2.0) <= F.lit(x1))
+                                & (lat >= F.lit(y0)) & (lat + F.lit(2.0) <= F.lit(y1)))
+    names = F.array(*[F.lit(n) for n in ig.LANDSAT8_BAND_NAMES])
+    imgs = s.select("scene_id", "lon10", "lat10", "n_cols", "n_rows",
+                    F.posexplode(names).alias("pos", "band_name"))
+    imgs = ig.band_whitelist(imgs, ig.desired_bands(spark))
+    w = ig.buffer_windows(ig.list_windows(imgs, keep=("scene_id", "band_num", "lon10", "lat10")))
+    xres, yres = F.lit(2.0) / F.col("n_cols"), F.lit(2.0) / F.col("n_rows")
+    xmin = _lon() + F.col("bcol0") * xres
+    xmax = _lon() + (F.col("bcol1") + 1) * xres
+    ymax = _lat() + F.lit(2.0) - F.col("brow0") * yres
+    ymin = _lat() + F.lit(2.0) - (F.col("brow1") + 1) * yres
+    n = float(2 ** zoom)
+    half = math.pi * 6378137.0
+    col = lambda x: F.floor((x + F.lit(180.0)) / F.lit(360.0) * F.lit(n))
+    row = lambda y: F.floor((F.lit(half) - lonlat_to_mercator(F.lit(0.0), y)[1]) / F.lit(2 * half / n))
+    ext = w.select("scene_id", "band_num", col(xmin).alias("c0"), col(xmax).alias("c1"),
+                   row(ymax).alias("r0"), row(ymin).alias("r1"))
+    keys = tl.extent_to_keys(ext, F.col("c0"), F.col("c1"), F.col("r0"), F.col("r1"), keep=("scene_id", "band_num"))
+    return keys.distinct()
+
+
+def _row_sql(y: str) -> str:
+    half = math.pi * 6378137.0
+    return (f"floor(({half!r}::double - 6378137.0::double * ln(tan({math.pi / 4!r} + radians({y}) / 2))) "
+            f"/ {2 * half / 2 ** INGEST_ZOOM!r}::double)")
+
+
+def _col_sql(x: str) -> str:
+    return f"floor(({x} + 180.0::double) / 360.0::double * {float(2 ** INGEST_ZOOM)!r}::double)"
+
+
+@register("scene_ingest_plan", with_ctes(
+    f"""select distinct scene_id, band_num, col, row from (
+          select scene_id, band_num,
+            {_col_sql(f'{LON} + bcol0 * (2.0::double / n_cols)')} as c0,
+            {_col_sql(f'{LON} + (bcol1 + 1) * (2.0::double / n_cols)')} as c1,
+            {_row_sql(f'{LAT} + 2.0::double - brow0 * (2.0::double / n_rows)')} as r0,
+            {_row_sql(f'{LAT} + 2.0::double - (brow1 + 1) * (2.0::double / n_rows)')} as r1
+          from (select i.*, greatest(0, col_off - 3) as bcol0, greatest(0, row_off - 3) as brow0,
+                       least(n_cols - 1, col_off + least(512, n_cols - col_off) - 1 + 3) as bcol1,
+                       least(n_rows - 1, row_off + least(512, n_rows - row_off) - 1 + 3) as brow1
+                from (select s.scene_id, s.lon10, s.lat10, s.n_cols, s.n_rows, d.band_num
+                      from scenes s, range(1, {len(ig.LANDSAT8_BAND_NAMES) + 1}) r(k), desired d
+                      where d.band_name = {NAMES_SQL}[r.k] and month(s.time) = {INGEST_MONTH}
+                        and {LON} >= {BOUNDS[0]}::double and {LON} + 2.0::double <= {BOUNDS[2]}::double
+                        and {LAT} >= {BOUNDS[1]}::double and {LAT} + 2.0::double <= {BOUNDS[3]}::double) i,
+                     unnest(range(0, n_cols, 512)) a(col_off), unnest(range(0, n_rows, 512)) b(row_off)) w) e,
+          unnest(range(c0::bigint, c1::bigint + 1)) u(col), unnest(range(r0::bigint, r1::bigint + 1)) v(row)""",
+    "scenes", extra=[DESIRED_SQL]))
+def q_scene_ingest_plan(spark, sf):
+    return ingest_plan(spark, sf)
