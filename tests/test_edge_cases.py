@@ -81,3 +81,19 @@ def test_label_to_code_last_duplicate_wins(spark):
                                    "code int, name string")
     got = {r.name: r.code for r in zonal.label_to_code(labels).collect()}
     assert got == {"Shrubland": 152, "Barren": 131}
+
+
+def test_split_uri_without_key(spark):
+    from gridsmith.operators import ingest
+    df = spark.createDataFrame([("s3://bucket-only",), ("s3://b/k/x.TIF",)], "path string")
+    b, k = ingest.split_uri(F.col("path"))
+    got = [tuple(r) for r in df.select(b.alias("b"), k.alias("k")).collect()]
+    assert got == [("bucket-only", ""), ("b", "k/x.TIF")]
+
+
+def test_one_by_one_raster_windows(spark):
+    from gridsmith.operators import ingest
+    df = spark.createDataFrame([(1, 1)], "n_cols int, n_rows int")
+    w = ingest.buffer_windows(ingest.list_windows(df)).collect()
+    assert [(r.col_off, r.row_off, r.width, r.height, r.bcol0, r.bcol1, r.brow0, r.brow1) for r in w] == \
+        [(0, 0, 1, 1, 0, 0, 0, 0)]
