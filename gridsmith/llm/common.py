@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,17 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+def by_size(batch: pa.RecordBatch, name: str = "text", size: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each, but for single long texts."""
+    ends = np.cumsum(pc.binary_length(batch.column(name)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < batch.num_rows:
+        done = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def slices(data: bytes, size: int = SLICE_BYTES, cut: bytes = b" ") -> Iterator[bytes]:
     """Cut ``data`` behind a ``cut`` byte at about every ``size`` bytes; joined, the pieces are ``data`` again.
     A run without any cut byte stays whole."""

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gridsmith.llm.common import mix64, plain_words
+from gridsmith.llm.common import by_size, mix64, plain_words
 
 PAD = 0
 CHUNK = 1 << 16
@@ -132,6 +132,14 @@ class Index:
         self.classes = sorted({length_class(len(s)) for _, s in items})
         self.longest = max((len(s) for _, s in items), default=0)
         self.reach = 2 * self.longest + 2
+        self.sizes = np.array([len(s) for _, s in items], dtype=np.int64)
+        self.limits = (p.max_edits * self.sizes).astype(np.int64)
+        # Words that at most one item in fifty holds, by their lowest bits, and how many each item must keep of its own.
+        words, held = np.unique(np.concatenate([np.unique(s) for _, s in items]), return_counts=True)
+        rare = words[held <= max(1, len(items) // 50)]
+        self.rare = np.zeros(1 << 22, dtype=bool)
+        self.rare[rare & np.uint32(len(self.rare) - 1)] = True
+        self.needed = np.array([np.isin(s, rare).sum() for _, s in items], dtype=np.int64) - self.limits
         self.plans = [{c: places(r, c, p.samples) for c in self.classes} for r in range(p.repetitions)]
         self.keys = []
         for r, plan in enumerate(self.plans):
@@ -152,8 +160,10 @@ class Index:
             self.keys.append(tables)
 
     def candidates(self, x: np.ndarray, starts: int) -> np.ndarray:
-        """(item number, first start, last start) rows for the windows that start in x[:starts]."""
+        """(item number, first start, last start) rows for the windows that start in x[:starts].  A candidate whose region
+        has fewer rare words of items than its item has beyond the edit limit is left out at once."""
         out = []
+        words = np.concatenate([[0], np.cumsum(self.rare[x & np.uint32(len(self.rare) - 1)])])
         for rep, plan in enumerate(self.plans):
             for cls, key, lo, hi in walk(x, starts, rep, plan):
                 keys, numbers, mask, seen = self.keys[rep][cls]
@@ -162,14 +172,19 @@ class Index:
                     a, b = np.searchsorted(keys, key[at], "left"), np.searchsorted(keys, key[at], "right")
                     n = b - a
                     which = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    out.append(np.stack([numbers[which], np.repeat(lo[at], n), np.repeat(hi[at], n)], axis=1))
+                    item, a, b = numbers[which], np.repeat(lo[at], n), np.repeat(hi[at], n)
+                    size, limit = self.sizes[item], self.limits[item]
+                    there = words[np.minimum(b + size + limit, len(x))] - words[np.maximum(a - limit, 0)]
+                    ok = there + np.maximum(limit - a, 0) >= self.needed[item]
+                    out.append(np.stack([item[ok], a[ok], b[ok]], axis=1))
         return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
 
 
 def best_stretch(item: np.ndarray, region: np.ndarray, limit: int) -> tuple[int, int]:
     """Smallest number of word edits between the item and a stretch of the region, and where that stretch ends
     (the first such end); (limit + 1, 0) if over the limit."""
-    if np.isin(item, region).sum() < len(item) - limit:  # each word that isn't there needs an edit
+    there = set(region.tolist())
+    if sum(w in there for w in item.tolist()) < len(item) - limit:  # each word that isn't there needs an edit
         return limit + 1, 0
     steps = np.arange(len(region) + 1)
     d = np.zeros(len(region) + 1, dtype=np.int64)
@@ -187,7 +202,7 @@ def verified(index: Index, x: np.ndarray, found: np.ndarray, p: Params) -> list[
     out = []
     for n in np.unique(found[:, 0]).tolist():
         item = index.items[n][1]
-        limit = int(p.max_edits * len(item))
+        limit = int(index.limits[n])
         mine = found[found[:, 0] == n]
         regions: list[list[int]] = []
         for lo, hi in sorted((max(0, int(a) - limit), int(b) + len(item) + limit) for _, a, b in mine):
@@ -248,12 +263,8 @@ def document_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Reco
     """Slices of the batches with their documents' symbols, of bounded size but for single long documents."""
     known = Symbols()
     for batch in batches:
-        text = batch.column("text").cast(pa.binary())
-        size = np.cumsum(np.array([len(x) for x in (t or b"" for t in text.to_pylist())], dtype=np.int64) // (1 << 20))
-        for a in range(0, batch.num_rows, 512):
-            for group in np.split(np.arange(a, min(a + 512, batch.num_rows)), np.flatnonzero(np.diff(size[a:a + 512])) + 1):
-                part = batch.slice(int(group[0]), len(group))
-                yield part, [symbols(t or b"", known) for t in text.slice(int(group[0]), len(group)).to_pylist()]
+        for part in by_size(batch):
+            yield part, [symbols(t or b"", known) for t in part.column("text").cast(pa.binary()).to_pylist()]
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:

@@ -9,7 +9,8 @@ Spark writes the files, so a lost task leaves nothing behind.  Readers unpack a
 of it, with numpy; ``read_ids`` fetches single documents by the blocks' id ranges.
 
 Documents are dealt by id range as text (once) and tokenized in order.  Texts are cut at spaces and
-line ends, where the tokenizer cuts as well, and each different piece is encoded once a task.
+line ends, where the tokenizer cuts as well, and each different piece is encoded once a task; Latin texts
+are lower-cased first, as the tokenizer does, so that there are fewer of them.
 
 Defined results: null and empty texts have the end id only; documents of equal doc_id stand together
 in the order of a hash of their text; null ids come first; an empty table gives no files rows.
@@ -26,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsmith.llm.common import fresh, id_bounds, with_bucket
+from gridsmith.llm.common import by_size, fresh, id_bounds, with_bucket
 
 BUCKET_BYTES = 48 << 20
 MAX_BUCKETS = 10_000
 BLOCK_IDS = 1 << 18
 #: Most pieces whose ids a task remembers.
-CACHE = 1_500_000
+CACHE = 600_000
 
 BLOCK = "shard int, block int, start long, width int, doc_ids array<long>, lengths array<int>, ids binary"
 
@@ -65,72 +66,139 @@ def unpack(data: bytes, width: int, first: int, n: int) -> np.ndarray:
 
 # -- tokenizing --------------------------------------------------------------------------------------------------
 
+
+
 class Pieces(dict):
-    """Number of each different piece of text; the pieces' ids are kept one behind the other."""
+    """Number of each different piece of text; the pieces' ids lie one behind the other in ``flat``.  Piece 0 is the end id."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, end_id: int):
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         ends = self.tokenizer.get_vocab()
         self.word_end = np.zeros(max(ends.values()) + 1, dtype=bool)
         self.word_end[[i for t, i in ends.items() if t.endswith("</w>")]] = True
+        self.split, self.split_id = "<|endoftext|>", ends["<|endoftext|>"]
+        # The same model for words that are lower-cased and apart already.
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = None
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.end_id = end_id
         self.reset()
 
     def reset(self) -> None:
         self.clear()
+        self[END] = 0
         self.new: list[str] = []
-        self.words: dict[str, list[int]] = {}
-        self.ids: list[list[int]] = []
+        self.flat, self.start, self.size = np.array([self.end_id], dtype=np.uint32), np.array([0]), np.array([1])
 
     def __missing__(self, piece: str) -> int:
         self[piece] = n = len(self)
         self.new.append(piece)
         return n
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """Ids of words of letters only, many at a time: the ids of a word are those up to its word end."""
-        out: list[list[int]] = []
-        runs = [words[i:i + 1024] for i in range(0, len(words), 1024)]
-        for run, e in zip(runs, self.tokenizer.encode_batch([" ".join(r) for r in runs], add_special_tokens=False)):
-            ids = e.ids
-            ends = (np.flatnonzero(self.word_end[ids]) + 1).tolist()
-            if len(ends) == len(run):
-                out += [ids[a:b] for a, b in zip([0, *ends], ends)]
-            else:  # not one pre-token each after all
-                out += [x.ids for x in self.tokenizer.encode_batch(run, add_special_tokens=False)]
-        return out
+    def encode_words(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(ids, sizes) in runs, for words of lower-case letters only: the ids of a word are those up to its word end."""
+        ids, sizes = [], []
+        runs = [words[i:i + 256] for i in range(0, len(words), 256)]
+        for run, e in zip(runs, self.words.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
+            got = np.array(e.ids, dtype=np.uint32)
+            ids.append(got)
+            sizes.append(np.diff(np.flatnonzero(self.word_end[got]) + 1, prepend=0))
+        return ids, sizes
+
+    def encode_others(self, pieces: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(ids, sizes) in runs, for pieces of any kind: a special token stands between them; pieces that hold its
+        opening sign are encoded alone."""
+        ids, sizes, at = [], [], 0
+        while at < len(pieces):
+            run = pieces[at:at + 256]
+            alone = next((i for i, x in enumerate(run) if "<|" in x), len(run))
+            if alone == 0:
+                got = np.array(self.tokenizer.encode(run[0], add_special_tokens=False).ids, dtype=np.uint32)
+                ids.append(got)
+                sizes.append(np.array([len(got)]))
+                at += 1
+                continue
+            run = run[:alone]
+            line = f" {self.split} ".join(run) + f" {self.split}"
+            got = np.array(self.tokenizer.encode(line, add_special_tokens=False).ids, dtype=np.uint32)
+            cut = got == self.split_id
+            ids.append(got[~cut])
+            sizes.append(np.diff(np.flatnonzero(cut), prepend=-1) - 1)
+            at += len(run)
+        return ids, sizes
 
     def learn(self) -> None:
-        """Encode what is new.  A piece of Latin letters, or one with a full stop or comma behind, is looked up in lower
-        case and by its parts; any other piece is encoded as it is."""
-        plans, words, others = [], {}, {}
-        for piece in self.new:
-            body, mark = (piece[:-1], piece[-1]) if piece[-1:] in (".", ",") else (piece, "")
-            if body.isalpha() and max(body) < "İ":
-                body = body.lower()
-                plans.append((body, mark))
-                if body not in self.words:
-                    words[body] = None
-                if mark and mark not in self.words:
-                    others[mark] = None
-            else:
-                plans.append((piece, ""))
-                if piece not in self.words:
-                    others[piece] = None
-        self.words.update(zip(words, self.encode(list(words))))
-        rest = list(others)
-        self.words.update((w, e.ids) for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)))
-        self.ids += [self.words[a] + self.words[b] if b else self.words[a] for a, b in plans]
-        self.new = []
-
-    def __call__(self, texts: list[str], end_id: int) -> list[np.ndarray]:
+        """Encode the pieces that are new: words of lower-case letters by the bare model, others as they are."""
+        if not self.new:
+            return
+        is_word = np.fromiter((x.isalpha() and x.islower() and is_latin(x) for x in self.new), bool, len(self.new))
+        parts = [[x for x, w in zip(self.new, is_word) if w], [x for x, w in zip(self.new, is_word) if not w]]
+        size, start, end = np.zeros(len(self.new), np.int64), np.zeros(len(self.new), np.int64), len(self.flat)
+        flat = [self.flat]
+        for at, part, encode in ((is_word, parts[0], self.encode_words), (~is_word, parts[1], self.encode_others)):
+            if part:
+                ids, sizes = encode(part)
+                size[at] = np.concatenate(sizes)
+                start[at] = end + np.cumsum(size[at]) - size[at]
+                end += int(size[at].sum())
+                flat += ids
+        self.flat, self.new = np.concatenate(flat), []
+        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
+
+    def ids_of(self, line: str) -> list[np.ndarray]:
+        """Ids of the texts of a line, END behind each."""
+        pieces = line.replace("\n", " ").split(" ")
+        at = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
+        self.learn()
+        size = self.size[at]
+        ends = np.cumsum(size)
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.start[at] - ends + size, size)]
+        return np.split(ids, ends[at == 0][:-1])
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text with the end id behind."""
         if len(self) > CACHE:
             self.reset()
-        numbers = [list(map(self.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
-        self.learn()
-        ids, end = self.ids, [end_id]
-        return [np.array([i for n in one for i in ids[n]] + end, dtype=np.uint32) for one in numbers]
+        out: list[np.ndarray] = [None] * len(texts)
+        latin, others = [], []
+        for i, t in enumerate(texts):
+            if END in t:  # a piece like the sign between texts
+                out[i] = np.array([*self.tokenizer.encode(t, add_special_tokens=False).ids, self.end_id], dtype=np.uint32)
+            else:
+                (latin if is_latin(t) else others).append(i)
+        for group, line in ((latin, apart), (others, str)):
+            if group:
+                joined = line(f" {END} ".join(texts[i] for i in group)) + f" {END}"
+                for i, ids in zip(group, self.ids_of(joined)):
+                    out[i] = ids
+        return out
+
+
+#: The piece behind a text.
+END = "\x02\x03"
+
+
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def apart(line: str) -> str:
+    """A Latin line in lower case, with a space before each full stop or comma between a letter and white space: there
+    it is a pre-token of its own."""
+    b = np.frombuffer((line.lower() + " ").encode("latin-1"), dtype=np.uint8)
+    at = np.flatnonzero((b[:-1] == 46) | (b[:-1] == 44))
+    at = at[at > 0]
+    at = at[LETTER[b[at - 1]] & ((b[at + 1] == 32) | (b[at + 1] == 10))]
+    return np.insert(b, at, 32)[:-1].tobytes().decode("latin-1")
+
+
+LETTER = np.array([chr(c).isalpha() for c in range(256)])
 
 
 # -- files -------------------------------------------------------------------------------------------------------
@@ -145,7 +213,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, width: in
         bucket, F.asc_nulls_first("doc_id"), tie)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(tokenizer)
+        pieces = Pieces(tokenizer, end_id)
         shard, block, start, held, names, size = None, 0, 0, [], [], 0
 
         def out() -> pa.RecordBatch:
@@ -159,9 +227,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, width: in
             return row
 
         for b in batches:
-            for lo in range(0, b.num_rows, 64):
-                part = b.slice(lo, 64)
-                ids = pieces([t or "" for t in part.column("text").to_pylist()], end_id)
+            for part in by_size(b):
+                ids = pieces([t or "" for t in part.column("text").to_pylist()])
                 for to, name, one in zip(part.column(bucket).to_pylist(), part.column("doc_id").to_pylist(), ids):
                     if held and (to != shard or size >= BLOCK_IDS):
                         yield out()
