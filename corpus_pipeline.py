@@ -12,11 +12,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridsmith.llm import decontaminate, mixing, queries, simhash_dedup, token_binary, toxicity
+from gridsmith.llm.common import small_batches
 from gridsmith.session import shared_dir
 from gridsmith.sources.tables import read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.keep_clean(docs, read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]))
 
 

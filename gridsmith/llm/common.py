@@ -3,12 +3,13 @@ long texts and a range layout of documents by id."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,8 @@ LOWER = UPPER.lower()
 #: Words are runs of 0-9, a-z (after A-Z are lower-cased) and anything outside ASCII; all other bytes separate.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
                    for c in range(256))
+#: Most words of which a task remembers something.
+CACHED_WORDS = 300_000
 #: Long texts are worked on in slices of about this many bytes, so a task's memory does not follow the longest text.
 SLICE_BYTES = 1 << 20
 
@@ -25,12 +28,16 @@ def lower_az(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
-    """The texts of a batch as UTF-8 bytes; null is the empty text."""
-    return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Cap the Arrow batches that go to Python tasks at 8 MB, unless the session asks for less: with texts of a few KB the
+    default (64 MB, held once in the JVM and some times in the Python worker) is most of a small executor."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", spark.conf.get(key, "0")) or 0) in (0, 64 << 20, 64):
+        spark.conf.set(key, str(8 << 20))
+    return spark
 
 
-def by_size(batch: pa.RecordBatch, name: str = "text", size: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def by_size(batch: pa.RecordBatch, name: str = "text", size: int = 2 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``size`` bytes of text each, but for single long texts."""
     ends = np.cumsum(pc.binary_length(batch.column(name)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     a = 0

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gridsmith.llm.common import by_size, mix64, plain_words
+from gridsmith.llm.common import CACHED_WORDS, by_size, mix64, plain_words
 
 PAD = 0
 CHUNK = 1 << 16
@@ -65,7 +65,7 @@ class Symbols(dict):
     """Word -> symbol (never PAD), remembered for a task."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 2_000_000:
+        if len(self) > CACHED_WORDS:
             self.clear()
         self[word] = s = zlib.crc32(word) or 1
         return s

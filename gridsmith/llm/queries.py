@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridsmith.llm import (decontaminate, fingerprints, language_id, license_scan, mixing, simhash_dedup, token_binary,
                            token_counts, toxicity, url_filters)
+from gridsmith.llm.common import small_batches
 from gridsmith.session import shared_dir
 from gridsmith.sources.tables import read_table
 
@@ -91,7 +92,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumnRenamed("rejected", "toxic")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+def bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(small_batches(spark), sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: bounded(f) for f in (
     op1_url_filters, op2_language_id, op3_simhash_dedup, op4_token_counts, op5_benchmark_decontamination,
     op6_document_fingerprints, op7_source_mixing, op8_token_binary, op9_license_scan, op10_toxicity)}
 

@@ -33,7 +33,7 @@ BUCKET_BYTES = 48 << 20
 MAX_BUCKETS = 10_000
 BLOCK_IDS = 1 << 18
 #: Most pieces whose ids a task remembers.
-CACHE = 600_000
+CACHE = 500_000
 
 BLOCK = "shard int, block int, start long, width int, doc_ids array<long>, lengths array<int>, ids binary"
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 LEAF = 64
 #: Most segments whose counts a task remembers.
-CACHE = 2_000_000
+CACHE = 400_000
 #: White space as the pre-tokenizer has it (the Unicode property).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SEGMENT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")

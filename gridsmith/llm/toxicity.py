@@ -7,7 +7,8 @@ documents.  The given labels yield the chain low_quality -> toxic -> severe (tox
 quality); any ordered list of label expressions can be used.
 
 Models are fitted on a bounded sample of labelled documents, ``sample`` of them by a hash of the id;
-a word is a feature if at least ``min_docs`` of them hold it.  All documents are scored whole, in
+a word is a feature if at least ``min_docs`` of them hold it and, for each model, if its
+shares of the two outcomes differ clearly (chosen anew from the documents of each fit).  All documents are scored whole, in
 tasks, with the fitted weights (bounded by the sample) broadcast.
 
 Defined results: a null or wordless text gets the models' intercepts; categories without both
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsmith.llm.common import fresh, plain_words
+from gridsmith.llm.common import CACHED_WORDS, plain_words
 
 #: Categories in chain order and what they are in the label table.
 CHAIN = (("low_quality", "1 - quality"), ("toxic", "toxic"), ("severe", "toxic * (1 - quality)"))
@@ -41,7 +42,9 @@ class Params:
     #: Longest list of words kept of a document of the sample; longer ones are not sampled.
     max_words: int = 20_000
     folds: int = 3
-    penalty: float = 2.0
+    penalty: float = 0.2
+    #: A word is a feature of a model if its shares of the two outcomes differ by so many standard errors.
+    min_z: float = 4.0
     newton: int = 12
     #: Documents whose probability of ``toxic`` reaches this are rejected.
     reject_from: float = 0.5
@@ -54,7 +57,7 @@ def word_counts(data: bytes, known: dict[bytes, int]) -> dict[int, int]:
         for w in words:
             h = known.get(w)
             if h is None:
-                if len(known) > 2_000_000:
+                if len(known) > CACHED_WORDS:
                     known.clear()
                 known[w] = h = zlib.crc32(w)
             out[h] = out.get(h, 0) + 1
@@ -84,7 +87,28 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def telling(x: Rows, y: np.ndarray, p: Params) -> np.ndarray:
+    """Which features are held by far more, or far fewer, documents of one outcome (a test of two shares)."""
+    held, hits = np.bincount(x.col, minlength=x.n_cols), np.bincount(x.col, y[x.row], x.n_cols)
+    n1, q = y.sum(), held / len(y)
+    n0 = len(y) - n1
+    spread = np.sqrt(np.maximum(q * (1 - q) * (1 / max(n1, 1) + 1 / max(n0, 1)), 1e-12))
+    return np.abs(hits / max(n1, 1) - (held - hits) / max(n0, 1)) >= p.min_z * spread
+
+
 def fit(x: Rows, dense: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
+    """Weights of the telling features (the others' are zero) and the dense columns."""
+    keep = telling(x, y, p)
+    pick = keep[x.col]
+    sizes = np.bincount(x.row[pick], minlength=x.n)
+    w = solve(Rows(np.concatenate([[0], np.cumsum(sizes)]), (np.cumsum(keep) - 1)[x.col[pick]], x.val[pick], int(keep.sum())), dense, y, p)
+    out = np.zeros(x.n_cols + dense.shape[1])
+    out[:x.n_cols][keep] = w[:int(keep.sum())]
+    out[x.n_cols:] = w[int(keep.sum()):]
+    return out
+
+
+def solve(x: Rows, dense: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
     """Logistic regression with a ridge penalty (not on the intercept, the first dense column): Newton steps by
     conjugate gradients."""
     w = np.zeros(x.n_cols + dense.shape[1])
@@ -103,6 +127,8 @@ def fit(x: Rows, dense: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
         z = scale * r
         d, rz = z.copy(), float(r @ z)
         for _ in range(20):
+            if rz <= 0:
+                break
             hd = x.back(h * x.dot(d, dense), dense) + ridge * d
             a = rz / float(d @ hd)
             step += a * d
@@ -203,7 +229,7 @@ def probabilities(batches: Iterator[pa.RecordBatch], model: dict, p: Params) ->
         def __missing__(self, w: bytes) -> int:
             h = zlib.crc32(w)
             i = int(np.searchsorted(features, h))
-            if len(self) > 2_000_000:
+            if len(self) > CACHED_WORDS:
                 self.clear()
             self[w] = n = i if i < len(features) and features[i] == h else -1
             return n

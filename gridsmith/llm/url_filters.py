@@ -9,7 +9,7 @@ back to the prior of their domain.  Rules win over the method.
 
 Defined results: a null url or one without ``://`` has an empty host and path, and
 the empty host has a reputation like any other; repeated pages count as often as
-they occur; with no labels at all every prior is flat and nothing is blocked.
+they occur; with no labels at all every host has the assumed rate and nothing is blocked.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br")
 class Params:
     z: float = 1.645
     block_from: float = 0.30
+    #: Bad rate assumed with the weight of one page on top of all labelled ones.
+    prior_rate: float = 0.1
     #: Bounds of the prior strength, in pseudo-pages.
     min_strength: float = 2.0
     max_strength: float = 200.0
@@ -74,7 +76,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, p: Params = Params())
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
     hosts = cut_lineage(with_domain(hosts))
     total = hosts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
-    overall = ((total["k"] or 0) + 0.5) / ((total["n"] or 0) + 1.0)
+    overall = ((total["k"] or 0) + p.prior_rate) / ((total["n"] or 0) + 1.0)
 
     def shrunk(rows: DataFrame) -> DataFrame:
         m = F.lit(strength(rows, p))

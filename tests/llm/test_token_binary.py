@@ -37,21 +37,19 @@ def test_width():
 def test_pieces_are_the_tokenizers_ids(tokenizer, documents):
     texts = [t or "" for t in ODD_TEXTS] + documents.text.tolist() + [
         "<|endoftext|> don't we'll a.b ... x.. y., Ünï İstanbul ǅ ﬁ ½ ² é ​\xa0z\x1cq 'S 'LL ON.\r\n\x0b", "a b\x85c", "ªº. µ,"]
-    pieces = B.Pieces(PATH)
+    pieces = B.Pieces(PATH, 2)
     for _ in range(2):
-        assert [x.tolist() for x in pieces(texts, 2)] == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert [x.tolist() for x in pieces(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=40))
 def test_pieces_on_any_text(text):
-    pieces = B.Pieces.__new__(B.Pieces)
-    pieces.tokenizer, pieces.word_end = SHARED.tokenizer, SHARED.word_end
-    pieces.reset()
-    assert pieces([text], 2)[0].tolist() == SHARED.tokenizer.encode(text, add_special_tokens=False).ids + [2]
+    SHARED.reset()
+    assert SHARED([text, text + "<|endoftext|>"])[0].tolist() == SHARED.tokenizer.encode(text, add_special_tokens=False).ids + [2]
 
 
-SHARED = B.Pieces(PATH)
+SHARED = B.Pieces(PATH, 2)
 
 
 def test_query_against_the_tokenizer(spark, documents, tokenizer):
