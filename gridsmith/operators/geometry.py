@@ -42,8 +42,11 @@ def footprint_edges(scenes: DataFrame, size_deg: float = 2.0) -> DataFrame:
 
 def ring_to_edges(rings: DataFrame, id_col: str = "poly_id") -> DataFrame:
     """``(poly_id, ring ARRAY<ARRAY<DOUBLE>>)`` (GeoJSON coordinate ring,
-    first point repeated last) -> edge table, one row per consecutive vertex
-    pair.  Row-local (no shuffle): the pairs are built inside the array."""
+    first point repeated last; an open ring is closed) -> edge table, one row
+    per consecutive vertex pair.  Row-local (no shuffle): the pairs are built inside the array."""
+    rings = rings.where(F.size("ring") >= 2)
+    rings = rings.withColumn("ring", F.when(F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")).otherwise(
+        F.concat("ring", F.slice("ring", 1, 1))))
     n = F.size("ring")
     pairs = F.transform(F.sequence(F.lit(1), n - 1),
                         lambda i: F.struct(F.element_at("ring", i).alias("a"), F.element_at("ring", i + 1).alias("b")))

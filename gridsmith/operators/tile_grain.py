@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridsmith.operators.focal import tile_halo
 
@@ -46,9 +47,12 @@ def class_counts(tiles: DataFrame, cells: str = "cells", nodata=0, drop_nodata:
             if drop_nodata and nodata is not None:
                 v = v[v != nodata]
             u, c = np.unique(v, return_counts=True)
-            yield pd.DataFrame({"value": u.astype("int64"), "cells": c.astype("int64")})
+            yield pd.DataFrame({"value": u.astype(dtype), "cells": c.astype("int64")})
 
-    p = tiles.select(cells).mapInPandas(partial, "value long, cells long")
+    # Whole-number cells stay whole; fractions are classes of their own.
+    whole = isinstance(tiles.schema[cells].dataType.elementType, T.IntegralType)
+    dtype, kind = ("int64", "long") if whole else ("float64", "double")
+    p = tiles.select(cells).mapInPandas(partial, f"value {kind}, cells long")
     return p.groupBy("value").agg(F.sum("cells").alias("cells"))
 
 

@@ -31,9 +31,17 @@ def cells_to_tiles(cells: DataFrame, n: int, value: str = "value", extra=(), mer
     keyed = cells.select(*extra, tile_of("gx", n).alias("col"), tile_of("gy", n).alias("row"),
                          ((F.col("gy") % n) * n + F.col("gx") % n).alias("pos"), F.col(value).alias("v"))
     per_cell = keyed.groupBy(*extra, "col", "row", "pos").agg(agg("v").alias("v"))
-    tiles = per_cell.groupBy(*extra, "col", "row").agg(F.map_from_entries(F.collect_list(F.struct("pos", "v"))).alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), lambda i: F.col("m")[i])
-    return tiles.select(*extra, "col", "row", dense.alias("cells"))
+    tiles = per_cell.groupBy(*extra, "col", "row").agg(F.collect_list(F.struct("pos", "v")).alias("m"))
+    return tiles.select(*extra, "col", "row", F.transform(_dense(tiles, "m", n), lambda x: x["v"]).alias("cells"))
+
+
+def _dense(tiles: DataFrame, entries: str, n: int) -> F.Column:
+    """The (pos, v) entries of a tile in order of pos, with a null v at each of the n*n positions that has none: a
+    set difference and one sort, so the work is near-linear in n*n."""
+    entry = tiles.schema[entries].dataType.elementType
+    pos, v = entry["pos"].dataType, entry["v"].dataType
+    gaps = F.array_except(F.sequence(F.lit(0).cast(pos), F.lit(n * n - 1).cast(pos)), F.col(entries)["pos"])
+    return F.sort_array(F.concat(entries, F.transform(gaps, lambda i: F.struct(i.alias("pos"), F.lit(None).cast(v).alias("v")))))
 
 
 def extent_to_keys(extents: DataFrame, col_min, col_max, row_min, row_max, keep=()) -> DataFrame:
@@ -51,11 +59,10 @@ def cells_to_band_tiles(cells: DataFrame, n: int, bands: list[str], extra=()) ->
                          ((F.col("gy") % n) * n + F.col("gx") % n).alias("pos"), *bands)
     per_cell = keyed.groupBy(*extra, "col", "row", "pos").agg(*[F.max(b).alias(b) for b in bands])
     tiles = per_cell.groupBy(*extra, "col", "row").agg(
-        F.map_from_entries(F.collect_list(F.struct("pos", F.struct(*bands)))).alias("m"))
-    def dense(band: str):
-        return F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), lambda i: F.col("m")[i][band]).alias(band)
-
-    return tiles.select(*extra, "col", "row", *[dense(b) for b in bands])
+        F.collect_list(F.struct("pos", F.struct(*bands).alias("v"))).alias("m"))
+    tiles = tiles.withColumn("m", _dense(tiles, "m", n))
+    values = tiles.select(*extra, "col", "row", F.transform("m", lambda x: x["v"]).alias("v"))
+    return values.select(*extra, "col", "row", *[F.col("v")[b].alias(b) for b in bands])
 
 
 def band_tiles_to_cells(tiles: DataFrame, n: int, bands: list[str], keys=("col", "row"), extra=()) -> DataFrame:

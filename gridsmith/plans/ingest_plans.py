@@ -16,7 +16,7 @@ from gridsmith.plans.registry import r6, register
 from gridsmith.sources import fixtures as fx
 
 # The imagery bounds rectangle (lon/lat degrees).
-BOUNDS = (-130.6, 21.9, -63.5, 51.7)
+BOUNDS = (-130.60546875, 21.94304553343818, -63.54492187500001, 51.72702815704774)
 SEARCH_FROM, SEARCH_TO = dt.datetime(1998, 1, 1), dt.datetime(1998, 12, 1)
 SEARCH_BBOX = (-110.0, 30.0, -80.0, 45.0)
 MAX_CLOUD = 10

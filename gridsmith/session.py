@@ -36,11 +36,16 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "gridsmith", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the library's defaults.  Without ``master`` and ``shuffle_partitions`` the cluster's (or
+    spark-submit's) own settings hold; plain Python then runs on local[*]."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -62,6 +67,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and sc.getCheckpointDir():
         base = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
+    if not base and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="gridsmith-ckpt-")
     if sc.getCheckpointDir() is None:

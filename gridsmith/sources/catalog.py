@@ -9,6 +9,7 @@ skip files for spatial queries.  ``layer_meta`` rows are kept in
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,26 +154,38 @@ def upsert_layer(new: DataFrame, root: str, layer: str, zoom: int, tile_size: in
                  cell_type: str = "int32", nodata=0) -> None:
     """Create the layer, or write the new rows over existing keys and merge
     the metadata (A10).  Old and new rows are unioned with a batch tag and
-    the newest batch wins per key (``max_by``, partial-aggregated).  The
-    merged result is checkpointed to the shared folder before it replaces
-    the partition it was read from."""
+    the newest batch wins per key (``max_by``, partial-aggregated); of rows
+    with one key in one batch the one with the largest hash of its values
+    wins, on the create path too.  The merged result is checkpointed to the
+    shared folder before it replaces the partition it was read from, and the
+    metadata's count is taken from what is stored, so a replay changes
+    nothing.  Only a missing catalog counts as none: any other error on
+    reading the metadata is raised, never taken as leave to overwrite."""
     spark = new.sparkSession
     try:
         old_meta = read_meta(spark, root).where((F.col("layer") == layer) & (F.col("zoom") == zoom))
         exists = old_meta.limit(1).count() > 0
-    except Exception:  # noqa: BLE001 — no catalog yet
-        exists = False
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        exists = False  # no catalog yet
+    vals = [c for c in new.columns if c not in keys]
+
+    def one_per_key(rows: DataFrame) -> DataFrame:
+        order = F.struct("_batch", F.xxhash64(*vals)) if vals else F.struct("_batch")
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*vals, "_batch"), order).alias("_v")).select(*keys, "_v.*").drop("_batch")
+
     if not exists:
-        write_layer(new, root, layer, zoom, tile_size, cell_type, nodata)
+        write_layer(cut_lineage(one_per_key(new.withColumn("_batch", F.lit(1)))), root, layer, zoom, tile_size, cell_type, nodata)
         return
     months = None
     if "instant" in new.columns:
         # The months this batch touches: a handful of values, not data.
         months = [r[0] for r in new.select(time_bucket("instant")).distinct().collect()]
     old = read_layer(spark, root, layer, zoom, months)
-    vals = [c for c in new.columns if c not in keys]
     u = old.select(*keys, *vals, F.lit(0).alias("_batch")).unionByName(new.select(*keys, *vals, F.lit(1).alias("_batch")))
-    merged = u.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("_batch")).alias("_v")).select(*keys, "_v.*")
-    merged = cut_lineage(merged)
+    merged = cut_lineage(one_per_key(u))
+    untouched = 0 if months is None else read_layer(spark, root, layer, zoom).where(~time_bucket("instant").isin(months)).count()
     meta = merge_meta(cut_lineage(old_meta), layer_meta(new, layer, zoom, tile_size, cell_type, nodata))
+    meta = meta.withColumn("cells", F.lit(untouched + merged.count()))
     write_layer(merged, root, layer, zoom, tile_size, cell_type, nodata, meta=meta.select(*META_COLS))

@@ -26,14 +26,9 @@ def read_scene_csv(spark: SparkSession, path: str) -> DataFrame:
             .option("timestampNTZFormat", SCENE_TIME_FORMAT).option("mode", "FAILFAST").csv(path))
 
 
-GEOJSON_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("features", T.ArrayType(T.StructType([
-        T.StructField("type", T.StringType()),
-        T.StructField("geometry", T.StructType([
-            T.StructField("type", T.StringType()),
-            T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))]))])))])
+#: Geometries are kept as JSON text and parsed by their type.
+GEOJSON_SCHEMA = "id string, type string, geometry string, coordinates string, features array<struct<id:string,geometry:string>>"
+_RINGS = "array<array<array<double>>>"
 
 
 def write_geojson(edges_rings: DataFrame, path: str) -> None:
@@ -46,10 +41,19 @@ def write_geojson(edges_rings: DataFrame, path: str) -> None:
     fc.write.mode("overwrite").json(path)
 
 
-def read_geojson_polygons(spark: SparkSession, path: str) -> DataFrame:
-    """First feature's outer ring of each collection -> edge table (A4)."""
-    fc = spark.read.schema(GEOJSON_SCHEMA).json(path)
-    geom = F.element_at("features", 1)["geometry"]
-    rings = fc.where(geom["type"] == "Polygon").select(F.col("id").alias("poly_id"),
-                                                       F.element_at(geom["coordinates"], 1).alias("ring"))
+def read_geojson_polygons(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Polygons of GeoJSON files -> edge table (A4): FeatureCollections (their first feature), Features and bare
+    geometries, one per line, or one per file over several lines with ``multi_line``.  Every ring of a Polygon or MultiPolygon
+    gives edges; inside and outside follow by the even-odd rule, so holes and parts need no marks.  ``poly_id`` is the
+    collection's id, else the feature's, else "0"."""
+    raw = spark.read.option("multiLine", multi_line).schema(GEOJSON_SCHEMA).json(path)
+    bare = F.to_json(F.struct("type", "coordinates"))
+    one = lambda i, g: F.struct(i.alias("id"), g.alias("geometry"))
+    shapes = F.when(F.col("features").isNotNull(), F.transform(F.slice("features", 1, 1), lambda f: one(F.coalesce(F.col("id"), f["id"]), f["geometry"]))) \
+        .when(F.col("geometry").isNotNull(), F.array(one(F.col("id"), F.col("geometry")))) \
+        .otherwise(F.array(one(F.col("id"), bare)))
+    g = raw.select(F.explode(shapes).alias("g")).select(F.coalesce("g.id", F.lit("0")).alias("poly_id"), "g.geometry")
+    kind, at = F.get_json_object("geometry", "$.type"), F.get_json_object("geometry", "$.coordinates")
+    parts = F.when(kind == "Polygon", F.array(F.from_json(at, _RINGS))).when(kind == "MultiPolygon", F.from_json(at, f"array<{_RINGS}>"))
+    rings = g.select("poly_id", F.explode(F.flatten(parts)).alias("ring"))
     return ring_to_edges(rings, "poly_id")
