@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 
 from gridsmith.llm.common import by_size, fresh, id_bounds, with_bucket
 
-BUCKET_BYTES = 48 << 20
+BUCKET_BYTES = 20 << 20
 MAX_BUCKETS = 10_000
 BLOCK_IDS = 1 << 18
 #: Most pieces whose ids a task remembers.
-CACHE = 500_000
+CACHE = 250_000
 
 BLOCK = "shard int, block int, start long, width int, doc_ids array<long>, lengths array<int>, ids binary"
 
