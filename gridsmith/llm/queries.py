@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridsmith.llm import (decontaminate, fingerprints, language_id, license_scan, mixing, simhash_dedup, token_binary,
                            token_counts, toxicity, url_filters)
-from gridsmith.llm.common import small_batches
+from gridsmith.llm.common import LOWER, UPPER, small_batches
 from gridsmith.session import shared_dir
 from gridsmith.sources.tables import read_table
 
@@ -100,4 +100,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: boun
     op1_url_filters, op2_language_id, op3_simhash_dedup, op4_token_counts, op5_benchmark_decontamination,
     op6_document_fingerprints, op7_source_mixing, op8_token_binary, op9_license_scan, op10_toxicity)}
 
-ORACLE_SQL: dict[str, str] = {}
+URL_PARTS_SQL = r"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', {})"
+
+
+def shrunk_sql(name: str, rows: str, p: url_filters.Params) -> str:
+    """CTEs ``name``: ``rows`` (n, k, prior and more) with the posterior mean and sd under the estimated strength."""
+    return f"""
+    {name}_rows AS ({rows}),
+    {name}_sums AS (SELECT sum(n * pow(k / n - prior, 2)) AS s, sum(prior * (1 - prior)) AS v, sum(prior * (1 - prior) * (n - 1)) AS w
+                    FROM {name}_rows WHERE n > 0),
+    {name}_m AS (SELECT CASE WHEN s IS NULL OR coalesce(w, 0) = 0 OR (s - v) / w <= 0 THEN {p.max_strength}
+                        ELSE least({p.max_strength}, greatest({p.min_strength}, w / (s - v) - 1)) END AS m FROM {name}_sums),
+    {name}_ab AS (SELECT r.*, k + m * prior AS a, n - k + m * (1 - prior) AS b FROM {name}_rows r, {name}_m),
+    {name} AS (SELECT *, a / (a + b) AS mean, sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS sd FROM {name}_ab)"""
+
+
+def op1_sql(p: url_filters.Params = url_filters.Params()) -> str:
+    two = ", ".join(f"'{x}'" for x in url_filters.TWO_LABEL_SUFFIXES)
+    rules = ", ".join(f"('{r}', '{r.split('/')[0]}', '{r[r.index('/'):]}', '{v}')" for r, v in RULES)
+    last = lambda n: f"array_to_string(string_split(host, '.')[-{n}:], '.')"
+    return f"""
+    WITH outcome AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+                     FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+    page AS (SELECT page_id, translate({URL_PARTS_SQL.format(1)}, '{UPPER}', '{LOWER}') AS host, {URL_PARTS_SQL.format(2)} AS path
+             FROM pages),
+    counted AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS k FROM page LEFT JOIN outcome USING (page_id) GROUP BY 1),
+    host AS (SELECT *, CASE WHEN {last(2)} IN ({two}) THEN {last(2)} ELSE {last(1)} END AS suffix,
+                    CASE WHEN {last(2)} IN ({two}) THEN {last(3)} ELSE {last(2)} END AS domain FROM counted),
+    overall AS (SELECT (coalesce(sum(k), 0) + {p.prior_rate}) / (coalesce(sum(n), 0) + 1.0) AS prior FROM host),
+    {shrunk_sql("suffixes", "SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT prior FROM overall) AS prior FROM host GROUP BY 1", p)},
+    {shrunk_sql("domains", "SELECT d.*, s.mean AS prior FROM (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM host GROUP BY 1, 2) d JOIN suffixes s USING (suffix)", p)},
+    {shrunk_sql("hosts", "SELECT h.*, d.mean AS prior FROM host h JOIN domains d USING (suffix, domain)", p)},
+    rule(rule, top, below, verdict) AS (VALUES {rules}),
+    best AS (SELECT x.host, x.path, max({{'n': length(rule), 'v': verdict, 'r': rule}}) AS best
+             FROM (SELECT DISTINCT host, path FROM page) x
+             JOIN rule ON (x.host = top OR ends_with(x.host, '.' || top)) AND starts_with(x.path, below) GROUP BY 1, 2)
+    SELECT page_id, host, path, best.r AS rule,
+           coalesce(best.v, CASE WHEN mean - {p.z} * sd >= {p.block_from} THEN 'block' ELSE 'allow' END) AS verdict,
+           n::BIGINT AS n_labelled, k::BIGINT AS n_bad, round(mean, 6) AS bad_rate, round(mean - {p.z} * sd, 6) AS bad_rate_bound
+    FROM page JOIN hosts USING (host) LEFT JOIN best USING (host, path)"""
+
+
+#: SQL has no XXH64, tokenizer, automaton or learned model: the other operators are held against brute force in tests/llm.
+ORACLE_SQL: dict[str, str] = {"op1_url_filters": op1_sql()}

@@ -24,6 +24,9 @@ from gridsmith.session import cut_lineage
 
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
+#: A host with more than one in HOT_SHARE of all pages (so fewer than HOT_SHARE hosts) is joined in SALTS parts.
+HOT_SHARE, SALTS = 1000, 64
+
 #: Suffixes of two labels under which hosts are registered; all others are the last label.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br")
 
@@ -66,14 +69,14 @@ def strength(rows: DataFrame, p: Params) -> float:
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, p: Params = Params()) -> DataFrame:
-    """One row per host of ``pages`` (page_id, host): n, k, mean, bound.  ``outcomes``: (page_id, bad 0/1).
+    """One row per host of ``pages`` (page_id, host): pages, n, k, mean, bound.  ``outcomes``: (page_id, bad 0/1).
 
     Hosts are counted in one partial aggregate, so a hot host is collapsed before the shuffle; domains and
     suffixes are sums over the host table, which is cut from its lineage once.
     """
     bad = outcomes.where("page_id is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
     hosts = pages.join(bad, "page_id", "left").groupBy("host").agg(
-        F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
+        F.count("*").alias("pages"), F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
     hosts = cut_lineage(with_domain(hosts))
     total = hosts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     overall = ((total["k"] or 0) + p.prior_rate) / ((total["n"] or 0) + 1.0)
@@ -88,7 +91,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, p: Params = Params())
     domains = shrunk(hosts.groupBy("suffix", "domain").agg(*counts)
                      .join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix"))
     result = shrunk(hosts.join(domains.select("suffix", "domain", F.col("mean").alias("prior")), ["suffix", "domain"]))
-    return result.select("host", "domain", "suffix", "n", "k", "mean", (F.col("mean") - p.z * F.col("sd")).alias("bound"))
+    return result.select("host", "domain", "suffix", "pages", "n", "k", "mean", (F.col("mean") - p.z * F.col("sd")).alias("bound"))
 
 
 def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
@@ -104,11 +107,18 @@ def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, reputation: DataFrame, rules: DataFrame, p: Params = Params()) -> DataFrame:
     """Rows (page_id, host, path) with ``rule`` (the longest that fits, else null), ``verdict`` and the host's figures.
-    Equal rules with two verdicts: block wins."""
+    Equal rules with two verdicts: block wins.  Pages of hot hosts are dealt to ``SALTS`` tasks; the list of hot
+    hosts has fewer than ``HOT_SHARE`` names."""
     known = reputation.join(rules_by_host(reputation.select("host"), rules), "host", "left")
+    total = reputation.agg(F.sum("pages")).first()[0] or 0
+    hot = [r.host for r in reputation.where(F.col("pages") * HOT_SHARE > total).select("host").collect()]
+    part = F.when(F.col("host").isin(hot), F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS))).otherwise(F.lit(0)).cast("long")
+    parts = F.when(F.col("host").isin(hot), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    pages = pages.withColumn("part", part)
+    known = known.withColumn("part", F.explode(parts))
     fit = F.filter(F.col("fitting"), lambda x: F.col("path").startswith(x["p"]))
     best = F.array_max(F.transform(fit, lambda x: F.struct(x["n"], x["v"], x["r"])))
-    return (pages.join(known, "host", "left").withColumn("best", best)
+    return (pages.join(known, ["host", "part"], "left").withColumn("best", best)
             .select("page_id", "host", "path", F.col("best.r").alias("rule"),
                     F.coalesce("best.v", F.when(F.col("bound") >= p.block_from, "block").otherwise("allow")).alias("verdict"),
                     F.col("n").alias("n_labelled"), F.col("k").alias("n_bad"), F.round("mean", 6).alias("bad_rate"),
@@ -119,4 +129,4 @@ def url_filter(pages: DataFrame, outcomes: DataFrame, rules: DataFrame, p: Param
     """Judge every page of ``pages`` (page_id, url); see the module."""
     host, path = split_url(F.col("url"))
     pages = pages.select("page_id", host.alias("host"), path.alias("path"))
-    return judge(pages, host_reputation(pages.select("page_id", "host"), outcomes, p), rules, p)
+    return judge(pages, cut_lineage(host_reputation(pages.select("page_id", "host"), outcomes, p)), rules, p)

@@ -49,6 +49,30 @@ def test_reputation_blocks_bad_hosts_and_shrinks(spark):
     assert rows["new.a.com"].bad_rate > rows["good.b.com"].bad_rate  # from its domain
 
 
+def test_hot_hosts_are_split_without_a_change(spark, monkeypatch):
+    pages = spark.createDataFrame([(i % 50, f"http://{'hot' if i % 3 else f'h{i % 40}'}.com/{i}") for i in range(600)] * 2
+                                  + [(None, None), (None, "http://hot.com/")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "page_id long, bad int")
+    rules = spark.createDataFrame(list(Q.RULES), "rule string, verdict string")
+    got = []
+    for share in (10**9, 4, 0):  # all hosts are hot, one is, none is
+        monkeypatch.setattr(U, "HOT_SHARE", share)
+        got.append(sorted(map(repr, U.url_filter(pages, labels, rules).collect())))
+    assert len(got[0]) == 1202 and got[0] == got[1] == got[2]
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_url_filter_equals_sql(spark, sf):
+    import duckdb
+    con, folder = duckdb.connect(), f"/root/testdata/sf{sf}"
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    df = Q.op1_url_filters(spark, folder)
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({Q.ORACLE_SQL['op1_url_filters']})").fetchall()
+    figures = lambda r: (*r[:-2], *(round(x, 5) for x in r[-2:]))
+    assert sorted(map(repr, map(figures, want))) == sorted(repr(figures(tuple(r))) for r in df.collect())
+
+
 # -- 2: language id ----------------------------------------------------------------------------------------------
 
 def test_language_id_accuracy_on_held_out_rows(spark, documents):
