@@ -19,14 +19,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gridsmith.llm.common import SLICE_BYTES, by_size
+
 LEAF = 64
 #: Most segments whose counts a task remembers.
-CACHE = 400_000
+CACHE = 100_000
+#: Up to this many new segments are encoded one by one: an edit brings one or two, too few for a run.
+FEW = 8
 #: White space as the pre-tokenizer has it (the Unicode property).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SEGMENT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -37,7 +42,7 @@ EDITS = "array<struct<start:int,length:int,insert:string>>"
 
 
 class SegmentCounter(dict):
-    """Tokens by segment; new segments are encoded many at a time, joined where the cut between them holds."""
+    """Tokens by segment; new segments are encoded in runs, joined where the cut between them holds."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -45,26 +50,30 @@ class SegmentCounter(dict):
         self.tokenizer.encode_special_tokens = True
 
     def learn(self, segments) -> None:
-        new = [s for s in dict.fromkeys(segments) if s not in self]
+        segments = dict.fromkeys(segments)
+        new = [s for s in segments if s not in self]
         if len(self) + len(new) > CACHE:
             self.clear()
-            new = list(dict.fromkeys(segments))
-        alone = [s for s in new if not JOINABLE.fullmatch(s)]
-        for s, e in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False)):
-            self[s] = len(e)
-        joined = [s for s in new if s not in self]
-        runs = [joined[i:i + 512] for i in range(0, len(joined), 512)]
-        for run, e in zip(runs, self.tokenizer.encode_batch(["".join(r) for r in runs], add_special_tokens=False)):
+            new = list(segments)
+        alone, joined = ([], []) if len(new) > FEW else (new, [])
+        if alone is not new:
+            for s, joins in zip(new, map(JOINABLE.fullmatch, new)):
+                (joined if joins else alone).append(s)
+        for s in alone:
+            self[s] = len(self.tokenizer.encode(s, add_special_tokens=False))
+        for i in range(0, len(joined), 512):  # one run at a time: an encoding takes some hundred bytes a token
+            run = joined[i:i + 512]
+            e = self.tokenizer.encode("".join(run), add_special_tokens=False)
             starts = np.cumsum([0, *map(len, run)])
             at = np.searchsorted(starts, np.fromiter((o[0] for o in e.offsets), np.int64, len(e)), "right") - 1
             self.update(zip(run, np.bincount(at, minlength=len(run)).tolist()))
 
     def counts(self, segments: list[str]) -> list[int]:
         try:
-            return [self[s] for s in segments]
+            return list(map(self.__getitem__, segments))
         except KeyError:
             self.learn(segments)
-            return [self[s] for s in segments]
+            return list(map(self.__getitem__, segments))
 
 
 class Tree:
@@ -146,11 +155,10 @@ def build_trees(docs: DataFrame, vocabulary: str, *keep: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = SegmentCounter(vocabulary)
         for whole in batches:
-            for a in range(0, whole.num_rows, 256):
-                b = whole.slice(a, 256)
+            for b in by_size(whole, "text", SLICE_BYTES // 2):
                 segs = [SEGMENT.findall(t or "") for t in b.column("text").to_pylist()]
-                counter.learn(s for one in segs for s in one)
-                trees = [Tree([len(s) for s in one], counter.counts(one)) for one in segs]
+                counter.learn(chain.from_iterable(segs))
+                trees = [Tree(list(map(len, one)), counter.counts(one)) for one in segs]
                 yield pa.RecordBatch.from_arrays([*b.columns, *tree_columns(trees)], [*b.schema.names, *TREE_NAMES])
 
     return docs.select(*keep, "text").mapInArrow(run, out)
@@ -159,12 +167,22 @@ def build_trees(docs: DataFrame, vocabulary: str, *keep: str) -> DataFrame:
 TREE_NAMES = [x.split()[0] for x in TREE.split(", ")]
 
 
+def as_lists(rows: list[list[int]], kind: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(rows)), kind))
+
+
 def tree_columns(trees: list[Tree]) -> list[pa.Array]:
-    flat = lambda v: [x for c in v for x in c]
-    i32, i64 = pa.list_(pa.int32()), pa.list_(pa.int64())
-    return [pa.array([flat(t.chars) for t in trees], i32), pa.array([flat(t.tokens) for t in trees], i32),
-            pa.array([[len(c) for c in t.chars] for t in trees], i32),
-            pa.array([t.node_chars for t in trees], i64), pa.array([t.node_tokens for t in trees], i64)]
+    flat = lambda v: list(chain.from_iterable(v))
+    return [as_lists([flat(t.chars) for t in trees], pa.int32()), as_lists([flat(t.tokens) for t in trees], pa.int32()),
+            as_lists([list(map(len, t.chars)) for t in trees], pa.int32()),
+            as_lists([t.node_chars for t in trees], pa.int64()), as_lists([t.node_tokens for t in trees], pa.int64())]
+
+
+def read_lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """The rows of a column of lists, read from its values at once (a call per value takes most of the time)."""
+    values, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()])
+    return (values[a:b].tolist() for a, b in zip(ends, ends[1:]))
 
 
 def apply_edits(trees: DataFrame, vocabulary: str, edits: str, *keep: str) -> DataFrame:
@@ -177,10 +195,10 @@ def apply_edits(trees: DataFrame, vocabulary: str, edits: str, *keep: str) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = SegmentCounter(vocabulary)
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                b = whole.slice(lo, 256)
+            for b in by_size(whole, "text", SLICE_BYTES // 2):
                 made, texts, figures = [], [], []
-                for text, es, *cols in zip(*(b.column(c).to_pylist() for c in ("text", edits, *TREE_NAMES))):
+                for text, es, *cols in zip(b.column("text").to_pylist(), b.column(edits).to_pylist(),
+                                                 *(read_lists(b.column(c)) for c in TREE_NAMES)):
                     tree, text = Tree(*cols[:3], cols[3:]), text or ""
                     before, encoded = tree.node_tokens[1], 0
                     for e in es or []:
