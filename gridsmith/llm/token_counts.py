@@ -29,7 +29,7 @@ from gridsmith.llm.common import SLICE_BYTES, by_size
 
 LEAF = 64
 #: Most segments whose counts a task remembers.
-CACHE = 100_000
+CACHE = 400_000
 #: Up to this many new segments are encoded one by one: an edit brings one or two, too few for a run.
 FEW = 8
 #: White space as the pre-tokenizer has it (the Unicode property).
