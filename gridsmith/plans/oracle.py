@@ -6,6 +6,8 @@ pre-registered table views; the fixtures are CTEs prefixed with ``with_ctes``.
 
 from __future__ import annotations
 
+from gridsmith.sources.fixtures import CROP_LABELS
+
 F1 = """landsat as (
 select date_trunc('quarter', l_shipdate) as instant,
        l_partkey % 32 as gx, l_orderkey % 32 as gy,
@@ -47,20 +49,9 @@ select poly_id::integer as poly_id, x1::double as x1, y1::double as y1, x2::doub
  (3, 12.0, 12.0, 20.0, 12.0), (3, 20.0, 12.0, 20.0, 20.0), (3, 20.0, 20.0, 12.0, 20.0), (3, 12.0, 20.0, 12.0, 12.0)
 ) t(poly_id, x1, y1, x2, y2))"""
 
-F7 = """crop_labels as (
-select code::integer as code, name, is_crop, rgba from (values
- (0, 'Background', false, cast(null as bigint)),
- (1, 'Corn', true, cast(4292018431 as bigint)),
- (2, 'Cotton', true, cast(4280690431 as bigint)),
- (5, 'Soybeans', true, cast(644874495 as bigint)),
- (11, 'Tobacco', true, cast(11488511 as bigint)),
- (21, 'Barley', true, cast(3791682815 as bigint)),
- (24, 'Winter Wheat', true, cast(2775580927 as bigint)),
- (26, 'Dbl Crop WinWht/Soybeans', false, cast(1886388479 as bigint)),
- (36, 'Alfalfa', true, cast(4289061631 as bigint)),
- (42, 'Dry Beans', true, cast(2768240895 as bigint)),
- (50, 'Cucumbers', true, cast(4284901119 as bigint))
-) t(code, name, is_crop, rgba))"""
+F7 = "crop_labels as (\nselect code::integer as code, name, is_crop, rgba::bigint as rgba from (values\n " + ",\n ".join(
+    "(%d, %s, %s, %s)" % (code, "null" if name is None else f"'{name}'", str(crop).lower(), "null" if rgba is None else rgba)
+    for code, name, crop, rgba in CROP_LABELS) + "\n) t(code, name, is_crop, rgba))"
 
 # Brute-force even-odd polygon test: every cell against every edge.
 INSIDE = """inside as (

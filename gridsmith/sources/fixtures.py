@@ -110,19 +110,144 @@ AOI_EDGES = [
 EDGE_SCHEMA = T.StructType([T.StructField("poly_id", T.IntegerType()),
                             *[T.StructField(c, T.DoubleType()) for c in ("x1", "y1", "x2", "y2")]])
 
-# A subset of the crop-code lookup (code, name, is_crop, rgba 0xRRGGBBAA).
+# The crop-code lookup as published with the crop layer (code, name, is_crop, rgba 0xRRGGBBAA).
+# Code 0 has no colour; 251 to 253 have a colour and no name.
 CROP_LABELS = [
     (0, "Background", False, None),
-    (1, "Corn", True, 4292018431),
-    (2, "Cotton", True, 4280690431),
-    (5, "Soybeans", True, 644874495),
-    (11, "Tobacco", True, 11488511),
-    (21, "Barley", True, 3791682815),
-    (24, "Winter Wheat", True, 2775580927),
-    (26, "Dbl Crop WinWht/Soybeans", False, 1886388479),
-    (36, "Alfalfa", True, 4289061631),
-    (42, "Dry Beans", True, 2768240895),
-    (50, "Cucumbers", True, 4284901119),
+    (1, "Corn", True, 0xffd300ff),
+    (2, "Cotton", True, 0xff2626ff),
+    (3, "Rice", True, 0x00a8e5ff),
+    (4, "Sorghum", True, 0xff9e0cff),
+    (5, "Soybeans", True, 0x267000ff),
+    (6, "Sunflower", True, 0xffff00ff),
+    (10, "Peanuts", True, 0x70a500ff),
+    (11, "Tobacco", True, 0x00af4cff),
+    (12, "Sweet Corn", True, 0xdda50cff),
+    (13, "Pop or Orn Corn", True, 0xdda50cff),
+    (14, "Mint", True, 0x7fd3ffff),
+    (21, "Barley", True, 0xe2007cff),
+    (22, "Durum Wheat", True, 0x896354ff),
+    (23, "Spring Wheat", True, 0xd8b56bff),
+    (24, "Winter Wheat", True, 0xa57000ff),
+    (25, "Other Small Grains", True, 0xd69ebcff),
+    (26, "Dbl Crop WinWht/Soybeans", False, 0x707000ff),
+    (27, "Rye", True, 0xad007cff),
+    (28, "Oats", True, 0xa05989ff),
+    (29, "Millet", True, 0x700049ff),
+    (30, "Speltz", True, 0xd69ebcff),
+    (31, "Canola", True, 0xd1ff00ff),
+    (32, "Flaxseed", True, 0x7f99ffff),
+    (33, "Safflower", True, 0xd6d600ff),
+    (34, "Rape Seed", True, 0xd1ff00ff),
+    (35, "Mustard", True, 0x00af4cff),
+    (36, "Alfalfa", True, 0xffa5e2ff),
+    (37, "Other Hay/Non Alfalfa", True, 0xa5f28cff),
+    (38, "Camelina", True, 0x00af4cff),
+    (39, "Buckwheat", True, 0xd69ebcff),
+    (41, "Sugarbeets", True, 0xa800e5ff),
+    (42, "Dry Beans", True, 0xa50000ff),
+    (43, "Potatoes", True, 0x702600ff),
+    (44, "Other Crops", True, 0x00af4cff),
+    (45, "Sugarcane", True, 0xb27fffff),
+    (46, "Sweet Potatoes", True, 0x702600ff),
+    (47, "Misc Vegs & Fruits", True, 0xff6666ff),
+    (48, "Watermelons", True, 0xff6666ff),
+    (49, "Onions", True, 0xffcc66ff),
+    (50, "Cucumbers", True, 0xff6666ff),
+    (51, "Chick Peas", True, 0x00af4cff),
+    (52, "Lentils", True, 0x00ddafff),
+    (53, "Peas", True, 0x54ff00ff),
+    (54, "Tomatoes", True, 0xf2a377ff),
+    (55, "Caneberries", True, 0xff6666ff),
+    (56, "Hops", True, 0x00af4cff),
+    (57, "Herbs", True, 0x7fd3ffff),
+    (58, "Clover/Wildflowers", True, 0xe8bfffff),
+    (59, "Sod/Grass Seed", False, 0xafffddff),
+    (60, "Switchgrass", False, 0x00af4cff),
+    (61, "Fallow/Idle Cropland", False, 0xbfbf77ff),
+    (63, "Forest", False, 0x93cc93ff),
+    (64, "Shrubland", False, 0xc6d69eff),
+    (65, "Barren", False, 0xccbfa3ff),
+    (66, "Cherries", True, 0xff00ffff),
+    (67, "Peaches", True, 0xff8eaaff),
+    (68, "Apples", True, 0xba004fff),
+    (69, "Grapes", True, 0x704489ff),
+    (70, "Christmas Trees", False, 0x007777ff),
+    (71, "Other Tree Crops", False, 0xb29b70ff),
+    (72, "Citrus", False, 0xffff7fff),
+    (74, "Pecans", True, 0xb5705bff),
+    (75, "Almonds", True, 0x00a582ff),
+    (76, "Walnuts", True, 0xead6afff),
+    (77, "Pears", True, 0xb29b70ff),
+    (81, "Clouds/No Data", False, 0xf2f2f2ff),
+    (82, "Developed", False, 0x9b9b9bff),
+    (83, "Water", False, 0x4c70a3ff),
+    (87, "Wetlands", False, 0x7fb2b2ff),
+    (88, "Nonag/Undefined", False, 0xe8ffbfff),
+    (92, "Aquaculture", False, 0x00ffffff),
+    (111, "Open Water", False, 0x4c70a3ff),
+    (112, "Perennial Ice/Snow ", False, 0xd3e2f9ff),
+    (121, "Developed/Open Space", False, 0x9b9b9bff),
+    (122, "Developed/Low Intensity", False, 0x9b9b9bff),
+    (123, "Developed/Med Intensity", False, 0x9b9b9bff),
+    (124, "Developed/High Intensity", False, 0x9b9b9bff),
+    (131, "Barren", False, 0xccbfa3ff),
+    (141, "Deciduous Forest", False, 0x93cc93ff),
+    (142, "Evergreen Forest", False, 0x93cc93ff),
+    (143, "Mixed Forest", False, 0x93cc93ff),
+    (152, "Shrubland", False, 0xc6d69eff),
+    (176, "Grassland/Pasture", False, 0xe8ffbfff),
+    (190, "Woody Wetlands", False, 0x7fb2b2ff),
+    (195, "Herbaceous Wetlands", False, 0x7fb2b2ff),
+    (204, "Pistachios", True, 0x00ff8cff),
+    (205, "Triticale", True, 0xd69ebcff),
+    (206, "Carrots", True, 0xff6666ff),
+    (207, "Asparagus", True, 0xff6666ff),
+    (208, "Garlic", True, 0xff6666ff),
+    (209, "Cantaloupes", True, 0xff6666ff),
+    (210, "Prunes", True, 0xff8eaaff),
+    (211, "Olives", True, 0x334933ff),
+    (212, "Oranges", True, 0xe57026ff),
+    (213, "Honeydew Melons", True, 0xff6666ff),
+    (214, "Broccoli", True, 0xff6666ff),
+    (216, "Peppers", True, 0xff6666ff),
+    (217, "Pomegranates", True, 0xb29b70ff),
+    (218, "Nectarines", True, 0xff8eaaff),
+    (219, "Greens", True, 0xff6666ff),
+    (220, "Plums", True, 0xff8eaaff),
+    (221, "Strawberries", True, 0xff6666ff),
+    (222, "Squash", True, 0xff6666ff),
+    (223, "Apricots", True, 0xff8eaaff),
+    (224, "Vetch", True, 0x00af4cff),
+    (225, "Dbl Crop WinWht/Corn", False, 0xffd300ff),
+    (226, "Dbl Crop Oats/Corn", False, 0xffd300ff),
+    (227, "Lettuce", True, 0xff6666ff),
+    (229, "Pumpkins", True, 0xff6666ff),
+    (230, "Dbl Crop Lettuce/Durum Wht", False, 0x896354ff),
+    (231, "Dbl Crop Lettuce/Cantaloupe", False, 0xff6666ff),
+    (232, "Dbl Crop Lettuce/Cotton", False, 0xff2626ff),
+    (233, "Dbl Crop Lettuce/Barley", False, 0xe2007cff),
+    (234, "Dbl Crop Durum Wht/Sorghum", False, 0xff9e0cff),
+    (235, "Dbl Crop Barley/Sorghum", False, 0xff9e0cff),
+    (236, "Dbl Crop WinWht/Sorghum", False, 0xa57000ff),
+    (237, "Dbl Crop Barley/Corn", False, 0xffd300ff),
+    (238, "Dbl Crop WinWht/Cotton", False, 0xa57000ff),
+    (239, "Dbl Crop Soybeans/Cotton", False, 0x267000ff),
+    (240, "Dbl Crop Soybeans/Oats", False, 0x267000ff),
+    (241, "Dbl Crop Corn/Soybeans", False, 0xffd300ff),
+    (242, "Blueberries", True, 0x000099ff),
+    (243, "Cabbage", True, 0xff6666ff),
+    (244, "Cauliflower", True, 0xff6666ff),
+    (245, "Celery", True, 0xff6666ff),
+    (246, "Radishes", True, 0xff6666ff),
+    (247, "Turnips", True, 0xff6666ff),
+    (248, "Eggplants", True, 0xff6666ff),
+    (249, "Gourds", True, 0xff6666ff),
+    (250, "Cranberries", True, 0xff6666ff),
+    (251, None, False, 0xffd300ff),
+    (252, None, False, 0x267000ff),
+    (253, None, False, 0xa57000ff),
+    (254, "Dbl Crop Barley/Soybeans", False, 0x267000ff),
 ]
 LABEL_SCHEMA = T.StructType([T.StructField("code", T.IntegerType()), T.StructField("name", T.StringType()),
                              T.StructField("is_crop", T.BooleanType()), T.StructField("rgba", T.LongType())])
