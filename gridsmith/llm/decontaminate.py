@@ -6,23 +6,24 @@ step j it writes the symbol under its pointer and moves on by r_j(symbol), a ran
 bit; few edits in the input become few differing places in the output with good
 probability, as walks that got out of step fall back into step.
 
-Every word of every document starts a window.  Windows are as long as the item they are
-compared with: items are put into classes by length (powers of two), and a class samples
-output places that lie within its shortest item.  A repetition has its own walk; for each
-class it samples ``samples`` places, and a window that agrees with an item in all of them
-is a candidate.  Walks of neighbouring windows that meet go on as one (they are the same
-from there on), which keeps the work near-linear.  ``repetitions`` follows from the target
-recall.  A verbatim passage agrees in every repetition.
+Every word of every document and every word of every item starts a walk of ``SPAN`` steps; an
+item is thus sampled all over, however long it is.  A repetition has its own walk and samples
+``samples`` places of it; where a document's walk agrees with one of an item in all of them,
+the stretch of the document that the item would fill is a candidate.  ``repetitions`` follows
+from the target recall and a hit rate measured for the item's length.  Items under
+``STRAIGHT`` words have few walks: their walks move at every step, over as many words (four
+at most) as some run of the item must keep unedited within the limit, so none is missed.  A
+verbatim passage agrees in every repetition.
 
 Candidates are checked exactly: the smallest number of word edits between the item and any
 stretch of the candidate region, by dynamic programming; at most ``max_edits`` of the
 item's words may be edited (similarity 0.8 or more).
 
-The benchmark is a stated query set: it goes to the tasks in blocks of ``block`` items, one
-pass over the documents each, so what is broadcast is bounded.  Nothing is shuffled.
+The benchmark is a stated query set: it goes to the tasks in blocks of ``block`` items or
+``block_words`` words, one pass over the documents each, so what is broadcast is bounded but
+for single long items.  Nothing is shuffled.
 
-Defined results: null or wordless texts and items match nothing; items under four words are
-sampled at their first word; equal items are each reported; an item that occurs several
+Defined results: null or wordless texts and items match nothing; equal items are each reported; an item that occurs several
 times in a document gives one row with the number of places; repeated documents are each
 reported; an empty benchmark matches nothing.
 """
@@ -42,6 +43,8 @@ from gridsmith.llm.common import CACHED_WORDS, by_size, mix64, plain_words
 
 PAD = 0
 CHUNK = 1 << 16
+#: Steps of a walk, and the items' length from which walks are random.
+SPAN, STRAIGHT = 6, 16
 FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_spans", pa.int32()), ("edits", pa.int32()),
                    ("similarity", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())])
 
@@ -51,14 +54,16 @@ class Params:
     max_edits: float = 0.2
     samples: int = 3
     target_recall: float = 0.95
-    #: Chance that one repetition finds an item at the edit limit, as measured (tests/llm).
-    hit_rate: float = 0.4
-    #: Items per pass over the documents.
+    #: (Words from, chance that one repetition finds an item of so many words at the edit limit): a little under the lowest
+    #: measured over edits anywhere, at one end and evenly spread (0.96 from 16 words, 1.00 of 120 from 32).
+    hit_rates: tuple[tuple[int, float], ...] = ((32, 0.98), (16, 0.9))
+    #: Items, and words of items, per pass over the documents.
     block: int = 20_000
+    block_words: int = 1_000_000
 
-    @property
-    def repetitions(self) -> int:
-        return math.ceil(math.log(1 - self.target_recall) / math.log(1 - self.hit_rate))
+    def repetitions(self, words: int) -> int:
+        rate = next((r for n, r in self.hit_rates if words >= n), 1.0)
+        return 1 if rate >= self.target_recall else math.ceil(math.log(1 - self.target_recall) / math.log(1 - rate))
 
 
 class Symbols(dict):
@@ -76,62 +81,71 @@ def symbols(data: bytes, known: Symbols) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
-def length_class(words: int) -> int:
-    return 1 << (words.bit_length() - 1)
+def straight(words: int, limit: int, samples: int) -> int:
+    """Words of a straight walk: the longest run that ``limit`` edits leave in an item at least, four at most; 0 if the
+    item is walked at random."""
+    run = -(-(words - limit) // (limit + 1))
+    return min(4, run) if words < STRAIGHT or run <= samples else 0
 
 
-def places(rep: int, cls: int, samples: int) -> list[int]:
-    """Sampled steps of a class in a repetition: a random stretch within the reach of its shortest item."""
-    rng = np.random.default_rng([rep, cls])
-    span = max(samples - 1, cls // 4)
-    if cls < 4:
-        return [0]
-    a = int(rng.integers(cls // 4, max(cls // 4 + 1, 3 * cls // 2 - span)))
-    return [a, *sorted(int(x) for x in rng.choice(np.arange(a + 1, a + span + 1), samples - 1, replace=False))]
+def places(rep: int, samples: int) -> list[int]:
+    """Sampled steps of a random walk in a repetition: its first and others within SPAN steps."""
+    return [0, *sorted(int(i) + 1 for i in np.random.default_rng([rep, SPAN]).choice(SPAN, min(samples - 1, SPAN), replace=False))]
 
 
-def walk(x: np.ndarray, starts: int, rep: int, wanted: dict[int, list[int]]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """CGK walks from the first ``starts`` words of x (padded behind).  For each class of ``wanted`` (class -> places):
-    (class, keys of the sampled symbols, first and last start of the walks with this key)."""
-    p, lo, hi = np.arange(starts), np.arange(starts), np.arange(starts)
-    due = {at[0]: [] for at in wanted.values()}
-    for cls, at in wanted.items():
-        due[at[0]].append(cls)
-    end, step = len(x) - 1, 0
-    bits: dict[int, np.ndarray] = {}
+def walk(x: np.ndarray, starts: int, rep: int, at: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """CGK walks from the first ``starts`` words of x (padded by SPAN behind): keys of the sampled symbols, and where the
+    last of them lies.  Repetition -1 moves at every step."""
+    p, step = np.arange(starts), 0
+    key = mix64(x[:starts], 1000 * rep + len(at))
+    bits = None if rep < 0 else mix64(x, 1000 * rep + 1)
+    for place in at[1:]:
+        while step < place:
+            p = p + 1 if bits is None else p + (bits >> np.uint64(step) & np.uint64(1)).astype(np.uint8)[p]
+            step += 1
+        key = mix64(key ^ x[p], len(at))
+    return key, p
 
-    def move(q: np.ndarray, j: int) -> np.ndarray:
-        if j // 64 not in bits:
-            bits[j // 64] = mix64(x, 1000 * rep + j // 64 + 1).view(np.uint8).reshape(-1, 8)
-        return np.minimum(q + (bits[j // 64][q, j % 64 // 8] >> np.uint8(j % 8) & np.uint8(1)), end)
 
-    for first in sorted(due):
-        while step < first:
-            p = move(p, step)
-            step += 1
-            if step % 4 == 0 or step == first:  # walks that have met are one
-                new = np.flatnonzero(p[1:] != p[:-1]) + 1
-                keep = np.concatenate([[0], new])
-                last = np.concatenate([new - 1, [len(p) - 1]])
-                p, lo, hi = p[keep], lo[keep], hi[last]
-        for cls in due[first]:
-            q, key, j = p, mix64(x[p], cls), step
-            for place in wanted[cls][1:]:
-                while j < place:
-                    q = move(q, j)
-                    j += 1
-                key = mix64(key ^ x[q], cls)
-            yield cls, key, lo, hi
+@dataclass(frozen=True)
+class Table:
+    """Keys of the items that one repetition looks for: ascending, each with an item and the first and last of its words
+    from which a walk has this key."""
+    rep: int
+    at: list[int]
+    keys: np.ndarray
+    items: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    mask: np.uint64
+    seen: np.ndarray
+
+    @staticmethod
+    def of(rep: int, at: list[int], items: list[tuple[int, np.ndarray]]) -> Table:
+        """items: (number, symbols) rows."""
+        sizes = np.array([len(s) for _, s in items])
+        begin = np.cumsum(sizes) - sizes
+        x = np.concatenate([*(s for _, s in items), np.zeros(SPAN + 1, np.uint32)])
+        key, end = walk(x, int(sizes.sum()), rep, at)
+        which = np.repeat(np.arange(len(items)), sizes)
+        inside = end < (begin + sizes)[which]  # a walk that leaves its item says nothing of it
+        word, which, key = (np.arange(len(key)) - begin[which])[inside], which[inside], key[inside]
+        order = np.lexsort((word, which, key))
+        word, which, key = word[order], which[order], key[order]
+        new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (which[1:] != which[:-1])])) if len(key) else np.zeros(0, np.int64)
+        last = np.concatenate([new[1:], [len(key)]])[:len(new)] - 1
+        keys = key[new]
+        mask = (1 << max(12, (8 * len(keys)).bit_length())) - 1
+        seen = np.zeros(mask + 1, dtype=bool)
+        seen[(keys & np.uint64(mask)).astype(np.int64)] = True
+        return Table(rep, at, keys, np.array([n for n, _ in items], np.int64)[which[new]], word[new], word[last], np.uint64(mask), seen)
 
 
 class Index:
-    """Keys of the items of a block, by repetition and class."""
+    """Keys of the items of a block, by repetition."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], p: Params):
         self.items, self.p = items, p
-        self.classes = sorted({length_class(len(s)) for _, s in items})
-        self.longest = max((len(s) for _, s in items), default=0)
-        self.reach = 2 * self.longest + 2
         self.sizes = np.array([len(s) for _, s in items], dtype=np.int64)
         self.limits = (p.max_edits * self.sizes).astype(np.int64)
         # Words that at most one item in fifty holds, by their lowest bits, and how many each item must keep of its own.
@@ -140,44 +154,32 @@ class Index:
         self.rare = np.zeros(1 << 22, dtype=bool)
         self.rare[rare & np.uint32(len(self.rare) - 1)] = True
         self.needed = np.array([np.isin(s, rare).sum() for _, s in items], dtype=np.int64) - self.limits
-        self.plans = [{c: places(r, c, p.samples) for c in self.classes} for r in range(p.repetitions)]
-        self.keys = []
-        for r, plan in enumerate(self.plans):
-            found: dict[int, list[tuple[int, int]]] = {c: [] for c in self.classes}
-            for n, (_, s) in enumerate(items):
-                c = length_class(len(s))
-                x = np.concatenate([s, np.zeros(max(plan[c]) + 2, np.uint32)])
-                for _, key, _, _ in walk(x, 1, r, {c: plan[c]}):
-                    found[c].append((int(key[0]), n))
-            tables = {}
-            for c, kn in found.items():
-                kn.sort()
-                keys, at = np.array([k for k, _ in kn], np.uint64), np.array([n for _, n in kn], np.int64)
-                mask = (1 << max(12, (8 * len(keys)).bit_length())) - 1
-                seen = np.zeros(mask + 1, dtype=bool)
-                seen[(keys & np.uint64(mask)).astype(np.int64)] = True
-                tables[c] = (keys, at, np.uint64(mask), seen)
-            self.keys.append(tables)
-
-    def candidates(self, x: np.ndarray, starts: int) -> np.ndarray:
-        """(item number, first start, last start) rows for the windows that start in x[:starts].  A candidate whose region
-        has fewer rare words of items than its item has beyond the edit limit is left out at once."""
+        walks: dict[tuple[int, tuple[int, ...]], list[tuple[int, np.ndarray]]] = {}
+        for n, (_, s) in enumerate(items):
+            run = straight(len(s), int(self.limits[n]), p.samples)
+            for rep, at in [(-1, range(run))] if run else [(r, places(r, p.samples)) for r in range(p.repetitions(len(s)))]:
+                walks.setdefault((rep, tuple(at)), []).append((n, s))
+        self.tables = [Table.of(rep, list(at), those) for (rep, at), those in sorted(walks.items(), key=lambda w: w[0])]
+
+    def candidates(self, x: np.ndarray, a: int, n: int, starts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """(document, item number, first start, last start) rows for the walks that start in x[a:a + n]; starts: of the
+        documents in x; words: how many rare words of items lie before each word of x.  A candidate whose region has
+        fewer of them than its item has beyond the edit limit is left out at once."""
         out = []
-        words = np.concatenate([[0], np.cumsum(self.rare[x & np.uint32(len(self.rare) - 1)])])
-        for rep, plan in enumerate(self.plans):
-            for cls, key, lo, hi in walk(x, starts, rep, plan):
-                keys, numbers, mask, seen = self.keys[rep][cls]
-                at = np.flatnonzero(seen[(key & mask).astype(np.int64)])
-                if len(at):
-                    a, b = np.searchsorted(keys, key[at], "left"), np.searchsorted(keys, key[at], "right")
-                    n = b - a
-                    which = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    item, a, b = numbers[which], np.repeat(lo[at], n), np.repeat(hi[at], n)
-                    size, limit = self.sizes[item], self.limits[item]
-                    there = words[np.minimum(b + size + limit, len(x))] - words[np.maximum(a - limit, 0)]
-                    ok = there + np.maximum(limit - a, 0) >= self.needed[item]
-                    out.append(np.stack([item[ok], a[ok], b[ok]], axis=1))
-        return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+        for t in self.tables:
+            key, _ = walk(x[a:a + n + SPAN + 1], n, t.rep, t.at)
+            at = np.flatnonzero(t.seen[(key & t.mask).astype(np.int64)])
+            lo, hi = np.searchsorted(t.keys, key[at], "left"), np.searchsorted(t.keys, key[at], "right")
+            many = hi - lo
+            which = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            word, item = np.repeat(at + a, many), t.items[which]
+            doc = np.searchsorted(starts, word, "right") - 1
+            first, last = word - t.last[which], word - t.first[which]
+            size, limit = self.sizes[item], self.limits[item]
+            there = words[np.minimum(last + size + limit, starts[doc + 1] - 1)] - words[np.maximum(first - limit, starts[doc])]
+            ok = there >= self.needed[item]
+            out.append(np.stack([doc[ok], item[ok], first[ok] - starts[doc[ok]], last[ok] - starts[doc[ok]]], axis=1))
+        return np.concatenate(out) if out else np.zeros((0, 4), np.int64)
 
 
 def best_stretch(item: np.ndarray, region: np.ndarray, limit: int) -> tuple[int, int]:
@@ -204,12 +206,10 @@ def verified(index: Index, x: np.ndarray, found: np.ndarray, p: Params) -> list[
         item = index.items[n][1]
         limit = int(index.limits[n])
         mine = found[found[:, 0] == n]
-        regions: list[list[int]] = []
-        for lo, hi in sorted((max(0, int(a) - limit), int(b) + len(item) + limit) for _, a, b in mine):
-            if regions and lo <= regions[-1][1]:
-                regions[-1][1] = max(hi, regions[-1][1])
-            else:
-                regions.append([lo, hi])
+        mine = mine[np.argsort(mine[:, 1])]
+        lo, hi = np.maximum(mine[:, 1] - limit, 0), np.maximum.accumulate(np.minimum(mine[:, 2] + len(item) + limit, len(x)))
+        new = np.flatnonzero(np.concatenate([[True], lo[1:] > hi[:-1]]))
+        regions = zip(lo[new].tolist(), hi[np.concatenate([new[1:], [len(hi)]]) - 1].tolist())
         for lo, hi in regions:
             while True:  # several places of the item may lie in one region
                 edits, end = best_stretch(item, x[lo:hi], limit)
@@ -225,36 +225,31 @@ def verified(index: Index, x: np.ndarray, found: np.ndarray, p: Params) -> list[
 def matches(index: Index, docs: list[np.ndarray], p: Params) -> list[list[tuple[int, int, int, int]]]:
     """Matches of every document: documents are laid end to end, a pad between, and walked in chunks."""
     starts = np.cumsum([0, *(len(d) + 1 for d in docs)])
-    x = np.zeros(starts[-1] + index.reach + 2, dtype=np.uint32)
+    x = np.zeros(starts[-1] + SPAN + 1, dtype=np.uint32)
     for a, d in zip(starts.tolist(), docs):
         x[a:a + len(d)] = d
-    found = []
-    for a in range(0, int(starts[-1]), CHUNK):
-        n = min(CHUNK, int(starts[-1]) - a)
-        c = index.candidates(x[a:a + n + index.reach], n)
-        c[:, 1:] += a
-        found.append(c)
-    found = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
+    words = np.concatenate([[0], np.cumsum(index.rare[x & np.uint32(len(index.rare) - 1)], dtype=np.int32)])
+    found = [index.candidates(x, a, min(CHUNK, int(starts[-1]) - a), starts, words) for a in range(0, int(starts[-1]), CHUNK)]
+    found = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
+    found = found[np.argsort(found[:, 0], kind="stable")]
     out: list[list[tuple[int, int, int, int]]] = [[] for _ in docs]
-    first, last = np.searchsorted(starts, found[:, 1], "right") - 1, np.searchsorted(starts, found[:, 2], "right") - 1
-    for d in np.unique(np.concatenate([first, last])).tolist():
-        if d < len(docs):
-            mine = found[(first <= d) & (d <= last)].copy()
-            mine[:, 1:] = np.clip(mine[:, 1:] - starts[d], 0, len(docs[d]))
-            out[d] = verified(index, docs[d], mine, p)
+    hit, at = np.unique(found[:, 0], return_index=True)
+    for d, mine in zip(hit.tolist(), np.split(found, at[1:])):
+        out[d] = verified(index, docs[d], mine[:, 1:], p)
     return out
 
 
 def item_blocks(benchmark: DataFrame, p: Params) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Items (item_id, symbols) in blocks; the benchmark is streamed through the driver block by block."""
-    known, block = Symbols(), []
+    known, block, words = Symbols(), [], 0
     for r in benchmark.select("item_id", "text").where("text is not null").orderBy("item_id", "text").toLocalIterator():
         s = symbols(r["text"].encode(), known)
         if len(s):
             block.append((r["item_id"], s))
-        if len(block) >= p.block:
+            words += len(s)
+        if len(block) >= p.block or words >= p.block_words:
             yield block
-            block = []
+            block, words = [], 0
     if block:
         yield block
 

@@ -76,6 +76,26 @@ def test_recall_at_the_edit_limit(spark):
     assert np.mean(hits) >= 0.9  # the target is 0.95; 160 trials
 
 
+@pytest.mark.parametrize("words", [5, 10, 16, 31, 63, 120, 250, 500])
+@pytest.mark.parametrize("where", [(0, 1), (0, 0.4), (0.6, 1), None])
+def test_recall_by_length_and_place_of_edits(words, where):
+    """Edits at the limit anywhere, in the first or last 40%, or evenly spread; short items are all found."""
+    rnd, p, items, texts = random.Random(words), D.Params(), [], []
+    for n in range(60):
+        item = [rnd.randrange(1, 5000) for _ in range(words)]
+        e, s = int(0.2 * words), list(item)
+        at = [round((k + 1) * (words + 1) / (e + 1)) - 1 for k in range(e)] if where is None else rnd.sample(
+            range(int(where[0] * words), max(int(where[1] * words), e + int(where[0] * words))), e)
+        for i in sorted(at, reverse=True):
+            kind = rnd.choice("sid")
+            s[i:i + (kind != "i")] = [] if kind == "d" else [rnd.randrange(1, 5000)]
+        items.append((n, np.array(item, np.uint32)))
+        texts.append(np.array([rnd.randrange(1, 5000) for _ in range(80)] + s + [rnd.randrange(1, 5000) for _ in range(80)], np.uint32))
+    exact = [D.best_stretch(i, t, int(0.2 * words))[0] <= int(0.2 * words) for (_, i), t in zip(items, texts)]
+    got = [any(m[0] == n for m in g) for n, g in enumerate(D.matches(D.Index(items, p), texts, p))]
+    assert sum(exact) == 60 and np.mean(got) >= (1 if words < D.STRAIGHT else p.target_recall)
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "lorem ipsum dolor sit amet " * 4), (4, "word"), (4, "a b c d e f"), (5, "A b, c d e f!")],
                                   "item_id long, text string")
