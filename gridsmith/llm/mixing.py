@@ -7,6 +7,11 @@ that the largest is ``max_weight``, are inclusion probabilities (1 or less) or e
 numbers of copies (over 1); each document is drawn by a hash of its id and text, so a
 rerun draws the same ones and no row is moved for it.
 
+Where that scale would keep less than ``keep`` of the tokens, as a rare source or language
+needs more than it has, the weights are trimmed: values whose whole text falls short of
+their target are kept whole (``max_weight``), the others share the rest of ``keep`` by their
+targets, and raking goes on among the cells under ``max_weight``.
+
 The table of cells is counted by a partial aggregate in Spark; as raking looks only at it,
 it comes to the driver, and its size is checked against ``max_cells`` (the product of the
 numbers of sources, languages and topics bounds it, not the documents).
@@ -40,6 +45,8 @@ TOPIC_MARKS = (("legal", ("icensed under", "Copyright", "License")), ("code", ("
 class Params:
     flatten: float = 0.7
     max_weight: float = 1.0
+    #: Share of the tokens that is kept at least (expected), if those of values with a target suffice.
+    keep: float = 0.65
     rounds: int = 200
     tolerance: float = 1e-9
     max_cells: int = 1_000_000
@@ -117,10 +124,51 @@ def flattened(cells: pd.DataFrame, p: Params = Params()) -> dict[str, dict]:
     return out
 
 
+def filled(v: np.ndarray, tokens: np.ndarray, goal: float, most: float) -> np.ndarray:
+    """v times the factor with which the tokens, no weight over ``most``, add up to ``goal`` (or as near as they can)."""
+    order = np.argsort(-v, kind="stable")
+    x, t = v[order], tokens[order]
+    full = np.cumsum(t) - t  # tokens of the cells before, all at most
+    rest = np.cumsum((x * t)[::-1])[::-1]
+    factor = np.divide(goal - most * full, rest, out=np.zeros(len(x)), where=rest > 0)
+    fits = np.flatnonzero((rest > 0) & (factor * x <= most))
+    return np.minimum(v * factor[fits[0]], most) if len(fits) else np.where(v > 0, most, 0.0)
+
+
+def trimmed(cells: pd.DataFrame, w: np.ndarray, goal: float, p: Params) -> np.ndarray:
+    """Weights up to max_weight with ``goal`` tokens that meet the shares of w in every margin, as far as its values last."""
+    tokens, most = cells["tokens"].to_numpy(dtype=float), p.max_weight
+    codes, goals = [], []
+    for m in MARGINS:
+        values = list(dict.fromkeys(cells[m]))
+        code = cells[m].map({v: i for i, v in enumerate(values)}).to_numpy()
+        usable, share = np.bincount(code, tokens * (w > 0), len(values)), np.bincount(code, tokens * w, len(values))
+        codes.append(code)
+        goals.append(usable * filled(np.divide(share, usable, out=np.zeros_like(share), where=usable > 0), usable, goal, most))
+    v = filled(w, tokens, goal, most)
+    for _ in range(p.rounds):
+        worst = 0.0
+        for code, want in zip(codes, goals):
+            have, at_most = np.bincount(code, v * tokens, len(want)), v >= most
+            free = np.bincount(code, v * tokens * ~at_most, len(want))
+            worst = max(worst, np.abs(have - want).max() / tokens.sum())
+            down = np.divide(want, have, out=np.ones_like(want), where=have > want)
+            up = np.divide(want - have + free, free, out=np.ones_like(want), where=(free > 0) & (have < want))
+            v = np.minimum(v * np.where(at_most, down[code], (down * up)[code]), most)
+        if worst < p.tolerance:
+            break
+    return filled(v, tokens, goal, most)
+
+
 def calibrated(cells: pd.DataFrame, w: np.ndarray, p: Params = Params()) -> np.ndarray:
-    """Weights scaled so that the largest of a cell with tokens is max_weight."""
-    most = w[cells["tokens"].to_numpy() > 0].max(initial=0.0)
-    return w * (p.max_weight / most) if most else np.ones(len(w))
+    """Weights scaled so that the largest of a cell with tokens is max_weight, or trimmed there to keep enough tokens."""
+    tokens = cells["tokens"].to_numpy(dtype=float)
+    most = w[tokens > 0].max(initial=0.0)
+    if not most:
+        return np.ones(len(w))
+    v = w * (p.max_weight / most)
+    goal = min(p.keep * tokens.sum(), p.max_weight * tokens[w > 0].sum())
+    return v if (v * tokens).sum() >= goal else trimmed(cells, w, goal, p)
 
 
 def uniform(p: Params) -> Column:

@@ -131,6 +131,26 @@ def test_rows_are_drawn_as_calibrated(spark):
     assert rows.groupby(["source", "lang", "topic"]).raked_weight.nunique().max() == 1
 
 
+@pytest.mark.parametrize("source,lang,tokens", [("new", "en", 1000), ("new", "en", 20), ("s0", None, 20)])
+def test_a_rare_value_does_not_cost_the_rest(source, lang, tokens):
+    """One small document of a new source or language: it is kept whole, and so is the stated share of all others."""
+    rng = np.random.default_rng(3)
+    cells = pd.DataFrame([(f"s{i}", x, t, int(n * rng.integers(80, 120))) for i in range(20) for x, n in (("en", 900), ("de", 400), ("fr", 200))
+                          for t in ("prose", "code")] + [(source, lang, "prose", tokens)], columns=["source", "lang", "topic", "tokens"])
+    n, p, targets = cells["tokens"].to_numpy(float), M.Params(), M.flattened(cells)
+    w = M.calibrated(cells, M.rake(cells, targets), p)
+    assert (w * n).sum() >= (p.keep - 1e-9) * n.sum() and w.max() <= p.max_weight and w[-1] == pytest.approx(p.max_weight)
+    for m in M.MARGINS:
+        share = pd.Series(w * n).groupby(cells[m].fillna("?")).sum() / (w * n).sum()
+        assert all(abs(share["?" if v is None else v] - t) < 0.01 for v, t in targets[m].items())
+
+
+def test_filled_meets_the_goal():
+    v, t = np.array([8.0, 1.0, 1.0, 0.0]), np.array([10.0, 40.0, 50.0, 9.0])
+    assert M.filled(v, t, 55.0, 1.0) == pytest.approx([1, 0.5, 0.5, 0])
+    assert M.filled(v, t, 500.0, 1.0) == pytest.approx([1, 1, 1, 0])
+
+
 def test_mixing_odd_rows(spark, odd_docs, no_docs):
     p = M.Params(max_weight=2.5)
     rows = M.drawn(odd_docs, p=p)
