@@ -25,6 +25,7 @@ from gridsmith.operators.ingest import (  # noqa: F401
 from gridsmith.operators.mosaic import collapse_time, mosaic, slice_at_time, tile_merge  # noqa: F401
 from gridsmith.operators.polygon import (  # noqa: F401
     cells_in_polygons, mask_polygon, polygon_bounds, polygon_centroid, row_spans, tiles_intersecting,
+    tiles_touched,
 )
 from gridsmith.operators.render import composite_join, render3, render4, render_with_hillshade  # noqa: F401
 from gridsmith.operators.tile_map import map_tiles  # noqa: F401

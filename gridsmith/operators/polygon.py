@@ -128,35 +128,68 @@ def polygon_centroid(edges: DataFrame) -> DataFrame:
 
 
 def tiles_intersecting(tiles: DataFrame, edges: DataFrame, tile_size: int) -> DataFrame:
-    """Tiles (col,row) touched by a polygon (C5): a tile is kept when any of
-    its cells has its centre inside.
-
-    Each pixel-row span becomes a range of tile columns; the ranges of one
-    tile row (at most n pixel rows x spans per row, a bounded window) are
-    merged into disjoint intervals by a running max, and only the merged
-    intervals are exploded — so the key table has one row per touched tile,
-    never one per (pixel row, tile).  The keys are then semi-joined."""
-    from pyspark.sql import Window
+    """Tiles (col,row) by the mask's rule: a tile is kept when any of its
+    cells has its centre inside.  Tiles that a polygon touches otherwise
+    are kept by ``tiles_touched`` only.
 
+    Each pixel-row span becomes a range of tile columns, see ``_in_ranges``."""
     spans = row_spans(edges)
     n = tile_size
     lo_gx = F.ceil(F.col("lo") - F.lit(0.5))
     hi_gx = F.ceil(F.col("hi") - F.lit(0.5)) - 1
     ranges = (spans.where(hi_gx >= lo_gx)
               .select(F.floor(F.col("gy") / n).alias("row"), F.floor(lo_gx / n).alias("c0"),
-                      F.floor(hi_gx / n).alias("c1")).distinct())
+                      F.floor(hi_gx / n).alias("c1")))
+    return _in_ranges(tiles, ranges, _tile_key_bound(edges, n))
+
+
+def tiles_touched(tiles: DataFrame, edges: DataFrame, tile_size: int) -> DataFrame:
+    """Tiles (col,row) whose closed box meets a polygon (C5): its border
+    (also in a single point) or its inside.
+
+    Each edge is cut at the tile rows it meets; a cut piece gives the range
+    of tile columns between its ends.  A tile that no edge meets lies wholly
+    inside or outside, so the row spans at tile grain add the inside ones."""
+    n = float(tile_size)
+    e = edges.select(*[(F.col(c) / n).alias(c) for c in ("x1", "y1", "x2", "y2")], "poly_id")
+    ymin, ymax, xmin, xmax = F.least("y1", "y2"), F.greatest("y1", "y2"), F.least("x1", "x2"), F.greatest("x1", "x2")
+    rows = e.select("*", F.explode(F.sequence(F.ceil(ymin) - 1, F.floor(ymax))).alias("row"))
+
+    def x_at(y: Column) -> Column:
+        cut = F.try_divide((F.col("x2") - F.col("x1")) * (y - F.col("y1")), F.col("y2") - F.col("y1")) + F.col("x1")
+        return F.when(y == F.col("y1"), F.col("x1")).when(y == F.col("y2"), F.col("x2")).otherwise(F.least(F.greatest(cut, xmin), xmax))
+
+    flat = F.col("y1") == F.col("y2")
+    a, b = x_at(F.greatest(ymin, F.col("row").cast("double"))), x_at(F.least(ymax, F.col("row") + F.lit(1.0)))
+    border = rows.select("row", F.when(flat, xmin).otherwise(F.least(a, b)).alias("lo"), F.when(flat, xmax).otherwise(F.greatest(a, b)).alias("hi"))
+    border = border.select("row", (F.ceil("lo") - 1).alias("c0"), F.floor("hi").alias("c1"))
+    c0, c1 = F.ceil(F.col("lo") - F.lit(0.5)), F.ceil(F.col("hi") - F.lit(0.5)) - 1
+    inside = row_spans(e).where(c1 >= c0).select(F.col("gy").alias("row"), c0.alias("c0"), c1.alias("c1"))
+    return _in_ranges(tiles, border.unionByName(inside), _tile_key_bound(edges, tile_size, 1))
+
+
+def _in_ranges(tiles: DataFrame, ranges: DataFrame, bound: int) -> DataFrame:
+    """Tiles within any of the ranges ``(row, c0, c1)`` of tile columns.
+
+    The ranges of one tile row (at most n pixel rows x spans per row, a
+    bounded window) are merged into disjoint intervals by a running max, and
+    only the merged intervals are exploded — so the key table has one row per
+    touched tile, never one per (pixel row, tile).  The keys are then
+    semi-joined."""
+    ranges = ranges.distinct()
     w = Window.partitionBy("row").orderBy("c0", "c1")
     prev_max = F.max("c1").over(w.rowsBetween(Window.unboundedPreceding, -1))
     starts = ranges.withColumn("new", F.when(prev_max.isNull() | (F.col("c0") > prev_max + 1), 1).otherwise(0))
     grouped = starts.withColumn("grp", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     merged = grouped.groupBy("row", "grp").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"))
     keys = merged.select("row", F.explode(F.sequence("c0", "c1")).alias("col"))
-    return tiles.join(broadcast_if_bounded(keys, _tile_key_bound(edges, n)), ["col", "row"], "left_semi")
+    return tiles.join(broadcast_if_bounded(keys, bound), ["col", "row"], "left_semi")
 
 
-def _tile_key_bound(edges: DataFrame, n: int) -> int:
-    """Upper bound on tiles touched: tiles under each polygon's bounding box."""
+def _tile_key_bound(edges: DataFrame, n: int, more: int = 0) -> int:
+    """Upper bound on tiles touched: tiles under each polygon's bounding box
+    (``more``: and so many before it)."""
     b = polygon_bounds(edges).agg(
-        F.sum((F.floor(F.col("xmax") / n) - F.floor(F.col("xmin") / n) + 1)
-              * (F.floor(F.col("ymax") / n) - F.floor(F.col("ymin") / n) + 1)).alias("b")).first()
+        F.sum((F.floor(F.col("xmax") / n) - F.floor(F.col("xmin") / n) + 1 + more)
+              * (F.floor(F.col("ymax") / n) - F.floor(F.col("ymin") / n) + 1 + more)).alias("b")).first()
     return int(b["b"] or 0)

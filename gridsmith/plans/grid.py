@@ -158,4 +158,4 @@ def q_tiles_intersecting(spark, sf):
     """Tiles (and dates) touched by the polygons, at tile grain."""
     l = fx.landsat(spark, sf)
     tiles = l.select(g.tile_of("gx", fx.TILE).alias("col"), g.tile_of("gy", fx.TILE).alias("row"), "instant").distinct()
-    return polygon.tiles_intersecting(tiles, fx.aoi_edges(spark), fx.TILE)
+    return polygon.tiles_touched(tiles, fx.aoi_edges(spark), fx.TILE)

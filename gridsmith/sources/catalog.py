@@ -9,6 +9,8 @@ skip files for spatial queries.  ``layer_meta`` rows are kept in
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,9 +123,10 @@ def read_layer(spark: SparkSession, root: str, layer: str, zoom: int, months: li
 
 
 def query_layer(spark: SparkSession, root: str, layer: str, zoom: int, tile_size: int, edges: DataFrame | None = None,
-                time_range=None) -> DataFrame:
+                time_range=None, centres: bool = False) -> DataFrame:
     """Layer query (A2): zoom + time range + polygon; returns *whole tiles*
-    that intersect the polygon (no cell masking).  The polygon's bounding
+    that intersect the polygon (no cell masking); with ``centres`` only those
+    with a cell centre inside.  The polygon's bounding
     box becomes literal ``gx/gy BETWEEN`` predicates, which Parquet min/max
     statistics use to skip row groups; the exact tile test is a semi join."""
     df = spark.read.option("basePath", root).parquet(f"{root}/layer={layer}/zoom={zoom}")
@@ -139,14 +142,16 @@ def query_layer(spark: SparkSession, root: str, layer: str, zoom: int, tile_size
         if b["x0"] is None:
             return df.limit(0)
         n = tile_size
-        c0, r0, c1, r1 = int(b["x0"] // n), int(b["y0"] // n), int(b["x1"] // n), int(b["y1"] // n)
+        within = polygon.tiles_intersecting if centres else polygon.tiles_touched
+        # Boxes are closed: a bound on a tile's border belongs to the tile before it as well.
+        c0, r0, c1, r1 = math.ceil(b["x0"] / n) - 1, math.ceil(b["y0"] / n) - 1, int(b["x1"] // n), int(b["y1"] // n)
         if "gx" in df.columns:  # cell grain: pixel bbox literals, then the exact tile test
             df = df.where(F.col("gx").between(c0 * n, (c1 + 1) * n - 1) & F.col("gy").between(r0 * n, (r1 + 1) * n - 1))
             keyed = df.withColumn("col", tile_of("gx", n)).withColumn("row", tile_of("gy", n))
-            df = polygon.tiles_intersecting(keyed, edges, n).drop("col", "row")
+            df = within(keyed, edges, n).drop("col", "row")
         else:  # tile grain: key bbox literals
             df = df.where(F.col("col").between(c0, c1) & F.col("row").between(r0, r1))
-            df = polygon.tiles_intersecting(df, edges, n)
+            df = within(df, edges, n)
     return df
 
 
