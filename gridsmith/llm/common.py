@@ -4,6 +4,8 @@ long texts and a range layout of documents by id."""
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,3 +106,14 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in have:
         name = f"_{name}"
     return name
+
+
+def per_worker(key: tuple, make):
+    """``make()``, kept for the life of the Python worker under ``key``.  Native tokenizers leave memory behind when they
+    are dropped, so a worker that serves many tasks must not make one a task.  This package is pickled by value and its
+    globals are new in each task; the holder is a module of its own."""
+    holder = sys.modules.setdefault("_gridsmith_worker", types.ModuleType("_gridsmith_worker"))
+    made = holder.__dict__.setdefault("made", {})
+    if key not in made:
+        made[key] = make()
+    return made[key]

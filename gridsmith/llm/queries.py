@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsmith.llm import (decontaminate, fingerprints, language_id, license_scan, mixing, simhash_dedup, token_binary,
-                           token_counts, toxicity, url_filters)
+from gridsmith.llm import (decontaminate, fingerprints, hard_negatives, language_id, license_scan, mixing, simhash_dedup,
+                           suffix_dedup, token_alignment, token_binary, token_counts, toxicity, url_filters)
 from gridsmith.llm.common import LOWER, UPPER, small_batches
 from gridsmith.session import shared_dir
 from gridsmith.sources.tables import read_table
@@ -92,13 +92,34 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumnRenamed("rejected", "toxic")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_alignment.align(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                                 public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                       F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]).select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        hard_negatives.scaled("embedding", 256).alias("vec"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(small_batches(spark), sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: bounded(f) for f in (
     op1_url_filters, op2_language_id, op3_simhash_dedup, op4_token_counts, op5_benchmark_decontamination,
-    op6_document_fingerprints, op7_source_mixing, op8_token_binary, op9_license_scan, op10_toxicity)}
+    op6_document_fingerprints, op7_source_mixing, op8_token_binary, op9_license_scan, op10_toxicity,
+    op11_suffix_dedup, op12_token_alignment, op13_hard_negatives)}
 
 URL_PARTS_SQL = r"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', {})"
 
@@ -141,5 +162,23 @@ def op1_sql(p: url_filters.Params = url_filters.Params()) -> str:
     FROM page JOIN hosts USING (host) LEFT JOIN best USING (host, path)"""
 
 
+def op13_sql(p: hard_negatives.Params = hard_negatives.Params()) -> str:
+    return f"""
+    WITH valid AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+                   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pair AS (SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+             FROM valid a JOIN valid r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+    positive AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pair WHERE same
+                 QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= {p.positives}),
+    ranked AS (SELECT anchor_id, positive_id,
+                      (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INTEGER AS rank,
+                      other_id AS negative_id, positive_score, score AS negative_score
+               FROM positive JOIN pair USING (anchor_id)
+               WHERE NOT same AND {p.low} * positive_score <= 100 * score AND 100 * score <= {p.high} * positive_score)
+    SELECT * FROM ranked WHERE rank <= {p.negatives}"""
+
+
 #: SQL has no XXH64, tokenizer, automaton or learned model: the other operators are held against brute force in tests/llm.
-ORACLE_SQL: dict[str, str] = {"op1_url_filters": op1_sql()}
+ORACLE_SQL: dict[str, str] = {"op1_url_filters": op1_sql(), "op13_hard_negatives": op13_sql()}
