@@ -54,7 +54,7 @@ class Params:
     #: Bytes of a trigger.  Longer ones are shared by chance more rarely, but make more phrases.
     trigger: int = 40
     #: Most distinct phrases of one trigger whose suffixes are sorted together.
-    block: int = 20_000
+    block: int = 2_000
     #: About how many bytes of phrases are sorted together.
     sort_bytes: int = 2 << 20
 
