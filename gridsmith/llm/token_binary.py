@@ -9,7 +9,7 @@ Spark writes the files, so a lost task leaves nothing behind.  Readers unpack a
 of it, with numpy; ``read_ids`` fetches single documents by the blocks' id ranges.
 
 Documents are dealt by id range as text (once) and tokenized in order.  Texts are cut at spaces and
-line ends, where the tokenizer cuts as well, and each different piece is encoded once a task; Latin texts
+line ends, where the tokenizer cuts as well, and each different piece is encoded once a worker; Latin texts
 are lower-cased first, as the tokenizer does, so that there are fewer of them.
 
 Defined results: null and empty texts have the end id only; documents of equal doc_id stand together
@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsmith.llm.common import by_size, fresh, id_bounds, with_bucket
+from gridsmith.llm.common import by_size, fresh, id_bounds, per_worker, with_bucket
 
 BUCKET_BYTES = 20 << 20
 MAX_BUCKETS = 10_000
 BLOCK_IDS = 1 << 18
-#: Most pieces whose ids a task remembers.
+#: Most pieces whose ids a worker remembers, from task to task.
 CACHE = 250_000
 
 BLOCK = "shard int, block int, start long, width int, doc_ids array<long>, lengths array<int>, ids binary"
@@ -213,7 +213,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, width: in
         bucket, F.asc_nulls_first("doc_id"), tie)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(tokenizer, end_id)
+        pieces = per_worker(("pieces", tokenizer, end_id), lambda: Pieces(tokenizer, end_id))
         shard, block, start, held, names, size = None, 0, 0, [], [], 0
 
         def out() -> pa.RecordBatch:
