@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from gridsmith.llm.common import slices
 
 UNKNOWN = "und"
-#: Code points below this have a table of letters; above, all count as letters if Python says so.
+#: Code points below this have a table of letters; those from it on are asked for one by one.
 TABLE = 0x10000
 
 
@@ -45,13 +45,23 @@ def letter_table() -> np.ndarray:
     return np.fromiter((c if chr(c).isalpha() else 32 for c in range(TABLE)), np.uint32, TABLE)
 
 
+def letters(a: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Code points with a space for each that is no letter."""
+    if not len(a) or a.max() < TABLE:
+        return table[a]
+    high, at = np.unique(a[a >= TABLE], return_inverse=True)
+    out = table[np.minimum(a, TABLE - 1)]
+    out[a >= TABLE] = np.array([c if chr(c).isalpha() else 32 for c in high.tolist()], dtype=np.uint32)[at]
+    return out
+
+
 def ngram_counts(data: bytes, p: Params, table: np.ndarray) -> np.ndarray | None:
     """Counts of the hashed n-grams of a text, or None if it has no letter."""
     total, any_letter = np.zeros(p.dim, dtype=np.int64), False
     tail = np.array([32], dtype=np.uint32)  # the last code points of the slice before
     for piece in slices(data):
         a = np.frombuffer(piece.decode().lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        a = np.where(a < TABLE, table[np.minimum(a, TABLE - 1)], a) if len(a) and a.max() >= TABLE else table[a]
+        a = letters(a, table)
         any_letter |= bool((a != 32).any())
         space, before = a == 32, np.concatenate([tail[-1:] == 32, a[:-1] == 32])
         a = np.concatenate([tail, a[~(space & before)]])

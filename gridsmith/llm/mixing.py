@@ -184,20 +184,19 @@ def drawn(docs: DataFrame, targets: dict[str, dict] | None = None, p: Params = P
     raked = rake(cells, targets or flattened(cells, p), p)
     weights = cells[list(MARGINS)].assign(raked=raked, weight=calibrated(cells, raked, p))
     spark = docs.sparkSession
-    names = ["__source", "__lang", "__topic", "__raked", "__weight"]
-    table = spark.createDataFrame([tuple(r) for r in weights.itertuples(index=False)],
-                                  "__source string, __lang string, __topic string, __raked double, __weight double")
-    mix = fresh(docs, "mix")
+    mix, cell = fresh(docs, "mix"), fresh(docs, "cell")
+    table = spark.createDataFrame([(tuple(r),) for r in weights.itertuples(index=False)],
+                                  f"{cell} struct<source:string,lang:string,topic:string,raked:double,weight:double>")
     rows = docs.withColumn(mix, F.struct(topic(F.col("text")).alias("topic"), n_tokens(F.col("text")).alias("n_tokens"),
                                          uniform(p).alias("u")))
-    on = rows["source"].eqNullSafe(table["__source"]) & rows["lang"].eqNullSafe(table["__lang"]) & (
-        rows[f"{mix}.topic"] == table["__topic"])
+    on = F.col("source").eqNullSafe(F.col(f"{cell}.source")) & F.col("lang").eqNullSafe(F.col(f"{cell}.lang")) & (
+        F.col(f"{mix}.topic") == F.col(f"{cell}.topic"))
     # The cells number max_cells at most: broadcast.
     rows = rows.join(F.broadcast(table), on, "left")
-    whole = F.floor("__weight")
-    copies = (whole + (F.col(f"{mix}.u") < F.col("__weight") - whole).cast("int")).cast("int")
-    return rows.withColumn(mix, F.struct(f"{mix}.topic", f"{mix}.n_tokens", F.col("__raked").alias("raked"),
-                                         F.col("__weight").alias("weight"), copies.alias("copies"))).drop(*names)
+    weight = F.col(f"{cell}.weight")
+    copies = (F.floor(weight) + (F.col(f"{mix}.u") < weight - F.floor(weight)).cast("int")).cast("int")
+    return rows.withColumn(mix, F.struct(f"{mix}.topic", f"{mix}.n_tokens", F.col(f"{cell}.raked").alias("raked"),
+                                         weight.alias("weight"), copies.alias("copies"))).drop(cell)
 
 
 def sample(docs: DataFrame, targets: dict[str, dict] | None = None, p: Params = Params()) -> DataFrame:

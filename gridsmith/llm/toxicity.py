@@ -18,6 +18,7 @@ of a document count as their largest values, null labels as none; repeated docum
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -152,7 +153,8 @@ def train(docs: DataFrame, labels: DataFrame, chain=CHAIN, p: Params = Params())
     """Fitted chain: ``features`` (sorted word hashes), ``words`` (features x categories), ``dense`` (per category the
     intercept and the weights of the categories before)."""
     names = [n for n, _ in chain]
-    facts = [c for c in labels.columns if c != "doc_id"]
+    named = {x.lower() for _, e in chain for x in re.findall(r"\w+", e)}
+    facts = [c for c in labels.columns if c.lower() in named]
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in facts])
     known = known.select(F.col("doc_id").alias("__id"), *[F.expr(e).cast("double").alias(n) for n, e in chain])
     chosen = known.orderBy(F.xxhash64("__id"), "__id").limit(p.sample)
