@@ -8,7 +8,7 @@ all tokens that share a group.
 
 Texts are cut at spaces behind anything but white space, where neither side joins bytes, into units of a word with its
 space.  A cut is an end on both sides, so a text's links and groups are those of its units, and the matrices are built
-once for each different unit of a task.  (If a vocabulary of B has pieces that cross such a cut, texts stay whole.)
+once for each different unit of a worker.  (If a vocabulary of B has pieces that cross such a cut, texts stay whole.)
 
 Corpus counts of linked id pairs: tasks count units, turn the counts into pairs and hand on one row per pair; these are
 summed by Spark.  A second pass over the texts looks the counts up.  The table of pairs grows with the vocabularies, not
@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,9 @@ from gridsmith.session import cut_lineage
 class Params:
     #: Most rows of the table of pairs that are broadcast (17 bytes each).
     broadcast_pairs: int = 1 << 21
-    #: Most different units, and characters of them, that a task remembers.
-    units: int = 150_000
-    chars: int = 4 << 20
+    #: Most different units, and characters of them, that a worker remembers, from task to task.
+    units: int = 300_000
+    chars: int = 8 << 20
 
 
 # -- sparse matrices ---------------------------------------------------------------------------------------------
@@ -109,7 +110,7 @@ class Alignment:
 
     def groups(self) -> tuple[Csr, Csr]:
         """Tokens by groups, on either side."""
-        cuts = np.intersect1d(self.a.last().indices, self.b.last().indices)
+        cuts = np.intersect1d(self.a.last().indices, self.b.last().indices, assume_unique=True)
         return tuple(Csr.single(np.searchsorted(cuts, x.last().indices), len(cuts)) for x in (self.a, self.b))
 
     def shared_groups(self) -> Csr:
@@ -144,6 +145,9 @@ class Encoders:
         self.b_bytes = [bytes([int(x[3:5], 16)]) if self.b.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(pieces)]
         self.a_size, self.b_size = (np.array([len(x) for x in s], dtype=np.int64) for s in (self.a_bytes, self.b_bytes))
         self.space = self.b.piece_to_id("▁")
+        # Ids in decimal with what follows them: A's, where the group goes on and where it ends, then B's.
+        self.signs = [[f"{i}{c}" for i in range(len(s))] for s, c in
+                      ((self.a_bytes, ","), (self.a_bytes, "|"), (self.b_bytes, ","), (self.b_bytes, ";"))]
         self.may_cut = not any("▁" in x.lstrip("▁") for x in pieces)
 
     def encode(self, unit: str) -> tuple[list[int], list[int]] | None:
@@ -172,11 +176,12 @@ class Units(dict):
     Number 0 is a unit that cannot be aligned."""
 
     def __init__(self, encoders: Encoders, p: Params):
-        self.encoders, self.p = encoders, p
+        self.encoders, self.p, self.resets = encoders, p, 0
         self.reset()
 
     def reset(self) -> None:
         self.clear()
+        self.resets += 1
         self.new: list[str] = []
         self.chars, self.bad = 0, set()
         self.text, self.parts = [""], [[np.zeros(1, dtype=np.int64)] * 3]
@@ -216,18 +221,19 @@ class Units(dict):
         """Both sides' ids of each unit: A takes the run as one text, as it joins nothing across cuts."""
         e = self.encoders
         data = [b" " + u.encode() for u in run]
-        line = e.a.encode("".join([" " + u for u in run]), add_special_tokens=False).ids
-        if b"".join([e.a_bytes[i] for i in line]) != b"".join(data):
+        whole = b"".join(data)
+        line = e.a.encode_batch_fast([whole.decode()], add_special_tokens=False)[0].ids
+        if b"".join([e.a_bytes[i] for i in line]) != whole:
             return [e.encode(u) for u in run]
         ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
         cut = np.searchsorted(np.cumsum(e.a_size[line]), ends, "left") + 1
         b = e.b.encode(run, num_threads=1)
-        out, a0 = [], 0
-        for u, d, a1, ids in zip(run, data, cut.tolist(), b):
-            ids = ids if u else [e.space]
-            out.append((line[a0:a1], ids) if b"".join([e.b_bytes[i] for i in ids]) == d else None)
-            a0 = a1
-        return out
+        b = [ids if u else [e.space] for u, ids in zip(run, b)]
+        a = [line[i:j] for i, j in zip([0, *cut.tolist()], cut.tolist())]
+        sizes = np.cumsum(e.b_size[np.fromiter(chain.from_iterable(b), np.int64)])[np.cumsum([len(x) for x in b]) - 1]
+        if (sizes == ends).all() and b"".join([e.b_bytes[i] for i in chain.from_iterable(b)]) == whole:
+            return list(zip(a, b))
+        return [(x, y) if b"".join([e.b_bytes[i] for i in y]) == d else None for x, y, d in zip(a, b, data)]
 
     def add(self, ids: list[tuple[list[int], list[int]] | None], e: Encoders) -> None:
         self.bad.update(len(self.text) + i for i, x in enumerate(ids) if x is None)
@@ -243,12 +249,14 @@ class Units(dict):
         pairs = a[ends.rows()] * len(e.b_size) + b[ends.indices]
         unit = np.repeat(np.arange(len(ids)), n_a)
         n_links = np.bincount(unit[ends.rows()], minlength=len(ids))
-        ga, gb = (g.transpose() for g in both.groups())
-        names = [[",".join(map(str, x[i:j])) for i, j in zip(g.indptr.tolist(), g.indptr[1:].tolist())]
-                 for g, x in ((ga, a[ga.indices].tolist()), (gb, b[gb.indices].tolist()))]
-        groups = [f"{x}|{y}" for x, y in zip(*names)]
-        at = np.cumsum(n_links).tolist()
-        self.text += [";".join(groups[i:j]) for i, j in zip([0, *at], at)]
+        # In order of the groups, each one's A tokens before its B tokens; the last one of a side says so.
+        ga, gb = (g.indices for g in both.groups())
+        order = np.argsort(np.concatenate([2 * ga, 2 * gb + 1]), kind="stable")
+        final = [np.append(g[1:] != g[:-1], True) for g in (ga, gb)]
+        kind = np.concatenate([final[0].astype(int), 2 + final[1].astype(int)])[order].tolist()
+        signs = [e.signs[k][i] for k, i in zip(kind, np.concatenate([a, b])[order].tolist())]
+        at = np.cumsum(n_a + n_b).tolist()
+        self.text += ["".join(signs[i:j])[:-1] for i, j in zip([0, *at], at)]
         self.parts.append([n_a, n_b, n_links])
         self.link_parts.append(pairs)
 
@@ -276,16 +284,17 @@ class Units(dict):
         sums = np.concatenate([[0], np.cumsum(values[flat])])
         return np.diff(sums[ends], prepend=0)
 
-    def by_unit(self, values: np.ndarray) -> np.ndarray:
-        """Sum of the links' values, by unit."""
-        sums = np.concatenate([[0], np.cumsum(values)])
-        return sums[self.start + self.n_links] - sums[self.start]
+
+def run_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of runs of values of these sizes."""
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[np.cumsum(sizes)], prepend=0)
 
 
 # -- documents ---------------------------------------------------------------------------------------------------
 
 def units_in_task(a_path: str, b_path: str, p: Params) -> Units:
-    return Units(per_worker(("align", a_path, b_path), lambda: Encoders(a_path, b_path)), p)
+    encoders = per_worker(("align", a_path, b_path), lambda: Encoders(a_path, b_path))
+    return per_worker(("units", a_path, b_path, p), lambda: Units(encoders, p))
 
 
 def pair_counts(docs: DataFrame, a_path: str, b_path: str, p: Params = Params()) -> DataFrame:
@@ -335,7 +344,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, p: Params = Params()) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = units_in_task(a_path, b_path, p)
-        known, score = 0, (np.zeros(1, dtype=np.int64),) * 2
+        known, score = (0, 0, 0), [np.array([], dtype=np.int64)] * 2
         for whole in batches:
             for b in by_size(whole):
                 numbers = units.of_batch(b.column("text").to_pylist())
@@ -344,9 +353,16 @@ def align(docs: DataFrame, a_path: str, b_path: str, p: Params = Params()) -> Da
                 cols = [b.column("doc_id"), *map(pa.array, of)]
                 if table is not None:
                     pair, n, best = table.value
-                    if known != len(units.n_a):
-                        at = np.searchsorted(pair, units.links)
-                        known, score = len(units.n_a), (units.by_unit(best[at].astype(np.int64)), units.by_unit(n[at]))
+                    if known != (units.resets, len(units.n_a), len(units.links)):  # the new units' sums
+                        _, u, k = known if known[0] == units.resets else (0, 0, 0)
+                        at = np.searchsorted(pair, units.links[k:])  # a worker may know units of other tables too
+                        hit = at < len(pair)
+                        hit[hit] = pair[at[hit]] == units.links[k:][hit]
+                        found = [np.zeros(len(at), dtype=np.int64) for _ in score]
+                        for f, x in zip(found, (best, n)):
+                            f[hit] = x[at[hit]]
+                        score = [np.concatenate([s[:u], run_sums(f, units.n_links[u:])]) for s, f in zip(score, found)]
+                        known = (units.resets, len(units.n_a), len(units.links))
                     yield pa.RecordBatch.from_arrays(
                         [*cols, *(pa.array(units.of_units(x, numbers)) for x in score), pa.array(groups, pa.string())], names)
                 else:
