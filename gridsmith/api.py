@@ -27,6 +27,9 @@ from gridsmith.operators.polygon import (  # noqa: F401
     cells_in_polygons, mask_polygon, polygon_bounds, polygon_centroid, row_spans, tiles_intersecting,
     tiles_touched,
 )
+from gridsmith.operators.rasters import (  # noqa: F401
+    Grid, mosaic_tiles, read_windows, reproject_tiles, retile, to_layout, window_side, windows_to_lines,
+)
 from gridsmith.operators.render import composite_join, render3, render4, render_with_hillshade  # noqa: F401
 from gridsmith.operators.tile_map import map_tiles  # noqa: F401
 from gridsmith.operators.tiles import cells_to_band_tiles, cells_to_tiles, extent_to_keys, tiles_to_cells  # noqa: F401

@@ -37,4 +37,4 @@ def r6(c, name: str | None = None) -> Column:
 def load_all() -> None:
     # Importing the plan modules fills the registry.
     from gridsmith.plans import crops, imagery, mosaics, grid, catalog_plans, ingest_plans, focal_plans, render_plans  # noqa: F401
-    from gridsmith.plans import tile_plans  # noqa: F401  (reuses oracles registered above)
+    from gridsmith.plans import raster_plans, tile_plans  # noqa: F401  (reuse oracles registered above)
