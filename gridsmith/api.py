@@ -19,7 +19,7 @@ from gridsmith.operators.focal import (  # noqa: F401
 )
 from gridsmith.operators.geometry import footprint_edges, lonlat_to_mercator, mercator_to_lonlat, ring_to_edges  # noqa: F401
 from gridsmith.operators.ingest import (  # noqa: F401
-    band_whitelist, buffer_windows, complete_band_sets, list_windows, shape_check, split_uri, stack_bands,
+    array_shape_check, band_whitelist, buffer_windows, complete_band_sets, list_windows, shape_check, split_uri, stack_bands,
     stack_bands_pivot,
 )
 from gridsmith.operators.mosaic import collapse_time, mosaic, slice_at_time, tile_merge  # noqa: F401
@@ -27,6 +27,7 @@ from gridsmith.operators.polygon import (  # noqa: F401
     cells_in_polygons, mask_polygon, polygon_bounds, polygon_centroid, row_spans, tiles_intersecting,
     tiles_touched,
 )
+from gridsmith.operators.band_pyramid import band_pyramid, write_pyramid  # noqa: F401
 from gridsmith.operators.rasters import (  # noqa: F401
     Grid, mosaic_tiles, read_windows, reproject_tiles, retile, to_layout, window_side, windows_to_lines,
 )

@@ -70,6 +70,18 @@ def shape_check(rows: DataFrame, key: str = "scene", band: str = "band") -> Data
     return g.where(F.col("n_rows") != F.col("n_bands"))
 
 
+def array_shape_check(rows: DataFrame, key: str = "scene", cells: str = "cells", width: str = "width") -> DataFrame:
+    """``(key, n_rows, shapes)`` of the groups whose arrays cannot be stacked, as they differ in shape or are no whole
+    lines (D9).  Shapes are ``width x height`` (a part of a line as a fraction), sorted; the set of a group's shapes is
+    partially aggregated, so no array is shuffled."""
+    lines = F.size(cells) / F.col(width)
+    shape = F.concat_ws("x", F.col(width).cast("string"), F.when(lines == F.floor(lines), F.floor(lines).cast("string")).otherwise(
+        lines.cast("string")))
+    g = rows.groupBy(key).agg(F.count("*").alias("n_rows"), F.sort_array(F.collect_set(shape)).alias("shapes"),
+                              F.max(F.size(cells) % F.col(width)).alias("_rest"))
+    return g.where((F.size("shapes") > 1) | (F.col("_rest") > 0)).select(key, "n_rows", "shapes")
+
+
 def list_windows(df: DataFrame, n_cols: str = "n_cols", n_rows: str = "n_rows", size: int = WINDOW,
                  keep=()) -> DataFrame:
     """All ``size`` windows of a raster, partial edge windows kept."""

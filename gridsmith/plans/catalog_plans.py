@@ -7,13 +7,16 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from gridsmith.operators import band_pyramid as bp
 from gridsmith.operators import focal
+from gridsmith.operators import tiles as tl
+from gridsmith.operators.rasters import Grid
 from gridsmith.plans.focal_plans import DEM_LEVELS, DEM_ZOOM, _pyramid_sql
 from gridsmith.plans.ingest_plans import FOOTPRINTS
 from gridsmith.plans.oracle import inside_cte, with_ctes
 from gridsmith.plans.grid import _dense_sql
 from gridsmith.plans.registry import ORACLE, r6, register
-from gridsmith.session import shared_dir
+from gridsmith.session import cut_lineage, shared_dir
 from gridsmith.sources import catalog as cat
 from gridsmith.sources import fixtures as fx
 from gridsmith.sources import scenes as sc
@@ -57,11 +60,18 @@ def q_layer_query(spark, sf):
     return cat.query_layer(spark, root, "landsat", ZOOM, fx.TILE, edges, (Q_FROM, Q_TO)).select(*LANDSAT_COLS)
 
 
-@register("layer_exists", """select * from (values ('landsat', 2, true), ('landsat', 3, false),
-       ('classes', 2, true), ('dem', 7, false)) t(layer, zoom, "exists")""")
+@register("layer_exists", with_ctes(
+    """select concat('part_', v) as layer, zoom, v in (select nlcd from classes) and zoom = 2 as "exists"
+       from (select value as v from classes union select nlcd from classes) a, (values (2), (3)) z(zoom)""", "classes"))
 def q_layer_exists(spark, sf):
-    root = _catalog(spark, sf)
-    asked = spark.createDataFrame([("landsat", 2), ("landsat", 3), ("classes", 2), ("dem", 7)], "layer string, zoom int")
+    """One layer per land-cover code is written; every code and value that the tables hold is asked for, at two zooms."""
+    root, cells = shared_dir(spark, "catalog"), cut_lineage(fx.classes(spark, sf))
+    for code in (11, 22, 82):
+        part = cells.where(F.col("nlcd") == code)
+        if not part.isEmpty():
+            cat.write_layer(part, root, f"part_{code}", ZOOM, fx.TILE, "uint8", 0)
+    asked = cells.select(F.col("value").alias("v")).union(cells.select("nlcd")).distinct()
+    asked = asked.select(F.concat(F.lit("part_"), F.col("v").cast("string")).alias("layer"), F.explode(F.array(F.lit(2), F.lit(3))).alias("zoom"))
     return cat.layer_exists(spark, root, asked)
 
 
@@ -90,12 +100,15 @@ def q_layer_upsert(spark, sf):
 
 META_SQL = """select 'landsat' as layer, 2 as zoom, 8 as tile_size, 'uint16' as cell_type, 0 as nodata,
   min(gx // 8) as col_min, max(gx // 8) as col_max, min(gy // 8) as row_min, max(gy // 8) as row_max,
-  min(instant) as instant_min, max(instant) as instant_max, count(*) as cells from {src}"""
+  min(instant) as instant_min, max(instant) as instant_max, count(*) as cells, 'lonlat' as crs,
+  -100.0::double + min(gx // 8) * 0.25::double as x_min, 40.0::double - (max(gy // 8) + 1) * 0.25::double as y_min,
+  -100.0::double + (max(gx // 8) + 1) * 0.25::double as x_max, 40.0::double - min(gy // 8) * 0.25::double as y_max from {src}"""
+LANDSAT_GRID = Grid(-100.0, 40.0, 0.25 / fx.TILE, fx.TILE, "lonlat")
 
 
 @register("collect_metadata", with_ctes(META_SQL.format(src="landsat"), "landsat"))
 def q_collect_metadata(spark, sf):
-    return cat.layer_meta(fx.landsat(spark, sf), "landsat", ZOOM, fx.TILE, "uint16", 0)
+    return cat.layer_meta(fx.landsat(spark, sf), "landsat", ZOOM, fx.TILE, "uint16", 0, LANDSAT_GRID)
 
 
 @register("merge_metadata", with_ctes(
@@ -103,8 +116,8 @@ def q_collect_metadata(spark, sf):
                         "select * from landsat where year(instant) >= 1998)"), "landsat"))
 def q_merge_metadata(spark, sf):
     b1, b2 = _upsert_batches(spark, sf)
-    m1 = cat.layer_meta(b1, "landsat", ZOOM, fx.TILE, "uint16", 0)
-    m2 = cat.layer_meta(b2, "landsat", ZOOM, fx.TILE, "uint16", 0)
+    m1 = cat.layer_meta(b1, "landsat", ZOOM, fx.TILE, "uint16", 0, LANDSAT_GRID)
+    m2 = cat.layer_meta(b2, "landsat", ZOOM, fx.TILE, "uint16", 0, LANDSAT_GRID)
     return cat.merge_meta(m1, m2).select(*cat.META_COLS)
 
 
@@ -123,6 +136,45 @@ def q_pyramid_write(spark, sf):
     return back.select(F.col("zoom").cast("int").alias("zoom"), "gx", "gy", r6(F.col("value").cast("double"), "value"))
 
 
+PYRAMID_ZOOM, PYRAMID_BANDS = 9, ["red", "nir"]
+_LEVELS = f"""levels as (
+  select instant, z as zoom, gx // (1 << ({PYRAMID_ZOOM} - z)) as gx, gy // (1 << ({PYRAMID_ZOOM} - z)) as gy, avg(red) as red, avg(nir) as nir
+  from (select instant, gx, gy, red, case when qa >> 14 <> 3 then nir end as nir from landsat) l, range(0, {PYRAMID_ZOOM + 1}) t(z)
+  group by all)"""
+
+
+def _band_pyramid(spark, sf):
+    """Two bands of the imagery per date, clouds missing in one of them, as a pyramid of ten levels in a catalog."""
+    root = shared_dir(spark, "band_pyramid")
+    l = fx.landsat(spark, sf).select("instant", "gx", "gy", "red", F.when(F.shiftright("qa", 14) != 3, F.col("nir")).alias("nir"))
+    tiles = tl.cells_to_band_tiles(l, fx.TILE, PYRAMID_BANDS, extra=("instant",))
+    bp.write_pyramid(cut_lineage(tiles), root, "landsat", fx.TILE, PYRAMID_ZOOM, PYRAMID_BANDS, grid=LANDSAT_GRID)
+    return root
+
+
+@register("band_pyramid_catalog", with_ctes(
+    "select instant, zoom::integer as zoom, gx, gy, round(red, 6) as red, round(nir, 6) as nir from levels", "landsat", extra=[_LEVELS]))
+def q_band_pyramid_catalog(spark, sf):
+    """All levels of a multiband space-time pyramid, written as catalog layers and read back."""
+    root, out = _band_pyramid(spark, sf), None
+    for z in range(PYRAMID_ZOOM, -1, -1):
+        tiles = cat.read_layer(spark, root, "landsat", z)
+        cells = tl.band_tiles_to_cells(tiles, fx.TILE, PYRAMID_BANDS, extra=("instant",)).withColumn("zoom", F.lit(z))
+        out = cells if out is None else out.unionByName(cells)
+    return out.select("instant", "zoom", "gx", "gy", r6("red"), r6("nir"))
+
+
+@register("band_pyramid_metadata", with_ctes(
+    f"""select 'landsat' as layer, zoom::integer as zoom, 8 as tile_size, 'float64' as cell_type, min(gx // 8) as col_min, max(gx // 8) as col_max,
+               count(distinct struct_pack(i := instant, c := gx // 8, r := gy // 8)) as cells, 'lonlat' as crs,
+               -100.0::double + (max(gx // 8) + 1) * 0.25::double * (1 << ({PYRAMID_ZOOM} - zoom)) as x_max
+        from levels group by zoom""", "landsat", extra=[_LEVELS]))
+def q_band_pyramid_metadata(spark, sf):
+    """One metadata row per level of the written pyramid, with its CRS and extent."""
+    meta = cat.read_meta(spark, _band_pyramid(spark, sf))
+    return meta.select("layer", F.col("zoom").cast("int").alias("zoom"), "tile_size", "cell_type", "col_min", "col_max", "cells", "crs", "x_max")
+
+
 @register("scene_csv_scan", with_ctes(
     r"select time, scene_id, cast(regexp_extract(path, '_B(\d+)\.TIF', 1) as integer) as band, path from scenes",
     "scenes"))

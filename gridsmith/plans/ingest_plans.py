@@ -121,6 +121,15 @@ def q_stack_shape_check(spark, sf):
     return ig.shape_check(band_rows(spark, sf))
 
 
+@register("stack_array_shapes", with_ctes(
+    """select scene, count(*) as n_rows, list_sort(list(distinct concat('2x', 2 + v % 3))) as shapes
+       from band_rows group by scene having count(distinct v % 3) > 1""", "band_rows"))
+def q_stack_array_shapes(spark, sf):
+    """Scenes whose band arrays (2 cells wide, 2 to 4 lines by the band's value) cannot be stacked."""
+    rows = band_rows(spark, sf).select("scene", F.lit(2).alias("width"), F.array_repeat("v", ((2 + F.col("v") % 3) * 2).cast("int")).alias("cells"))
+    return ig.array_shape_check(rows)
+
+
 @register("scene_count", with_ctes(
     "select count(*) as n, count(*) filter (where present) as n_present from scenes", "scenes"))
 def q_scene_count(spark, sf):

@@ -20,7 +20,9 @@ from gridsmith.operators import polygon
 from gridsmith.session import cut_lineage
 
 META_COLS = ["layer", "zoom", "tile_size", "cell_type", "nodata", "col_min", "col_max", "row_min", "row_max",
-             "instant_min", "instant_max", "cells"]
+             "instant_min", "instant_max", "cells", "crs", "x_min", "y_min", "x_max", "y_max"]
+#: What all batches of one layer and zoom must agree in.
+FIXED_META = {"tile_size": "int", "cell_type": "string", "nodata": "int", "crs": "string"}
 
 
 def _tile_keys(df: DataFrame, tile_size: int):
@@ -41,10 +43,11 @@ def with_zkey(df: DataFrame, tile_size: int) -> DataFrame:
     return df.withColumn("zkey", z)
 
 
-def layer_meta(df: DataFrame, layer: str, zoom: int, tile_size: int, cell_type: str, nodata) -> DataFrame:
+def layer_meta(df: DataFrame, layer: str, zoom: int, tile_size: int, cell_type: str, nodata, grid=None) -> DataFrame:
     """Collect layer metadata in one aggregate (D10).  ``cells`` counts the
     rows written (cells, or tiles for a tile-grain layer); merged metadata
-    (D11) adds the batches' counts."""
+    (D11) adds the batches' counts.  ``grid`` (a ``rasters.Grid``) gives the
+    CRS and the extent of the key bounds; without one they are null."""
     has_t = "instant" in df.columns
     col, row = _tile_keys(df, tile_size)
     aggs = [F.min(col).alias("col_min"), F.max(col).alias("col_max"), F.min(row).alias("row_min"),
@@ -53,19 +56,30 @@ def layer_meta(df: DataFrame, layer: str, zoom: int, tile_size: int, cell_type:
             (F.max("instant") if has_t else F.lit(None).cast("timestamp_ntz")).alias("instant_max"),
             F.count("*").alias("cells")]
     m = df.agg(*aggs)
+    side = None if grid is None else F.lit(grid.cell * tile_size)
+    extent = {"x_min": lambda: F.lit(grid.x0) + F.col("col_min") * side, "y_min": lambda: F.lit(grid.y0) - (F.col("row_max") + 1) * side,
+              "x_max": lambda: F.lit(grid.x0) + (F.col("col_max") + 1) * side, "y_max": lambda: F.lit(grid.y0) - F.col("row_min") * side}
     return m.select(F.lit(layer).alias("layer"), F.lit(zoom).alias("zoom"), F.lit(tile_size).alias("tile_size"),
-                    F.lit(cell_type).alias("cell_type"), F.lit(nodata).cast("int").alias("nodata"), *m.columns)
+                    F.lit(cell_type).alias("cell_type"), F.lit(nodata).cast("int").alias("nodata"), *m.columns,
+                    F.lit(grid.crs if grid else None).cast("string").alias("crs"),
+                    *[(f() if grid else F.lit(None)).cast("double").alias(c) for c, f in extent.items()])
 
 
 def merge_meta(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Merge metadata rows of the same layer/zoom: bounds union."""
+    """Merge metadata rows of the same layer/zoom: bounds and extent union
+    (D11).  Batches that differ in tile size, cell type, NoData or CRS raise
+    when the result is read; a null says nothing and agrees with any."""
+    def same(c: str, kind: str):
+        differs = F.concat(F.lit(f"batches of a layer differ in {c}: "), F.min(c).cast("string"), F.lit(", "), F.max(c).cast("string"))
+        return F.when(F.min(c) != F.max(c), F.raise_error(differs).cast(kind)).otherwise(F.max(c)).alias(c)
+
     u = a.unionByName(b)
     return u.groupBy("layer", "zoom").agg(
-        F.first("tile_size").alias("tile_size"), F.first("cell_type").alias("cell_type"),
-        F.first("nodata").alias("nodata"), F.min("col_min").alias("col_min"), F.max("col_max").alias("col_max"),
+        *[same(c, kind) for c, kind in FIXED_META.items()], F.min("col_min").alias("col_min"), F.max("col_max").alias("col_max"),
         F.min("row_min").alias("row_min"), F.max("row_max").alias("row_max"),
         F.min("instant_min").alias("instant_min"), F.max("instant_max").alias("instant_max"),
-        F.sum("cells").alias("cells"))
+        F.sum("cells").alias("cells"), F.min("x_min").alias("x_min"), F.min("y_min").alias("y_min"),
+        F.max("x_max").alias("x_max"), F.max("y_max").alias("y_max"))
 
 
 def time_bucket(instant) -> "F.Column":
@@ -75,7 +89,7 @@ def time_bucket(instant) -> "F.Column":
 
 
 def write_layer(df: DataFrame, root: str, layer: str, zoom: int, tile_size: int, cell_type: str = "int32",
-                nodata=0, partitions: int | None = None, meta: DataFrame | None = None) -> None:
+                nodata=0, partitions: int | None = None, meta: DataFrame | None = None, grid=None) -> None:
     """Write one layer/zoom (A9), clustered by Z-order.  Space-time layers
     are also partitioned by month (``ym``), so dynamic partition overwrite
     replaces only the months present in ``df`` — a monthly re-ingest
@@ -96,7 +110,7 @@ def write_layer(df: DataFrame, root: str, layer: str, zoom: int, tile_size: int,
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).parquet(root))
     if meta is None:
-        meta = layer_meta(df, layer, zoom, tile_size, cell_type, nodata)
+        meta = layer_meta(df, layer, zoom, tile_size, cell_type, nodata, grid)
     (meta.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("layer", "zoom").parquet(root + "/_meta"))
 
@@ -156,7 +170,7 @@ def query_layer(spark: SparkSession, root: str, layer: str, zoom: int, tile_size
 
 
 def upsert_layer(new: DataFrame, root: str, layer: str, zoom: int, tile_size: int, keys: list[str],
-                 cell_type: str = "int32", nodata=0) -> None:
+                 cell_type: str = "int32", nodata=0, grid=None) -> None:
     """Create the layer, or write the new rows over existing keys and merge
     the metadata (A10).  Old and new rows are unioned with a batch tag and
     the newest batch wins per key (``max_by``, partial-aggregated); of rows
@@ -181,7 +195,8 @@ def upsert_layer(new: DataFrame, root: str, layer: str, zoom: int, tile_size: in
         return rows.groupBy(*keys).agg(F.max_by(F.struct(*vals, "_batch"), order).alias("_v")).select(*keys, "_v.*").drop("_batch")
 
     if not exists:
-        write_layer(cut_lineage(one_per_key(new.withColumn("_batch", F.lit(1)))), root, layer, zoom, tile_size, cell_type, nodata)
+        write_layer(cut_lineage(one_per_key(new.withColumn("_batch", F.lit(1)))), root, layer, zoom, tile_size, cell_type, nodata,
+                    grid=grid)
         return
     months = None
     if "instant" in new.columns:
@@ -191,6 +206,6 @@ def upsert_layer(new: DataFrame, root: str, layer: str, zoom: int, tile_size: in
     u = old.select(*keys, *vals, F.lit(0).alias("_batch")).unionByName(new.select(*keys, *vals, F.lit(1).alias("_batch")))
     merged = cut_lineage(one_per_key(u))
     untouched = 0 if months is None else read_layer(spark, root, layer, zoom).where(~time_bucket("instant").isin(months)).count()
-    meta = merge_meta(cut_lineage(old_meta), layer_meta(new, layer, zoom, tile_size, cell_type, nodata))
+    meta = merge_meta(cut_lineage(old_meta), layer_meta(new, layer, zoom, tile_size, cell_type, nodata, grid))
     meta = meta.withColumn("cells", F.lit(untouched + merged.count()))
     write_layer(merged, root, layer, zoom, tile_size, cell_type, nodata, meta=meta.select(*META_COLS))
