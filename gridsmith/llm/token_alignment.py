@@ -10,8 +10,8 @@ Texts are cut at spaces behind anything but white space, where neither side join
 space.  A cut is an end on both sides, so a text's links and groups are those of its units, and the matrices are built
 once for each different unit of a worker.  (If a vocabulary of B has pieces that cross such a cut, texts stay whole.)
 
-Corpus counts of linked id pairs: tasks count units, turn the counts into pairs and hand on one row per pair; these are
-summed by Spark.  A second pass over the texts looks the counts up.  The table of pairs grows with the vocabularies, not
+Texts are encoded once: their links and groups are written to the shared folder, the links are counted by Spark over the
+corpus, and the counts are looked up for the written links.  The table of counted pairs grows with the vocabularies, not
 the texts; it is broadcast only up to ``broadcast_pairs`` rows, else the documents' pairs are joined to it.
 
 Defined results: null and empty texts, and texts whose tokens' bytes are not the text's (as B normalizes some), have no
@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridsmith.llm.common import by_size, per_worker
-from gridsmith.session import cut_lineage
+from gridsmith.session import cut_lineage, shared_dir
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,7 @@ class Params:
     #: Most rows of the table of pairs that are broadcast (17 bytes each).
     broadcast_pairs: int = 1 << 21
     #: Most different units, and characters of them, that a worker remembers, from task to task.
-    units: int = 300_000
+    units: int = 500_000
     chars: int = 8 << 20
 
 
@@ -176,12 +176,11 @@ class Units(dict):
     Number 0 is a unit that cannot be aligned."""
 
     def __init__(self, encoders: Encoders, p: Params):
-        self.encoders, self.p, self.resets = encoders, p, 0
+        self.encoders, self.p = encoders, p
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.resets += 1
         self.new: list[str] = []
         self.chars, self.bad = 0, set()
         self.text, self.parts = [""], [[np.zeros(1, dtype=np.int64)] * 3]
@@ -285,11 +284,6 @@ class Units(dict):
         return np.diff(sums[ends], prepend=0)
 
 
-def run_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of runs of values of these sizes."""
-    return np.diff(np.concatenate([[0], np.cumsum(values)])[np.cumsum(sizes)], prepend=0)
-
-
 # -- documents ---------------------------------------------------------------------------------------------------
 
 def units_in_task(a_path: str, b_path: str, p: Params) -> Units:
@@ -297,92 +291,64 @@ def units_in_task(a_path: str, b_path: str, p: Params) -> Units:
     return per_worker(("units", a_path, b_path, p), lambda: Units(encoders, p))
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str, p: Params = Params()) -> DataFrame:
-    """(pair, n, best): how many links of all docs have this pair of ids, and whether that is the most for its B id."""
+def aligned(docs: DataFrame, a_path: str, b_path: str, p: Params = Params()) -> DataFrame:
+    """A row per row of docs (doc_id, text): tokens, groups, links (pairs a * size of B + b, in order) and groups as text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = units_in_task(a_path, b_path, p)
-        seen = np.zeros(1, dtype=np.int64)
-
-        def out() -> pa.RecordBatch:
-            pair, at = np.unique(units.links, return_inverse=True)
-            n = np.bincount(at, np.repeat(seen, units.n_links), len(pair)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pair[n > 0]), pa.array(n[n > 0])], ["pair", "n"])
-
         for whole in batches:
             for b in by_size(whole):
-                if units.full():
-                    yield out()
-                    seen = np.zeros(1, dtype=np.int64)
                 numbers = units.of_batch(b.column("text").to_pylist())
-                more = np.bincount(np.concatenate([*numbers, np.array([], dtype=np.int64)]), minlength=len(units.n_a))
-                more[:len(seen)] += seen
-                seen = more
-        if seen.any():
-            yield out()
+                n_a, n_b, n_links = (units.of_units(x, numbers) for x in (units.n_a, units.n_b, units.n_links))
+                flat = np.concatenate([*numbers, np.array([], dtype=np.int64)])
+                size = units.n_links[flat]
+                at = np.arange(size.sum()) + np.repeat(units.start[flat] - np.cumsum(size) + size, size)
+                links = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_links)]), pa.int32()), pa.array(units.links[at]))
+                groups = [";".join(map(units.text.__getitem__, n.tolist())) for n in numbers]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, (n_a, n_b, n_links, n_links)), links,
+                                                  pa.array(groups, pa.string())], [x.split()[0] for x in ALIGNED.split(", ")])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ALIGNED)
+
 
-    counts = docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    b_size = per_worker(("align", a_path, b_path), lambda: Encoders(a_path, b_path)).b_size
-    top = F.max("n").over(W.partitionBy(F.col("pair") % len(b_size)))
-    return counts.withColumn("best", F.col("n") == top)
+ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, links array<long>, groups string"
 
 
-ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
+def pair_counts(rows: DataFrame, b_size: int) -> DataFrame:
+    """(pair, n, best): how many links of all rows have this pair of ids, and whether that is the most for its B id."""
+    counts = rows.select(F.explode("links").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    return counts.withColumn("best", F.col("n") == F.max("n").over(W.partitionBy(F.col("pair") % b_size)))
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, p: Params = Params()) -> DataFrame:
     """A row per row of docs (doc_id, text): tokens of either side, groups, links that end together, how many of these
     have the most frequent A id of their B id, the sum of their corpus counts, and the groups as text (A ids, a bar and
     B ids, groups apart by semicolons).  ``a_path``, ``b_path``: files that every executor has."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    counts = cut_lineage(pair_counts(docs, a_path, b_path, p))
-    small = counts.limit(p.broadcast_pairs + 1).count() <= p.broadcast_pairs
-    table = None
-    if small:
-        rows = counts.toArrow().sort_by("pair")
-        table = docs.sparkSession.sparkContext.broadcast(tuple(rows.column(c).to_numpy() for c in ("pair", "n", "best")))
-    names = [x.split()[0] for x in ALIGNED.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = units_in_task(a_path, b_path, p)
-        known, score = (0, 0, 0), [np.array([], dtype=np.int64)] * 2
-        for whole in batches:
-            for b in by_size(whole):
-                numbers = units.of_batch(b.column("text").to_pylist())
-                of = [units.of_units(x, numbers) for x in (units.n_a, units.n_b, units.n_links, units.n_links)]
-                groups = [";".join(map(units.text.__getitem__, n.tolist())) for n in numbers]
-                cols = [b.column("doc_id"), *map(pa.array, of)]
-                if table is not None:
-                    pair, n, best = table.value
-                    if known != (units.resets, len(units.n_a), len(units.links)):  # the new units' sums
-                        _, u, k = known if known[0] == units.resets else (0, 0, 0)
-                        at = np.searchsorted(pair, units.links[k:])  # a worker may know units of other tables too
-                        hit = at < len(pair)
-                        hit[hit] = pair[at[hit]] == units.links[k:][hit]
-                        found = [np.zeros(len(at), dtype=np.int64) for _ in score]
-                        for f, x in zip(found, (best, n)):
-                            f[hit] = x[at[hit]]
-                        score = [np.concatenate([s[:u], run_sums(f, units.n_links[u:])]) for s, f in zip(score, found)]
-                        known = (units.resets, len(units.n_a), len(units.links))
-                    yield pa.RecordBatch.from_arrays(
-                        [*cols, *(pa.array(units.of_units(x, numbers)) for x in score), pa.array(groups, pa.string())], names)
-                else:
-                    links = [np.unique(np.concatenate([units.links[units.start[u]:units.start[u] + units.n_links[u]] for u in n] or [n]),
-                                       return_counts=True) for n in numbers]
-                    pairs = pa.array([[{"pair": x, "k": k} for x, k in zip(*map(np.ndarray.tolist, one))] for one in links], PAIRS)
-                    yield pa.RecordBatch.from_arrays([*cols, pairs, pa.array(groups, pa.string())], [*names[:5], "pairs", "groups"])
-
-    if small:
-        return docs.mapInArrow(run, ALIGNED)
-    kept = ALIGNED.split(", ")
-    rows = docs.mapInArrow(run, ", ".join([*kept[:5], "pairs array<struct<pair:long,k:long>>", kept[-1]]))
-    rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
-    sums = rows.select("row", F.explode("pairs").alias("x")).select("row", "x.pair", "x.k").join(counts, "pair").groupBy("row").agg(
-        F.sum(F.when(F.col("best"), F.col("k")).otherwise(0)).alias("n_best"), F.sum(F.col("k") * F.col("n")).alias("count_sum"))
-    return rows.join(sums, "row", "left").select(
-        *names[:5], F.coalesce("n_best", F.lit(0)).alias("n_best"), F.coalesce("count_sum", F.lit(0)).alias("count_sum"), "groups")
-
-
-PAIRS = pa.list_(pa.struct([("pair", pa.int64()), ("k", pa.int64())]))
+    spark = docs.sparkSession
+    path = shared_dir(spark, "aligned")
+    aligned(docs, a_path, b_path, p).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    b_size = len(per_worker(("align", a_path, b_path), lambda: Encoders(a_path, b_path)).b_size)
+    counts = cut_lineage(pair_counts(rows, b_size))
+    if counts.limit(p.broadcast_pairs + 1).count() <= p.broadcast_pairs:
+        table = counts.toArrow().sort_by("pair")
+        table = spark.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("pair", "n", "best")))
+
+        @F.arrow_udf("struct<n_best:long,count_sum:long>")
+        def look_up(links: pa.Array) -> pa.Array:
+            pair, n, best = table.value
+            ends = np.cumsum(links.value_lengths().to_numpy())
+            at = np.searchsorted(pair, links.flatten().to_numpy())
+            sums = [np.concatenate([[0], np.cumsum(x[at])])[ends] for x in (best, n)]
+            return pa.StructArray.from_arrays([pa.array(np.diff(x, prepend=0)) for x in sums], ["n_best", "count_sum"])
+
+        rows = rows.withColumn("sums", look_up("links"))
+    else:
+        best = F.sum(F.when(F.col("best"), F.col("k")).otherwise(0))
+        sums = rows.select("row", F.explode("links").alias("pair")).groupBy("row", "pair").agg(F.count("*").alias("k")).join(
+            counts, "pair").groupBy("row").agg(F.struct(best.alias("n_best"), F.sum(F.col("k") * F.col("n")).alias("count_sum")).alias("sums"))
+        rows = rows.join(sums, "row", "left")
+    found = [F.coalesce(F.col("sums")[c], F.lit(0)).alias(c) for c in ("n_best", "count_sum")]
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", *found, "groups")
 
 
 def link_rows(docs: DataFrame, a_path: str, b_path: str, kind: str = "overlap") -> DataFrame:
