@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridsmith.llm.common import by_size, per_worker
+from gridsmith.llm.common import SLICE_BYTES, by_size, per_worker
 from gridsmith.session import cut_lineage, shared_dir
 
 
@@ -40,8 +40,8 @@ class Params:
     #: Most rows of the table of pairs that are broadcast (17 bytes each).
     broadcast_pairs: int = 1 << 21
     #: Most different units, and characters of them, that a worker remembers, from task to task.
-    units: int = 500_000
-    chars: int = 8 << 20
+    units: int = 200_000
+    chars: int = 4 << 20
 
 
 # -- sparse matrices ---------------------------------------------------------------------------------------------
@@ -296,7 +296,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, p: Params = Params()) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = units_in_task(a_path, b_path, p)
         for whole in batches:
-            for b in by_size(whole):
+            for b in by_size(whole, "text", SLICE_BYTES):
                 numbers = units.of_batch(b.column("text").to_pylist())
                 n_a, n_b, n_links = (units.of_units(x, numbers) for x in (units.n_a, units.n_b, units.n_links))
                 flat = np.concatenate([*numbers, np.array([], dtype=np.int64)])
@@ -325,7 +325,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, p: Params = Params()) -> Da
     B ids, groups apart by semicolons).  ``a_path``, ``b_path``: files that every executor has."""
     spark = docs.sparkSession
     path = shared_dir(spark, "aligned")
-    aligned(docs, a_path, b_path, p).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    aligned(docs, a_path, b_path, p).withColumn("row", F.monotonically_increasing_id()).write.option(
+        "parquet.block.size", 32 << 20).parquet(path)  # a task holds a row group
     rows = spark.read.parquet(path)
     b_size = len(per_worker(("align", a_path, b_path), lambda: Encoders(a_path, b_path)).b_size)
     counts = cut_lineage(pair_counts(rows, b_size))
