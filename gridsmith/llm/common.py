@@ -34,7 +34,8 @@ def small_batches(spark: SparkSession) -> SparkSession:
     """Cap the Arrow batches that go to Python tasks at 8 MB, unless the session asks for less: with texts of a few KB the
     default (64 MB, held once in the JVM and some times in the Python worker) is most of a small executor."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(re.sub(r"\D", "", spark.conf.get(key))) in (64 << 20, 64):
+    size = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(key).strip().lower())
+    if size and int(size[1]) << 10 * " kmgt".index(size[2] or " ") > 8 << 20:
         spark.conf.set(key, str(8 << 20))
     return spark
 

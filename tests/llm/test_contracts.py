@@ -45,3 +45,16 @@ def test_one_set_of_pieces_a_worker(spark):
         B.write_ids(docs, path, public_tokenizers.path("word_bpe_49k.json"), 2, 16)
         out.append(sorted(map(tuple, B.read_documents(spark, path).collect())))
     assert out[0] == out[1] and len(out[0]) == 40
+
+
+def test_batches_are_capped_and_never_raised(spark):
+    from gridsmith.llm.common import small_batches
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for asked, then in (("64k", "64k"), ("64m", str(8 << 20)), ("1g", str(8 << 20)), (str(64 << 20), str(8 << 20)), ("4096", "4096")):
+            spark.conf.set(key, asked)
+            small_batches(spark)
+            assert spark.conf.get(key) == then
+    finally:
+        spark.conf.set(key, before)
