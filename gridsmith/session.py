@@ -67,7 +67,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and sc.getCheckpointDir():
         base = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
-    if not base and spark.conf.get("spark.master", "local").split("[")[0] != "local":
+    if not base and (spark.conf.get("spark.master", None) or sc.master).split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="gridsmith-ckpt-")
