@@ -6,18 +6,21 @@ step j it writes the symbol under its pointer and moves on by r_j(symbol), a ran
 bit; few edits in the input become few differing places in the output with good
 probability, as walks that got out of step fall back into step.
 
-Every word of every document and every word of every item starts a walk of ``SPAN`` steps; an
-item is thus sampled all over, however long it is.  A repetition has its own walk and samples
-``samples`` places of it; where a document's walk agrees with one of an item in all of them,
-the stretch of the document that the item would fill is a candidate.  ``repetitions`` follows
-from the target recall and a hit rate measured for the item's length.  Items under
-``STRAIGHT`` words have few walks: their walks move at every step, over as many words (four
-at most) as some run of the item must keep unedited within the limit, so none is missed.  A
-verbatim passage agrees in every repetition.
-
-Candidates are checked exactly: the smallest number of word edits between the item and any
-stretch of the candidate region, by dynamic programming; at most ``max_edits`` of the
-item's words may be edited (similarity 0.8 or more).
+Items are classed by length: ``c`` is the largest power of two that is at most an item's
+length.  Every window of c words of every document is embedded by a walk of c steps, and so
+is every window of an item (an item longer than c has several, and walks from its last
+words count as long as they stay in it), so an item is sampled all over.  A repetition
+has its own walk and samples ``samples`` of its c places, the first always; where a document's
+window agrees with one of an item in all of them, the stretch of the document that the item
+would fill is a candidate.  ``repetitions`` follows from the target recall and a measured hit
+rate.  A verbatim passage agrees in every repetition, as a walk of c steps
+cannot leave an item's first window.  Windows whose first sampled symbols no item of the class
+has are not walked to the end.
+
+Candidates collapse to regions of a document and an item, in bounded runs, and are checked exactly: the
+smallest number of word edits between the item and any stretch of the region, by dynamic
+programming; at most ``max_edits`` of the item's words may be edited (similarity 0.8 or
+more).  Further places of the item are looked for on both sides of the best one.
 
 The benchmark is a stated query set: it goes to the tasks in blocks of ``block`` items or
 ``block_words`` words, one pass over the documents each, so what is broadcast is bounded but
@@ -40,11 +43,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from gridsmith.llm.common import CACHED_WORDS, by_size, mix64, plain_words
+from gridsmith.session import cut_lineage
 
 PAD = 0
 CHUNK = 1 << 16
-#: Steps of a walk, and the items' length from which walks are random.
-SPAN, STRAIGHT = 6, 16
+#: Most pairs of a window and an item that are held at once.
+RUN = 1 << 18
+#: Items under so many words are sought with a higher target.
+SHORT = 16
 FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_spans", pa.int32()), ("edits", pa.int32()),
                    ("similarity", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())])
 
@@ -54,16 +60,20 @@ class Params:
     max_edits: float = 0.2
     samples: int = 3
     target_recall: float = 0.95
-    #: (Words from, chance that one repetition finds an item of so many words at the edit limit): a little under the lowest
-    #: measured over edits anywhere, at one end and evenly spread (0.96 from 16 words, 1.00 of 120 from 32).
-    hit_rates: tuple[tuple[int, float], ...] = ((32, 0.98), (16, 0.9))
+    #: Target for items under ``SHORT`` words, which take few steps.
+    short_recall: float = 0.9999
+    #: Chance that one repetition finds an item at the edit limit: a little under the lowest measured over items of 5 to
+    #: 250 words and over edits anywhere, at one end and evenly spread (0.86, at 16 words with even edits).
+    hit_rate: float = 0.8
     #: Items, and words of items, per pass over the documents.
     block: int = 20_000
     block_words: int = 1_000_000
 
     def repetitions(self, words: int) -> int:
-        rate = next((r for n, r in self.hit_rates if words >= n), 1.0)
-        return 1 if rate >= self.target_recall else math.ceil(math.log(1 - self.target_recall) / math.log(1 - rate))
+        if int(self.max_edits * words) == 0:  # only verbatim copies count, and these agree in every repetition
+            return 1
+        target = self.short_recall if words < SHORT else self.target_recall
+        return math.ceil(math.log(1 - target) / math.log(1 - self.hit_rate))
 
 
 class Symbols(dict):
@@ -81,68 +91,97 @@ def symbols(data: bytes, known: Symbols) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
-def straight(words: int, limit: int, samples: int) -> int:
-    """Words of a straight walk: the longest run that ``limit`` edits leave in an item at least, four at most; 0 if the
-    item is walked at random."""
-    run = -(-(words - limit) // (limit + 1))
-    return min(4, run) if words < STRAIGHT or run <= samples else 0
+def window_words(words: int) -> int:
+    """Words of an item's windows: its class."""
+    return 1 << words.bit_length() - 1
 
 
-def places(rep: int, samples: int) -> list[int]:
-    """Sampled steps of a random walk in a repetition: its first and others within SPAN steps."""
-    return [0, *sorted(int(i) + 1 for i in np.random.default_rng([rep, SPAN]).choice(SPAN, min(samples - 1, SPAN), replace=False))]
+def places(rep: int, c: int, samples: int) -> list[int]:
+    """Sampled steps of a walk of c steps in a repetition: the first, and others anywhere."""
+    return [0, *sorted(int(i) + 1 for i in np.random.default_rng([rep, c]).choice(c - 1, min(samples, c) - 1, replace=False))]
 
 
-def walk(x: np.ndarray, starts: int, rep: int, at: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """CGK walks from the first ``starts`` words of x (padded by SPAN behind): keys of the sampled symbols, and where the
-    last of them lies.  Repetition -1 moves at every step."""
-    p, step = np.arange(starts), 0
-    key = mix64(x[:starts], 1000 * rep + len(at))
-    bits = None if rep < 0 else mix64(x, 1000 * rep + 1)
-    for place in at[1:]:
-        while step < place:
-            p = p + 1 if bits is None else p + (bits >> np.uint64(step) & np.uint64(1)).astype(np.uint8)[p]
-            step += 1
-        key = mix64(key ^ x[p], len(at))
-    return key, p
+class Walks:
+    """CGK walks over one stretch of symbols; the random bits of its words are made once a repetition and 64 steps."""
+
+    def __init__(self, x: np.ndarray):
+        self.x, self.bits = x, {}
+
+    def moves(self, rep: int, step: int) -> np.ndarray:
+        if (rep, step // 64) not in self.bits:
+            self.bits[rep, step // 64] = mix64(self.x, 1000 * rep + 1 + step // 64)
+        return self.bits[rep, step // 64]
+
+    def walk(self, start: np.ndarray, rep: int, at: list[int], seen: list[np.ndarray] | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """The walks from the words ``start``: where they began, their keys at each sampled place and where they are at the
+        last.  With ``seen`` (marks by low bits of a key, for each place) only walks whose keys are marked go on, and the
+        last keys alone are kept."""
+        p, key, step, keys = start, np.zeros(len(start), np.uint64), 0, []
+        for k, place in enumerate(at):
+            while step < place:
+                p = p + (self.moves(rep, step)[p] >> np.uint64(step % 64) & np.uint64(1)).astype(np.int64)
+                step += 1
+            key = mix64(key ^ self.x[p], 1000 * rep + k)
+            if seen is not None:
+                go = np.flatnonzero(seen[k][(key & np.uint64(len(seen[k]) - 1)).astype(np.int64)])
+                start, key, p, keys = start[go], key[go], p[go], []
+            keys.append(key)
+        return start, keys, p
+
+
+def marks(keys: np.ndarray) -> np.ndarray:
+    """Marks of keys by their low bits."""
+    seen = np.zeros(1 << max(12, (8 * len(keys)).bit_length()), dtype=bool)
+    seen[(keys & np.uint64(len(seen) - 1)).astype(np.int64)] = True
+    return seen
 
 
 @dataclass(frozen=True)
 class Table:
-    """Keys of the items that one repetition looks for: ascending, each with an item and the first and last of its words
-    from which a walk has this key."""
+    """Keys of a class of items that one repetition looks for: ascending, each with an item and the first and last of its
+    words from which a walk has this key; marks of the keys at each sampled place."""
     rep: int
     at: list[int]
     keys: np.ndarray
     items: np.ndarray
     first: np.ndarray
     last: np.ndarray
-    mask: np.uint64
-    seen: np.ndarray
+    seen: list[np.ndarray]
 
     @staticmethod
     def of(rep: int, at: list[int], items: list[tuple[int, np.ndarray]]) -> Table:
         """items: (number, symbols) rows."""
         sizes = np.array([len(s) for _, s in items])
         begin = np.cumsum(sizes) - sizes
-        x = np.concatenate([*(s for _, s in items), np.zeros(SPAN + 1, np.uint32)])
-        key, end = walk(x, int(sizes.sum()), rep, at)
+        x = np.concatenate([*(s for _, s in items), np.zeros(at[-1] + 1, np.uint32)])
+        start, keys, end = Walks(x).walk(np.arange(int(sizes.sum())), rep, at)
         which = np.repeat(np.arange(len(items)), sizes)
         inside = end < (begin + sizes)[which]  # a walk that leaves its item says nothing of it
-        word, which, key = (np.arange(len(key)) - begin[which])[inside], which[inside], key[inside]
-        order = np.lexsort((word, which, key))
-        word, which, key = word[order], which[order], key[order]
-        new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (which[1:] != which[:-1])])) if len(key) else np.zeros(0, np.int64)
-        last = np.concatenate([new[1:], [len(key)]])[:len(new)] - 1
-        keys = key[new]
-        mask = (1 << max(12, (8 * len(keys)).bit_length())) - 1
-        seen = np.zeros(mask + 1, dtype=bool)
-        seen[(keys & np.uint64(mask)).astype(np.int64)] = True
-        return Table(rep, at, keys, np.array([n for n, _ in items], np.int64)[which[new]], word[new], word[last], np.uint64(mask), seen)
+        word, which, keys = (start - begin[which])[inside], which[inside], [k[inside] for k in keys]
+        order = np.lexsort((word, which, keys[-1]))
+        word, which, key = word[order], which[order], keys[-1][order]
+        new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (which[1:] != which[:-1])]))
+        last = np.concatenate([new[1:], [len(key)]]) - 1
+        return Table(rep, at, key[new], np.array([n for n, _ in items], np.int64)[which[new]], word[new], word[last],
+                     [marks(k) for k in keys])
+
+
+def merged(rows: np.ndarray) -> np.ndarray:
+    """(document, item number, from, to) rows with overlapping stretches of a document and an item made one, in order."""
+    if len(rows) < 2:
+        return rows
+    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+    other = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
+    shift = np.cumsum(other) * (rows[:, 3].max() + 1)  # so that stretches of different pairs lie apart
+    reach = np.maximum.accumulate(rows[:, 3] + shift)
+    new = np.flatnonzero(np.concatenate([[True], rows[1:, 2] + shift[1:] > reach[:-1]]))
+    out = rows[new].copy()
+    out[:, 3] = (reach - shift)[np.concatenate([new[1:], [len(rows)]]) - 1]
+    return out
 
 
 class Index:
-    """Keys of the items of a block, by repetition."""
+    """Keys of the items of a block, by class and repetition."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], p: Params):
         self.items, self.p = items, p
@@ -154,32 +193,48 @@ class Index:
         self.rare = np.zeros(1 << 22, dtype=bool)
         self.rare[rare & np.uint32(len(self.rare) - 1)] = True
         self.needed = np.array([np.isin(s, rare).sum() for _, s in items], dtype=np.int64) - self.limits
-        walks: dict[tuple[int, tuple[int, ...]], list[tuple[int, np.ndarray]]] = {}
+        classes: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
         for n, (_, s) in enumerate(items):
-            run = straight(len(s), int(self.limits[n]), p.samples)
-            for rep, at in [(-1, range(run))] if run else [(r, places(r, p.samples)) for r in range(p.repetitions(len(s)))]:
-                walks.setdefault((rep, tuple(at)), []).append((n, s))
-        self.tables = [Table.of(rep, list(at), those) for (rep, at), those in sorted(walks.items(), key=lambda w: w[0])]
+            for rep in range(p.repetitions(len(s))):
+                classes.setdefault((window_words(len(s)), rep), []).append((n, s))
+        self.tables = [Table.of(rep, places(rep, c, p.samples), those) for (c, rep), those in sorted(classes.items(), key=lambda x: x[0])]
+        self.steps = max((t.at[-1] for t in self.tables), default=0)
 
     def candidates(self, x: np.ndarray, a: int, n: int, starts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """(document, item number, first start, last start) rows for the walks that start in x[a:a + n]; starts: of the
-        documents in x; words: how many rare words of items lie before each word of x.  A candidate whose region has
+        """(document, item number, from, to) regions of the documents for the walks that start in x[a:a + n]; starts: of
+        the documents in x; words: how many rare words of items lie before each word of x.  A candidate whose region has
         fewer of them than its item has beyond the edit limit is left out at once."""
-        out = []
+        out = np.zeros((0, 4), np.int64)
+        walks = Walks(x[a:a + n + self.steps + 1])
         for t in self.tables:
-            key, _ = walk(x[a:a + n + SPAN + 1], n, t.rep, t.at)
-            at = np.flatnonzero(t.seen[(key & t.mask).astype(np.int64)])
-            lo, hi = np.searchsorted(t.keys, key[at], "left"), np.searchsorted(t.keys, key[at], "right")
-            many = hi - lo
-            which = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            word, item = np.repeat(at + a, many), t.items[which]
-            doc = np.searchsorted(starts, word, "right") - 1
-            first, last = word - t.last[which], word - t.first[which]
-            size, limit = self.sizes[item], self.limits[item]
-            there = words[np.minimum(last + size + limit, starts[doc + 1] - 1)] - words[np.maximum(first - limit, starts[doc])]
-            ok = there >= self.needed[item]
-            out.append(np.stack([doc[ok], item[ok], first[ok] - starts[doc[ok]], last[ok] - starts[doc[ok]]], axis=1))
-        return np.concatenate(out) if out else np.zeros((0, 4), np.int64)
+            start, keys, _ = walks.walk(np.arange(n), t.rep, t.at, t.seen)
+            lo, hi = np.searchsorted(t.keys, keys[-1], "left"), np.searchsorted(t.keys, keys[-1], "right")
+            ends = np.cumsum(hi - lo)
+            i = 0
+            while i < len(start):
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + RUN, "right")))
+                many = hi[i:j] - lo[i:j]
+                which = np.repeat(lo[i:j], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                word, item = np.repeat(start[i:j] + a, many), t.items[which]
+                doc = np.searchsorted(starts, word, "right") - 1
+                size, limit = self.sizes[item], self.limits[item]
+                lower = np.maximum(word - t.last[which] - limit, starts[doc])
+                upper = np.minimum(word - t.first[which] + size + limit, starts[doc + 1] - 1)
+                ok = words[upper] - words[lower] >= self.needed[item]
+                out = merged(np.concatenate([out, merged(np.stack([doc, item, lower - starts[doc], upper - starts[doc]], axis=1)[ok])]))
+                i = j
+        return out
+
+
+def edits_by_end(item: np.ndarray, region: np.ndarray) -> np.ndarray:
+    """Smallest number of word edits between the item and a stretch of the region that ends before each place."""
+    steps = np.arange(len(region) + 1)
+    d = np.zeros(len(region) + 1, dtype=np.int64)
+    for k, w in enumerate(item.tolist()):
+        e = d + 1
+        e[1:] = np.minimum(e[1:], d[:-1] + (region != w))
+        d = np.minimum.accumulate(e - steps) + steps
+    return d
 
 
 def best_stretch(item: np.ndarray, region: np.ndarray, limit: int) -> tuple[int, int]:
@@ -188,44 +243,64 @@ def best_stretch(item: np.ndarray, region: np.ndarray, limit: int) -> tuple[int,
     there = set(region.tolist())
     if sum(w in there for w in item.tolist()) < len(item) - limit:  # each word that isn't there needs an edit
         return limit + 1, 0
-    steps = np.arange(len(region) + 1)
-    d = np.zeros(len(region) + 1, dtype=np.int64)
-    for k, w in enumerate(item.tolist()):
-        e = d + 1
-        e[1:] = np.minimum(e[1:], d[:-1] + (region != w))
-        d = np.minimum.accumulate(e - steps) + steps
+    d = edits_by_end(item, region)
     at = int(d.argmin())
     return (int(d[at]), at) if d[at] <= limit else (limit + 1, 0)
 
 
+def stretch_start(item: np.ndarray, region: np.ndarray, end: int, limit: int) -> int:
+    """First word of the best stretch that ends before ``end``: the same search backwards from there."""
+    back = region[max(0, end - len(item) - limit):end][::-1]
+    d = np.arange(len(back) + 1)  # anchored: no word behind the end is free
+    steps = np.arange(len(back) + 1)
+    for w in item[::-1].tolist():
+        e = d + 1
+        e[1:] = np.minimum(e[1:], d[:-1] + (back != w))
+        d = np.minimum.accumulate(e - steps) + steps
+    return end - int(d.argmin())
+
+
+def places_in_order(item: np.ndarray, region: np.ndarray, limit: int) -> Iterator[tuple[int, int, int]]:
+    """(edits, first, end) of places of the item in the region from left to right, none over another: each time the best
+    of those that end within ``limit`` words of the first end.  The region is searched in pieces of bounded length."""
+    lo, reach = 0, len(item) + limit
+    while lo < len(region):
+        part = region[lo:lo + 4 * reach]
+        edits, _ = best_stretch(item, part, limit)
+        if edits > limit:
+            if lo + len(part) == len(region):
+                return
+            lo += 3 * reach
+            continue
+        d = edits_by_end(item, part)
+        first = int(np.flatnonzero(d <= limit)[0])
+        end = first + int(d[first:first + limit + 1].argmin())
+        if not end:
+            return  # the limit allows the empty stretch
+        yield int(d[end]), lo + stretch_start(item, part, end, limit), lo + end
+        lo += end
+
+
 def verified(index: Index, x: np.ndarray, found: np.ndarray, p: Params) -> list[tuple[int, int, int, int]]:
-    """(item number, edits, first word, last word) of the candidates in one document that pass the exact check;
-    overlapping candidate regions of an item are checked as one."""
+    """(item number, edits, first word, last word) of the regions (item number, from, to) of one document that pass the
+    exact check: of each the best place, and further ones before and behind it."""
     out = []
-    for n in np.unique(found[:, 0]).tolist():
-        item = index.items[n][1]
-        limit = int(index.limits[n])
-        mine = found[found[:, 0] == n]
-        mine = mine[np.argsort(mine[:, 1])]
-        lo, hi = np.maximum(mine[:, 1] - limit, 0), np.maximum.accumulate(np.minimum(mine[:, 2] + len(item) + limit, len(x)))
-        new = np.flatnonzero(np.concatenate([[True], lo[1:] > hi[:-1]]))
-        regions = zip(lo[new].tolist(), hi[np.concatenate([new[1:], [len(hi)]]) - 1].tolist())
-        for lo, hi in regions:
-            while True:  # several places of the item may lie in one region
-                edits, end = best_stretch(item, x[lo:hi], limit)
-                if edits > limit:
-                    break
-                # the stretch's first word: the same search backwards
-                _, back = best_stretch(item[::-1], x[lo:lo + end][::-1][:len(item) + limit], limit)
-                out.append((n, edits, lo + end - back, lo + end - 1))
-                lo += end
+    for n, lo, hi in merged(np.insert(found, 0, 0, axis=1))[:, 1:].tolist():
+        item, limit, region = index.items[n][1], int(index.limits[n]), x[lo:hi]
+        edits, end = best_stretch(item, region, limit)
+        if edits > limit:
+            continue
+        first = stretch_start(item, region, end, limit)
+        out.append((n, edits, lo + first, lo + end - 1))
+        for at, part in ((0, region[:first]), (end, region[end:])):
+            out += [(n, e, lo + at + i, lo + at + j - 1) for e, i, j in places_in_order(item, part, limit)]
     return out
 
 
 def matches(index: Index, docs: list[np.ndarray], p: Params) -> list[list[tuple[int, int, int, int]]]:
     """Matches of every document: documents are laid end to end, a pad between, and walked in chunks."""
     starts = np.cumsum([0, *(len(d) + 1 for d in docs)])
-    x = np.zeros(starts[-1] + SPAN + 1, dtype=np.uint32)
+    x = np.zeros(starts[-1] + index.steps + 1, dtype=np.uint32)
     for a, d in zip(starts.tolist(), docs):
         x[a:a + len(d)] = d
     words = np.concatenate([[0], np.cumsum(index.rare[x & np.uint32(len(index.rare) - 1)], dtype=np.int32)])
@@ -287,7 +362,9 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) ->
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
-    """The rows of docs, all columns, in which no item was found."""
+    """The rows of docs, all columns, in which no item was found.  What a block of items leaves is checkpointed before the
+    next block's pass, so that a task holds one index."""
+    first = True
     for block in item_blocks(benchmark, p):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
@@ -296,5 +373,6 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, p: Params = Param
             for part, seqs in document_groups(batches):
                 yield part.filter(pa.array([not m for m in matches(index, seqs, p)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = (docs if first else cut_lineage(docs)).mapInArrow(run, docs.schema)
+        first = False
     return docs

@@ -93,7 +93,53 @@ def test_recall_by_length_and_place_of_edits(words, where):
         texts.append(np.array([rnd.randrange(1, 5000) for _ in range(80)] + s + [rnd.randrange(1, 5000) for _ in range(80)], np.uint32))
     exact = [D.best_stretch(i, t, int(0.2 * words))[0] <= int(0.2 * words) for (_, i), t in zip(items, texts)]
     got = [any(m[0] == n for m in g) for n, g in enumerate(D.matches(D.Index(items, p), texts, p))]
-    assert sum(exact) == 60 and np.mean(got) >= (1 if words < D.STRAIGHT else p.target_recall)
+    assert sum(exact) == 60 and np.mean(got) >= (1 if words < D.SHORT else p.target_recall)
+
+
+@pytest.mark.parametrize("edited", [(True, False), (False, True), (False, False), (True, True), (True, False, True, False, False)])
+def test_every_place_of_an_item_counts(edited):
+    """Edited and verbatim copies next to each other, in any order, are all found; the best one is reported exactly."""
+    for seed in range(5):
+        rnd = random.Random(seed)
+        item = [rnd.randrange(1, 5000) for _ in range(40)]
+        copies = []
+        for e in edited:
+            s = list(item)
+            for i in rnd.sample(range(3, 37), 5 if e else 0):
+                s[i] = rnd.randrange(5000, 9000)
+            copies.append(s)
+        text = np.array([7] * 30 + sum(copies, []) + [8] * 30, np.uint32)
+        got = D.matches(D.Index([(1, np.array(item, np.uint32))], D.Params()), [text], D.Params())[0]
+        assert sorted(m[2:] for m in got) == [(30 + 40 * k, 69 + 40 * k) for k in range(len(edited))]
+        assert sorted(m[1] for m in got) == sorted(5 * e for e in edited)
+
+
+def test_common_phrases_stay_bounded():
+    """Items that share a stock phrase, and a text of nothing else: pairs are collapsed in runs, places are not lost."""
+    items = [(n, np.array([5] * 40 + [100 + n], np.uint32)) for n in range(150)]
+    got = D.matches(D.Index(items, D.Params()), [np.full(3000, 5, np.uint32)], D.Params())[0]
+    assert {m[0] for m in got} == set(range(150))
+    for n in (0, 149):
+        mine = sorted(m[2:] for m in got if m[0] == n)
+        assert len(mine) >= 3000 // 49 and all(a[1] < b[0] for a, b in zip(mine, mine[1:]))
+
+
+def test_merged_regions():
+    rnd = np.random.default_rng(3)
+    rows = np.stack([rnd.integers(0, 3, 300), rnd.integers(0, 4, 300), at := rnd.integers(0, 400, 300), at + rnd.integers(1, 9, 300)], axis=1)
+    want = set()
+    for d in range(3):
+        for i in range(4):
+            run = None
+            for lo, hi in sorted(rows[(rows[:, 0] == d) & (rows[:, 1] == i)][:, 2:].tolist()):
+                if run and lo <= run[1]:
+                    run[1] = max(run[1], hi)
+                else:
+                    if run:
+                        want.add((d, i, *run))
+                    run = [lo, hi]
+            want.add((d, i, *run))
+    assert set(map(tuple, D.merged(rows).tolist())) == want
 
 
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
@@ -107,6 +153,8 @@ def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     assert D.find_matches(no_docs, bench).count() == 0
     blocks = D.find_matches(odd_docs, bench, D.Params(block=1))
     assert {(r.doc_id, r.item_id) for r in blocks.collect()} == set(rows)
+    left = D.remove_contaminated(odd_docs, bench, D.Params(block=1))
+    assert sorted(str(r.doc_id) for r in left.collect()) == ["0", "1", "2", "5", "9", "None"]
 
 
 # -- 7: mixing ---------------------------------------------------------------------------------------------------
