@@ -20,6 +20,8 @@ LOWER = UPPER.lower()
 #: Words are runs of 0-9, a-z (after A-Z are lower-cased) and anything outside ASCII; all other bytes separate.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
                    for c in range(256))
+#: Keys with more than one in HOT_SHARE of all rows, and more than HOT_LEAST, are joined in SALTS parts.
+HOT_SHARE, HOT_LEAST, SALTS = 1000, 500, 64
 #: Most words of which a task remembers something.
 CACHED_WORDS = 300_000
 #: Long texts are worked on in slices of about this many bytes, so a task's memory does not follow the longest text.
@@ -109,6 +111,26 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def join_hot(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Inner join of rows to a table with one row a key.  Keys that hold more than one in HOT_SHARE of the rows (so fewer
+    than HOT_SHARE keys, which the driver names) are dealt to SALTS tasks, with their row of the table in each.  ``rows``
+    is read three times: cut its lineage before."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    least = max(rows.count() // HOT_SHARE, HOT_LEAST)
+    hot = [r[0] for r in counts.where((F.col("n") > least) & F.col(key).isNotNull()).select(key).collect()]
+    if not hot:
+        return rows.join(table, key)
+    part = "_part"
+    while part in {c.lower() for c in rows.columns + table.columns}:
+        part = f"_{part}"
+    others = [c for c in rows.columns if c != key]
+    drawn = F.pmod(F.xxhash64(*others) if others else F.monotonically_increasing_id(), F.lit(SALTS))
+    many = F.col(key).isin(hot)
+    rows = rows.withColumn(part, F.when(many, drawn).otherwise(F.lit(0)).cast("int"))
+    table = table.withColumn(part, F.explode(F.when(many, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    return rows.join(table, [key, part]).drop(part)
+
+
 def per_worker(key: tuple, make):
     """``make()``, kept for the life of the Python worker under ``key``.  Native tokenizers leave memory behind when they
     are dropped, so a worker that serves many tasks must not make one a task.  This package is pickled by value and its

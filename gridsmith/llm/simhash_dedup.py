@@ -14,9 +14,12 @@ group the second segment is matched by its one-bit neighbourhood on sorted keys,
 pairs must pass the budgets of longer chains and at last the full Hamming check.
 
 Skew: equal fingerprints are one row before anything else.  A segment value with more
-than ``block`` distinct fingerprints is split into blocks that meet pairwise in
-separate tasks, so a task never holds more than two blocks; within a task pairs come
-in bounded runs and only a spanning forest of the links is handed on, never all pairs.
+than ``block`` distinct fingerprints is dealt by the value of the next segment as well, to
+the own value and to those with one bit more (the second budget is one), so what is shuffled
+stays in proportion to the input.  A pair of values that is still larger is split into
+blocks that meet pairwise in separate tasks, so a task never holds more than two blocks;
+within a task pairs come in bounded runs and only a spanning forest of the links is handed on, never all pairs.
+Joins by fingerprint or component deal the few keys with many rows to several tasks.
 Components are then found by alternating large-star and small-star steps over the
 forests, with a reliable checkpoint per round.
 
@@ -34,11 +37,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridsmith.llm.common import fresh, slices
+from gridsmith.llm.common import fresh, join_hot, slices
 from gridsmith.session import cut_lineage
 
 BITS = 64
@@ -48,10 +50,13 @@ BITS = 64
 class Params:
     shingle: int = 4
     max_bits: int = 4
-    #: Most distinct fingerprints of one segment value that meet in one task; larger groups are split into blocks.
+    #: Most distinct fingerprints of one segment value that meet in one task; larger groups are dealt by two segments,
+    #: and what is larger still is split into blocks.
     block: int = 20_000
     #: Most candidate pairs held at a time.
     pairs: int = 2_000_000
+    #: Most keys of groups in blocks that are broadcast (20 bytes each).
+    broadcast_keys: int = 1 << 20
     max_rounds: int = 60
 
 
@@ -153,18 +158,36 @@ def merge(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
 def links(fps: DataFrame, p: Params = Params()) -> DataFrame:
     """A spanning forest (u, v) of the links between the distinct fingerprints ``fp`` of ``fps``."""
     ring = segments(p)
-    cut = lambda s, w: F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1))
-    rows = fps.select("fp", F.posexplode(F.array(*[cut(s, w) for s, w in ring])).alias("i", "seg"))
-    # Blocks per (segment, value): the keys number at most (max_bits + 1) * 2^width, whatever the input.
-    many = (rows.groupBy("i", "seg").agg(F.count("*").alias("n")).where(F.col("n") > p.block)
-            .select("i", "seg", F.ceil(F.col("n") / p.block).cast("int").alias("blocks")))
-    rows = rows.join(F.broadcast(many), ["i", "seg"], "left")
+    if len(ring) == 1:  # no bit may differ
+        return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v")).where("false")
+    cut = lambda k: F.shiftrightunsigned("fp", ring[k % len(ring)][0]).bitwiseAND(F.lit((1 << ring[k % len(ring)][1]) - 1))
+    key = ["i", "seg", "next"]
+    rows = fps.select("fp", F.posexplode(F.array(*map(cut, range(len(ring))))).alias("i", "seg")).withColumn("next", F.lit(-1).cast("long"))
+    # The keys number at most (max_bits + 1) * 2^width, whatever the input.
+    wide = rows.groupBy("i", "seg").agg(F.count("*").alias("n")).where(F.col("n") > p.block).select("i", "seg")
+    if not wide.isEmpty():
+        # Large values are dealt by the next segment as well, where a chain has at most one differing bit: to the own value
+        # and to those with one bit more.
+        own, width = F.array(*map(cut, range(1, len(ring) + 1)))[F.col("i")], F.array(*[F.lit(w) for _, w in ring[1:] + ring[:1]])[F.col("i")]
+        more = F.transform(F.sequence(F.lit(0), width - 1), lambda k: own.bitwiseOR(F.pow(F.lit(2), k).cast("long")))
+        visits = F.array_distinct(F.concat(F.array(own), more)) if 2 * p.max_bits // len(ring) else F.array(own)
+        far = rows.drop("next").join(F.broadcast(wide), ["i", "seg"], "left_semi").select("fp", "i", "seg", F.explode(visits).alias("next"))
+        rows = rows.join(F.broadcast(wide), ["i", "seg"], "left_anti").select("fp", *key).union(far.select("fp", *key))
+        # What is still too large is cut into blocks that meet pairwise.
+        many = (far.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > p.block)
+                .select(*key, F.ceil(F.col("n") / p.block).cast("int").alias("blocks")))
+        many = cut_lineage(many)
+        few = many.limit(p.broadcast_keys + 1).count() <= p.broadcast_keys
+        rows = rows.join(F.broadcast(many) if few else many, key, "left")
+    else:
+        rows = rows.withColumn("blocks", F.lit(None).cast("int"))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     both = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
     pair = F.when(F.col("blocks").isNull(), F.array(both(F.lit(0), F.lit(0)))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: both(F.least(mine, k), F.greatest(mine, k))))
-    dealt = rows.select("i", "seg", "fp", F.explode(pair).alias("x")).select("i", "seg", "fp", "x.a", "x.b")
-    dealt = dealt.repartition("i", "seg", "a", "b").sortWithinPartitions("i", "seg", "a", "b")
+    key += ["a", "b"]
+    dealt = rows.select("i", "seg", "next", "fp", F.explode(pair).alias("x")).select("i", "seg", "next", "fp", "x.a", "x.b")
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key)
 
     def forest(fp: np.ndarray, group: np.ndarray, i: int) -> pa.RecordBatch:
         label = np.arange(len(fp))
@@ -179,16 +202,16 @@ def links(fps: DataFrame, p: Params = Params()) -> DataFrame:
 
         def ready(rest: bool) -> Iterator[pa.RecordBatch]:
             x = np.concatenate(held, axis=1)
-            new = np.concatenate([[True], (x[:4, 1:] != x[:4, :-1]).any(axis=0)])
+            new = np.concatenate([[True], (x[:5, 1:] != x[:5, :-1]).any(axis=0)])
             end = x.shape[1] if rest else int(np.flatnonzero(new)[-1])  # the last group may go on
             held[:] = [x[:, end:]]
             number = np.cumsum(new)
             for i in np.unique(x[0, :end]):
                 at = np.flatnonzero(x[0, :end] == i)
-                yield forest(x[4, at].view(np.uint64), number[at], int(i))
+                yield forest(x[5, at].view(np.uint64), number[at], int(i))
 
         for b in batches:
-            held.append(np.stack([b.column(k).cast(pa.int64()).to_numpy() for k in ("i", "seg", "a", "b", "fp")]))
+            held.append(np.stack([b.column(k).cast(pa.int64()).to_numpy() for k in (*key, "fp")]))
             if sum(h.shape[1] for h in held) >= 2 * p.block:
                 yield from ready(False)
         if held:
@@ -236,27 +259,34 @@ def fingerprint_groups(rows: DataFrame, p: Params = Params()) -> DataFrame:
     comp = components(links(fps.select("fp"), p), p)
     known = fps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
+    known = cut_lineage(known)
     low = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    return known.select("fp", "root").join(low, "root").select("fp", "component_id")
+    return join_hot(known.select("fp", "root"), low, "root").select("fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, fp, component_id), a row per row of docs (doc_id, text)."""
     rows = cut_lineage(with_fingerprint(docs.select("doc_id", "text"), p).select("doc_id", "fp"))
     groups = cut_lineage(fingerprint_groups(rows, p))
-    return rows.join(groups, "fp").select("doc_id", "fp", "component_id")
+    return join_hot(rows, groups, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of docs that stay: of each component the row with the smallest doc_id (null last), then fingerprint;
-    of its repetitions one.  All columns are kept."""
-    fp, n = fresh(docs, "fp"), fresh(docs, "n")
+    of its repetitions one.  All columns are kept.  Texts are hashed once; only where several rows have a doc_id, or
+    none, are theirs hashed again, to tell them apart."""
+    fp, d, f = (fresh(docs, c) for c in ("fp", "d", "f"))
     rows = cut_lineage(with_fingerprint(docs.select("doc_id", "text"), p).select("doc_id", "fp"))
     groups = cut_lineage(fingerprint_groups(rows, p))
-    first = rows.distinct().join(groups, "fp").groupBy(F.coalesce("component_id", "fp").alias("c"), F.col("component_id").isNull()).agg(
+    first = join_hot(rows.distinct(), groups, "fp").groupBy(F.coalesce("component_id", "fp").alias("c"), F.col("component_id").isNull()).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("d"), F.col("fp").alias("f"))).alias("x"))
-    first = first.select(F.col("x.d").alias("__d"), F.col("x.f").alias("__f"))
-    marked = with_fingerprint(docs, p, fp)
-    kept = marked.join(first, marked["doc_id"].eqNullSafe(first["__d"]) & (marked[fp] == first["__f"]), "left_semi")
-    w = W.partitionBy(fp, "doc_id").orderBy(fp)
-    return kept.withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(fp, n)
+    first = first.select(F.col("x.d").alias(d), F.col("x.f").alias(f))
+    times = rows.groupBy(F.col("doc_id").alias(d)).agg(F.count("*").alias("n"))
+    alone = F.col("n").eqNullSafe(1) & F.col(d).isNotNull()
+    first = cut_lineage(first.join(times.where(alone), d, "left"))
+    single = docs.join(first.where(F.col("n") == 1).select(d), docs["doc_id"] == F.col(d), "left_semi")
+    again = times.where(~alone).select(d)
+    marked = with_fingerprint(docs.join(again, docs["doc_id"].eqNullSafe(again[d]), "left_semi"), p, fp)
+    left = first.where("n is null")
+    marked = marked.join(left, marked["doc_id"].eqNullSafe(left[d]) & (marked[fp] == left[f]), "left_semi")
+    return single.union(marked.dropDuplicates([fp, "doc_id"]).drop(fp))

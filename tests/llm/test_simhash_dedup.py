@@ -119,3 +119,35 @@ def test_keep_one_keeps_the_smallest_of_each_component(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     comp = {r.component_id for r in S.near_duplicates(docs).collect()}
     assert sorted(r.doc_id for r in S.keep_one(docs).collect()) == sorted(comp)
+
+
+@pytest.mark.parametrize("params", [S.Params(block=3, pairs=40), S.Params(block=2, max_bits=7), S.Params(block=3, max_bits=1),
+                                    S.Params(block=2, broadcast_keys=0), S.Params(block=2, max_bits=0)])
+def test_large_values_are_dealt_by_two_segments(spark, params):
+    """Fingerprints that share segments by the hundred: dealing by a second segment, then by blocks, loses no link."""
+    rnd = random.Random(9)
+    fps = sorted({(rnd.getrandbits(7) << 57 | rnd.getrandbits(3) << 30 | rnd.getrandbits(4) << 11 | rnd.getrandbits(1)) for _ in range(260)})
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    docs = spark.createDataFrame([(i, s) for i, s in enumerate(signed)], "doc_id long, fp long")
+    got = {r.fp: r.component_id for r in S.fingerprint_groups(docs, params).collect()}
+    assert [got[s] for s in signed] == brute_components(list(enumerate(fps)), params.max_bits)
+
+
+def test_join_hot_is_a_join(spark, monkeypatch):
+    from gridsmith.llm import common
+    monkeypatch.setattr(common, "HOT_LEAST", 5)
+    rnd = random.Random(2)
+    rows = [(i, rnd.choice([1, 1, 1, 1, *range(2, 40), None])) for i in range(900)]
+    table = [(k, k * 10) for k in range(1, 30)]
+    got = common.join_hot(spark.createDataFrame(rows, "id long, k long"), spark.createDataFrame(table, "k long, v long"), "k")
+    assert sorted(tuple(r) for r in got.select("id", "k", "v").collect()) == sorted((i, k, 10 * k) for i, k in rows if k and k < 30)
+
+
+def test_keep_one_with_repeated_ids(spark):
+    """Ids that several rows have, with equal and other texts, and null ids: of each component one row stays."""
+    a, b, c, d = ("alpha beta gamma delta epsilon", "one two three four five six", "red green blue black white", "uno dos tres cuatro cinco")
+    rows = [(1, a, {"x": 1}), (1, b, {"x": 2}), (1, b, {"x": 2}), (2, b, {"x": 3}), (3, c, {}), (4, c, {}), (None, c, {}), (None, d, {}), (None, d, {}), (5, a, {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, d map<string,int>")
+    kept = S.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (1, b), (3, c), (None, d)], key=str)
