@@ -253,7 +253,8 @@ def components(edges: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def fingerprint_groups(rows: DataFrame, p: Params = Params()) -> DataFrame:
-    """(fp, component_id) for rows (doc_id, fp): the smallest doc_id of each fingerprint's component."""
+    """(fp, component_id, root) for rows (doc_id, fp): the smallest doc_id of each fingerprint's component, and a
+    fingerprint that names the component (ids may repeat, so that two components have the same smallest one)."""
     # ranks doc_id by component; equal fingerprints are one row after a partial aggregate
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     comp = components(links(fps.select("fp"), p), p)
@@ -261,7 +262,7 @@ def fingerprint_groups(rows: DataFrame, p: Params = Params()) -> DataFrame:
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     known = cut_lineage(known)
     low = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    return join_hot(known.select("fp", "root"), low, "root").select("fp", "component_id")
+    return join_hot(known.select("fp", "root"), low, "root").select("fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -278,7 +279,7 @@ def keep_one(docs: DataFrame, p: Params = Params()) -> DataFrame:
     fp, d, f = (fresh(docs, c) for c in ("fp", "d", "f"))
     rows = cut_lineage(with_fingerprint(docs.select("doc_id", "text"), p).select("doc_id", "fp"))
     groups = cut_lineage(fingerprint_groups(rows, p))
-    first = join_hot(rows.distinct(), groups, "fp").groupBy(F.coalesce("component_id", "fp").alias("c"), F.col("component_id").isNull()).agg(
+    first = join_hot(rows.distinct(), groups, "fp").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("d"), F.col("fp").alias("f"))).alias("x"))
     first = first.select(F.col("x.d").alias(d), F.col("x.f").alias(f))
     times = rows.groupBy(F.col("doc_id").alias(d)).agg(F.count("*").alias("n"))
