@@ -19,19 +19,19 @@ from gridsmith.operators.focal import (  # noqa: F401
 )
 from gridsmith.operators.geometry import footprint_edges, lonlat_to_mercator, mercator_to_lonlat, ring_to_edges  # noqa: F401
 from gridsmith.operators.ingest import (  # noqa: F401
-    array_shape_check, band_whitelist, buffer_windows, complete_band_sets, list_windows, shape_check, split_uri, stack_bands,
-    stack_bands_pivot,
+    array_shape_check, band_whitelist, buffer_windows, complete_band_sets, first_match, list_windows, result_page, search_scenes,
+    shape_check, split_uri, stack_bands, stack_bands_pivot,
 )
 from gridsmith.operators.mosaic import collapse_time, mosaic, slice_at_time, tile_merge  # noqa: F401
 from gridsmith.operators.polygon import (  # noqa: F401
-    cells_in_polygons, mask_polygon, polygon_bounds, polygon_centroid, row_spans, tiles_intersecting,
+    cells_in_polygons, extents_within, mask_polygon, polygon_bounds, polygon_centroid, row_spans, tiles_intersecting,
     tiles_touched,
 )
 from gridsmith.operators.band_pyramid import band_pyramid, write_pyramid  # noqa: F401
 from gridsmith.operators.rasters import (  # noqa: F401
     Grid, mosaic_tiles, read_windows, reproject_tiles, retile, to_layout, window_side, windows_to_lines,
 )
-from gridsmith.operators.render import composite_join, render3, render4, render_with_hillshade  # noqa: F401
+from gridsmith.operators.render import composite_join, near_cells, render3, render4, render_with_hillshade  # noqa: F401
 from gridsmith.operators.tile_map import map_tiles  # noqa: F401
 from gridsmith.operators.tiles import cells_to_band_tiles, cells_to_tiles, extent_to_keys, tiles_to_cells  # noqa: F401
 from gridsmith.operators.zonal import (  # noqa: F401

@@ -19,6 +19,9 @@ STRETCH_MIN, STRETCH_MAX = 4000, 15176
 # NDVI colour ramp, break -> 0xRRGGBBAA (value <= break).
 NDVI_BREAKS = [(0.05, 0xffffe5aa), (0.1, 0xf7fcb9ff), (0.2, 0xd9f0a3ff), (0.3, 0xaddd8eff), (0.4, 0x78c679ff),
                (0.5, 0x41ab5dff), (0.6, 0x238443ff), (0.7, 0x006837ff), (1.0, 0x004529ff)]
+# NDWI colour ramp, break -> 0xRRGGBBAA (value <= break).
+NDWI_BREAKS = [(-0.1, 0xaacdffaa), (0.0, 0x70abffff), (0.05, 0x3086ffff), (0.1, 0x1269e2ff), (0.15, 0x094aa5ff),
+               (0.2, 0x012c69ff), (0.25, 0x012cbcff)]
 TRANSPARENT = 0x00000000
 WATER_CLASS = 11
 DEVELOPED_CLASSES = (22, 24)

@@ -120,3 +120,29 @@ def epoch_millis_ntz(ts: Column) -> Column:
 def iso_weekday(ts: Column) -> Column:
     """ISO day of week, Monday = 1 ... Sunday = 7."""
     return F.weekday(ts) + 1
+
+
+def search_scenes(scenes: DataFrame, time: Column | None = None, between=None, extent=None, box=None,
+                  cloud: Column | None = None, max_cloud: float | None = None) -> DataFrame:
+    """Scenes acquired ``between`` two instants (both included) whose ``extent`` (columns xmin, ymin, xmax, ymax) overlaps
+    the ``box`` in more than a border and whose cloud cover is at most ``max_cloud`` (A6).  A criterion that is left
+    out does not filter; scenes with a null there are kept only then.  All criteria reach the scan as one filter."""
+    if between is not None:
+        scenes = scenes.where(time.between(F.lit(between[0]).cast("timestamp_ntz"), F.lit(between[1]).cast("timestamp_ntz")))
+    if max_cloud is not None:
+        scenes = scenes.where(cloud <= F.lit(max_cloud))
+    if box is not None:
+        (x0, y0, x1, y1), (bx0, by0, bx1, by1) = extent, map(F.lit, box)
+        scenes = scenes.where((x0 < bx1) & (x1 > bx0) & (y0 < by1) & (y1 > by0))
+    return scenes
+
+
+def result_page(rows: DataFrame, order: list[str], page: int, size: int) -> DataFrame:
+    """Page number ``page`` (from 0) of ``size`` rows in the order of ``order``, which should name a key so that pages neither
+    share nor lose rows (U4).  Pages are for showing results: a job works on all rows."""
+    return rows.orderBy(*order).offset(page * size).limit(size)
+
+
+def first_match(array: Column, predicate) -> Column:
+    """First element of an array that meets the predicate, null if none does or the array is null or empty."""
+    return F.get(F.filter(array, predicate), F.lit(0))

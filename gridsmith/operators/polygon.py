@@ -127,6 +127,44 @@ def polygon_centroid(edges: DataFrame) -> DataFrame:
                     F.try_divide(F.col("sy"), 6 * F.col("area")).alias("cy"))
 
 
+def extents_within(rows: DataFrame, edges: DataFrame, box=("xmin", "ymin", "xmax", "ymax")) -> DataFrame:
+    """Rows whose extent (columns ``box``) lies inside one of the polygons (B8), borders included; concave polygons, holes and
+    several rings follow by the even-odd rule.
+
+    A box is inside if no edge enters its open inside and its centre is inside.  Edges and distinct boxes meet by ``MAX_BUCKETS``
+    bands of y; an edge meets the open box
+    unless an axis or the edge's own normal separates them.  Crossings right of the centre are counted in the band of the
+    centre, so each edge counts once.  Nothing is gathered: the counts are partial aggregates.  Extents with a null or without area lie
+    in no polygon.  Signs are those of double arithmetic: exact for whole-numbered coordinates up to 2^25."""
+    x0, y0, x1, y1 = box
+    boxes = rows.select(*box).where((F.col(x0) < F.col(x1)) & (F.col(y0) < F.col(y1))).distinct()
+    e = edges.agg(F.count("*").alias("n"), F.min(F.least("y1", "y2")).alias("lo"), F.max(F.greatest("y1", "y2")).alias("hi"),
+                  F.sum(F.abs(F.col("y2") - F.col("y1"))).alias("tall")).first()
+    if not e["n"]:
+        return rows.limit(0)
+    band = (e["hi"] - e["lo"]) / MAX_BUCKETS or 1.0
+    # An edge lies in at most 2 + tall / band bands; boxes that leave the polygons' range of y are outside.
+    at = lambda c: F.floor((c - F.lit(e["lo"])) / F.lit(band))
+    keyed = edges.select("*", F.explode(F.sequence(at(F.least("y1", "y2")), at(F.greatest("y1", "y2")))).alias("band"))
+    keyed = broadcast_if_bounded(keyed.withColumnsRenamed({"x1": "ex1", "y1": "ey1", "x2": "ex2", "y2": "ey2"}), int(2 * e["n"] + e["tall"] / band))
+    b = boxes.select(*[F.col(c).alias(k) for c, k in zip(box, ("bx0", "by0", "bx1", "by1"))])
+    b = b.where((F.col("by0") >= e["lo"]) & (F.col("by1") <= e["hi"])).withColumns(
+        {"cx": (F.col("bx0") + F.col("bx1")) / 2, "cy": (F.col("by0") + F.col("by1")) / 2})
+    met = b.select("*", F.explode(F.sequence(at(F.col("by0")), at(F.col("by1")))).alias("band")).join(keyed, "band")
+    # Side of the edge's line on which a corner lies.
+    side = lambda x, y: (F.col("ex2") - F.col("ex1")) * (F.col(y) - F.col("ey1")) - (F.col("ey2") - F.col("ey1")) * (F.col(x) - F.col("ex1"))
+    corners = [side(x, y) for x in ("bx0", "bx1") for y in ("by0", "by1")]
+    apart = ((F.greatest("ex1", "ex2") <= F.col("bx0")) | (F.least("ex1", "ex2") >= F.col("bx1"))
+             | (F.greatest("ey1", "ey2") <= F.col("by0")) | (F.least("ey1", "ey2") >= F.col("by1"))
+             | (F.least(*corners) >= 0) | (F.greatest(*corners) <= 0))
+    right = F.col("cx") < F.try_divide((F.col("ex2") - F.col("ex1")) * (F.col("cy") - F.col("ey1")), F.col("ey2") - F.col("ey1")) + F.col("ex1")
+    crosses = (F.col("band") == at(F.col("cy"))) & ((F.col("ey1") > F.col("cy")) != (F.col("ey2") > F.col("cy"))) & right
+    good = met.groupBy("bx0", "by0", "bx1", "by1", "poly_id").agg(
+        F.max((~apart).cast("int")).alias("enters"), F.sum(F.coalesce(crosses, F.lit(False)).cast("int")).alias("n"))
+    good = good.where((F.col("enters") == 0) & (F.col("n") % 2 == 1)).select(*[F.col(k).alias(c) for c, k in zip(box, ("bx0", "by0", "bx1", "by1"))])
+    return rows.join(good.distinct(), list(box), "left_semi").select(*rows.columns)
+
+
 def tiles_intersecting(tiles: DataFrame, edges: DataFrame, tile_size: int) -> DataFrame:
     """Tiles (col,row) by the mask's rule: a tile is kept when any of its
     cells has its centre inside.  Tiles that a polygon touches otherwise

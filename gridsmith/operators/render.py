@@ -16,10 +16,28 @@ from gridsmith.functions.indices import ndvi_safe
 
 
 def composite_join(landsat: DataFrame, hillshade: DataFrame, nlcd: DataFrame) -> DataFrame:
-    """Co-locate the pyramids' cells: chained inner equi-joins on the pixel
-    key (C3).  Each join shuffles on (gx, gy) once, or none when AQE sees a
-    small side."""
-    return landsat.join(hillshade, ["gx", "gy"]).join(nlcd, ["gx", "gy"])
+    """Co-locate the layers' cells: chained inner equi-joins on the pixel
+    key (C3), and on ``zoom`` as well where all three are pyramids.  Each join
+    shuffles on the key once, or none when AQE sees a small side."""
+    levels = ["zoom" in x.columns for x in (landsat, hillshade, nlcd)]
+    if any(levels) and not all(levels):
+        raise ValueError("pyramids and single levels cannot be joined")
+    key = ["zoom"] * all(levels) + ["gx", "gy"]
+    return landsat.join(hillshade, key).join(nlcd, key)
+
+
+def near_cells(cells: DataFrame, others: DataFrame, margin: int = 1, side: int = 64) -> DataFrame:
+    """The cells in or next to blocks of ``side`` x ``side`` cells that hold any of ``others``: all within ``margin`` cells of
+    one of them (at most ``side``), and few besides.  Cuts a layer to where another one is before costly work on it (a
+    hillshade below a composite).  With a ``zoom`` column on both sides, level by level.  The block keys are a partially
+    aggregated distinct; whether they are broadcast is left to AQE."""
+    level = ["zoom"] if "zoom" in cells.columns and "zoom" in others.columns else []
+    block = lambda c: F.floor(c / F.lit(side))
+    ends = lambda c: F.sequence(block(F.col(c) - margin), block(F.col(c) + margin))
+    keys = (others.select(*level, ends("gx").alias("_bx"), ends("gy").alias("_by")).distinct()
+            .select(*level, F.explode("_bx").alias("_bx"), "_by").select(*level, "_bx", F.explode("_by").alias("_by")).distinct())
+    return (cells.withColumns({"_bx": block(F.col("gx")), "_by": block(F.col("gy"))})
+            .join(keys, [*level, "_bx", "_by"], "left_semi").select(*cells.columns))
 
 
 def landsat_rgba(df: DataFrame) -> DataFrame:

@@ -232,11 +232,9 @@ SEARCH = f"""time between '{SEARCH_FROM}' and '{SEARCH_TO}' and cloud <= {MAX_CL
 
 def scene_search(spark, sf):
     """Date range + bbox overlap + max cloud cover."""
-    x0, y0, x1, y1 = SEARCH_BBOX
     lon, lat = _lon(), _lat()
-    return scenes(spark, sf).where(
-        F.col("time").between(ntz(SEARCH_FROM), ntz(SEARCH_TO)) & (F.col("cloud") <= MAX_CLOUD)
-        & (lon < F.lit(x1)) & (lon + F.lit(2.0) > F.lit(x0)) & (lat < F.lit(y1)) & (lat + F.lit(2.0) > F.lit(y0)))
+    return ig.search_scenes(scenes(spark, sf), F.col("time"), (SEARCH_FROM, SEARCH_TO), (lon, lat, lon + F.lit(2.0), lat + F.lit(2.0)),
+                            SEARCH_BBOX, F.col("cloud"), MAX_CLOUD)
 
 
 @register("scene_search", with_ctes(f"select * from scenes where {SEARCH}", "scenes"))
@@ -248,7 +246,53 @@ def q_scene_search(spark, sf):
     f"select * from scenes where {SEARCH} order by time, scene_id limit {PAGE_SIZE} offset {PAGE_SIZE}", "scenes"))
 def q_scene_search_page(spark, sf):
     """Second page of the search in a stable order."""
-    return scene_search(spark, sf).orderBy("time", "scene_id").offset(PAGE_SIZE).limit(PAGE_SIZE)
+    return ig.result_page(scene_search(spark, sf), ["time", "scene_id"], 1, PAGE_SIZE)
+
+
+@register("first_matching_image", with_ctes(
+    """select time, scene_id, case when cloud // 9 + 1 <= 11 and cloud <> 99 then cast(cloud // 9 + 1 as integer) end as number,
+              case when cloud // 9 + 1 <= 11 and cloud <> 99 then replace(path, '_B1.TIF', concat('_B', cast(cloud // 9 + 1 as varchar), '.TIF')) end as uri
+       from scenes""", "scenes"))
+def q_first_matching_image(spark, sf):
+    """Of each nested scene record the first image whose band number times nine is over the scene's cloud cover, null
+    where no image is (H29: first array element that meets a predicate)."""
+    images = F.array(*[F.struct(F.lit(k).alias("number"), F.regexp_replace("path", "_B1.TIF", f"_B{k}.TIF").alias("uri"))
+                       for k in range(1, 12)])
+    found = ig.first_match(images, lambda i: i["number"] * 9 > F.col("cloud"))
+    return scenes(spark, sf).withColumn("found", found).select("time", "scene_id", "found.number", "found.uri")
+
+
+# Bounds with a bay, a hole and a second part, as rings in tenths of a degree, in which footprints have whole numbers.
+BOUNDS_RINGS = [[(-1300.0, 220.0), (-640.0, 240.0), (-700.0, 510.0), (-980.0, 365.0), (-1270.0, 500.0)],
+                [(-1180.0, 280.0), (-1060.0, 280.0), (-1120.0, 350.0)],
+                [(-1040.0, 440.0), (-920.0, 440.0), (-920.0, 515.0), (-1040.0, 515.0)]]
+BOUNDS_EDGES = [(1, *p, *q) for ring in BOUNDS_RINGS for p, q in zip(ring, ring[1:] + ring[:1])]
+BOUNDS_SQL = "bounds as (select poly_id::integer as poly_id, x1::double as x1, y1::double as y1, x2::double as x2, y2::double as y2 from (values " \
+    + ", ".join(map(str, BOUNDS_EDGES)) + ") t(poly_id, x1, y1, x2, y2))"
+# Even-odd centre, and no edge that has a point strictly inside the box: the edge is clipped to it by its parameter.
+BOXES_SQL = """boxes as (select distinct lon10, lat10, lon10::double as a, lat10::double as b from scenes),
+clipped as (
+  select lon10, lat10, e.*, a, b,
+    case when x1 = x2 then case when x1 > a and x1 < a + 20 then 0.0::double else 2.0::double end else least((a - x1) / (x2 - x1), (a + 20 - x1) / (x2 - x1)) end as tx0,
+    case when x1 = x2 then 1.0::double else greatest((a - x1) / (x2 - x1), (a + 20 - x1) / (x2 - x1)) end as tx1,
+    case when y1 = y2 then case when y1 > b and y1 < b + 20 then 0.0::double else 2.0::double end else least((b - y1) / (y2 - y1), (b + 20 - y1) / (y2 - y1)) end as ty0,
+    case when y1 = y2 then 1.0::double else greatest((b - y1) / (y2 - y1), (b + 20 - y1) / (y2 - y1)) end as ty1
+  from boxes, bounds e),
+within as (
+  select lon10, lat10 from clipped group by lon10, lat10, poly_id
+  having sum(case when greatest(tx0, ty0, 0) + 1e-12 < least(tx1, ty1, 1) then 1 else 0 end) = 0
+     and sum(case when (y1 > b + 10) <> (y2 > b + 10) and a + 10 < (x2 - x1) * (b + 10 - y1) / (y2 - y1) + x1 then 1 else 0 end) % 2 = 1)"""
+
+
+@register("filter_extent_polygon", with_ctes(
+    "select s.* from scenes s where (lon10, lat10) in (select (lon10, lat10) from within)", "scenes", extra=[BOUNDS_SQL, BOXES_SQL]))
+def q_filter_extent_polygon(spark, sf):
+    """Scenes whose footprint lies inside bounds with a bay, a hole and two parts."""
+    bounds = spark.createDataFrame(BOUNDS_EDGES, "poly_id int, x1 double, y1 double, x2 double, y2 double")
+    s = scenes(spark, sf)
+    lon, lat = F.col("lon10").cast("double"), F.col("lat10").cast("double")
+    boxed = s.withColumns({"xmin": lon, "ymin": lat, "xmax": lon + F.lit(20.0), "ymax": lat + F.lit(20.0)})
+    return polygon.extents_within(boxed, bounds).select(*s.columns)
 
 
 FOOTPRINTS = """footprint_edges as (

@@ -99,8 +99,11 @@ COMPOSITE_EXTRA = [MASKED, GRAD, HS, MOS, BASE, RGBA]
 
 def _composite(spark, sf):
     mos = mosaic.mosaic(masked(spark, sf), "bright")
-    hs = focal.hillshade(fx.dem(spark, sf), "elev", AZIMUTH, ALTITUDE, Z_FACTOR, CELL_SIZE)
-    return render.composite_join(mos, hs, fx.classes(spark, sf).select("gx", "gy", "nlcd"))
+    classes = fx.classes(spark, sf).select("gx", "gy", "nlcd")
+    # The composite lies where the static layer is: only the elevation there, with its neighbours, is shaded.
+    dem = render.near_cells(fx.dem(spark, sf), classes)
+    hs = focal.hillshade(dem, "elev", AZIMUTH, ALTITUDE, Z_FACTOR, CELL_SIZE)
+    return render.composite_join(mos, hs, classes)
 
 
 @register("composite_join", with_ctes(
@@ -127,6 +130,15 @@ def q_colormap_le(spark, sf):
     return l.select("instant", "gx", "gy", co.colormap_le(cloud_masked_index(l, "ndvi")).alias("rgba"))
 
 
+@register("colormap_le_ndwi", with_ctes(
+    "select instant, gx, gy, case " + " ".join(f"when ndwi <= {_lit(b)} then {c}" for b, c in co.NDWI_BREAKS)
+    + f" else {co.TRANSPARENT} end::bigint as rgba from (select instant, gx, gy, "
+    f"(green{D} - nir{D}) / nullif(green{D} + nir{D}, 0) as ndwi from masked) t", "landsat", extra=[MASKED]))
+def q_colormap_le_ndwi(spark, sf):
+    l = fx.landsat(spark, sf)
+    return l.select("instant", "gx", "gy", co.colormap_le(cloud_masked_index(l, "ndwi"), co.NDWI_BREAKS).alias("rgba"))
+
+
 EXACT = "ex as (select c.gx, c.gy, c.value, coalesce(l.rgba, 0) as rgba from classes c left join crop_labels l on l.code = c.value)"
 
 
