@@ -128,7 +128,7 @@ def shrunk_sql(name: str, rows: str, p: url_filters.Params) -> str:
     """CTEs ``name``: ``rows`` (n, k, prior and more) with the posterior mean and sd under the estimated strength."""
     return f"""
     {name}_rows AS ({rows}),
-    {name}_sums AS (SELECT sum(n * pow(k / n - prior, 2)) AS s, sum(prior * (1 - prior)) AS v, sum(prior * (1 - prior) * (n - 1)) AS w
+    {name}_sums AS (SELECT sum(pow(k / n - prior, 2)) AS s, sum(prior * (1 - prior) / n) AS v, sum(prior * (1 - prior) * (1 - 1 / n)) AS w
                     FROM {name}_rows WHERE n > 0),
     {name}_m AS (SELECT CASE WHEN s IS NULL OR coalesce(w, 0) = 0 OR (s - v) / w <= 0 THEN {p.max_strength}
                         ELSE least({p.max_strength}, greatest({p.min_strength}, w / (s - v) - 1)) END AS m FROM {name}_sums),
@@ -137,7 +137,7 @@ def shrunk_sql(name: str, rows: str, p: url_filters.Params) -> str:
 
 
 def op1_sql(p: url_filters.Params = url_filters.Params()) -> str:
-    two = ", ".join(f"'{x}'" for x in url_filters.TWO_LABEL_SUFFIXES)
+    two = f"regexp_matches(host, '{url_filters.TWO_LABELS}')"
     rules = ", ".join(f"('{r}', '{r.split('/')[0]}', '{r[r.index('/'):]}', '{v}')" for r, v in RULES)
     last = lambda n: f"array_to_string(string_split(host, '.')[-{n}:], '.')"
     return f"""
@@ -146,8 +146,8 @@ def op1_sql(p: url_filters.Params = url_filters.Params()) -> str:
     page AS (SELECT page_id, translate({URL_PARTS_SQL.format(1)}, '{UPPER}', '{LOWER}') AS host, {URL_PARTS_SQL.format(2)} AS path
              FROM pages),
     counted AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS k FROM page LEFT JOIN outcome USING (page_id) GROUP BY 1),
-    host AS (SELECT *, CASE WHEN {last(2)} IN ({two}) THEN {last(2)} ELSE {last(1)} END AS suffix,
-                    CASE WHEN {last(2)} IN ({two}) THEN {last(3)} ELSE {last(2)} END AS domain FROM counted),
+    host AS (SELECT *, CASE WHEN {two} THEN {last(2)} ELSE {last(1)} END AS suffix,
+                    CASE WHEN {two} THEN {last(3)} ELSE {last(2)} END AS domain FROM counted),
     overall AS (SELECT (coalesce(sum(k), 0) + {p.prior_rate}) / (coalesce(sum(n), 0) + 1.0) AS prior FROM host),
     {shrunk_sql("suffixes", "SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT prior FROM overall) AS prior FROM host GROUP BY 1", p)},
     {shrunk_sql("domains", "SELECT d.*, s.mean AS prior FROM (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM host GROUP BY 1, 2) d JOIN suffixes s USING (suffix)", p)},

@@ -3,7 +3,8 @@
 Labelled page outcomes (bad or not) are counted by host, registered domain and
 suffix.  Each level is a beta-binomial whose prior mean is the posterior mean of
 the level above and whose prior strength is estimated from the spread of the
-level's rates (method of moments).  A host is blocked if the lower bound of its
+level's rates (method of moments, each name counting alike, so that no large one sets it), up to ``max_strength``
+pseudo-pages: with more, what is known of a level could outweigh any evidence on a host.  A host is blocked if the lower bound of its
 posterior bad rate, mean - z * sd, reaches ``block_from``; unlabelled hosts fall
 back to the prior of their domain.  Rules win over the method.
 
@@ -27,8 +28,11 @@ URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: A host with more than one in HOT_SHARE of all pages (so fewer than HOT_SHARE hosts) is joined in SALTS parts.
 HOT_SHARE, SALTS = 1000, 64
 
-#: Suffixes of two labels under which hosts are registered; all others are the last label.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br")
+#: Registries' names under two-letter country domains: there hosts are registered below two labels (gov.uk, com.cn, co.in),
+#: elsewhere below the last one.
+SECOND_LEVEL = ("ac", "asn", "co", "com", "edu", "go", "gob", "gouv", "gov", "gv", "id", "ltd", "me", "mil", "ne", "net", "nhs",
+                "nom", "or", "org", "plc", "sch")
+TWO_LABELS = rf"(^|\.)({'|'.join(SECOND_LEVEL)})\.[a-z][a-z]$"
 
 
 @dataclass(frozen=True)
@@ -39,7 +43,7 @@ class Params:
     prior_rate: float = 0.1
     #: Bounds of the prior strength, in pseudo-pages.
     min_strength: float = 2.0
-    max_strength: float = 200.0
+    max_strength: float = 50.0
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -51,17 +55,18 @@ def split_url(url: Column) -> tuple[Column, Column]:
 def with_domain(hosts: DataFrame) -> DataFrame:
     """Add ``suffix`` and ``domain`` (suffix and one label more) to rows with ``host``."""
     last = lambda n: F.substring_index("host", ".", -n)
-    two = last(2).isin(*TWO_LABEL_SUFFIXES)
+    two = F.col("host").rlike(TWO_LABELS)
     return hosts.withColumns({"suffix": F.when(two, last(2)).otherwise(last(1)),
                               "domain": F.when(two, last(3)).otherwise(last(2))})
 
 
 def strength(rows: DataFrame, p: Params) -> float:
-    """Prior strength M = 1/rho - 1 from rows (n, k, prior): rho matches the squared deviations of the counts'
-    rates from their prior means, sum n (k/n - prior)^2, to their expectation under a beta-binomial."""
+    """Prior strength M = 1/rho - 1 from rows (n, k, prior): rho matches the squared deviations of the counts' rates
+    from their prior means, sum (k/n - prior)^2, to their expectation under a beta-binomial,
+    sum prior (1 - prior) (1/n + rho (1 - 1/n))."""
     v = F.col("prior") * (1 - F.col("prior"))
-    got = rows.where("n > 0").agg(F.sum(F.col("n") * F.pow(F.col("k") / F.col("n") - F.col("prior"), F.lit(2.0))).alias("s"),
-                                  F.sum(v).alias("v"), F.sum(v * (F.col("n") - 1)).alias("w")).first()
+    got = rows.where("n > 0").agg(F.sum(F.pow(F.col("k") / F.col("n") - F.col("prior"), F.lit(2.0))).alias("s"),
+                                  F.sum(v / F.col("n")).alias("v"), F.sum(v * (1 - 1 / F.col("n"))).alias("w")).first()
     if got["s"] is None or not got["w"]:
         return p.max_strength
     rho = (got["s"] - got["v"]) / got["w"]

@@ -49,6 +49,26 @@ def test_reputation_blocks_bad_hosts_and_shrinks(spark):
     assert rows["new.a.com"].bad_rate > rows["good.b.com"].bad_rate  # from its domain
 
 
+def test_registered_parameters_block_a_bad_host(spark):
+    """At an overall bad rate of about a quarter, 30 bad pages of 30 block a host, and 90 of 100 do under one of many hosts of
+    a domain; three of three, the hosts beside them and a large host of average rate stay."""
+    rows = [(f"h{h}.d{h % 8}.org", int(i < 5 + h % 4)) for h in range(40) for i in range(25)]  # 5 to 8 of 25
+    rows += [("big.d0.org", int(i % 4 == 0)) for i in range(3000)] + [("bad.d1.org", 1)] * 30 + [("worse.d2.org", int(i >= 10)) for i in range(100)]
+    rows += [("few.d3.org", 1)] * 3
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}") for i, (h, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows)], "page_id long, bad int")
+    got = {r.host: r.verdict for r in U.url_filter(pages, labels, spark.createDataFrame([], "rule string, verdict string")).collect()}
+    assert {h for h, v in got.items() if v == "block"} == {"bad.d1.org", "worse.d2.org"}
+
+
+def test_domains_and_suffixes(spark):
+    hosts = {"a.b.example.com": ("com", "example.com"), "x.y.gov.uk": ("gov.uk", "y.gov.uk"), "s.com.cn": ("com.cn", "s.com.cn"),
+             "deep.s.co.in": ("co.in", "s.co.in"), "co.uk": ("co.uk", "co.uk"), "taco.uk": ("uk", "taco.uk"), "com.info": ("info", "com.info"),
+             "": ("", ""), "localhost": ("localhost", "localhost"), "a.com.c1": ("c1", "com.c1")}
+    got = U.with_domain(spark.createDataFrame([(h,) for h in hosts], "host string")).collect()
+    assert {r.host: (r.suffix, r.domain) for r in got} == hosts
+
+
 def test_hot_hosts_are_split_without_a_change(spark, monkeypatch):
     pages = spark.createDataFrame([(i % 50, f"http://{'hot' if i % 3 else f'h{i % 40}'}.com/{i}") for i in range(600)] * 2
                                   + [(None, None), (None, "http://hot.com/")], "page_id long, url string")
