@@ -6,6 +6,7 @@ It is compiled to a non-deterministic automaton over words and run as a subset a
 states are built as they are met.  A stretch of text is accepted if its mandatory wording is exactly
 the template's; case, punctuation and spacing do not count (words are runs of 0-9, a-z and non-ASCII
 characters, A-Z lower-cased).  Automata start where a template's opening words stand.
+MIT, ISC and BSD are whole texts; the other labels, and ``bsd`` alone, are those of notices.
 
 Defined results: a null or empty text has no words and no labels; of the stretches a template
 accepts from one start the longest is reported; repeated documents are each reported; with an empty
@@ -25,19 +26,58 @@ from gridsmith.llm.common import WORD_BYTES
 #: Phrases whose words stand consecutively, and their labels.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
+#: Quoted words of the licence texts: straight quotes are no part of a word, others are.
+AS_IS = "{as is|\u201cas is\u201d|\u2018as is\u2019}"
+
+#: The wording of licences and of the notices that put a work under one.  Whole texts stand for themselves, so a text
+#: with a clause more or less is not the licence; names of holders and the like are replaceable, what editions differ in is optional.
+MIT = f"""permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation
+ files the {{software|materials|\u201csoftware\u201d}} to deal in the {{software|materials}} without restriction including without limitation the
+ rights to use copy modify merge publish distribute sublicense and or sell copies of the {{software|materials}} and to permit persons to
+ whom the {{software is|materials are}} furnished to do so subject to the following conditions the above copyright notice and this
+ permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the {{software|materials}}
+ the {{software is|materials are}} provided {AS_IS} without warranty of any kind express or implied including but not limited to the
+ warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors
+ or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising
+ from out of or in connection with the {{software|materials}} or the use or other dealings in the {{software|materials}}"""
+ISC = f"""permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted [[free of
+ charge]] provided that the above copyright notice and this permission notice appear in all copies the software is provided {AS_IS}
+ and <<1..5>> {{disclaims|disclaim}} all warranties with regard to this software including all implied warranties of
+ merchantability and fitness in no event shall <<1..6>> be liable for any special direct indirect or consequential damages or any damages
+ whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out
+ of or in connection with the use or performance of this software"""
+BSD = f"""redistribution and use in source and binary forms with or without modification are permitted provided that the following
+ conditions are met [[1|a]] redistributions of source code must retain the above copyright notice this list of conditions and the
+ following disclaimer [[2|b]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the
+ following disclaimer in the documentation and or other materials provided with the distribution %s this software is provided by
+ <<1..10>> {AS_IS} and any express or implied warranties including but not limited to the implied warranties of merchantability
+ and fitness for a particular purpose are disclaimed in no event shall <<1..10>> be liable for any direct indirect incidental special
+ exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits
+ or business interruption however caused and on any theory of liability whether in contract strict liability or tort including
+ negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"""
+NO_ENDORSEMENT = """[[3|c]] neither the {name|names} of <<1..10>> nor the names of {its|his|their|any|other} [[other]] contributors may be used to
+ endorse or promote products derived from this software without specific prior written permission"""
+GNU = """{this|the} {program|library|work|software} is free software you can redistribute it and or modify it under the terms of the gnu %s
+ general public license [[as published by the free software foundation [[either]] version <<1..2>> of the license [[or at your option any
+ later version]]]]"""
+
 #: (label, template)
 TEMPLATES = (
     ("mit", "{released|licensed|distributed|available} under [[the terms of]] the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-            "documentation files [[the software]] to deal in the {software|work} without restriction"),
+    ("mit", MIT),
+    ("isc", ISC),
+    ("bsd-2-clause", BSD % ""),
+    ("bsd-3-clause", BSD % NO_ENDORSEMENT),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("apache-2", "licensed under the apache license version 2 [[0]] [[the license]]"),
     ("cc-by-nc", "licensed under [[a|the]] cc by nc [[<<1..2>>]]"),
     ("cc-by-nc", "licensed under [[a]] creative commons attribution {noncommercial|non commercial} <<0..3>> license"),
     ("gpl", "{this|the} {work|program|software} is licensed under the gnu general public license version <<1..1>> "
             "[[or any later version]]"),
-    ("gpl", "{this|the} {work|program} is free software you can redistribute it and or modify it under the terms of the gnu "
-            "general public license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("gpl", GNU % ""),
+    ("lgpl", GNU % "{lesser|library}"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 [[if a copy of the mpl was not distributed "
+            "with this file you can obtain one at {http|https} mozilla org mpl 2 0]]"),
 )
 
 ANY = None

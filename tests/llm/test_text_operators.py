@@ -235,6 +235,48 @@ def brute_base(text):
     return words, hits
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+THIRD THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
+HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED
+TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE,
+EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+THIRD = "3. Neither the name of Acme Labs nor the names of its contributors may be used to endorse or promote products derived from this software " \
+        "without specific prior written permission. "
+
+
+@pytest.mark.parametrize("text,labels", [
+    (MIT_TEXT, {"mit"}), ("Copyright 2020 A. N. Other\n" + MIT_TEXT + " More.", {"mit"}),
+    (MIT_TEXT.replace('"AS IS"', "\u201cAS IS\u201d").replace('"Software"', "\u201cSoftware\u201d"), {"mit"}),
+    (MIT_TEXT.replace("THE SOFTWARE IS PROVIDED", "The Software shall be used for Good, not Evil. THE SOFTWARE IS PROVIDED"), set()),
+    (MIT_TEXT[:400], set()), (MIT_TEXT.replace("merge, ", "", 1).replace("merge,\n", "", 1), set()),
+    (BSD_TEXT.replace("THIRD ", ""), {"bsd", "bsd-2-clause"}), (BSD_TEXT.replace("THIRD ", THIRD), {"bsd", "bsd-3-clause"}), (BSD_TEXT, {"bsd"}),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+     "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", {"lgpl"}),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", {"gpl"}),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"mpl"}),
+])
+def test_whole_licences(spark, text, labels):
+    rows = X.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert {h.label for h in rows[0].template_hits} == labels
+
+
 def test_licenses_of_the_query(spark, documents):
     rows = {r.doc_id: r for r in Q.op9_license_scan(spark, "/root/testdata/sf0.01").collect()}
     for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect():
