@@ -39,7 +39,8 @@ from gridsmith.operators.zonal import (  # noqa: F401
     mean_series, merge_counts, min_max, series_dropna, series_nullif_zero, series_threshold, top_classes,
 )
 from gridsmith.sources.catalog import (  # noqa: F401
-    layer_exists, layer_meta, merge_meta, query_layer as layer_query, read_layer, upsert_layer, write_layer,
+    drop_old_versions, layer_exists, layer_meta, merge_meta, query_layer as layer_query, read_layer, read_manifest, read_meta,
+    upsert_layer, write_layer,
 )
 from gridsmith.sources.scenes import read_geojson_polygons, read_scene_csv  # noqa: F401
 from gridsmith.streaming.ingest import upsert_stream  # noqa: F401

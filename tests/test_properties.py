@@ -174,10 +174,10 @@ def test_upsert_rewrites_only_touched_months(spark):
     l = fx.landsat(spark, SF_SMALL)
     keys = ["instant", "gx", "gy"]
     cat.upsert_layer(l.where(F.year("instant") <= 1998), root, "landsat", 2, 8, keys)
-    before = {p: os.path.getmtime(p) for p in glob.glob(f"{root}/layer=landsat/zoom=2/ym=1995*/*.parquet")}
+    before = {p: os.path.getmtime(p) for p in glob.glob(f"{root}/layer=landsat/zoom=2/written=*/ym=1995*/*.parquet")}
     assert before
     cat.upsert_layer(l.where(F.year("instant") == 1999), root, "landsat", 2, 8, keys)
-    after = {p: os.path.getmtime(p) for p in glob.glob(f"{root}/layer=landsat/zoom=2/ym=1995*/*.parquet")}
+    after = {p: os.path.getmtime(p) for p in glob.glob(f"{root}/layer=landsat/zoom=2/written=*/ym=1995*/*.parquet")}
     assert before == after
     assert cat.read_layer(spark, root, "landsat", 2).count() == l.where(F.year("instant") <= 1999).count()
 

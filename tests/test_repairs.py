@@ -33,7 +33,7 @@ def test_upsert_raises_on_a_metadata_error_and_keeps_the_layer(spark, monkeypatc
     keys = ["gx", "gy", "instant"]
     catalog.upsert_layer(cells(spark, rows), root, "l", 1, 8, keys)
     with monkeypatch.context() as m:
-        m.setattr(catalog, "read_meta", lambda *a: (_ for _ in ()).throw(OSError("store is away")))
+        m.setattr(catalog, "read_manifest", lambda *a: (_ for _ in ()).throw(OSError("store is away")))
         with pytest.raises(OSError):
             catalog.upsert_layer(cells(spark, rows[:1]), root, "l", 1, 8, keys)
     assert catalog.read_layer(spark, root, "l", 1).count() == 5
