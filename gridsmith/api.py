@@ -29,7 +29,8 @@ from gridsmith.operators.polygon import (  # noqa: F401
 )
 from gridsmith.operators.band_pyramid import band_pyramid, write_pyramid  # noqa: F401
 from gridsmith.operators.rasters import (  # noqa: F401
-    Grid, mosaic_tiles, read_windows, reproject_tiles, retile, to_layout, window_side, windows_to_lines,
+    Grid, mosaic_tiles, overlay_tiles, read_windows, reproject_tiles, reproject_windows, retile, stack_windows, to_layout,
+    window_side, windows_to_lines,
 )
 from gridsmith.operators.render import composite_join, near_cells, render3, render4, render_with_hillshade  # noqa: F401
 from gridsmith.operators.tile_map import map_tiles  # noqa: F401
@@ -38,6 +39,7 @@ from gridsmith.operators.zonal import (  # noqa: F401
     argmax_time, class_histogram, class_whitelist, distinct_values, drop_nodata, label_lookup, label_to_code,
     mean_series, merge_counts, min_max, series_dropna, series_nullif_zero, series_threshold, top_classes,
 )
+from gridsmith.sources.bucketed import join_static as join_bucketed, write_series, write_static  # noqa: F401
 from gridsmith.sources.catalog import (  # noqa: F401
     drop_old_versions, layer_exists, layer_meta, merge_meta, query_layer as layer_query, read_layer, read_manifest, read_meta,
     upsert_layer, write_layer,

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gridsmith.operators.geometry import EARTH_RADIUS
 from gridsmith.operators.mosaic import DARK_PIXEL_CUTOFF, PIXEL_BANDS
@@ -110,6 +111,22 @@ def windows_to_lines(windows: DataFrame, keep=()) -> DataFrame:
     return got.select("raster", *keep, "row", F.flatten(F.col("parts")["s"]).alias("values"))
 
 
+def stack_windows(windows: DataFrame, bands: dict, band: str = "band", keep=()) -> DataFrame:
+    """Windows of single-band images as multiband ones (D8): ``bands`` maps a band's value in column ``band`` to the name of its
+    array column.  A window is kept if each band is there once and all arrays have its width and height (B10, D9): groups
+    hold a row a band, partially aggregated.  ``keep``: columns that are the same in all bands of a scene."""
+    at = ["col_off", "row_off"]
+    wanted = windows.where(F.col(band).isin(list(bands))).where(F.size("cells") == F.col("width") * F.col("height"))
+    got = wanted.groupBy(*keep, *at).agg(
+        F.max("width").alias("width"), F.max("height").alias("height"), F.count("*").alias("_n"),
+        (F.min("width") == F.max("width")).alias("_w"), (F.min("height") == F.max("height")).alias("_h"),
+        *[F.max(F.when(F.col(band) == k, F.col("cells"))).alias(name) for k, name in bands.items()])
+    whole = F.col("_w") & F.col("_h") & (F.col("_n") == len(bands))
+    for name in bands.values():
+        whole &= F.col(name).isNotNull()
+    return got.where(whole).select(*keep, *at, "width", "height", *bands.values())
+
+
 # -- fold --------------------------------------------------------------------------------------------------------
 
 class Best:
@@ -144,7 +161,7 @@ def fold_tiles(rows: DataFrame, offers: Callable[[pa.RecordBatch], Iterator[Offe
     names, parts = [k.name for k in keys], [f"_rank{i}" for i in range(ranks)]
     kinds = [T.StructField(x, T.ArrayType(T.DoubleType())) for x in (*parts, *bands, "_known")]
     fields = T.StructType([*keys, *kinds])
-    arrow = [pa.int64() if isinstance(k.dataType, T.LongType) else pa.int32() for k in keys]
+    arrow = [to_arrow_type(k.dataType) for k in keys]
 
     def out(states: dict) -> pa.RecordBatch:
         columns = [pa.array([k[i] for k in states], t) for i, t in enumerate(arrow)]
@@ -239,24 +256,35 @@ def wanted(tile: int, axis: str, source: Grid, target: Grid, method: str) -> tup
     return first.astype(np.int64), np.zeros(len(s)) if method == "nearest" else s - first
 
 
-def touched(tile: int, axis: str, source: Grid, target: Grid) -> range:
-    """Target tiles along an axis whose cells may take something from a source tile (with a cell on either side)."""
-    edge = source.centres(np.array([tile * source.n - 1.0, (tile + 1.0) * source.n]), axis)
+def touched(first: int, count: int, axis: str, source: Grid, target: Grid) -> range:
+    """Target tiles along an axis whose cells may take something from a run of source cells (with a cell on either side)."""
+    edge = source.centres(np.array([first - 1.0, first + float(count)]), axis)
     ends = np.sort(target.numbers(project(edge, axis, source.crs, target.crs), axis))
     return range(int(math.floor(ends[0] / target.n)), int(math.floor((ends[1] + 1) / target.n)) + 1)
 
 
 def reproject_tiles(tiles: DataFrame, source: Grid, target: Grid, method: str = "bilinear") -> DataFrame:
-    """Tiles ``(col, row, cells)`` of ``target`` resampled from tiles of ``source`` (W5), between any two grids and in
-    either direction.  Each source tile sends a target tile only the lines and columns that its cells are made of, so a
-    target tile gathers at most 2n x 2n cells whatever the scale between the grids.  Nearest takes the cell whose centre
-    is next (right or below, if two are); bilinear weighs the present ones of four cells anew.  A target cell without any
-    present source cell is missing, a tile of such cells is absent.  No pass over the source for its bounds."""
+    """Tiles ``(col, row, cells)`` of ``target`` resampled from tiles of ``source`` (W5): see :func:`reproject_windows`."""
+    n = source.n
+    windows = tiles.select((F.col("col") * n).alias("gx"), (F.col("row") * n).alias("gy"), F.lit(n).alias("width"), F.lit(n).alias("height"), "cells")
+    return reproject_windows(windows, source, target, ["cells"], method)
+
+
+def reproject_windows(windows: DataFrame, source: Grid, target: Grid, bands: list[str], method: str = "bilinear",
+                      extra: tuple[str, ...] = ()) -> DataFrame:
+    """Tiles ``(extra..., col, row, <band> ARRAY ...)`` of ``target`` resampled from windows ``(extra..., gx, gy, width, height,
+    <band> ARRAY ...)`` of the cells of ``source`` (W5), between any two grids and in either direction; windows of one
+    ``extra`` (a scene, a date) do not overlap.  Each window sends a target tile only the lines and columns that its cells
+    are made of, so a target tile gathers at most 2n x 2n cells a band whatever the scale between the grids.  Nearest takes the
+    cell whose centre is next (right or below, if two are); bilinear weighs the present ones of four cells anew, band by band.  A
+    target cell without any present source cell is missing, a tile of such cells is absent.  No pass over the source for
+    its bounds."""
     if method not in ("nearest", "bilinear"):
         raise ValueError(method)
-    n, m = source.n, target.n
-    reach = 1 if method == "nearest" else 2
-    part = "col long, row long, xs array<long>, ys array<long>, cells array<double>"
+    m, reach = target.n, 1 if method == "nearest" else 2
+    keys = [*(windows.schema[x] for x in extra), T.StructField("col", T.LongType()), T.StructField("row", T.LongType())]
+    names, lists = [k.name for k in keys], [T.StructField(x, T.ArrayType(T.DoubleType())) for x in bands]
+    places = [T.StructField(x, T.ArrayType(T.LongType())) for x in ("_xs", "_ys")]
 
     def needs(tile: int, axis: str) -> np.ndarray:
         first, _ = wanted(tile, axis, source, target, method)
@@ -265,69 +293,91 @@ def reproject_tiles(tiles: DataFrame, source: Grid, target: Grid, method: str =
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
 
-        def parts(tile: int, axis: str) -> list[tuple[int, np.ndarray]]:
-            """(target tile, the source cells of this tile that it needs) along an axis."""
-            if (tile, axis) not in seen:
+        def parts(first: int, count: int, axis: str) -> list[tuple[int, np.ndarray]]:
+            """(target tile, the source cells of this run that it needs) along an axis."""
+            if (first, count, axis) not in seen:
                 if len(seen) > 4096:
                     seen.clear()
-                found = ((t, needs(t, axis)) for t in touched(tile, axis, source, target))
-                inside = ((t, x[(x >= tile * n) & (x < tile * n + n)]) for t, x in found)
-                seen[tile, axis] = [(t, x) for t, x in inside if len(x)]
-            return seen[tile, axis]
+                found = ((t, needs(t, axis)) for t in touched(first, count, axis, source, target))
+                inside = ((t, x[(x >= first) & (x < first + count)]) for t, x in found)
+                seen[first, count, axis] = [(t, x) for t, x in inside if len(x)]
+            return seen[first, count, axis]
 
         for b in batches:
-            made: list[tuple] = []
-            for col, row, v in zip(b.column("col").to_pylist(), b.column("row").to_pylist(), rows_of(b.column("cells"))):
-                v = v.reshape(n, n)
-                for trow, ys in parts(row, "y"):
-                    lines = v[ys - row * n]
-                    for tcol, xs in parts(col, "x"):
-                        cut = lines[:, xs - col * n]
+            from_row, made, cuts = [], [], []
+            values = [rows_of(b.column(x)) for x in bands]
+            for i, (gx, gy, w, h) in enumerate(zip(*(b.column(c).to_pylist() for c in ("gx", "gy", "width", "height")))):
+                v = np.stack([x[i] if len(x[i]) else np.full(w * h, np.nan) for x in values]).reshape(len(bands), h, w)
+                for trow, ys in parts(gy, h, "y"):
+                    lines = v[:, ys - gy]
+                    for tcol, xs in parts(gx, w, "x"):
+                        cut = lines[:, :, xs - gx]
                         if not np.isnan(cut).all():
-                            made.append((tcol, trow, xs, ys, cut.ravel()))
+                            from_row.append(i)
+                            made.append((tcol, trow, xs, ys))
+                            cuts.append(cut.reshape(len(bands), -1))
             if made:
                 longs = [pa.array([x[i] for x in made], pa.list_(pa.int64()) if i > 1 else pa.int64()) for i in range(4)]
-                yield pa.RecordBatch.from_arrays([*longs, list_column([x[4] for x in made])], ["col", "row", "xs", "ys", "cells"])
+                yield pa.RecordBatch.from_arrays([*(b.column(x).take(pa.array(from_row)) for x in extra), *longs,
+                                                  *(list_column([c[i] for c in cuts]) for i in range(len(bands)))],
+                                                 [*names, "_xs", "_ys", *bands])
 
     def resample(col: int, row: int, pieces: list) -> np.ndarray:
         xs, ys = needs(col, "x"), needs(row, "y")
-        have = np.full((len(ys), len(xs)), np.nan)
+        have = np.full((len(bands), len(ys), len(xs)), np.nan)
         for x, y, v in pieces:
-            have[np.ix_(np.searchsorted(ys, y), np.searchsorted(xs, x))] = v.reshape(len(y), len(x))
+            have[:, np.searchsorted(ys, y)[:, None], np.searchsorted(xs, x)] = v.reshape(len(bands), len(y), len(x))
         (fx, ax), (fy, ay) = (wanted(t, a, source, target, method) for t, a in ((col, "x"), (row, "y")))
-        value, weight = np.zeros((m, m)), np.zeros((m, m))
+        value, weight = np.zeros((len(bands), m, m)), np.zeros((len(bands), m, m))
         for j in range(reach):
             for i in range(reach):
-                v = have[np.ix_(np.searchsorted(ys, fy + j), np.searchsorted(xs, fx + i))]
+                v = have[:, np.searchsorted(ys, fy + j)[:, None], np.searchsorted(xs, fx + i)]
                 w = np.where(np.isnan(v), 0.0, (ay if j else 1 - ay)[:, None] * (ax if i else 1 - ax)[None, :])
                 value += w * np.nan_to_num(v)
                 weight += w
         with np.errstate(invalid="ignore", divide="ignore"):
-            return np.where(weight > 0, value / weight, np.nan).ravel()
+            return np.where(weight > 0, value / weight, np.nan).reshape(len(bands), -1)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, pieces = None, []
+        key, head, pieces = None, None, []
 
         def done() -> Iterator[pa.RecordBatch]:
-            v = resample(*key, pieces)
+            v = resample(*key[-2:], pieces)
             if not np.isnan(v).all():
-                yield pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int64()), pa.array([key[1]], pa.int64()), list_column([v])],
-                                                 ["col", "row", "cells"])
+                yield pa.RecordBatch.from_arrays([*(head.column(x) for x in names), *(list_column([x]) for x in v)], [*names, *bands])
 
         for b in batches:
-            cols = [b.column("col").to_pylist(), b.column("row").to_pylist(), b.column("xs").to_pylist(), b.column("ys").to_pylist()]
-            for col, row, xs, ys, v in zip(*cols, rows_of(b.column("cells"))):
-                if key != (col, row):
+            values = [rows_of(b.column(x)) for x in bands]
+            places = zip(b.column("_xs").to_pylist(), b.column("_ys").to_pylist())
+            for i, (one, (xs, ys)) in enumerate(zip(zip(*(b.column(c).to_pylist() for c in names)), places)):
+                if one != key:
                     if key is not None:
                         yield from done()
-                    key, pieces = (col, row), []
-                pieces.append((np.array(xs), np.array(ys), v))
+                    key, head, pieces = one, b.slice(i, 1), []
+                pieces.append((np.array(xs), np.array(ys), np.stack([x[i] for x in values])))
         if key is not None:
             yield from done()
 
-    sent = tiles.select(F.col("col").cast("long"), F.col("row").cast("long"), "cells").mapInArrow(send, part)
-    sent = sent.repartition("col", "row").sortWithinPartitions("col", "row")
-    return sent.mapInArrow(gather, "col long, row long, cells array<double>")
+    sent = windows.select(*extra, "gx", "gy", "width", "height", *bands).mapInArrow(send, T.StructType([*keys, *places, *lists]))
+    sent = sent.repartition(*names).sortWithinPartitions(*names)
+    return sent.mapInArrow(gather, T.StructType([*keys, *lists]))
+
+
+def overlay_tiles(tiles: DataFrame, n: int, bands: list[str], priority: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One tile per ``(extra..., col, row)``: of overlapping tiles the pixel of the highest ``priority`` that any band has (D12), then
+    the one of larger bands; its bands stay together.  A fold of arrays, partly before the shuffle."""
+    keys = [*(tiles.schema[x] for x in extra), *LAYOUT_KEYS]
+    low = lambda v: np.where(np.isnan(v), -np.inf, v)
+
+    def offers(b: pa.RecordBatch) -> Iterator[Offer]:
+        lists = [rows_of(b.column(x)) for x in bands]
+        for i, (*key, p) in enumerate(zip(*(b.column(k.name).to_pylist() for k in keys), b.column("_p").to_pylist())):
+            band = np.array([x[i] for x in lists])
+            rank = np.stack([np.full(n * n, -np.inf if p is None else p), *map(low, band)])
+            yield tuple(key), slice(None), rank, band, ~np.isnan(band).all(axis=0)
+
+    rows = tiles.select(*extra, F.col("col").cast("long"), F.col("row").cast("long"), F.col(priority).cast("double").alias("_p"), *bands)
+    return fold_tiles(rows, offers, keys, 1 + len(bands), bands, n * n)
 
 
 # -- mosaics -----------------------------------------------------------------------------------------------------

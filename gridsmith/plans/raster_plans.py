@@ -13,6 +13,9 @@ from gridsmith.operators.geometry import EARTH_RADIUS
 from gridsmith.plans.focal_plans import LAT1, LON0, RES
 from gridsmith.plans.oracle import with_ctes
 from gridsmith.plans.registry import ORACLE, register
+from gridsmith.session import shared_dir
+from gridsmith.sources import bucketed as bu
+from gridsmith.sources import catalog as cat
 from gridsmith.sources import fixtures as fx
 
 SIDE = 64            # lines of a raster, and cells of a line
@@ -150,3 +153,79 @@ def _register_mosaics() -> None:
 
 
 _register_mosaics()
+
+
+# Scene images of two bands, 64 x 64 cells each and at other places of the source grid; the last one may be cut short.
+SCENE_BANDS = {0: "red", 1: "nir"}
+SCENE_WINDOW = 24
+SCENE_X, SCENE_Y = "(scene % 7) * 48", "(floor(scene / 7) % 50) * 40 + 10 * (scene % 3)"
+
+
+def scene_lines(spark, sf):
+    e = fx.read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
+    scene = F.floor(F.col("vec_id") / (2 * SIDE))
+    return e.select(F.floor(F.col("vec_id") / SIDE).alias("raster"), scene.alias("scene"), (F.floor(F.col("vec_id") / SIDE) % 2).alias("band"),
+                    F.make_timestamp_ntz(F.lit(1999), (1 + scene % 3).cast("int"), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("instant"),
+                    (F.col("vec_id") % SIDE).cast("int").alias("row"),
+                    F.transform("embedding", lambda v: F.floor(1000 * (1 + v.cast("double"))).cast("double")).alias("values"))
+
+
+def ingest_scenes(lines, root: str, layer: str, zoom: int, source: ra.Grid, target: ra.Grid, bands: dict, x, y, size: int) -> None:
+    """A batch of scene images into a catalog layer: windows, band stacks of whole windows, reprojection of each scene, the latest scene
+    where scenes of one date overlap, upsert by date and tile.  A batch holds whole dates, as a tile of a date is replaced.
+    ``x``, ``y``: the first cell of a scene in the source grid.  One job: no step loops over scenes or dates."""
+    names = list(bands.values())
+    windows = ra.read_windows(lines, size, ("scene", "instant", "band"))
+    stacks = ra.stack_windows(windows, bands, keep=("scene", "instant"))
+    placed = stacks.withColumns({"gx": (x + F.col("col_off")).cast("long"), "gy": (y + F.col("row_off")).cast("long")})
+    tiles = ra.reproject_windows(placed, source, target, names, "bilinear", ("instant", "scene"))
+    tiles = ra.overlay_tiles(tiles, target.n, names, "scene", ("instant",))
+    cat.upsert_layer(tiles, root, layer, zoom, target.n, ["instant", "col", "row"], "float64", None, target)
+
+
+def _ingest_sql() -> str:
+    r, source, target = repr(EARTH_RADIUS), LONLAT, MERCATOR
+    lines = f"""lines as (select vec_id // {2 * SIDE} as scene, (vec_id // {SIDE}) % 2 as band, vec_id % {SIDE} as row, i - 1 as c,
+        floor(1000 * (1 + cast(e as double))) as v
+      from (select vec_id, generate_subscripts(embedding, 1) as i, unnest(embedding) as e from embeddings) t)"""
+    whole = f"""whole as (select scene, c // {SCENE_WINDOW} as wc, row // {SCENE_WINDOW} as wr from lines group by all
+      having count(*) filter (band = 0) = count(*) filter (band = 1))"""
+    px = f"""px as (select scene, c + {SCENE_X} as gx, row + {SCENE_Y} as gy, max(v) filter (band = 0) as red, max(v) filter (band = 1) as nir
+      from lines l join whole w using (scene) where c // {SCENE_WINDOW} = wc and row // {SCENE_WINDOW} = wr group by all)"""
+    x, y = f"({target.x0!r} + (tx + 0.5) * {target.cell!r})", f"({target.y0!r} - (ty + 0.5) * {target.cell!r})"
+    t = f"""t as (select tx, ty, (degrees({x} / {r}) - {source.x0!r}) / {source.cell!r} - 0.5 as sx,
+        ({source.y0!r} - degrees(2 * atan(exp({y} / {r})) - pi() / 2)) / {source.cell!r} - 0.5 as sy
+      from (select unnest(range(-40, 2 * (select max(gx) from px)::bigint + 200)) as tx) a,
+           (select unnest(range(-40, 2 * (select max(gy) from px)::bigint + 200)) as ty) b)"""
+    mixed = """mixed as (select scene, tx, ty, sum(w * red) / sum(w) as red, sum(w * nir) / sum(w) as nir from (
+        select t.tx, t.ty, p.scene, p.red, p.nir, (case when i = 1 then t.sx - floor(t.sx) else 1.0 - (t.sx - floor(t.sx)) end)
+             * (case when j = 1 then t.sy - floor(t.sy) else 1.0 - (t.sy - floor(t.sy)) end) as w
+        from t, (values (0, 0), (1, 0), (0, 1), (1, 1)) c(i, j), px p
+        where p.gx = floor(t.sx) + i and p.gy = floor(t.sy) + j) s group by all having sum(w) > 0)"""
+    return with_ctes("""select make_timestamp(1999, 1 + scene % 3, 1, 0, 0, 0.0) as instant, tx, ty, round(red, 3) as red, round(nir, 3) as nir
+      from (select *, row_number() over (partition by scene % 3, tx, ty order by scene desc) as k from mixed) m where k = 1""",
+                     extra=[lines, whole, px, t, mixed])
+
+
+@register("scene_ingest", _ingest_sql())
+def q_scene_ingest(spark, sf):
+    """The ingest job as one flow, in two batches of which the second repeats a date: windows, stacks, reprojection, overlaps,
+    upsert, and the stored layer read back."""
+    root, lines = shared_dir(spark, "scene_ingest"), scene_lines(spark, sf)
+    for months in ((1, 2), (2, 3)):
+        ingest_scenes(lines.where(F.month("instant").isin(*months)), root, "scenes", 9, LONLAT, MERCATOR, SCENE_BANDS, F.expr(SCENE_X),
+                      F.expr(SCENE_Y), SCENE_WINDOW)
+    cells = tl.band_tiles_to_cells(cat.read_layer(spark, root, "scenes", 9), MERCATOR.n, ["red", "nir"], extra=("instant",))
+    return cells.select("instant", F.col("gx").alias("tx"), F.col("gy").alias("ty"), F.round("red", 3).alias("red"), F.round("nir", 3).alias("nir"))
+
+
+@register("join_spacetime_spatial_bucketed", ORACLE["join_spacetime_spatial"])
+def q_join_spacetime_spatial_bucketed(spark, sf):
+    """Each date of a tile meets the static class tile without a shuffle of the imagery: both are stored in the same buckets."""
+    folder, buckets, bands = shared_dir(spark, "bucketed"), 16, ["red", "nir"]
+    imagery = tl.cells_to_band_tiles(fx.landsat(spark, sf), fx.TILE, bands, extra=("instant",))
+    static = tl.cells_to_band_tiles(fx.classes(spark, sf), fx.TILE, ["value", "nlcd"])
+    series, layer = bu.write_series(imagery, f"{folder}/series", buckets), bu.write_static(static, f"{folder}/static", buckets)
+    both = bu.join_static(spark, series, layer)
+    cells = tl.band_tiles_to_cells(both, fx.TILE, [*bands, "value", "nlcd"], extra=("instant",))
+    return cells.where(F.col("red").isNotNull() & F.col("value").isNotNull()).select("instant", "gx", "gy", *bands, "value", "nlcd")
