@@ -13,7 +13,7 @@ from gridsmith.operators import tiles as tl
 from gridsmith.operators.rasters import Grid
 from gridsmith.plans.focal_plans import DEM_LEVELS, DEM_ZOOM, _pyramid_sql
 from gridsmith.plans.ingest_plans import FOOTPRINTS
-from gridsmith.plans.oracle import inside_cte, with_ctes
+from gridsmith.plans.oracle import touched_cte, with_ctes
 from gridsmith.plans.grid import _dense_sql
 from gridsmith.plans.registry import ORACLE, r6, register
 from gridsmith.session import cut_lineage, shared_dir
@@ -25,8 +25,7 @@ ZOOM = 2
 _dense_dem_sql = _dense_sql("dem", "elev", 8)
 LANDSAT_COLS = ["instant", "gx", "gy", "blue", "green", "red", "nir", "qa"]
 Q_FROM, Q_TO = dt.datetime(1997, 1, 1), dt.datetime(1999, 12, 31)
-Q_POLY = 2
-GRID32 = "(select a.gx, b.gy from range(0, 32) a(gx), range(0, 32) b(gy))"
+Q_POLY = 1  # touches two tiles without a cell centre inside
 
 
 def _catalog(spark, sf, with_classes: bool = True):
@@ -52,8 +51,8 @@ def q_layer_write_read(spark, sf):
 
 @register("layer_query", with_ctes(
     f"""select * from landsat where instant between '{Q_FROM}' and '{Q_TO}'
-        and (gx // 8, gy // 8) in (select distinct gx // 8, gy // 8 from inside where poly_id = {Q_POLY})""",
-    "landsat", "aoi_edges", extra=[inside_cte(GRID32)]))
+        and (gx // 8, gy // 8) in (select (col, row) from touched where poly_id = {Q_POLY})""",
+    "landsat", "aoi_edges", extra=[touched_cte("landsat")]))
 def q_layer_query(spark, sf):
     root = _catalog(spark, sf, with_classes=False)
     edges = fx.aoi_edges(spark).where(F.col("poly_id") == Q_POLY)
@@ -234,8 +233,8 @@ def q_tile_layer_write_read(spark, sf):
 
 @register("tile_layer_query", with_ctes(
     f"""select t.* from ({_dense_dem_sql}) t
-        where (t.col, t.row) in (select distinct gx // 8, gy // 8 from inside where poly_id = {Q_POLY})""",
-    "dem", "aoi_edges", extra=[inside_cte(GRID32)]))
+        where (t.col, t.row) in (select (col, row) from touched where poly_id = {Q_POLY})""",
+    "dem", "aoi_edges", extra=[touched_cte("dem")]))
 def q_tile_layer_query(spark, sf):
     """Whole tiles of a tile-grain layer that intersect a polygon: key-range
     literals reach the Parquet scan, the exact test is a bounded semi join."""

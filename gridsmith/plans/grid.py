@@ -10,7 +10,7 @@ from gridsmith.functions import grid as g
 from gridsmith.operators import polygon
 from gridsmith.operators import tiles as tl
 from gridsmith.operators.geometry import WM_HALF_WIDTH, lonlat_to_mercator
-from gridsmith.plans.oracle import inside_cte, with_ctes
+from gridsmith.plans.oracle import touched_cte, with_ctes
 from gridsmith.plans.registry import register
 from gridsmith.sources import fixtures as fx
 
@@ -151,9 +151,9 @@ def q_extent_to_keys(spark, sf):
 
 
 @register("tiles_intersecting", with_ctes(
-    "select distinct col, row, instant from t where (col, row) in (select distinct gx // 8, gy // 8 from inside)",
+    "select distinct col, row, instant from t where (col, row) in (select (col, row) from touched)",
     "landsat", "aoi_edges",
-    extra=[inside_cte("landsat"), "t as (select gx // 8 as col, gy // 8 as row, instant from landsat)"]))
+    extra=[touched_cte("landsat"), "t as (select gx // 8 as col, gy // 8 as row, instant from landsat)"]))
 def q_tiles_intersecting(spark, sf):
     """Tiles (and dates) touched by the polygons, at tile grain."""
     l = fx.landsat(spark, sf)

@@ -61,6 +61,20 @@ where case when (e.y1 > c.gy + 0.5) <> (e.y2 > c.gy + 0.5)
            then c.gx + 0.5 < (e.x2 - e.x1) * ((c.gy + 0.5) - e.y1) / (e.y2 - e.y1) + e.x1 else false end
 group by c.gx, c.gy, e.poly_id having count(*) % 2 = 1)"""
 
+# Tiles whose closed box meets a polygon: an edge clipped to the box by its parameter leaves a piece (a point is enough), or the
+# middle of the box is inside (without an edge in it, the box lies wholly inside or outside).
+TOUCHED = """touched as (
+select col, row, poly_id from (
+  select t.col, t.row, t.col * 8.0::double as a, t.row * 8.0::double as b, e.*,
+    case when x1 = x2 then case when x1 between a and a + 8 then 0.0::double else 2.0::double end else least((a - x1) / (x2 - x1), (a + 8 - x1) / (x2 - x1)) end as tx0,
+    case when x1 = x2 then 1.0::double else greatest((a - x1) / (x2 - x1), (a + 8 - x1) / (x2 - x1)) end as tx1,
+    case when y1 = y2 then case when y1 between b and b + 8 then 0.0::double else 2.0::double end else least((b - y1) / (y2 - y1), (b + 8 - y1) / (y2 - y1)) end as ty0,
+    case when y1 = y2 then 1.0::double else greatest((b - y1) / (y2 - y1), (b + 8 - y1) / (y2 - y1)) end as ty1
+  from (select distinct gx // 8 as col, gy // 8 as row from {cells}) t, aoi_edges e) c
+group by col, row, poly_id
+having sum(case when greatest(tx0, ty0, 0) <= least(tx1, ty1, 1) then 1 else 0 end) > 0
+    or sum(case when (y1 > b + 4) <> (y2 > b + 4) and a + 4 < (x2 - x1) * (b + 4 - y1) / (y2 - y1) + x1 then 1 else 0 end) % 2 = 1)"""
+
 FIXTURES = {"landsat": F1, "classes": F2, "dem": F3, "scenes": F4, "band_rows": F5,
             "aoi_edges": F6, "crop_labels": F7}
 
@@ -72,3 +86,7 @@ def with_ctes(body: str, *names: str, extra: list[str] | None = None) -> str:
 
 def inside_cte(cells: str) -> str:
     return INSIDE.format(cells=cells)
+
+
+def touched_cte(cells: str) -> str:
+    return TOUCHED.format(cells=cells)
