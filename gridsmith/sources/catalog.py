@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridsmith.functions.grid import days_since_epoch, morton2, morton3, ntz, tile_of
+from gridsmith.functions.grid import days_since_epoch, morton_sql, ntz, tile_of
 from gridsmith.operators import polygon
 from gridsmith.session import cut_lineage
 
@@ -52,11 +52,10 @@ def _tile_keys(df: DataFrame, tile_size: int):
 def with_zkey(df: DataFrame, tile_size: int) -> DataFrame:
     """Z-order key of the tile (3-D with days for space-time layers)."""
     col, row = _tile_keys(df, tile_size)
+    keys, bits = {"_zcol": col, "_zrow": row}, 31
     if "instant" in df.columns:
-        z = morton3(col, row, F.greatest(days_since_epoch("instant"), F.lit(0)))
-    else:
-        z = morton2(col, row, 31)
-    return df.withColumn("zkey", z)
+        keys, bits = keys | {"_zday": F.greatest(days_since_epoch("instant"), F.lit(0))}, 21
+    return df.withColumns(keys).withColumn("zkey", F.expr(morton_sql(list(keys), bits))).drop(*keys)
 
 
 def layer_meta(df: DataFrame, layer: str, zoom: int, tile_size: int, cell_type: str, nodata, grid=None,

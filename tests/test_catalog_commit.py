@@ -79,6 +79,13 @@ def test_a_conflict_leaves_the_layer_as_it_was(spark, write):
     assert state(spark, root) == before
 
 
+def test_z_order_as_text(spark):
+    from gridsmith.functions import grid as g
+    df = spark.range(500).selectExpr("(id * 7919) % 65537 as x", "(id * 104729) % 2097152 as y", "id % 4000 as t")
+    bad = df.where((F.expr(g.morton_sql(["x", "y"], 31)) != g.morton2("x", "y", 31)) | (F.expr(g.morton_sql(["x", "y", "t"], 21)) != g.morton3("x", "y", "t")))
+    assert bad.count() == 0
+
+
 def test_old_versions_are_dropped(spark):
     root = shared_dir(spark, "drop")
     for batch in (JANUARY, FEBRUARY, JANUARY[:5]):
