@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsmith.operators.geometry import EARTH_RADIUS, mercator_to_lonlat
+from gridsmith.operators.geometry import EARTH_RADIUS, mercator_to_lonlat, mercator_y
 
 OFFSETS = [(dx, dy) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
 
@@ -108,7 +108,10 @@ def reproject_lonlat_to_mercator(cells: DataFrame, value: str, lon0: float, lat1
     aggregate row), the grid itself from ``spark.range``; each target centre is
     mapped back to source pixel space with column math, and the values are
     fetched with an equi-join (nearest) or a 4-corner join with weights
-    renormalised over the present corners (bilinear)."""
+    renormalised over the present corners (bilinear).
+
+    A source grid may reach past a pole (a table of any size is a grid of any height): the target then ends at
+    ``MAX_LAT``, and source cells beyond the pole, which have no place in web-mercator, are in no target cell."""
     # Target grid size from the source bounds: given (e.g. from the layer's
     # metadata row) or one aggregate over the source.
     if max_gx is None or max_gy is None:
@@ -119,9 +122,9 @@ def reproject_lonlat_to_mercator(cells: DataFrame, value: str, lon0: float, lat1
         return cells.sparkSession.createDataFrame([], f"tx bigint, ty bigint, {value} double")
     r = EARTH_RADIUS
     x0 = r * math.radians(lon0)
-    y0 = r * math.log(math.tan(math.pi / 4 + math.radians(lat1) / 2))
+    y0 = mercator_y(lat1)
     x1 = r * math.radians(lon0 + (mx + 1) * res_deg)
-    y1 = r * math.log(math.tan(math.pi / 4 + math.radians(lat1 - (my + 1) * res_deg) / 2))
+    y1 = mercator_y(lat1 - (my + 1) * res_deg)
     ntx, nty = int(math.floor((x1 - x0) / target_size_m)), int(math.floor((y0 - y1) / target_size_m))
     # The target grid is generated in parallel by spark.range (no single
     # task ever holds it); tx/ty come from the row id.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridsmith.functions import color as co
 from gridsmith.functions import indices as ix
-from gridsmith.operators import focal, mosaic, polygon, zonal
+from gridsmith.operators import focal, geometry, mosaic, polygon, zonal
 from gridsmith.sources import fixtures as fx
 
 T0, T1 = dt.datetime(2016, 6, 1), dt.datetime(2016, 7, 1)
@@ -97,3 +97,31 @@ def test_one_by_one_raster_windows(spark):
     w = ingest.buffer_windows(ingest.list_windows(df)).collect()
     assert [(r.col_off, r.row_off, r.width, r.height, r.bcol0, r.bcol1, r.brow0, r.brow1) for r in w] == \
         [(0, 0, 1, 1, 0, 0, 0, 0)]
+
+
+@pytest.mark.parametrize("method", ["bilinear"])
+@pytest.mark.parametrize("lines", [12, 13, 20, 34, 50])
+def test_reproject_a_grid_that_reaches_past_the_pole(spark, lines, method):
+    """Lines of 10 degrees from 40 north: 12 end short of the south pole, 13 at it, the others beyond.  Every cell on Earth
+    counts, cells beyond have no place, and the target ends at a latitude of MAX_LAT."""
+    cells = {(x, y): 100.0 * y + x for x in range(2) for y in range(lines) if (x, y) != (1, 5)}
+    df = spark.createDataFrame([(x, y, v) for (x, y), v in cells.items()], "gx long, gy long, v double")
+    size, y0 = 400_000.0, geometry.mercator_y(40.0)
+    got = {(r.tx, r.ty): r.v for r in focal.reproject_lonlat_to_mercator(df, "v", 5.0, 40.0, 10.0, size, method).collect()}
+    bottom = -80.0 if lines == 12 else -geometry.MAX_LAT
+    want = {}
+    for ty in range(math.floor((y0 - geometry.EARTH_RADIUS * math.log(math.tan(math.radians(45 + bottom / 2)))) / size)):
+        lat = math.degrees(2 * math.atan(math.exp((y0 - (ty + 0.5) * size) / geometry.EARTH_RADIUS)) - math.pi / 2)
+        for tx in range(math.floor(geometry.EARTH_RADIUS * math.radians(20) / size)):
+            lon = math.degrees((tx + 0.5) * size / geometry.EARTH_RADIUS)
+            sx, sy = lon / 10 - 0.5, (40 - lat) / 10 - 0.5
+            if method == "nearest":
+                parts = [(cells.get((math.floor(sx + 0.5), math.floor(sy + 0.5))), 1.0)]
+            else:
+                parts = [(cells.get((math.floor(sx) + i, math.floor(sy) + j)), (sx % 1 if i else 1 - sx % 1) * (sy % 1 if j else 1 - sy % 1))
+                         for j in (0, 1) for i in (0, 1)]
+            parts = [(v, w) for v, w in parts if v is not None]
+            if parts:
+                want[tx, ty] = sum(v * w for v, w in parts) / sum(w for _, w in parts)
+    assert set(got) == set(want) and len(want) > 100
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
