@@ -99,7 +99,7 @@ def test_one_by_one_raster_windows(spark):
         [(0, 0, 1, 1, 0, 0, 0, 0)]
 
 
-@pytest.mark.parametrize("method", ["bilinear"])
+@pytest.mark.parametrize("method", ["bilinear", "nearest"])
 @pytest.mark.parametrize("lines", [12, 13, 20, 34, 50])
 def test_reproject_a_grid_that_reaches_past_the_pole(spark, lines, method):
     """Lines of 10 degrees from 40 north: 12 end short of the south pole, 13 at it, the others beyond.  Every cell on Earth
