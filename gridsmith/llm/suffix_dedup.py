@@ -19,8 +19,8 @@ Corpus order: phrases that share a trigger meet, and the suffix array of their b
 are repeats.  Only runs of repeated windows travel back to the documents.  There is no array of the whole corpus: the
 order is needed only among windows that may be equal, and those have one trigger.
 
-Skew: equal phrases of an Arrow batch leave it as one row that is dealt by trigger; the others are known repeats and are
-dealt by place.  A trigger with ``block`` or more distinct phrases is worked on in blocks; the first windows of each
+Skew: equal phrases of an Arrow batch leave it as one row that is dealt by trigger; the others are known repeats, which
+leave it in runs (a copied document is one row) and are dealt by place.  A trigger with ``block`` or more distinct phrases is worked on in blocks; the first windows of each
 class of a block then meet by digest (128 bits) in a window over few rows, so no task holds more than two blocks.
 
 Defined results: null and empty texts have nothing to remove; rows without an id come first; rows of equal id stand in
@@ -106,13 +106,13 @@ def phrases(data: np.ndarray, ends: np.ndarray, p: Params) -> tuple[np.ndarray,
 
 
 def occurrences(docs: DataFrame, p: Params) -> DataFrame:
-    """A row per phrase: its trigger and phrase hash, place (doc, tie, a), number of windows n, and whether its batch
-    holds an earlier equal one (``known``; those have any hash)."""
+    """A row per phrase: its trigger and phrase hash, place (doc, tie, a) and number of windows n.  Phrases of which their batch
+    holds an earlier equal one are ``known``: a row per run of such phrases that follow each other, with any hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in by_size(whole):
                 docs_, ties = (b.column(k).to_numpy() for k in ("doc", "tie"))
-                out: list[list[np.ndarray]] = []
+                out: list[list[np.ndarray]] = []  # phrases of a text in the order of their places
                 for rows, offsets, data in pieces(b.column("text"), p.length):
                     sizes, line = np.fromiter(map(len, data), np.int64, len(data)), b"".join(data)
                     ends = np.cumsum(sizes)
@@ -120,14 +120,20 @@ def occurrences(docs: DataFrame, p: Params) -> DataFrame:
                     phrase = np.fromiter((xxhash.xxh3_64_intdigest(line[i:j]) for i, j in zip(a.tolist(), (a + n + p.length - 1).tolist())),
                                          np.uint64, len(a))
                     at = np.searchsorted(ends, a, "right")
-                    out.append([trigger, phrase, docs_[rows[at]], ties[rows[at]], a + (offsets + sizes - ends)[at], n])
+                    out.append([trigger, phrase, rows[at], a + (offsets + sizes - ends)[at], n])
                 if not out:
                     continue
-                trigger, phrase, doc, tie, a, n = (np.concatenate(c) for c in zip(*out))
+                trigger, phrase, row, a, n = (np.concatenate(c) for c in zip(*out))
+                doc, tie = docs_[row], ties[row]
                 order = np.lexsort((a, tie, doc, phrase, trigger))
                 known = np.zeros(len(order), dtype=bool)
                 t, f = trigger[order], phrase[order]
                 known[order[1:]] = (t[1:] == t[:-1]) & (f[1:] == f[:-1])
+                goes_on = known[1:] & known[:-1] & (row[1:] == row[:-1]) & (a[1:] == a[:-1] + n[:-1])
+                at = np.flatnonzero(np.append(True, ~goes_on)[:len(known)])
+                if len(at):
+                    n = np.add.reduceat(n, at)
+                trigger, phrase, doc, tie, a, known = (c[at] for c in (trigger, phrase, doc, tie, a, known))
                 trigger = np.where(known, mix64(a.astype(np.uint64), 3) ^ mix64(doc.view(np.uint64), 4), trigger)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(known), pa.array(trigger.view(np.int64)), pa.array(np.where(known, 0, phrase.view(np.int64))),
@@ -161,7 +167,8 @@ def judged(rows: DataFrame, p: Params) -> DataFrame:
         (F.min("phrase").over(trigger) != F.max("phrase").over(trigger)).alias("shared"))
     open_ = F.col("first") & ~F.col("known")
     return rows.where(~open_ | F.col("shared")).select(
-        "trigger", "doc", "tie", "a", "n", F.when(open_, F.floor((F.col("number") - 1) / p.block).cast("int")).alias("block"))
+        F.when(open_, F.col("trigger")).alias("trigger"), "doc", "tie", "a", "n",
+        F.when(open_, F.floor((F.col("number") - 1) / p.block).cast("int")).alias("block"))
 
 
 def runs_of(c: str = "runs") -> Column:
@@ -286,7 +293,8 @@ def remove_repeats(docs: DataFrame, p: Params = Params()) -> DataFrame:
     keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"), F.xxhash64("text").alias("tie"), "text")
     found = cut_lineage(judged(occurrences(keyed, p), p))
     copies = W.partitionBy("doc", "tie").orderBy(F.col("doc_id").isNull())
-    keyed = keyed.withColumn("copy", F.row_number().over(copies)).select(*KEYED)
+    # Dealt before the window: a limit on ``copy`` stays behind the exchange then, and both uses of the texts share it.
+    keyed = keyed.repartition("doc", "tie").withColumn("copy", F.row_number().over(copies)).select(*KEYED)
     windows = repeats(cut_out(keyed, found.where("block is not null"), p), p)
     gone = found.where("block is null").select("doc", "tie", "a", F.col("n").cast("long")).union(windows)
     lists = gone.groupBy("doc", "tie").agg(F.collect_list(F.struct("a", "n")).alias("runs"))

@@ -138,3 +138,25 @@ def test_suffix_ranks():
         want = [data[i:i + length] for i in at]
         order = sorted(set(want))
         assert rank.tolist() == [order.index(w) for w in want]
+
+
+def test_copies_leave_the_parse_as_runs(spark):
+    """Of a text and its copies in a batch, the copies are a row each; a new stretch in between cuts the row in two."""
+    rng = random.Random(3)
+    t, new = ("".join(rng.choices("abcdefgh ", k=k)) for k in (600, 60))
+    df = spark.createDataFrame([(1, 0, t), (2, 0, t), (3, 0, t[:300] + new + t[300:])], "doc long, tie long, text string").coalesce(1)
+    rows = [r for r in S.occurrences(df, SMALL).collect()]
+    known = {d: sorted((r.a, r.n) for r in rows if r.known and r.doc == d) for d in (1, 2, 3)}
+    assert known[1] == [] and known[2] == [(0, 600 - SMALL.length + 1)]
+    assert len(known[3]) == 2 and known[3][0][0] == 0 and sum(known[3][1]) == 660 - SMALL.length + 1
+    for d, size in ((1, 600), (2, 600), (3, 660)):  # each window is in one row
+        at = sorted(x for r in rows if r.doc == d for x in range(r.a, r.a + r.n))
+        assert at == list(range(size - SMALL.length + 1))
+
+
+def test_texts_are_shuffled_once(spark, tmp_path):
+    spark.createDataFrame(corpus(9), "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    rows = S.remove_repeats(spark.read.parquet(str(tmp_path / "docs")), SMALL)
+    assert any(r.spans for r in rows.collect())
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and plan.count("FileScan parquet") == 1
