@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsmith.operators.geometry import EARTH_RADIUS, mercator_to_lonlat, mercator_y
+from gridsmith.operators.geometry import EARTH_RADIUS, mercator_lat, mercator_to_lonlat, mercator_y
 
 OFFSETS = [(dx, dy) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
 
@@ -131,7 +131,7 @@ def reproject_lonlat_to_mercator(cells: DataFrame, value: str, lon0: float, lat1
     spark = cells.sparkSession
     grid = spark.range(0, max(ntx, 0) * max(nty, 0)).select((F.col("id") % ntx).alias("tx"),
                                                             F.floor(F.col("id") / ntx).alias("ty"))
-    x0, y0 = F.lit(x0), F.lit(y0)
+    y_top, x0, y0 = y0, F.lit(x0), F.lit(y0)
     s = F.lit(float(target_size_m))
     cx = x0 + (F.col("tx") + F.lit(0.5)) * s
     cy = y0 - (F.col("ty") + F.lit(0.5)) * s
@@ -140,6 +140,10 @@ def reproject_lonlat_to_mercator(cells: DataFrame, value: str, lon0: float, lat1
     sy = (F.lit(lat1) - lat) / F.lit(res_deg) - F.lit(0.5)
     t = grid.select("tx", "ty", sx.alias("sx"), sy.alias("sy"))
     src = cells.select(F.col("gx"), F.col("gy"), F.col(value).alias("v"))
+    # Target rows take cells from the lines between the target's edges only (two lines are for the corners and rounding):
+    # lines past a pole meet none of them in the join and need not be shuffled.
+    first, last = (math.floor((lat1 - mercator_lat(y)) / res_deg) for y in (y_top, y1))
+    src = src.where(F.col("gy").between(first - 2, last + 2))
     if method == "nearest":
         t = t.select("tx", "ty", F.floor(F.col("sx") + F.lit(0.5 + 1e-9)).alias("gx"),
                      F.floor(F.col("sy") + F.lit(0.5 + 1e-9)).alias("gy"))

@@ -100,21 +100,21 @@ def test_one_by_one_raster_windows(spark):
 
 
 @pytest.mark.parametrize("method", ["bilinear", "nearest"])
-@pytest.mark.parametrize("lines", [12, 13, 20, 34, 50])
-def test_reproject_a_grid_that_reaches_past_the_pole(spark, lines, method):
-    """Lines of 10 degrees from 40 north: 12 end short of the south pole, 13 at it, the others beyond.  Every cell on Earth
-    counts, cells beyond have no place, and the target ends at a latitude of MAX_LAT."""
+@pytest.mark.parametrize("top, lines", [(40.0, 12), (40.0, 13), (40.0, 20), (40.0, 34), (40.0, 50), (120.0, 10), (300.0, 50)])
+def test_reproject_a_grid_that_reaches_past_the_pole(spark, top, lines, method):
+    """Lines of 10 degrees: 12 from 40 north end short of the south pole, 13 at it, the others beyond one or both.  Every
+    cell on Earth counts, cells beyond have no place, and the target ends at a latitude of MAX_LAT."""
     cells = {(x, y): 100.0 * y + x for x in range(2) for y in range(lines) if (x, y) != (1, 5)}
     df = spark.createDataFrame([(x, y, v) for (x, y), v in cells.items()], "gx long, gy long, v double")
-    size, y0 = 400_000.0, geometry.mercator_y(40.0)
-    got = {(r.tx, r.ty): r.v for r in focal.reproject_lonlat_to_mercator(df, "v", 5.0, 40.0, 10.0, size, method).collect()}
-    bottom = -80.0 if lines == 12 else -geometry.MAX_LAT
+    merc_y = lambda lat: geometry.EARTH_RADIUS * math.log(math.tan(math.radians(45 + max(-geometry.MAX_LAT, min(geometry.MAX_LAT, lat)) / 2)))
+    size, y0, y1 = 400_000.0, merc_y(top), merc_y(top - 10 * lines)
+    got = {(r.tx, r.ty): r.v for r in focal.reproject_lonlat_to_mercator(df, "v", 5.0, top, 10.0, size, method).collect()}
     want = {}
-    for ty in range(math.floor((y0 - geometry.EARTH_RADIUS * math.log(math.tan(math.radians(45 + bottom / 2)))) / size)):
+    for ty in range(math.floor((y0 - y1) / size)):
         lat = math.degrees(2 * math.atan(math.exp((y0 - (ty + 0.5) * size) / geometry.EARTH_RADIUS)) - math.pi / 2)
         for tx in range(math.floor(geometry.EARTH_RADIUS * math.radians(20) / size)):
             lon = math.degrees((tx + 0.5) * size / geometry.EARTH_RADIUS)
-            sx, sy = lon / 10 - 0.5, (40 - lat) / 10 - 0.5
+            sx, sy = lon / 10 - 0.5, (top - lat) / 10 - 0.5
             if method == "nearest":
                 parts = [(cells.get((math.floor(sx + 0.5), math.floor(sy + 0.5))), 1.0)]
             else:
