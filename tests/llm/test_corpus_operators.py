@@ -283,4 +283,4 @@ def test_pipeline_stages_on_odd_rows(spark, odd_docs, no_docs):
 def test_every_operator_is_registered():
     import __spark_entry__ as E
     numbers = sorted(int(k[2:].split("_")[0]) for k in E.queries() if k.startswith("op") and k[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in E.queries()
